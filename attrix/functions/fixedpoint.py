@@ -1,0 +1,36 @@
+"""Order-independent means of doubles.
+
+A sum of doubles depends on the order partial aggregates are combined in, so
+a plain ``avg`` can differ in the last bits between two runs with different
+partitioning (or between Spark and another engine). Summing fixed-point
+integers is exact and associative: the mean is then the same whatever the
+partitioning, which keeps reruns after executor loss bit-identical.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def fixed_point(c: str | Column, digits: int = 6) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(col * F.lit(float(10 ** digits))).cast("bigint")
+
+
+def exact_sum(c: str | Column, digits: int = 6) -> Column:
+    """Sum of ``c`` rounded per row to ``digits`` decimals, as a double."""
+    return F.sum(fixed_point(c, digits)) / F.lit(float(10 ** digits))
+
+
+def exact_mean(c: str | Column, digits: int = 6) -> Column:
+    """Mean of non-null ``c`` rounded per row to ``digits`` decimals."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.sum(fixed_point(col, digits)) / F.count(col) / F.lit(float(10 ** digits))
+
+
+def exact_mean_sql(expr: str, digits: int = 6) -> str:
+    """The same mean as DuckDB SQL text."""
+    scale = f"{10 ** digits}e0"
+    return (f"(CAST(sum(CAST(round(({expr}) * {scale}) AS BIGINT)) AS BIGINT) "
+            f"/ count({expr}) / {scale})")
