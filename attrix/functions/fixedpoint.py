@@ -14,23 +14,48 @@ from pyspark.sql import functions as F
 
 
 def fixed_point(c: str | Column, digits: int = 6) -> Column:
+    """Per-row value in units of 10**-digits, as an exact 38-digit decimal
+    (no overflow for any realistic row count)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * F.lit(float(10 ** digits))).cast("bigint")
+    return F.round(col * F.lit(float(10 ** digits))).cast("decimal(38,0)")
 
 
 def exact_sum(c: str | Column, digits: int = 6) -> Column:
     """Sum of ``c`` rounded per row to ``digits`` decimals, as a double."""
-    return F.sum(fixed_point(c, digits)) / F.lit(float(10 ** digits))
+    return F.sum(fixed_point(c, digits)).cast("double") / F.lit(float(10 ** digits))
 
 
 def exact_mean(c: str | Column, digits: int = 6) -> Column:
     """Mean of non-null ``c`` rounded per row to ``digits`` decimals."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(fixed_point(col, digits)) / F.count(col) / F.lit(float(10 ** digits))
+    return (F.sum(fixed_point(col, digits)).cast("double") / F.count(col)
+            / F.lit(float(10 ** digits)))
 
 
 def exact_mean_sql(expr: str, digits: int = 6) -> str:
     """The same mean as DuckDB SQL text."""
     scale = f"{10 ** digits}e0"
-    return (f"(CAST(sum(CAST(round(({expr}) * {scale}) AS BIGINT)) AS BIGINT) "
+    return (f"(CAST(sum(CAST(round(({expr}) * {scale}) AS DECIMAL(38,0))) AS DOUBLE) "
             f"/ count({expr}) / {scale})")
+
+
+def exact_variance(c: str | Column, mean: Column, digits: int = 6,
+                   population: bool = True) -> Column:
+    """Variance from fixed-point deviations around a (scalar) mean.
+
+    Centred, so no cancellation; each squared deviation is an exact 38-digit
+    decimal, so the sum does not depend on partitioning either.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    dev = fixed_point(col - mean, digits)
+    ss = F.sum(dev * dev).cast("double") / F.lit(float(10 ** (2 * digits)))
+    n = F.count(col)
+    return F.try_divide(ss, n if population else n - 1)
+
+
+def exact_variance_sql(expr: str, mean_sql: str, digits: int = 6, population: bool = True) -> str:
+    scale = f"{10 ** digits}e0"
+    dev = f"CAST(round((({expr}) - ({mean_sql})) * {scale}) AS DECIMAL(38,0))"
+    n = f"count({expr})" if population else f"(count({expr}) - 1)"
+    return (f"(CAST(sum({dev} * {dev}) AS DOUBLE) / {10 ** (2 * digits)}e0 "
+            f"/ NULLIF({n}, 0))")

@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from attrix.functions.fixedpoint import exact_mean
+
 EPS = 1e-15
 
 
@@ -19,13 +21,18 @@ def positive_probability(probability_col: str = "probability") -> Column:
     return F.element_at(arr, -1)
 
 
-def log_loss(label: str | Column, p_positive: str | Column, eps: float = EPS) -> Column:
-    """Mean binary cross-entropy with probabilities clipped to [eps, 1 - eps]."""
+def log_loss(label: str | Column, p_positive: str | Column, eps: float = EPS,
+             digits: int = 12) -> Column:
+    """Mean binary cross-entropy with probabilities clipped to [eps, 1 - eps].
+
+    The mean is fixed-point (``digits`` decimals per row, at most 35 per row
+    before the point), so trial rankings do not move with partitioning.
+    """
     y = F.col(label) if isinstance(label, str) else label
     p = F.col(p_positive) if isinstance(p_positive, str) else p_positive
     pc = F.least(F.greatest(p.cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     p_true = F.when(y == 1, pc).otherwise(F.lit(1.0) - pc)
-    return F.avg(-F.ln(p_true))
+    return exact_mean(-F.ln(p_true), digits)
 
 
 def accuracy(label: str | Column, prediction: str | Column) -> Column:

@@ -7,8 +7,6 @@ derivation or directly) and runs over them whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,19 +20,7 @@ from attrix.plans.frames import KEY, LABEL, frames, tbl
 from attrix.plans.oracle import SERVICE_COLUMNS, with_features
 from attrix.sources.features import key_violations
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+from attrix.plans.catalog import QUERIES, SQL, register  # noqa: E402
 
 
 # Seeds and fractions of the reference's flow.
@@ -314,4 +300,7 @@ def q_stratified_split_sizes(spark, sf_dir):
     return out.groupBy(LABEL, "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# The other query groups register themselves on import.
+from attrix.plans import queries_model, queries_profile, queries_tables  # noqa: E402,F401
+
 __all__ = ["QUERIES", "SQL", "SERVICE_COLUMNS"]
