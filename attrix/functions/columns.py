@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for equal results.
@@ -88,7 +89,7 @@ def num_optional_services(cols: Iterable[str | Column] = OPTIONAL_SERVICE_COLUMN
     return count_equal(cols, YES)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def num_optional_services_udf(*cols: pd.Series) -> pd.Series:
     """Vectorised (Arrow) form of the same count, kept for parity checks."""
     total = None

@@ -29,7 +29,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.functions.columns import MISSING_CATEGORY
@@ -66,21 +66,27 @@ def standardise_columns(df: DataFrame, columns: Sequence[str], population: bool
     """(x - mean) / stddev per column; a constant column becomes 0.0.
 
     ``population=True`` divides by the population deviation (as scikit-learn
-    does); MLlib's ``StandardScaler`` uses the sample deviation. Moments are
-    fixed-point (partition-independent): one aggregate for the means, one
-    for the centred variances, both used as scalar subqueries, then a
-    projection.
+    does); MLlib's ``StandardScaler`` uses the sample deviation. Fitting is
+    two aggregation jobs, each returning one row of per-column moments
+    (fixed-point, so partition-independent): the means, then the centred
+    variances. The moments are then inlined as literals into one projection.
     """
     cols = list(columns)
-    means = df.agg(*[exact_mean(F.col(c).cast("double"), digits).alias(f"m{i}")
-                     for i, c in enumerate(cols)])
-    ms = [means.select(f"m{i}").scalar() for i in range(len(cols))]
-    var = df.agg(*[exact_variance(F.col(c).cast("double"), ms[i], 6, population).alias(f"v{i}")
-                   for i, c in enumerate(cols)])
+    xs = [F.col(c).cast("double") for c in cols]
+    means = df.agg(*[exact_mean(x, digits).alias(f"m{i}") for i, x in enumerate(xs)]).first()
+    ms = [F.lit(means[f"m{i}"]).cast("double") for i in range(len(cols))]
+    var = df.agg(*[exact_variance(x, ms[i], 6, population).alias(f"v{i}")
+                   for i, x in enumerate(xs)]).first()
     changes = {}
     for i, c in enumerate(cols):
-        s = F.sqrt(var.select(f"v{i}").scalar())
-        changes[c] = F.when(s == 0, F.lit(0.0)).otherwise((F.col(c).cast("double") - ms[i]) / s)
+        v = var[f"v{i}"]
+        s = None if v is None else float(v) ** 0.5
+        if s is None:
+            changes[c] = F.lit(None).cast("double")
+        elif s == 0:
+            changes[c] = F.when(xs[i].isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+        else:
+            changes[c] = (xs[i] - ms[i]) / F.lit(s)
     return df.withColumns(changes)
 
 
@@ -89,23 +95,26 @@ def impute_columns(df: DataFrame, columns: Sequence[str], strategy: str = "mean"
     """Fill nulls per column with its mean or most frequent value, as plain
     DataFrame expressions (cast to double, like MLlib's ``Imputer``).
 
-    mean: fixed-point mean (partition-independent); mode: a grouped count
-    per column then the top value (ties: the smaller value), each a scalar
-    subquery.
+    Fitting is one job returning one value per column: fixed-point means, or
+    for ``mode`` a grouped count of (column, value) pairs (map-side combined)
+    and the top value per column (ties: the smaller value).
     """
-    changes = {}
-    for c in columns:
-        x = F.col(c).cast("double")
-        if strategy == "mean":
-            fill = df.select(exact_mean(x, digits)).scalar()
-        elif strategy == "mode":
-            fill = (df.select(x.alias("v")).filter(F.col("v").isNotNull())
-                      .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-                      .orderBy(F.col("n").desc(), F.col("v")).limit(1).select("v").scalar())
-        else:
-            raise ValueError(f"unknown strategy {strategy!r}")
-        changes[c] = F.coalesce(x, fill)
-    return df.withColumns(changes)
+    cols = list(columns)
+    if strategy == "mean":
+        row = df.agg(*[exact_mean(F.col(c).cast("double"), digits).alias(f"f{i}")
+                       for i, c in enumerate(cols)]).first()
+        fills = {c: row[f"f{i}"] for i, c in enumerate(cols)}
+    elif strategy == "mode":
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+            [], cols, "column_name", "v").filter(F.col("v").isNotNull())
+        counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("v"))
+        top = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") == 1)
+        fills = {r["column_name"]: r["v"] for r in top.select("column_name", "v").collect()}
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"),
+                                         F.lit(fills.get(c)).cast("double")) for c in cols})
 
 
 def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrix.functions.fixedpoint import exact_mean, exact_variance
+from attrix.functions.fixedpoint import exact_mean, exact_variance, fixed_point
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -40,15 +40,16 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None,
 
     Booleans and strings are left out, as ``summary()`` leaves them out of
     the numeric statistics; values are doubles instead of strings. Two
-    passes: the means (one aggregate, used as scalar subqueries), then
-    counts, centred variances, extremes and quartiles in one aggregate.
+    passes: one job for the means (one row comes back), then counts,
+    centred variances, extremes and quartiles in one aggregate.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    means = df.agg(*[exact_mean(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)])
+    means = df.agg(*[exact_mean(F.col(c).cast("double")).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        m = means.select(f"m{i}").scalar()
+        m = F.lit(means[f"m{i}"]).cast("double")
         aggs += [
             F.count(x).cast("double").alias(f"s{i}_count"),
             F.max(m).alias(f"s{i}_mean"),
@@ -71,43 +72,55 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def data_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                 exact_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
+                 exact_distinct: bool = False, rsd: float = 0.05) -> DataFrame:
     """Per column: type, rows, nulls, distinct values, min, max, mean.
 
     Numeric and boolean columns (booleans as 0/1) get min/max/mean; strings
-    get null there. Distinct counts are HyperLogLog++ estimates by default
-    (constant memory per column); ``exact_distinct`` counts exactly, which
-    costs one more shuffle of each column's distinct values.
+    get null there. The table is first turned into long form
+    (column_name, text, number) and grouped by column, so the aggregate stays
+    small however many columns there are.
+
+    Distinct counts: HyperLogLog++ estimates by default (fixed memory per
+    column, one shuffle of per-partition sketches); ``exact_distinct`` groups
+    by (column, value) first, with map-side combining, and counts the groups.
     """
     cols = list(columns) if columns is not None else df.columns
     types = dict(df.dtypes)
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, c in enumerate(cols):
-        col = F.col(c)
-        aggs.append(F.count(col).alias(f"p{i}_nn"))
-        if exact_distinct:
-            aggs.append(F.count_distinct(col).alias(f"p{i}_nd"))
-        else:
-            aggs.append(F.approx_count_distinct(col, rsd).alias(f"p{i}_nd"))
-        numeric = types[c] in ("boolean",) or types[c] in (
-            "tinyint", "smallint", "int", "bigint", "float", "double") or types[c].startswith("decimal")
-        if numeric:
-            x = col.cast("int").cast("double") if types[c] == "boolean" else col.cast("double")
-            aggs += [F.min(x).alias(f"p{i}_min"), F.max(x).alias(f"p{i}_max"),
-                     exact_mean(x).alias(f"p{i}_mean")]
-        else:
-            none = F.lit(None).cast("double")
-            aggs += [F.max(none).alias(f"p{i}_min"), F.max(none).alias(f"p{i}_max"),
-                     F.max(none).alias(f"p{i}_mean")]
-    one = df.agg(*aggs)
-    rows = [F.struct(
-        F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-        F.col("n_rows").alias("n_rows"),
-        (F.col("n_rows") - F.col(f"p{i}_nn")).alias("n_nulls"),
-        F.col(f"p{i}_nd").cast("bigint").alias("n_distinct"),
-        F.col(f"p{i}_min").alias("min_value"), F.col(f"p{i}_max").alias("max_value"),
-        F.col(f"p{i}_mean").alias("mean_value")) for i, c in enumerate(cols)]
-    return _long(rows, one)
+
+    def number(c):
+        t = types[c]
+        if t == "boolean":
+            return F.col(c).cast("int").cast("double")
+        if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
+            return F.col(c).cast("double")
+        return F.lit(None).cast("double")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
+                               F.col(c).cast("string").alias("text"), number(c).alias("num"))
+                      for c in cols])
+    long = df.select(F.explode(cells).alias("cell")).select("cell.*")
+    if exact_distinct:
+        per_value = long.groupBy("column_name", "data_type", "text").agg(
+            F.count(F.lit(1)).alias("cnt"), F.min("num").alias("num"),
+            F.sum(fixed_point(F.col("num"))).alias("fp"))
+        out = per_value.groupBy("column_name", "data_type").agg(
+            F.sum("cnt").alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("cnt"))), F.lit(0)).alias("n_nulls"),
+            F.count("text").alias("n_distinct"),
+            F.min("num").alias("min_value"), F.max("num").alias("max_value"),
+            (F.sum("fp").cast("double") / F.sum(F.when(F.col("num").isNotNull(), F.col("cnt")))
+             / F.lit(1e6)).alias("mean_value"))
+    else:
+        out = long.groupBy("column_name", "data_type").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(F.when(F.col("text").isNull(), F.lit(1))).alias("n_nulls"),
+            F.approx_count_distinct("text", rsd).alias("n_distinct"),
+            F.min("num").alias("min_value"), F.max("num").alias("max_value"),
+            exact_mean("num").alias("mean_value"))
+    return out.select("column_name", "data_type", F.col("n_rows").cast("bigint").alias("n_rows"),
+                      F.col("n_nulls").cast("bigint").alias("n_nulls"),
+                      F.col("n_distinct").cast("bigint").alias("n_distinct"),
+                      "min_value", "max_value", "mean_value")
 
 
 def _melt(df: DataFrame, columns: Iterable[str], value_type: str = "string") -> DataFrame:

@@ -190,7 +190,7 @@ def _std_sql(c: str) -> str:
     x = f"CAST({c} AS DOUBLE)"
     m = f"(SELECT {exact_mean_sql(x, 9)} FROM demographic_service)"
     s = f"(SELECT sqrt({exact_variance_sql(x, m)}) FROM demographic_service)"
-    return f"CASE WHEN {s} = 0 THEN 0e0 ELSE ({x} - {m}) / {s} END AS {c}"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {s} = 0 THEN 0e0 ELSE ({x} - {m}) / {s} END AS {c}"
 
 
 @register("standardise", with_features(
