@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
@@ -73,7 +74,15 @@ def baseline_classifiers(label: str = "Churn", seed: int = MODEL_SEED) -> dict:
 
 
 def fit(pipeline: Pipeline, train: DataFrame, label: str = "Churn") -> PipelineModel:
-    return pipeline.fit(train.withColumn(label, F.col(label).cast("double")))
+    """Fit with the input persisted: the feature stages each take a pass
+    over it (modes, means, vocabularies, moments) before the trees start, so
+    without this a lazily derived input is recomputed once per stage."""
+    data = train.withColumn(label, F.col(label).cast("double")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from attrix.operators.tuning import LogUniform, QUniform, compare_baselines, pro
 from attrix.plans.catalog import register
 from attrix.plans.frames import KEY, LABEL, frames
 from attrix.plans.lifecycle import FEATURES, explanation_split, search_and_fit
-from attrix.session import scratch_path
+from attrix.session import cut_lineage, scratch_path
 from attrix.sources import artifacts
 
 # Small ranges for registered runs (the full reference ranges are the
@@ -34,7 +34,10 @@ SPLIT_SEED = 810302555
 
 
 def _ts(spark, sf_dir) -> DataFrame:
-    return frames(spark, sf_dir).training_set(label=LABEL)
+    """The training set, checkpointed to the shared checkpoint folder: model
+    work makes many passes, and a lost executor then re-reads files instead
+    of recomputing the derivation."""
+    return cut_lineage(frames(spark, sf_dir).training_set(label=LABEL))
 
 
 def _split(spark, sf_dir):

@@ -11,6 +11,8 @@ input files before the job has read them, so such writes are refused here;
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 FORMAT = "parquet"
@@ -43,12 +45,17 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def _norm(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
 def _guard_self_overwrite(df: DataFrame, spark: SparkSession, name: str) -> None:
     loc = table_location(spark, name) if table_exists(spark, name) else None
     if not loc:
         return
-    loc = loc.rstrip("/")
+    loc = _norm(loc)
     for f in df.inputFiles():
+        f = _norm(f)
         if f.startswith(loc + "/") or f == loc:
             raise ValueError(f"refusing to overwrite {name}: the written plan reads it")
 
