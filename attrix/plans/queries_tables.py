@@ -132,3 +132,21 @@ def q_features_merge_partial(spark, sf_dir):
     FT.write_features(spark, name, sf.filter(F.col("PaymentMethod") != "AUTOMOBILE"), "merge")
     FT.write_features(spark, name, _updates(sf).select(KEY, "MonthlyCharges"), "merge")
     return FT.read_features(spark, name)
+
+
+@register("stream_usage_features",
+          "SELECT user_id AS customerID, count(*) AS n_events, "
+          "CAST(sum(CAST(round(value * 100e0) AS BIGINT)) AS BIGINT) AS cents, "
+          "max(value) AS max_value FROM events GROUP BY user_id")
+def q_stream_usage_features(spark, sf_dir):
+    """Events read as a file stream -> stateful per-user aggregation ->
+    micro-batch merges into a keyed feature table -> read back."""
+    from attrix.streaming import read_event_stream, upsert_stream, usage_features
+
+    name = _name("usage_features")
+    q = upsert_stream(usage_features(read_event_stream(spark, sf_dir, "events.parquet")),
+                      name, KEY)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return FT.read_features(spark, name)
