@@ -150,3 +150,14 @@ def q_stream_usage_features(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return FT.read_features(spark, name)
+
+
+@register("lifecycle_tables", with_features(
+    "SELECT * EXCLUDE (customerID) FROM demographic_service"))
+def q_lifecycle_tables(spark, sf_dir):
+    """The reference's setup flow: database -> demographic table -> keyed
+    feature table (created, merged) -> joined table written -> read back."""
+    from attrix.plans.lifecycle import setup_tables
+
+    names = setup_tables(spark, sf_dir, _name("churndb"))
+    return spark.read.table(names.demographic_service)
