@@ -9,8 +9,10 @@ For each explained row x and sample s = 0..S-1:
   * p+1 hybrid rows are made: at step k the first k features of pi_s come
     from x, the rest from b_s (``explode(sequence(0, p))``);
   * all hybrid rows are scored by the pipeline in one ``transform``;
-  * step k adds feature pi_s[k-1], credited f(step k) - f(step k-1)
-    (``lag`` over the p+1 steps of one (row, sample)).
+  * step k adds feature pi_s[k-1], credited f(step k) - f(step k-1): each
+    scored row gives +f to the feature it brings in and -f to the next one,
+    so the credits are a grouped sum by (row, feature), map-side combined
+    (no window and no sort over the hybrid rows).
 phi_j(x) is the mean credit of feature j over the S samples. Per sample the
 credits add up to f(x) - f(b_s), so sum_j phi_j = f(x) - mean_s f(b_s)
 exactly. Cost is rows x S x (p+1) model evaluations: S is the evaluation
@@ -91,21 +93,35 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     for j, f in enumerate(feats):
         pos = F.array_position(F.col("__perm"), F.lit(j)) - 1
         hybrid[f] = F.when(pos < F.col("__k"), F.col(f"__x{j}")).otherwise(F.col(f"__bg{j}"))
-    rows = ex.select(F.col(key), "__s", "__k", "__perm", *[v.alias(f) for f, v in hybrid.items()])
+    rows = ex.select(F.col(key), "__k", "__perm", *[v.alias(f) for f, v in hybrid.items()])
     scored = model.transform(rows).select(
-        key, "__s", "__k", "__perm", positive_probability("probability").alias("__f"))
-    w = Window.partitionBy(key, "__s").orderBy("__k")
-    steps = (scored.withColumn("__delta", F.col("__f") - F.lag("__f").over(w))
-                   .filter(F.col("__k") > 0)
-                   .withColumn("__j", F.element_at(F.col("__perm"), F.col("__k").cast("int"))))
-    names = F.array(*[F.lit(f) for f in feats])
-    phi = (steps.groupBy(key, "__j").agg(F.avg("__delta").alias("phi"))
-                .select(key, F.element_at(names, F.col("__j") + 1).alias("feature"), "phi"))
+        key, "__k", "__perm", positive_probability("probability").alias("__f"))
+    # Step k adds feature perm[k-1]: its credit is f(k) - f(k-1). So each
+    # scored row gives +f to perm[k-1] (k >= 1) and -f to perm[k] (k < p);
+    # phi is then a plain grouped sum (map-side combined), with no window
+    # and no sort over the hybrid rows. Steps 0 and p also feed the base
+    # value and the prediction, under reserved names.
+    k = F.col("__k")
+    f = F.col("__f")
+    names = F.array(*[F.lit(n) for n in feats])
+
+    def name_at(pos):
+        return F.element_at(names, F.element_at(F.col("__perm"), pos) + 1)
+
+    credits = F.array(
+        F.when(k >= 1, F.struct(name_at(k.cast("int")).alias("feature"), f.alias("v"))),
+        F.when(k < p, F.struct(name_at((k + 1).cast("int")).alias("feature"), (-f).alias("v"))),
+        F.when(k == 0, F.struct(F.lit("__base").alias("feature"), f.alias("v"))),
+        F.when(k == p, F.struct(F.lit("__pred").alias("feature"), f.alias("v"))))
+    sums = (scored.select(key, F.explode(F.filter(credits, lambda c: c.isNotNull())).alias("c"))
+                  .groupBy(key, F.col("c.feature").alias("feature"))
+                  .agg((F.sum("c.v") / F.lit(float(S))).alias("phi")))
+    phi = sums.filter(~F.col("feature").isin("__base", "__pred"))
     if not with_scores:
         return phi
-    ends = scored.filter((F.col("__k") == 0) | (F.col("__k") == p)).groupBy(key).agg(
-        F.avg(F.when(F.col("__k") == 0, F.col("__f"))).alias("base_value"),
-        F.avg(F.when(F.col("__k") == p, F.col("__f"))).alias("prediction"))
+    ends = sums.filter(F.col("feature").isin("__base", "__pred")).groupBy(key).agg(
+        F.max(F.when(F.col("feature") == "__base", F.col("phi"))).alias("base_value"),
+        F.max(F.when(F.col("feature") == "__pred", F.col("phi"))).alias("prediction"))
     return phi.join(ends, key)
 
 
