@@ -165,7 +165,12 @@ def explanation_clusters(phi: DataFrame, key: str, features: Sequence[str], prof
                          k: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Customers grouped by their explanations: attributions -> PCA(2) ->
     k-means. Returns (assignments, per-cluster profile means)."""
-    wide = wide_attributions(phi, key, features).na.fill(0.0)
+    # The pivoted attributions feed PCA, k-means and the profile join; they
+    # are written once to the checkpoint folder instead of re-running the
+    # Shapley job for each pass.
+    from attrix.session import cut_lineage
+
+    wide = cut_lineage(wide_attributions(phi, key, features).na.fill(0.0))
     vec = VectorAssembler(inputCols=list(features), outputCol="__v").transform(wide)
     pca = PCA(k=2, inputCol="__v", outputCol="__pc").fit(vec)
     emb = pca.transform(vec)

@@ -161,3 +161,22 @@ def q_lifecycle_tables(spark, sf_dir):
 
     names = setup_tables(spark, sf_dir, _name("churndb"))
     return spark.read.table(names.demographic_service)
+
+
+@register("score_batch_lookup", with_features(
+    "SELECT d.* EXCLUDE (Churn), s.* EXCLUDE (customerID) FROM demographic d "
+    "LEFT JOIN service_features s ON d.customerID = s.customerID"))
+def q_score_batch_lookup(spark, sf_dir):
+    """Join half of scoring by key: caller passes keys + base columns, the
+    lookups recorded with the model bring in the features."""
+    from attrix.operators.lookup import FeatureLookup, create_training_set
+    from attrix.sources.artifacts import lookup_for_scoring, model_meta
+
+    f = frames(spark, sf_dir)
+    ts = create_training_set(f.demographic, [FeatureLookup(table="service_features",
+                                                           lookup_key=KEY)],
+                             label="Churn", exclude_columns=KEY)
+    ts.lookups[0] = FeatureLookup(table="service_features", lookup_key=KEY, df=f.service_features)
+    meta = model_meta(ts, ts.load_df(keep_keys=True), KEY)
+    return lookup_for_scoring(meta, f.demographic.drop("Churn"),
+                              {"service_features": f.service_features})

@@ -52,20 +52,27 @@ def check_signature(df: DataFrame, sig_json: str) -> None:
         raise ValueError("input does not match the model signature: " + "; ".join(problems))
 
 
-def log_model(model: PipelineModel, path: str, training_set: TrainingSet, training_df: DataFrame,
-              key: str | Sequence[str], metrics: Mapping[str, float] | None = None) -> str:
-    """Save model + lookup metadata + signature + input example under ``path``."""
-    spark = training_df.sparkSession
+def model_meta(training_set: TrainingSet, training_df: DataFrame, key: str | Sequence[str],
+               metrics: Mapping[str, float] | None = None) -> dict:
     keys = [key] if isinstance(key, str) else list(key)
     label = training_set.label
-    model.write().overwrite().save(f"{path}/model")
-    meta = {
+    return {
         "training_set": training_set.spec(),
         "key": keys,
         "label": label,
         "signature": signature(training_df, [*keys, *([label] if label else [])]),
         "metrics": dict(metrics or {}),
     }
+
+
+def log_model(model: PipelineModel, path: str, training_set: TrainingSet, training_df: DataFrame,
+              key: str | Sequence[str], metrics: Mapping[str, float] | None = None) -> str:
+    """Save model + lookup metadata + signature + input example under ``path``."""
+    spark = training_df.sparkSession
+    keys = [key] if isinstance(key, str) else list(key)
+    label = training_set.label
+    model.write().overwrite().save(f"{path}/model")
+    meta = model_meta(training_set, training_df, keys, metrics)
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
     ex = training_df.drop(label) if label else training_df
@@ -82,14 +89,10 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{path}/model"), load_meta(spark, path)
 
 
-def score_batch(spark: SparkSession, path: str, base: DataFrame,
-                feature_tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Score rows given by key: the saved lookups are joined in first.
-
-    ``feature_tables`` maps a lookup's table name to a DataFrame, for lookups
-    whose table is not in the catalog (tests, derived frames).
-    """
-    model, meta = load_model(spark, path)
+def lookup_for_scoring(meta: Mapping, base: DataFrame,
+                       feature_tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The join half of scoring: the saved lookups applied to ``base`` (keys
+    kept), checked against the saved signature."""
     lookups = []
     for lk in meta["training_set"]["lookups"]:
         df = (feature_tables or {}).get(lk["table"])
@@ -99,6 +102,18 @@ def score_batch(spark: SparkSession, path: str, base: DataFrame,
                              exclude_columns=meta["training_set"]["exclude_columns"])
     rows = ts.load_df(keep_keys=True)
     check_signature(rows, meta["signature"])
+    return rows
+
+
+def score_batch(spark: SparkSession, path: str, base: DataFrame,
+                feature_tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Score rows given by key: the saved lookups are joined in first.
+
+    ``feature_tables`` maps a lookup's table name to a DataFrame, for lookups
+    whose table is not in the catalog (tests, derived frames).
+    """
+    model, meta = load_model(spark, path)
+    rows = lookup_for_scoring(meta, base, feature_tables)
     return score(model, rows, keep=[c for c in meta["key"]] + [
         c for c in base.columns if c not in meta["key"]]).withColumn(
             "model_path", F.lit(path))
