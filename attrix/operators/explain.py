@@ -116,13 +116,15 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     sums = (scored.select(key, F.explode(F.filter(credits, lambda c: c.isNotNull())).alias("c"))
                   .groupBy(key, F.col("c.feature").alias("feature"))
                   .agg((F.sum("c.v") / F.lit(float(S))).alias("phi")))
-    phi = sums.filter(~F.col("feature").isin("__base", "__pred"))
     if not with_scores:
-        return phi
-    ends = sums.filter(F.col("feature").isin("__base", "__pred")).groupBy(key).agg(
-        F.max(F.when(F.col("feature") == "__base", F.col("phi"))).alias("base_value"),
-        F.max(F.when(F.col("feature") == "__pred", F.col("phi"))).alias("prediction"))
-    return phi.join(ends, key)
+        return sums.filter(~F.col("feature").isin("__base", "__pred"))
+    # Base value and prediction ride along via a window over the (small)
+    # aggregated sums, so the scoring is not run a second time for a join.
+    per_row = Window.partitionBy(key)
+    return (sums.withColumns({
+                "base_value": F.max(F.when(F.col("feature") == "__base", F.col("phi"))).over(per_row),
+                "prediction": F.max(F.when(F.col("feature") == "__pred", F.col("phi"))).over(per_row)})
+                .filter(~F.col("feature").isin("__base", "__pred")))
 
 
 def global_importance(phi: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train_fraction: float, seed: int,
-                     split_col: str = "split") -> DataFrame:
+                     split_col: str = "split",
+                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``split`` = 'train' / 'validation', stratified by ``label``."""
     shift = 32 - BUCKET_BITS
     tagged = (df.withColumn("__h", seeded_hash32(key, seed))
@@ -58,7 +59,7 @@ def stratified_split(df: DataFrame, key: str, label: str, train_fraction: float,
     cum = cum.persist(StorageLevel.MEMORY_AND_DISK)
     # Size check before broadcasting: the table is bounded by
     # n_labels * 2**BUCKET_BITS rows; refuse to broadcast beyond the cap.
-    small = cum.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    small = cum.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
     side = F.broadcast(cum) if small else cum
     j = tagged.join(side, on=[label, "__b"], how="inner")
     lo = F.col("__before")

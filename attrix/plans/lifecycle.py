@@ -37,7 +37,7 @@ from attrix.operators.tuning import (
     random_search,
 )
 from attrix.plans.frames import KEY, LABEL, frames
-from attrix.session import scratch_path
+from attrix.session import cut_lineage, scratch_path
 from attrix.sources import artifacts, features as FT, tables
 
 FEATURES = BOOLEAN_FEATURES + NUMERIC_FEATURES + CATEGORICAL_FEATURES
@@ -120,9 +120,15 @@ def gate(spark: SparkSession, artifact_path: str, threshold: float = ACCURACY_GA
 
 
 def explanation_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """5 % hashed sample, then 25 % of it (stratified) as background."""
+    """5 % hashed sample, then 25 % of it (stratified) as background.
+
+    The split sample is checkpointed (shared checkpoint folder): it is read
+    by several joins of the Shapley job, and a short lineage keeps both
+    planning and recovery cheap.
+    """
     sample = sampling.hash_sample(df, KEY, EXPLAIN_SAMPLE_FRACTION, SAMPLE_SEED)
-    split = sampling.stratified_split(sample, KEY, LABEL, BACKGROUND_FRACTION, SAMPLE_SEED)
+    split = cut_lineage(
+        sampling.stratified_split(sample, KEY, LABEL, BACKGROUND_FRACTION, SAMPLE_SEED))
     background = split.filter(F.col("split") == "train").drop("split")
     example = split.filter(F.col("split") == "validation").drop("split")
     return background, example

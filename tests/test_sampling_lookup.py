@@ -32,6 +32,15 @@ def test_stratified_split_equals_brute_force(ts, frac, seed):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_split_without_broadcast_is_the_same(ts):
+    a = sampling.stratified_split(ts, "customerID", "Churn", 0.9, 3).select("customerID", "split")
+    b = sampling.stratified_split(ts, "customerID", "Churn", 0.9, 3, max_broadcast_rows=1)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [Churn" not in plan
+    b = b.select("customerID", "split")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_split_sizes_and_disjoint(ts):
     tr, va = sampling.split_frames(ts, "customerID", "Churn", 0.9, 1)
     assert tr.join(va, "customerID").count() == 0
