@@ -134,3 +134,24 @@ def test_search_space_and_gate(spark):
     assert best_trial(t).first().trial_id == 1
     g = {r.model: r.passed for r in promotion_gate(t.withColumn("model", F.col("trial_id").cast("string"))).collect()}
     assert g == {"0": True, "1": False, "2": True}
+
+
+def test_lifecycle_search_refit_save_gate(spark, planted):
+    from attrix.operators.lookup import FeatureLookup, create_training_set
+    from attrix.operators.tuning import LogUniform, QUniform
+    from attrix.plans.lifecycle import gate, search_and_fit
+
+    space = {"max_depth": QUniform(2, 3, 1), "learning_rate": LogUniform(-2, -1),
+             "min_child_weight": LogUniform(0, 1), "n_estimators": QUniform(3, 6, 3)}
+    base = planted.select("customerID", "Churn")
+    ts = create_training_set(base, FeatureLookup(table="feats", lookup_key="customerID",
+                                                 df=planted.drop("Churn")),
+                             label="Churn", exclude_columns="customerID")
+    path = scratch_path(spark, "lifecycle")
+    res = search_and_fit(planted, space, max_evals=3, parallelism=3, artifact_path=path,
+                         training_set_spec=ts)
+    assert res.trials.count() == 3
+    assert set(res.params) == {"max_depth", "learning_rate", "min_child_weight", "n_estimators"}
+    g = gate(spark, path).first()
+    assert g.metric == "accuracy" and g.threshold == 0.8
+    assert g.passed == (res.train_metrics["training_accuracy_score"] >= 0.8)

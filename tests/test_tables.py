@@ -116,3 +116,15 @@ def test_feature_type_mismatch_refused(spark):
     with pytest.raises(FT.FeatureTableError):
         FT.write_features(spark, name, bad)
     assert F is not None
+
+
+def test_csv_inference_types_blank_total_as_string(spark):
+    path = scratch_path(spark, "csv_infer")
+    rows = [("a1", 0, 1, 29.85, "29.85"), ("a2", 1, 0, 20.0, " ")]
+    df = spark.createDataFrame(rows, "customerID string, SeniorCitizen int, tenure int, "
+                                     "MonthlyCharges double, TotalCharges string")
+    (df.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).csv(path))
+    inferred = dict(CSV.read_csv(spark, path, infer=True).dtypes)
+    assert inferred["SeniorCitizen"] == "int" and inferred["MonthlyCharges"] == "double"
+    assert inferred["TotalCharges"] == "string"
