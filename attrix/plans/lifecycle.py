@@ -58,7 +58,12 @@ class Tables:
     demographic_service: str
 
 
-def setup_tables(spark: SparkSession, sf_dir: str, db: str, location: str | None = None) -> Tables:
+def setup_tables(spark: SparkSession, sf_dir: str, db: str, location: str | None = None,
+                 buckets: int | None = None) -> Tables:
+    """Write the demographic table, the keyed service-feature table and the
+    joined table. With ``buckets``, the demographic and feature tables are
+    bucketed alike on the key, so the lookup join reads both sides without
+    a shuffle."""
     root = location or scratch_path(spark, f"db_{db}")
     tables.create_database(spark, db, root)
     names = Tables(db, f"{db}.demographic", f"{db}.service_features", f"{db}.demographic_service")
@@ -66,12 +71,13 @@ def setup_tables(spark: SparkSession, sf_dir: str, db: str, location: str | None
         tables.drop_table(spark, t)
     f = frames(spark, sf_dir)
     tables.write_table(f.demographic, names.demographic, mode="overwrite",
-                       path=f"{root}/demographic")
+                       path=f"{root}/demographic",
+                       bucket_by=(buckets, [KEY]) if buckets else None)
     if not spark.catalog.tableExists(names.service_features):
         FT.create_feature_table(spark, names.service_features, KEY,
                                 schema=f.service_features.schema,
                                 description="Telco customer services",
-                                path=f"{root}/service_features")
+                                path=f"{root}/service_features", buckets=buckets)
     FT.write_features(spark, names.service_features, f.service_features, mode="merge")
     ts = training_set(spark, names, label=None)
     tables.write_table(ts.load_df(), names.demographic_service, mode="overwrite",

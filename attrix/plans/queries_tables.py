@@ -156,10 +156,13 @@ def q_stream_usage_features(spark, sf_dir):
     "SELECT * EXCLUDE (customerID) FROM demographic_service"))
 def q_lifecycle_tables(spark, sf_dir):
     """The reference's setup flow: database -> demographic table -> keyed
-    feature table (created, merged) -> joined table written -> read back."""
+    feature table (created, merged) -> joined table written -> read back.
+    Both keyed tables are bucketed alike on the key (as many buckets as
+    shuffle partitions), so the lookup join runs without a shuffle."""
     from attrix.plans.lifecycle import setup_tables
 
-    names = setup_tables(spark, sf_dir, _name("churndb"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = setup_tables(spark, sf_dir, _name("churndb"), buckets=buckets)
     return spark.read.table(names.demographic_service)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrix.session import scratch_path
-from attrix.sources.tables import table_exists
+from attrix.sources.tables import bucket_spec, table_exists
 
 PROP_KEYS = "attrix.primary_keys"
 PROP_ROOT = "attrix.root"
@@ -68,11 +68,14 @@ def primary_keys(spark: SparkSession, name: str) -> list[str]:
 
 def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Iterable[str],
                          schema: T.StructType | None = None, df: DataFrame | None = None,
-                         description: str = "", path: str | None = None) -> str:
+                         description: str = "", path: str | None = None,
+                         buckets: int | None = None) -> str:
     """Register an empty feature table with a key and a schema.
 
     Refuses when the table exists: a feature table is not silently
-    re-created. With ``df`` the rows are merged in right away.
+    re-created. With ``df`` the rows are merged in right away. ``buckets``
+    hash-buckets every version by the key, so lookups against a base table
+    bucketed the same way need no shuffle.
     """
     keys = [primary_keys] if isinstance(primary_keys, str) else list(primary_keys)
     if table_exists(spark, name):
@@ -84,8 +87,15 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Ite
     root = path or scratch_path(spark, f"features/{name.replace('.', '_')}")
     first = f"{root}/v00000"
     spark.createDataFrame([], schema).write.mode("errorifexists").parquet(first)
-    spark.catalog.createTable(name, path=first, source="parquet", schema=schema,
-                              description=description or None)
+    if buckets:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        key_list = ", ".join(f"`{k}`" for k in keys)
+        comment = f" COMMENT '{description}'" if description else ""
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key_list}) "
+                  f"SORTED BY ({key_list}) INTO {int(buckets)} BUCKETS LOCATION '{first}'{comment}")
+    else:
+        spark.catalog.createTable(name, path=first, source="parquet", schema=schema,
+                                  description=description or None)
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ("
               f"'{PROP_KEYS}'='{','.join(keys)}', '{PROP_ROOT}'='{root}', '{PROP_VERSION}'='0')")
     if df is not None:
@@ -140,7 +150,16 @@ def write_features(spark: SparkSession, name: str, df: DataFrame, mode: str = "m
     else:
         rows = merge_rows(current, df, keys)
     target = f"{root}/v{version:05d}"
-    rows.write.mode("errorifexists").parquet(target)
+    spec = bucket_spec(spark, name)
+    if spec:
+        # Bucketed files are written through a temporary external table
+        # (its entry is dropped; the files stay and become the new version).
+        tmp = f"{name}__v{version:05d}"
+        (rows.write.format("parquet").mode("errorifexists").bucketBy(spec[0], *spec[1])
+             .sortBy(*spec[1]).option("path", target).saveAsTable(tmp))
+        spark.sql(f"DROP TABLE {tmp}")
+    else:
+        rows.write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PROP_VERSION}'='{version}')")
     spark.catalog.refreshTable(name)

@@ -61,10 +61,14 @@ def _guard_self_overwrite(df: DataFrame, spark: SparkSession, name: str) -> None
 
 
 def write_table(df: DataFrame, name: str, mode: str = "errorifexists",
-                path: str | None = None, partition_by: list[str] | None = None) -> None:
+                path: str | None = None, partition_by: list[str] | None = None,
+                bucket_by: tuple[int, list[str]] | None = None) -> None:
     """Save ``df`` as a table (catalog name) or Parquet folder (path).
 
     ``path`` with a catalog name makes an external table at that location.
+    ``bucket_by=(n, keys)`` (catalog tables only) hash-buckets and sorts the
+    files by ``keys``: two tables bucketed alike on the join key are then
+    joined without a shuffle on either side.
     """
     spark = df.sparkSession
     if mode == "overwrite":
@@ -73,13 +77,28 @@ def write_table(df: DataFrame, name: str, mode: str = "errorifexists",
     if partition_by:
         w = w.partitionBy(*partition_by)
     if is_path(name):
+        if bucket_by:
+            raise ValueError("bucketing needs a catalog table name")
         w.save(name)
         return
+    if bucket_by:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
 
 
+def bucket_spec(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """(number of buckets, bucket columns) of a catalog table, if bucketed."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    info = {r["col_name"]: r["data_type"] for r in rows}
+    if "Num Buckets" not in info:
+        return None
+    cols = [c.strip().strip("`") for c in info["Bucket Columns"].strip("[]").split(",")]
+    return int(info["Num Buckets"]), cols
+
+
 # --- databases and catalog -------------------------------------------------
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:

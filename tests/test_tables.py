@@ -128,3 +128,28 @@ def test_csv_inference_types_blank_total_as_string(spark):
     inferred = dict(CSV.read_csv(spark, path, infer=True).dtypes)
     assert inferred["SeniorCitizen"] == "int" and inferred["MonthlyCharges"] == "double"
     assert inferred["TotalCharges"] == "string"
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from attrix.operators.lookup import FeatureLookup, create_training_set
+    from attrix.plans.lifecycle import setup_tables, training_set
+    from tests.conftest import SF_SMALL
+
+    db = _n("bucketdb")
+    names = setup_tables(spark, SF_SMALL, db, buckets=8)
+    assert TB.bucket_spec(spark, names.demographic) == (8, ["customerID"])
+    assert TB.bucket_spec(spark, names.service_features) == (8, ["customerID"])
+    # a second merge keeps the bucketing
+    sf = FT.read_features(spark, names.service_features)
+    FT.write_features(spark, names.service_features, sf.filter("tenure > 0"), "merge")
+    assert TB.bucket_spec(spark, names.service_features) == (8, ["customerID"])
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = training_set(spark, names).load_df()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert df.count() == spark.read.table(names.demographic).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert FeatureLookup is not None and create_training_set is not None
