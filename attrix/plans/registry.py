@@ -219,6 +219,16 @@ def q_feature_lookup_multi(spark, sf_dir):
     return ts.load_df()
 
 
+@register("feature_lookup_partial",
+          "SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def q_feature_lookup_partial(spark, sf_dir):
+    """A lookup whose feature table covers only part of the base keys:
+    documents get their quality/toxicity labels, unlabelled ones get nulls."""
+    ts = create_training_set(tbl(spark, sf_dir, "documents"),
+                             [FeatureLookup(lookup_key="doc_id", df=tbl(spark, sf_dir, "labels"))])
+    return ts.load_df()
+
+
 # --------------------------------------------------------------------------
 # Filters, profile figures
 
