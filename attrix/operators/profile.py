@@ -10,8 +10,10 @@ so they do not change with partitioning.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +23,11 @@ from attrix.functions.fixedpoint import exact_mean, exact_variance, fixed_point
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
 SUMMARY_STATISTICS = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
-# percentile_approx accuracy: relative rank error 1/accuracy, memory grows
-# with it; at 1e6 the answer is exact below about a million rows per column.
-PERCENTILE_ACCURACY = 1_000_000
+QUARTILES = [0.25, 0.5, 0.75]
+# Sketch accuracy for locating quantiles: rank error n/accuracy, sketch
+# memory ~accuracy entries per column per task. The exact answer is then
+# found among the rows of a band of about 4n/accuracy rows.
+PERCENTILE_ACCURACY = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -34,41 +38,94 @@ def _long(rows: list[Column], agg_row: DataFrame) -> DataFrame:
     return agg_row.select(F.inline(F.array(*rows)))
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES,
+                    accuracy: int = PERCENTILE_ACCURACY) -> dict[tuple[str, float], float | None]:
+    """Exact discrete quantiles: the value of rank ceil(p * n) among the
+    column's non-null values, for every (column, p).
+
+    1. one aggregate: n and sketch quantiles at p -/+ 2/accuracy per column
+       (a ``percentile_approx`` sketch of bounded size); the true value lies
+       between them;
+    2. one aggregate: how many values fall below each band;
+    3. only the rows inside a band (about 4n/accuracy of them) are ranked,
+       in a window per (column, p), and the row of the missing rank is taken.
+    Every collected result has one row per (column, p).
+    """
+    cols, ps = list(columns), list(probs)
+    eps = 2.0 / accuracy
+    edges = sorted({max(0.0, p - eps) for p in ps} | {min(1.0, p + eps) for p in ps})
+    long = _melt(df, cols, "double").filter(F.col("value").isNotNull())
+    first = {r["column_name"]: r for r in long.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", edges, accuracy).alias("q")).collect()}
+    bands = []
+    for c in cols:
+        r = first.get(c)
+        if r is None or r["n"] == 0:
+            continue
+        q = dict(zip(edges, r["q"]))
+        for i, p in enumerate(ps):
+            rank = max(1, math.ceil(p * r["n"]))
+            bands.append((c, i, float(q[max(0.0, p - eps)]), float(q[min(1.0, p + eps)]), rank))
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in ps}
+    if not bands:
+        return out
+    spark = df.sparkSession
+    band_df = F.broadcast(spark.createDataFrame(
+        bands, "column_name string, qi int, lo double, hi double, rank bigint"))
+    j = long.join(band_df, "column_name")
+    below = {(r["column_name"], r["qi"]): r["below"] for r in j.groupBy("column_name", "qi").agg(
+        F.count(F.when(F.col("value") < F.col("lo"), F.lit(1))).alias("below")).collect()}
+    w = Window.partitionBy("column_name", "qi").orderBy("value")
+    inside = j.filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    targets = spark.createDataFrame(
+        [(c, i, int(rank - below.get((c, i), 0))) for c, i, _, _, rank in bands],
+        "column_name string, qi int, t bigint")
+    picked = (inside.withColumn("rn", F.row_number().over(w))
+                    .join(F.broadcast(targets), ["column_name", "qi"])
+                    .filter(F.col("rn") == F.col("t")).select("column_name", "qi", "value"))
+    for r in picked.collect():
+        out[(r["column_name"], ps[r["qi"]])] = r["value"]
+    return out
+
+
 def summary_stats(df: DataFrame, columns: Sequence[str] | None = None,
                   accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
     """Long form of ``DataFrame.summary()``: (column_name, statistic, value).
 
     Booleans and strings are left out, as ``summary()`` leaves them out of
-    the numeric statistics; values are doubles instead of strings. Two
-    passes: one job for the means (one row comes back), then counts,
-    centred variances, extremes and quartiles in one aggregate.
+    the numeric statistics; values are doubles instead of strings. The
+    numeric projection is persisted while the statistics are fitted: one
+    job for the means, the exact quartiles (``exact_quantiles``), and one
+    aggregate for counts, centred variances and extremes. Each job returns
+    one row per column at most; the result (columns x 8 rows) is built from
+    them, and the cache is released.
     """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    means = df.agg(*[exact_mean(F.col(c).cast("double")).alias(f"m{i}")
-                     for i, c in enumerate(cols)]).first()
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        m = F.lit(means[f"m{i}"]).cast("double")
-        aggs += [
-            F.count(x).cast("double").alias(f"s{i}_count"),
-            F.max(m).alias(f"s{i}_mean"),
-            F.sqrt(exact_variance(x, m, population=False)).alias(f"s{i}_stddev"),
-            F.min(x).alias(f"s{i}_min"),
-            F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"s{i}_q"),
-            F.max(x).alias(f"s{i}_max"),
-        ]
-    one = df.agg(*aggs)
+    spark = df.sparkSession
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        means = data.agg(*[exact_mean(F.col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c)
+            m = F.lit(means[f"m{i}"]).cast("double")
+            aggs += [F.count(x).cast("double").alias(f"s{i}_count"),
+                     F.sqrt(exact_variance(x, m, population=False)).alias(f"s{i}_stddev"),
+                     F.min(x).alias(f"s{i}_min"), F.max(x).alias(f"s{i}_max")]
+        one = data.agg(*aggs).first()
+        quart = exact_quantiles(data, cols, QUARTILES, accuracy)
+    finally:
+        data.unpersist()
     rows = []
     for i, c in enumerate(cols):
-        vals = {"count": F.col(f"s{i}_count"), "mean": F.col(f"s{i}_mean"),
-                "stddev": F.col(f"s{i}_stddev"), "min": F.col(f"s{i}_min"),
-                "25%": F.col(f"s{i}_q")[0], "50%": F.col(f"s{i}_q")[1],
-                "75%": F.col(f"s{i}_q")[2], "max": F.col(f"s{i}_max")}
-        for s in SUMMARY_STATISTICS:
-            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("statistic"),
-                                 vals[s].cast("double").alias("value")))
-    return _long(rows, one)
+        vals = {"count": one[f"s{i}_count"], "mean": means[f"m{i}"],
+                "stddev": one[f"s{i}_stddev"], "min": one[f"s{i}_min"],
+                "25%": quart[(c, 0.25)], "50%": quart[(c, 0.5)], "75%": quart[(c, 0.75)],
+                "max": one[f"s{i}_max"]}
+        rows += [(c, st, None if vals[st] is None else float(vals[st])) for st in SUMMARY_STATISTICS]
+    return spark.createDataFrame(rows, "column_name string, statistic string, value double")
 
 
 def data_profile(df: DataFrame, columns: Sequence[str] | None = None,

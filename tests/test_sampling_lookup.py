@@ -79,3 +79,19 @@ def test_lookup_plan_has_no_cross_join(spark):
     f = frames(spark, SF_SMALL)
     plan = f.training_set()._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_exact_quantiles_small_accuracy(spark):
+    """With a coarse sketch the band is wide; the answer must stay exact."""
+    import numpy as np
+
+    from attrix.operators.profile import exact_quantiles
+
+    rng = np.random.default_rng(1)
+    vals = rng.integers(0, 50, 3000).astype(float).tolist() + [None] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_quantiles(df, ["x"], [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0], accuracy=100)
+    xs = sorted(v for v in vals if v is not None)
+    for p in [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]:
+        r = max(1, int(np.ceil(p * len(xs))))
+        assert got[("x", p)] == xs[r - 1]
