@@ -82,10 +82,11 @@ def q_summary_orders(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Data profile
 
-def _profile_sql() -> str:
+def _profile_sql(types: dict[str, str] = TRAINING_TYPES, table: str = "demographic_service",
+                 wrap=with_features) -> str:
     parts = []
-    for c, t in TRAINING_TYPES.items():
-        if t == "string":
+    for c, t in types.items():
+        if t not in ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double"):
             mn = mx = mean = "CAST(NULL AS DOUBLE)"
         else:
             x = f"CAST(CAST({c} AS INTEGER) AS DOUBLE)" if t == "boolean" else f"CAST({c} AS DOUBLE)"
@@ -93,8 +94,8 @@ def _profile_sql() -> str:
         parts.append(
             f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
             f"count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct, "
-            f"{mn} AS min_value, {mx} AS max_value, {mean} AS mean_value FROM demographic_service")
-    return with_features(_union(parts))
+            f"{mn} AS min_value, {mx} AS max_value, {mean} AS mean_value FROM {table}")
+    return wrap(_union(parts))
 
 
 @register("data_profile", _profile_sql())
@@ -111,10 +112,11 @@ def q_data_profile_approx(spark, sf_dir):
 HIST_COLUMNS = NUMERIC_FEATURES
 
 
-def _hist_sql(bins: int = 10) -> str:
+def _hist_sql(bins: int = 10, cols=HIST_COLUMNS, table: str = "demographic_service",
+              wrap=with_features) -> str:
     long = _union([f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value "
-                   f"FROM demographic_service" for c in HIST_COLUMNS])
-    return with_features(f"""SELECT column_name, bin, lo + bin * ((hi - lo) / {bins}e0) AS lower,
+                   f"FROM {table}" for c in cols])
+    return wrap(f"""SELECT column_name, bin, lo + bin * ((hi - lo) / {bins}e0) AS lower,
   lo + (bin + 1) * ((hi - lo) / {bins}e0) AS upper, count(*) AS n
 FROM (
   SELECT l.column_name, b.lo, b.hi,
@@ -305,3 +307,32 @@ def q_group_difference(spark, sf_dir):
 
 
 __all__ = ["scorecard", "fixed_trials", "exact_mean"]
+
+
+# Whole-table profiling of the largest input table.
+LINEITEM_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+    "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+    "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
+}
+LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+def _plain(sql: str) -> str:
+    return sql
+
+
+@register("lineitem_profile", _profile_sql(LINEITEM_TYPES, "lineitem", _plain))
+def q_lineitem_profile(spark, sf_dir):
+    return P.data_profile(tbl(spark, sf_dir, "lineitem"), list(LINEITEM_TYPES), exact_distinct=True)
+
+
+@register("lineitem_histogram", _hist_sql(10, LINEITEM_NUMERIC, "lineitem", _plain))
+def q_lineitem_histogram(spark, sf_dir):
+    return P.histogram(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC, bins=10)
+
+
+@register("lineitem_summary", "WITH li AS (SELECT * FROM lineitem)" + _summary_sql("li", LINEITEM_NUMERIC))
+def q_lineitem_summary(spark, sf_dir):
+    return P.summary_stats(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC)
