@@ -20,15 +20,44 @@ def fixed_point(c: str | Column, digits: int = 6) -> Column:
     return F.round(col * F.lit(float(10 ** digits))).cast("decimal(38,0)")
 
 
+LIMB_BITS = 21
+_MASK = (1 << LIMB_BITS) - 1
+
+
+def exact_integer_sum(v: Column) -> Column:
+    """Exact sum of a bigint column, as decimal(38,0), using long arithmetic.
+
+    Each value is split into three 21-bit limbs (low, middle: 0..2^21-1;
+    high: signed, arithmetic shift); each limb is summed as a bigint, which
+    cannot overflow below 2^42 rows per group, and the three sums are
+    recombined once per group in decimal. Summing decimal(38,0) directly
+    gives the same number but runs several times slower.
+    """
+    lo = F.sum(v.bitwiseAND(F.lit(_MASK)))
+    mid = F.sum(F.shiftright(v, LIMB_BITS).bitwiseAND(F.lit(_MASK)))
+    hi = F.sum(F.shiftright(v, 2 * LIMB_BITS))
+    d = "decimal(38,0)"
+    return (hi.cast(d) * F.lit(1 << (2 * LIMB_BITS)).cast(d)
+            + mid.cast(d) * F.lit(1 << LIMB_BITS).cast(d) + lo.cast(d))
+
+
+def _fixed_long(col: Column, digits: int) -> Column:
+    return F.round(col * F.lit(float(10 ** digits))).cast("bigint")
+
+
 def exact_sum(c: str | Column, digits: int = 6) -> Column:
     """Sum of ``c`` rounded per row to ``digits`` decimals, as a double."""
-    return F.sum(fixed_point(c, digits)).cast("double") / F.lit(float(10 ** digits))
+    col = F.col(c) if isinstance(c, str) else c
+    return exact_integer_sum(_fixed_long(col, digits)).cast("double") / F.lit(float(10 ** digits))
 
 
 def exact_mean(c: str | Column, digits: int = 6) -> Column:
-    """Mean of non-null ``c`` rounded per row to ``digits`` decimals."""
+    """Mean of non-null ``c`` rounded per row to ``digits`` decimals.
+
+    Per-row values must stay below 9.2e18 / 10**digits in magnitude.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return (F.sum(fixed_point(col, digits)).cast("double") / F.count(col)
+    return (exact_integer_sum(_fixed_long(col, digits)).cast("double") / F.count(col)
             / F.lit(float(10 ** digits)))
 
 

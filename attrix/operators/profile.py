@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrix.functions.fixedpoint import exact_mean, exact_variance, fixed_point
+from attrix.functions.fixedpoint import exact_integer_sum, exact_mean, exact_variance
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -159,7 +159,7 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None,
     if exact_distinct:
         per_value = long.groupBy("column_name", "data_type", "text").agg(
             F.count(F.lit(1)).alias("cnt"), F.min("num").alias("num"),
-            F.sum(fixed_point(F.col("num"))).alias("fp"))
+            exact_integer_sum(F.round(F.col("num") * F.lit(1e6)).cast("bigint")).alias("fp"))
         out = per_value.groupBy("column_name", "data_type").agg(
             F.sum("cnt").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("cnt"))), F.lit(0)).alias("n_nulls"),
