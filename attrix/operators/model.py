@@ -29,7 +29,6 @@ from attrix.operators.preprocess import (
     CATEGORICAL_FEATURES,
     NUMERIC_FEATURES,
     build_feature_pipeline,
-    drop_internal,
 )
 
 # Fixed value: the reference's model seed.
@@ -99,6 +98,3 @@ def evaluate(scored: DataFrame, label: str = "Churn") -> DataFrame:
                       log_loss(label, "p_churn").alias("log_loss"),
                       accuracy(label, "prediction").alias("accuracy"))
 
-
-def internal_free(df: DataFrame) -> DataFrame:
-    return drop_internal(df)

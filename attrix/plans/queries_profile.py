@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrix.functions.fixedpoint import exact_mean, exact_mean_sql, exact_variance_sql
+from attrix.functions.fixedpoint import exact_mean_sql, exact_variance_sql
 from attrix.functions.metrics import accuracy, log_loss
 from attrix.operators import explain as X
 from attrix.operators import profile as P
@@ -306,7 +306,7 @@ def q_group_difference(spark, sf_dir):
     return X.group_difference(long, KEY, groups, "is_male", exact_digits=9)
 
 
-__all__ = ["scorecard", "fixed_trials", "exact_mean"]
+__all__ = ["scorecard", "fixed_trials"]
 
 
 # Whole-table profiling of the largest input table.

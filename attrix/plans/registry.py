@@ -17,7 +17,7 @@ from attrix.operators import sampling
 from attrix.operators.lookup import FeatureLookup, create_training_set
 from attrix.operators.service import compute_service_features, select_except
 from attrix.plans.frames import KEY, LABEL, frames, tbl
-from attrix.plans.oracle import SERVICE_COLUMNS, with_features
+from attrix.plans.oracle import with_features
 from attrix.sources.features import key_violations
 
 from attrix.plans.catalog import QUERIES, SQL, register  # noqa: E402
@@ -313,4 +313,4 @@ def q_stratified_split_sizes(spark, sf_dir):
 # The other query groups register themselves on import.
 from attrix.plans import queries_model, queries_profile, queries_tables  # noqa: E402,F401
 
-__all__ = ["QUERIES", "SQL", "SERVICE_COLUMNS"]
+__all__ = ["QUERIES", "SQL", "churn_by_segment"]

@@ -4,7 +4,6 @@ service-feature steps, with hand-computed expectations."""
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from attrix.functions import columns as C
 from attrix.operators.service import compute_service_features
@@ -117,4 +116,3 @@ def test_demographic_projection(golden, spark):
     df = spark.createDataFrame([raw_row("x", 1, 1.0, "1", ["No"] * 6, "One year", "No")],
                                RAW_CUSTOMER_SCHEMA)
     assert demographic(standardise_customers(df)).columns == C.DEMOGRAPHIC_COLUMNS
-    assert F is not None
