@@ -86,7 +86,14 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Ite
         raise FeatureTableError(f"key columns {missing} not in schema")
     root = path or scratch_path(spark, f"features/{name.replace('.', '_')}")
     first = f"{root}/v00000"
-    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(first)
+    # The first version is an empty folder: the schema lives in the catalog,
+    # and no file means no file without a bucket id in a bucketed table.
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(first)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        raise FeatureTableError(f"{first} already exists")
+    fs.mkdirs(hpath)
     if buckets:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         key_list = ", ".join(f"`{k}`" for k in keys)

@@ -133,7 +133,12 @@ def test_bucketed_tables_join_without_shuffle(spark):
     from tests.conftest import SF_SMALL
 
     db = _n("bucketdb")
-    names = setup_tables(spark, SF_SMALL, db, buckets=8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:   # merges into the bucketed table then read it with a bucketed scan
+        names = setup_tables(spark, SF_SMALL, db, buckets=8)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert TB.bucket_spec(spark, names.demographic) == (8, ["customerID"])
     assert TB.bucket_spec(spark, names.service_features) == (8, ["customerID"])
     # a second merge keeps the bucketing
