@@ -46,9 +46,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     1. one aggregate: n and sketch quantiles at p -/+ 2/accuracy per column
        (a ``percentile_approx`` sketch of bounded size); the true value lies
        between them;
-    2. one aggregate: how many values fall below each band;
-    3. only the rows inside a band (about 4n/accuracy of them) are ranked,
-       in a window per (column, p), and the row of the missing rank is taken.
+    2. one job: the rows inside a band (about 4n/accuracy of them) are
+       ranked in a window per (column, p), and joined with the count of
+       values below the band (an aggregate of the same pass) to take the
+       row of rank ceil(p * n).
     Every collected result has one row per (column, p).
     """
     cols, ps = list(columns), list(probs)
@@ -74,16 +75,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     band_df = F.broadcast(spark.createDataFrame(
         bands, "column_name string, qi int, lo double, hi double, rank bigint"))
     j = long.join(band_df, "column_name")
-    below = {(r["column_name"], r["qi"]): r["below"] for r in j.groupBy("column_name", "qi").agg(
-        F.count(F.when(F.col("value") < F.col("lo"), F.lit(1))).alias("below")).collect()}
+    below = j.groupBy("column_name", "qi").agg(
+        F.count(F.when(F.col("value") < F.col("lo"), F.lit(1))).alias("below"),
+        F.first("rank").alias("rank"))
     w = Window.partitionBy("column_name", "qi").orderBy("value")
     inside = j.filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-    targets = spark.createDataFrame(
-        [(c, i, int(rank - below.get((c, i), 0))) for c, i, _, _, rank in bands],
-        "column_name string, qi int, t bigint")
-    picked = (inside.withColumn("rn", F.row_number().over(w))
-                    .join(F.broadcast(targets), ["column_name", "qi"])
-                    .filter(F.col("rn") == F.col("t")).select("column_name", "qi", "value"))
+    picked = (inside.withColumn("rn", F.row_number().over(w)).select("column_name", "qi", "value", "rn")
+                    .join(below, ["column_name", "qi"])
+                    .filter(F.col("rn") == F.col("rank") - F.col("below"))
+                    .select("column_name", "qi", "value"))
     for r in picked.collect():
         out[(r["column_name"], ps[r["qi"]])] = r["value"]
     return out
