@@ -16,6 +16,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -70,9 +71,11 @@ class TrainingSet:
     label: str | None
     exclude_columns: list[str]
 
-    def load_df(self, keep_keys: bool = False) -> DataFrame:
+    def load_df(self, keep_keys: bool = False, salted: bool = False) -> DataFrame:
         """The joined rows. ``keep_keys`` retains the lookup keys (needed to
-        split, sample and explain by key) even when they are excluded."""
+        split, sample and explain by key) even when they are excluded.
+        ``salted`` splits keys that hold a large share of the base rows
+        (``lookup_features_salted``)."""
         spark = self.base.sparkSession
         out = self.base
         taken = set(out.columns)
@@ -82,7 +85,10 @@ class TrainingSet:
             clash = sorted(taken.intersection(new))
             if clash:
                 raise ValueError(f"feature names already present in the training set: {clash}")
-            out = out.join(feats, on=lk.keys, how="left")
+            if salted:
+                out = lookup_features_salted(out, feats, lk.keys)
+            else:
+                out = out.join(feats, on=lk.keys, how="left")
             taken.update(new)
         drop = list(self.exclude_columns)
         if keep_keys:
@@ -113,3 +119,41 @@ def lookup_features(base: DataFrame, features: DataFrame, key: str | Sequence[st
 
 def lookup_many(base: DataFrame, tables: Iterable[tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
     return functools.reduce(lambda acc, t: lookup_features(acc, t[0], t[1]), tables, base)
+
+
+HOT_KEY_SHARE = 0.01
+SALTS = 32
+
+
+def lookup_features_salted(base: DataFrame, features: DataFrame, key: str | Sequence[str],
+                           hot_share: float = HOT_KEY_SHARE, salts: int = SALTS,
+                           seed: int = 17) -> DataFrame:
+    """Left lookup that splits hot keys instead of sending each to one task.
+
+    1. Count base rows per key (map-side combined) and keep keys holding
+       more than ``hot_share`` of all rows; there are fewer than
+       ``1 / hot_share`` of them, so that key list is broadcast.
+    2. Base rows of hot keys get a salt in 0..salts-1; other rows salt 0.
+    3. Feature rows of hot keys are repeated once per salt (only those few
+       keys grow); other feature rows keep salt 0.
+    4. Equi-join on (key, salt).
+    Every base row still meets exactly the feature row of its key, so the
+    result equals the plain left join; the rows of a hot key are spread over
+    ``salts`` tasks. The salt only spreads work, so a recomputed partition
+    may draw different salts without changing the result.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.select(F.sum("__n")).scalar()
+    hot = (counts.filter(F.col("__n") > total * F.lit(float(hot_share)))
+                 .select(*keys).withColumn("__hot", F.lit(True)))
+    hot = F.broadcast(hot)
+    b = (base.join(hot, keys, "left")
+             .withColumn("__salt", F.when(F.col("__hot"), F.floor(F.rand(seed) * salts).cast("int"))
+                         .otherwise(F.lit(0)))
+             .drop("__hot"))
+    f = (features.join(hot, keys, "left")
+                 .withColumn("__salt", F.explode(F.when(
+                     F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+                 .drop("__hot"))
+    return b.join(f, [*keys, "__salt"], "left").drop("__salt")

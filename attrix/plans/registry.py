@@ -229,6 +229,23 @@ def q_feature_lookup_partial(spark, sf_dir):
     return ts.load_df()
 
 
+_EVENT_FEATURES = ["tenure", "InternetService", "MonthlyCharges", "NumOptionalServices",
+                   "AvgPriceIncrease"]
+
+
+@register("event_feature_lookup", with_features(
+    "SELECT e.*, " + ", ".join(f"s.{c}" for c in _EVENT_FEATURES)
+    + " FROM events e LEFT JOIN service_features s ON e.user_id = s.customerID"))
+def q_event_feature_lookup(spark, sf_dir):
+    """Every event row gets its customer's service features: a lookup whose
+    base has many rows per key, run through the hot-key salted join."""
+    feats = frames(spark, sf_dir).service_features.select(
+        F.col(KEY).alias("user_id"), *_EVENT_FEATURES)
+    ts = create_training_set(tbl(spark, sf_dir, "events"),
+                             [FeatureLookup(lookup_key="user_id", df=feats)])
+    return ts.load_df(salted=True)
+
+
 # --------------------------------------------------------------------------
 # Filters, profile figures
 

@@ -95,3 +95,20 @@ def test_exact_quantiles_small_accuracy(spark):
     for p in [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]:
         r = max(1, int(np.ceil(p * len(xs))))
         assert got[("x", p)] == xs[r - 1]
+
+
+def test_salted_lookup_equals_plain_join_with_hot_key(spark):
+    from attrix.operators.lookup import lookup_features, lookup_features_salted
+
+    # key 0 holds a third of the base rows
+    base = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("k"),
+        F.col("id").alias("row"))
+    feats = spark.range(0, 90).select(F.col("id").alias("k"), (F.col("id") * 10).alias("f"))
+    plain = lookup_features(base, feats, "k")
+    salted = lookup_features_salted(base, feats, "k", hot_share=0.05, salts=8)
+    assert salted.count() == base.count()
+    assert plain.exceptAll(salted.select(*plain.columns)).count() == 0
+    assert salted.filter("k = 0 AND f = 0").count() == base.filter("k = 0").count() >= 1000
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan   # hot feature rows are repeated per salt
