@@ -64,8 +64,11 @@ def exact_mean(c: str | Column, digits: int = 6) -> Column:
 def exact_mean_sql(expr: str, digits: int = 6) -> str:
     """The same mean as DuckDB SQL text."""
     scale = f"{10 ** digits}e0"
-    return (f"(CAST(sum(CAST(round(({expr}) * {scale}) AS DECIMAL(38,0))) AS DOUBLE) "
-            f"/ count({expr}) / {scale})")
+    # The exact decimal sum goes to double through its text: DuckDB's direct
+    # cast of a large decimal can be one unit off the nearest double, which
+    # Spark's cast and a text parse both give.
+    return (f"(CAST(CAST(sum(CAST(round(({expr}) * {scale}) AS DECIMAL(38,0))) AS VARCHAR) "
+            f"AS DOUBLE) / count({expr}) / {scale})")
 
 
 def exact_variance(c: str | Column, mean: Column, digits: int = 6,
@@ -86,5 +89,5 @@ def exact_variance_sql(expr: str, mean_sql: str, digits: int = 6, population: bo
     scale = f"{10 ** digits}e0"
     dev = f"CAST(round((({expr}) - ({mean_sql})) * {scale}) AS DECIMAL(38,0))"
     n = f"count({expr})" if population else f"(count({expr}) - 1)"
-    return (f"(CAST(sum({dev} * {dev}) AS DOUBLE) / {10 ** (2 * digits)}e0 "
+    return (f"(CAST(CAST(sum({dev} * {dev}) AS VARCHAR) AS DOUBLE) / {10 ** (2 * digits)}e0 "
             f"/ NULLIF({n}, 0))")
