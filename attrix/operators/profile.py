@@ -227,7 +227,13 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
 
 def category_vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column, its distinct non-null values with the index an
-    alphabetically ordered ``StringIndexer`` gives them (0-based)."""
+    alphabetically ordered ``StringIndexer`` gives them (0-based).
+
+    Meant for categorical columns: a vocabulary is model state (MLlib keeps
+    it in the fitted indexer), so each column's distinct values are ranked
+    in one window partition. Distinct values are found first with map-side
+    combining, so only the vocabulary itself reaches that partition.
+    """
     vals = _melt(df, columns).filter(F.col("value").isNotNull()).distinct()
     w = Window.partitionBy("column_name").orderBy("value")
     return vals.withColumn("index", (F.row_number().over(w) - 1).cast("int"))
