@@ -142,6 +142,10 @@ def explanation_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def explain(model: PipelineModel, df: DataFrame, samples: int | None = None):
     background, example = explanation_split(df)
+    # The split sample is checkpointed, so these checks read a small file.
+    if background.limit(1).count() == 0 or example.limit(1).count() == 0:
+        raise ValueError("the explanation sample is too small to give both background and "
+                         "explained rows; use more data or a larger sample fraction")
     phi = X.shapley_values(model, example, background, KEY, FEATURES, samples=samples,
                            seed=SAMPLE_SEED)
     return phi, example

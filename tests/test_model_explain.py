@@ -155,3 +155,11 @@ def test_lifecycle_search_refit_save_gate(spark, planted):
     g = gate(spark, path).first()
     assert g.metric == "accuracy" and g.threshold == 0.8
     assert g.passed == (res.train_metrics["training_accuracy_score"] >= 0.8)
+
+
+def test_explain_refuses_empty_background(spark, model):
+    from attrix.plans.lifecycle import explain as explain_flow
+
+    tiny = spark.createDataFrame([(1, 0), (2, 1)], "customerID long, Churn int")
+    with pytest.raises(ValueError):
+        explain_flow(model, tiny)
