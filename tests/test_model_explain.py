@@ -132,7 +132,8 @@ def test_search_space_and_gate(spark):
     t = trials_from_rows(spark, [(0, 3.0, 0.1, 1.0, 50.0, 0.5, 0.81), (1, 3.0, 0.1, 1.0, 50.0, 0.4, 0.79),
                                  (2, 3.0, 0.1, 1.0, 50.0, 0.4, 0.85)])
     assert best_trial(t).first().trial_id == 1
-    g = {r.model: r.passed for r in promotion_gate(t.withColumn("model", F.col("trial_id").cast("string"))).collect()}
+    gated = promotion_gate(t.withColumn("model", F.col("trial_id").cast("string")))
+    g = {r.model: r.passed for r in gated.collect()}
     assert g == {"0": True, "1": False, "2": True}
 
 

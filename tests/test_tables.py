@@ -85,7 +85,8 @@ def test_feature_table_create_merge_overwrite(spark):
     FT.write_features(spark, name, new, "merge")
     assert FT.read_features(spark, name).count() == 3
     # partial columns keep the others
-    FT.write_features(spark, name, spark.createDataFrame([("a", 99.0)], "customerID string, MonthlyCharges double"), "merge")
+    partial = spark.createDataFrame([("a", 99.0)], "customerID string, MonthlyCharges double")
+    FT.write_features(spark, name, partial, "merge")
     got = {r.customerID: (r.tenure, r.MonthlyCharges) for r in FT.read_features(spark, name).collect()}
     assert got["a"] == (1, 99.0)
     FT.write_features(spark, name, old, "overwrite")
