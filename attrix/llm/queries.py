@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attrix.llm.common import table
+from attrix.llm.common import ship, table
 from attrix.llm.shingle_join import shingle_components
+from attrix.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,7 +21,10 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -30,3 +34,8 @@ def query(name: str, sql: str | None = None):
 @query("op6_ngram_jaccard_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
