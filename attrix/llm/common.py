@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

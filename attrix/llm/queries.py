@@ -12,7 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from attrix.llm.common import ship, table
+from attrix.llm.decontaminate import contaminated
+from attrix.llm.encoding import vocabulary_path
+from attrix.llm.packing import pack
 from attrix.llm.shingle_join import shingle_components
+from attrix.llm.token_counts import token_counts
+from attrix.llm.token_output import read_back, write_tokens
 from attrix.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +44,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_benchmark_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), end_id=0).drop("ids")
+
+
+@query("op9_token_output")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(write_tokens(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=2))

@@ -77,6 +77,12 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(out)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``width`` words (the whole sequence
     when it is shorter; nothing when it is empty)."""
@@ -87,7 +93,7 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     acc = np.zeros(n - take + 1, dtype=np.uint64)
     for k in range(take):
         acc = acc * np.uint64(0xD6E8FEB86659FD93) + words[k:n - take + 1 + k]
-    return np.unique(mix(acc + np.uint64(take * int(_STEP) % (1 << 64))))
+    return distinct(mix(acc + np.uint64(take * int(_STEP) % (1 << 64))))
 
 
 def text_shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
