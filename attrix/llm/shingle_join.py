@@ -18,9 +18,11 @@ Documents are sets of word shingles (``shingles.py``). Two link when
    component, cut by salt into parts of about ``GROUP`` sets, is a group. A
    large family of near copies is a handful of groups.
 5. *Matrix.* A group's row of the matrix is the union of its members' prefix
-   tokens. Joining sets with the matrix on the token gives the (set, group)
-   pairs whose overlap bound is not zero; pairs within one component are
-   settled already, and of two components only the larger id is queried.
+   tokens, each with the members' sizes and the most tokens that any member has
+   from there on. Joining sets with the matrix on the token gives the (set,
+   group) pairs whose sizes fit and whose overlap, if this is the first shared
+   token, can still reach the threshold; pairs within one component are settled
+   already, and of two components only the larger id is queried.
 6. *Bound.* For each pair the count sketches bound the overlap from above
    (``2 |A & B| <= |A| + |B| - sum |a_i - b_i|``); only groups with a member
    that can reach the threshold are opened.
@@ -28,6 +30,10 @@ Documents are sets of word shingles (``shingles.py``). Two link when
    exactly; a set stops at its first link into a group, which is all that
    components need.
 
+Steps 5 to 7 run twice: first each set asks the few groups it shares most
+tokens with, which joins most of a family; then, with the components found so
+far as groups, it asks every group that is left.
+
 Links become components by ``connected_components``. No step makes all pairs
 of a group as rows, and no list of documents reaches the driver; the frequent
 tokens do, at most ``FREQUENT`` of them (16 bytes each).
@@ -39,8 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.llm.common import connected_components, stored, text_batches
@@ -52,16 +57,19 @@ GROUP = 128
 LEADS = 4
 #: sets that query one copy of a group's members; more go to further copies
 QUERIES = 512
+#: groups a set asks in the first round; the last round asks all that are left
+BEST_FIRST = 3
 #: tokens whose local counts are taken together, which bounds the memory of a task
 COUNT_SLICE = 2_000_000
 
-_SETS = "id long, n long, sig long, leads array<long>, sketch binary, token long, cnt long"
+_SETS = "id long, n long, sig long, token long, cnt long"
+_PREFIX = "token long, sig long, left int"
 _SEEDS = np.arange(1, LEADS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
 
 
 def sketch_of(tokens: np.ndarray) -> bytes:
     """Tokens per equal hash range, one byte each (255 = 255 or more)."""
-    bits = min(12, max(4, int(len(tokens) // 8).bit_length()))
+    bits = min(14, max(3, int(len(tokens) // 2).bit_length() - 1))
     counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
@@ -104,8 +112,7 @@ def _signature(tokens: np.ndarray) -> int:
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("leads", pa.list_(pa.int64())),
-                            ("sketch", pa.binary()), ("token", pa.int64()), ("cnt", pa.int64())])
+        schema = pa.schema([(c, pa.int64()) for c in ("id", "n", "sig", "token", "cnt")])
         held: list[np.ndarray] = []
         seen: set[int] = set()
 
@@ -117,8 +124,7 @@ def _sets(width: int):
             tokens, counts = tokens[counts > 1], counts[counts > 1]
             none = pa.nulls(len(tokens), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.nulls(len(tokens), pa.list_(pa.int64())), pa.nulls(len(tokens), pa.binary()),
-                 pa.array(tokens.view(np.int64)), pa.array(counts)], schema=schema)
+                [none, none, none, pa.array(tokens.view(np.int64)), pa.array(counts)], schema=schema)
 
         size = 0
         for (ids,), texts in text_batches(batches, ["id"], "text"):
@@ -126,8 +132,6 @@ def _sets(width: int):
             sigs = [_signature(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()),
-                 pa.array([leads_of(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                 pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()),
                  pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())], schema=schema)
             for s, sig in zip(sets, sigs):
                 if sig not in seen:
@@ -164,7 +168,7 @@ def _prefixes(width: int, percent: int, order):
         frequent, rank = order.value
         seen: set[int] = set()
         for _, texts in text_batches(batches, [], "text"):
-            tokens, sigs = [], []
+            tokens, sigs, after = [], [], []
             for s in text_shingles_batch(texts, width):
                 sig = _signature(s)
                 if len(s) and sig not in seen:
@@ -172,72 +176,107 @@ def _prefixes(width: int, percent: int, order):
                     p = prefix_of(s, frequent, rank, percent)
                     tokens.append(p)
                     sigs.append(np.full(len(p), sig, dtype=np.int64))
+                    after.append(np.arange(len(s), len(s) - len(p), -1, dtype=np.int32))
             if len(seen) > 500_000:
                 seen.clear()
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)),
-                                                  pa.array(np.concatenate(sigs))], names=["token", "sig"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(sigs)),
+                     pa.array(np.concatenate(after))], names=["token", "sig", "left"])
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (token, sig): the distinct ones whose token has two signatures or more."""
-    held_t = held_s = np.empty(0, dtype=np.int64)
+    held = [np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)]
     before = None  # token of the last row that went past, kept or not
-    def out(t: np.ndarray, s: np.ndarray, last: bool):
-        nonlocal before, held_t, held_s
+
+    def done(rows: list[np.ndarray], last: bool) -> pa.RecordBatch:
+        nonlocal before, held
+        t, s, _ = rows
         if not len(t):
-            return None
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["token", "sig", "left"])
         first = np.concatenate(([True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])))
-        t, s = t[first], s[first]
+        rows = [x[first] for x in rows]
+        t = rows[0]
         stop = len(t) if last else len(t) - 1
-        held_t, held_s = t[stop:], s[stop:]
+        held = [x[stop:] for x in rows]
         same = t[1:] == t[:-1]
         keep = np.concatenate(([before is not None and t[0] == before], same)) | np.concatenate((same, [False]))
         if stop:
             before = t[stop - 1]
-        return pa.RecordBatch.from_arrays([pa.array(t[:stop][keep[:stop]]), pa.array(s[:stop][keep[:stop]])],
-                                          names=["token", "sig"])
+        return pa.RecordBatch.from_arrays([pa.array(x[:stop][keep[:stop]]) for x in rows], names=["token", "sig", "left"])
+
     for b in batches:
-        t = np.concatenate([held_t, b.column("token").to_numpy(zero_copy_only=False)])
-        s = np.concatenate([held_s, b.column("sig").to_numpy(zero_copy_only=False)])
-        done = out(t, s, False)
-        if done is not None and done.num_rows:
-            yield done
-    done = out(held_t, held_s, True)
-    if done is not None and done.num_rows:
-        yield done
+        yield done([np.concatenate([h, b.column(c).to_numpy(zero_copy_only=False)])
+                    for h, c in zip(held, ("token", "sig", "left"))], False)
+    yield done(held, True)
+
+
+class _Members:
+    """Members of a group that may link with a set, by sizes and sketches at once."""
+
+    def __init__(self, n: list[int], sketch: list[bytes], percent: int):
+        self.n, self.sketch, self.percent = np.array(n, dtype=np.int64), sketch, percent
+        self.open = np.array([b"\xff" in s for s in sketch], dtype=bool)
+        self.folded: dict[int, np.ndarray] = {}
+
+    def _table(self, size: int) -> np.ndarray:
+        if size not in self.folded:
+            self.folded[size] = np.array([_fold(s, min(size, len(s))) if len(s) >= size else
+                                          np.zeros(size, np.int32) for s in self.sketch], dtype=np.int32)
+        return self.folded[size]
+
+    def near(self, n: int, sketch: bytes) -> list[int]:
+        if not len(self.n):
+            return []
+        least = -(-self.percent * (self.n + n) // (100 + self.percent))
+        fits = np.minimum(self.n, n) >= least
+        if not fits.any():
+            return []
+        size = min(len(sketch), min(len(s) for s, f in zip(self.sketch, fits) if f))
+        apart = np.abs(self._table(size) - _fold(sketch, size)).sum(1)
+        apart[self.open] = 0
+        if b"\xff" in sketch:
+            apart[:] = 0
+        return np.flatnonzero(fits & (self.n + n - apart >= 2 * least)).tolist()
+
+
+def _columns(table, names):
+    return [table.column(c).to_pylist() for c in names]
 
 
 def _bound(percent: int):
-    """(set, group) pairs with a member that the sketches do not rule out."""
+    """(set, group) pairs with a member of another component that the sketches do not rule out."""
     def run(key, table):
-        sig, n = table.column("sig").to_pylist(), table.column("n").to_pylist()
-        sketch, member = table.column("sketch").to_pylist(), table.column("member").to_pylist()
+        sig, n, sketch, home, member = _columns(table, ("sig", "n", "sketch", "home", "member"))
         inside = [i for i, m in enumerate(member) if m]
+        members = _Members([n[i] for i in inside], [sketch[i] for i in inside], percent)
         keep = [i for i, m in enumerate(member)
-                if not m and any(may_reach(n[i], sketch[i], n[j], sketch[j], percent) for j in inside)]
+                if not m and any(home[inside[j]] != home[i] for j in members.near(n[i], sketch[i]))]
         return pa.table({"sig": pa.array([sig[i] for i in keep], pa.int64()),
                          "grp": pa.array([key[0].as_py()] * len(keep), pa.string())})
     return run
 
 
 def _open(width: int, percent: int):
-    """For each asking set the first member of the opened group it links with."""
+    """For each asking set one link into every other component that the opened group has one with."""
     def run(key, table):
-        rep, member = table.column("rep").to_pylist(), table.column("member").to_pylist()
+        rep, home, member = _columns(table, ("rep", "home", "member"))
         sets = text_shingles_batch(table.column("text").to_pylist(), width)
-        sketches = [sketch_of(s) for s in sets]
+        sketch = [sketch_of(s) for s in sets]
         inside = [i for i, m in enumerate(member) if m]
+        members = _Members([len(sets[i]) for i in inside], [sketch[i] for i in inside], percent)
         a, b = [], []
         for i, m in enumerate(member):
-            if not m:
-                for j in inside:
-                    if may_reach(len(sets[i]), sketches[i], len(sets[j]), sketches[j], percent) \
-                            and linked(sets[i], sets[j], percent):
-                        a.append(rep[i])
-                        b.append(rep[j])
-                        break
+            if m:
+                continue
+            done = {home[i]}
+            for j in (inside[k] for k in members.near(len(sets[i]), sketch[i])):
+                if home[j] not in done and linked(sets[i], sets[j], percent):
+                    done.add(home[j])
+                    a.append(rep[i])
+                    b.append(rep[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -292,7 +331,7 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     first = stored(src.mapInArrow(_sets(width), _SETS), "shingle-sets")
-    rows = first.where("n IS NOT NULL").select("id", "n", "sig", "leads", "sketch")
+    rows = first.where("n IS NOT NULL").select("id", "n", "sig")
     top = (first.where("token IS NOT NULL").groupBy("token").agg(F.sum("cnt").alias("cnt"))
            .where(F.col("cnt") >= MIN_FREQUENT).orderBy(F.desc("cnt"), "token").limit(FREQUENT).toPandas())
     hot = top["token"].to_numpy(dtype=np.int64).view(np.uint64)
@@ -300,14 +339,13 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # the list has the most frequent token first, the order wants it last
     order = spark.sparkContext.broadcast((hot[by_hash], (len(hot) - np.arange(len(hot)))[by_hash]))
 
-    shared = stored(src.select("text").mapInArrow(_prefixes(width, percent, order), "token long, sig long")
+    shared = stored(src.select("text").mapInArrow(_prefixes(width, percent, order), _PREFIX)
                     .repartition("token").sortWithinPartitions("token", "sig")
-                    .mapInArrow(_shared, "token long, sig long"), "shingle-shared")
-    sets = stored(rows.where("n > 0 AND id IS NOT NULL").groupBy("sig")
-                  .agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("leads").alias("leads"),
-                       F.min("sketch").alias("sketch"))
-                  .join(shared.select("sig").distinct(), "sig"), "shingle-busy")
-    texts = stored(_texts(src, sets.select("rep", "sig"), width), "shingle-texts")
+                    .mapInArrow(_shared, _PREFIX), "shingle-shared")
+    wanted = (rows.where("n > 0 AND id IS NOT NULL").groupBy("sig").agg(F.min("id").alias("rep"))
+              .join(shared.select("sig").distinct(), "sig"))
+    sets = stored(_sets_with_text(src, wanted, width), "shingle-busy")
+    texts = sets.select("sig", "text")
 
     led = sets.select("sig", F.posexplode("leads").alias("fn", "lead"))
     leaders = (led.groupBy("fn", "lead").agg(F.min("sig").alias("leader"), F.max("sig").alias("other"))
@@ -322,27 +360,13 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         likely.join(reps, "sig").join(reps.withColumnsRenamed({"sig": "leader", "rep": "leader_rep"}), "leader")
         .join(texts, "sig").join(texts.withColumnsRenamed({"sig": "leader", "text": "leader_text"}), "leader")
         .mapInArrow(_verify(width, percent), "a long, b long"), "shingle-stars")
-    homes = connected_components(stars, "a", "b").withColumnsRenamed({"node": "rep", "component": "home"})
-
-    placed = sets.join(homes, "rep", "left").withColumn("home", F.coalesce("home", "rep"))
-    crowd = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("parts"))
-    grouped = stored(
-        placed.join(crowd, "home")
-        .withColumn("grp", F.concat_ws(":", "home", F.pmod(F.xxhash64("sig"), F.col("parts"))))
-        .select("sig", "rep", "n", "sketch", "home", "grp"), "shingle-groups")
-    marked = shared.join(grouped.select("sig", "home", "grp"), "sig")
-    matrix = marked.select("token", F.col("home").alias("other"), "grp").distinct()
-    pairs = (marked.select("token", "sig", "home").join(matrix, "token").where("home < other")
-             .select("sig", "grp").distinct())
-    asking = pairs.join(grouped.select("sig", "rep", "n", "sketch"), "sig")
-    hits = stored(_meet(grouped.select("sig", "rep", "n", "sketch", "grp"), asking)
-                  .groupBy("grp", "copy").applyInArrow(_bound(percent), "sig long, grp string"), "shingle-bound")
-    opened = _meet(grouped.select("sig", "rep", "grp"), hits.join(reps, "sig"))
-    links = stored(opened.join(texts, "sig").groupBy("grp", "copy")
-                   .applyInArrow(_open(width, percent), "a long, b long"), "shingle-links")
-
-    edges = stars.unionByName(links)
-    comps = connected_components(edges, "a", "b").withColumnsRenamed({"node": "rep"})
+    edges, comps = stars, connected_components(stars, "a", "b")
+    for best in (BEST_FIRST, None):
+        homes = comps.withColumnsRenamed({"node": "rep", "component": "home"})
+        links = _search(sets, shared, homes, width, percent, best)
+        edges = edges.unionByName(links)
+        comps = connected_components(edges, "a", "b")
+    comps = comps.withColumnsRenamed({"node": "rep"})
     least = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
     full = least.join(comps, "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
     return (rows.join(full, "sig", "left")
@@ -350,13 +374,60 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
 
 
-def _texts(src: DataFrame, needed: DataFrame, width: int) -> DataFrame:
-    """(sig, text) of the wanted signatures, each once."""
-    found = src.join(needed.withColumnRenamed("rep", "id"), "id").select("sig", "text")
+def _search(sets: DataFrame, shared: DataFrame, homes: DataFrame, width: int, percent: int,
+            best: int | None) -> DataFrame:
+    """Links between the components of ``homes``: each set asks the groups with
+    sets of other components, either all that the matrix leaves open or its ``best``.
 
-    def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (sigs,), texts in text_batches(batches, ["sig"], "text"):
-            keep = [(s, t) for s, t, x in zip(sigs, texts, text_shingles_batch(texts, width)) if _signature(x) == s]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in keep], pa.int64()),
-                                              pa.array([t for _, t in keep], pa.string())], names=["sig", "text"])
-    return found.mapInArrow(right, "sig long, text string").dropDuplicates(["sig"])
+    A component of two sets or more is cut into groups of its own; the other
+    sets form groups by their smallest min-hash token and size, so that similar
+    sets which are not linked share a group as well.
+    """
+    placed = sets.drop("text").join(homes, "rep", "left").withColumn("home", F.coalesce("home", "rep"))
+    several = placed.groupBy("home").agg((F.count(F.lit(1)) > 1).alias("several"))
+    keyed = placed.join(several, "home").withColumn(
+        "bunch", F.when(F.col("several"), F.concat(F.lit("h"), "home"))
+        .otherwise(F.concat(F.lit("s"), F.col("leads")[0], F.lit("x"), F.length("sketch"))))
+    crowd = keyed.groupBy("bunch").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("parts"))
+    grouped = stored(
+        keyed.join(crowd, "bunch")
+        .withColumn("grp", F.concat_ws(":", "bunch", F.pmod(F.xxhash64("sig"), F.col("parts"))))
+        .select("sig", "rep", "n", "sketch", "home", "grp"), "shingle-groups")
+    marked = shared.join(grouped.select("sig", "n", "home", "grp"), "sig")
+    matrix = (marked.groupBy("token", F.col("grp").alias("other"))
+              .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("far"),
+                   F.min("home").alias("low"), F.max("home").alias("high")))
+    pairs = (marked.select("token", "sig", "n", "left", "home", "grp").join(matrix, "token")
+             .where(f"grp <= other AND (low <> home OR high <> home) "
+                    f"AND {percent} * n <= 100 * most AND {percent} * least <= 100 * n "
+                    f"AND (100 + {percent}) * least(left, far) >= {percent} * (n + greatest(least, {percent} * n / 100))")
+             .groupBy("sig", F.col("other").alias("grp")).agg(F.count(F.lit(1)).alias("tokens")))
+    if best is not None:
+        order = Window.partitionBy("sig").orderBy(F.desc("tokens"), "grp")
+        pairs = pairs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= best)
+    asking = pairs.select("sig", "grp").join(grouped.drop("grp"), "sig")
+    hits = stored(_meet(grouped, asking).groupBy("grp", "copy").applyInArrow(_bound(percent), "sig long, grp string"),
+                  "shingle-bound")
+    opened = _meet(grouped.select("sig", "rep", "home", "grp"), hits.join(grouped.select("sig", "rep", "home"), "sig"))
+    return stored(opened.join(sets.select("sig", "text"), "sig").groupBy("grp", "copy")
+                  .applyInArrow(_open(width, percent), "a long, b long"), "shingle-links")
+
+
+def _sets_with_text(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(sig, rep, n, leads, sketch, text) of the wanted sets, each once."""
+    found = src.join(wanted.withColumnRenamed("rep", "id"), "id").select("sig", F.col("id").alias("rep"), "text")
+    schema = pa.schema([("sig", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()),
+                        ("leads", pa.list_(pa.int64())), ("sketch", pa.binary()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (sigs, reps), texts in text_batches(batches, ["sig", "rep"], "text"):
+            # an id with several texts comes with each of them
+            keep = [x for x in zip(sigs, reps, texts, text_shingles_batch(texts, width)) if _signature(x[3]) == x[0]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in keep], pa.int64()), pa.array([x[1] for x in keep], pa.int64()),
+                 pa.array([len(x[3]) for x in keep], pa.int64()),
+                 pa.array([leads_of(x[3]) for x in keep], pa.list_(pa.int64())),
+                 pa.array([sketch_of(x[3]) for x in keep], pa.binary()),
+                 pa.array([x[2] for x in keep], pa.string())], schema=schema)
+    return found.mapInArrow(run, "sig long, rep long, n long, leads array<long>, sketch binary, text string") \
+        .dropDuplicates(["sig"])
