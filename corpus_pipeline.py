@@ -37,12 +37,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = shingle_components(docs)
-    # with unique ids this is the row itself; rows that repeat an id stay once
     drop = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    single = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
-    repeated = kept.join(again, "doc_id", "left_semi").select(*docs.columns).distinct()
+    again = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL")
+             .select("doc_id"))
+    # ids that occur once need no look at their rows; the rows of the others are compared whole
+    single = docs.join(drop.union(again), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.join(again.join(drop, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns).distinct()
     return single.unionByName(repeated)
 
 
