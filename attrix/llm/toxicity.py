@@ -51,7 +51,9 @@ CACHE_ENTRIES = 400_000
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 _EDGE = ".,;:!?|\"'()[]{}<>«»“”„…-–—*_/\\"
-_ODD_WORD = re.compile(r"(?=.*[^\W\d_])(?=.*[0134578@$!|+(9€]).*|.*([^\W\d_])\1\1", re.S)
+_OUTSIDE = ".,;:?\"'()[]{}<>"
+_SIGN = re.compile(r"[0134578@$!|+(9€]|([^\W\d_])\1\1")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -159,41 +161,62 @@ def restore(token: str, costs: np.ndarray) -> list[str]:
 
 
 class Restorer:
-    """Distinct restored words of texts; decoded words are kept in a bounded cache."""
+    """Restored words, kept per distinct written word in a bounded cache."""
 
-    def __init__(self, costs: np.ndarray):
+    def __init__(self, costs: np.ndarray, value=lambda words: words):
         self.costs = costs
-        self.cache: dict[str, tuple[str, ...]] = {}
+        self.value = value  # what to keep of a written word's restored words
+        self.cache: dict[str, object] = {}
 
-    def _word(self, word: str) -> tuple[str, ...]:
-        if _ODD_WORD.match(word):
-            core = word.strip(".,;:?\"'()[]{}<>")
-            return tuple(restore(core, self.costs)) if core else ()
+    def restored(self, word: str) -> tuple[str, ...]:
         plain = word.strip(_EDGE)
-        return (plain,) if plain else ()
-
-    def words(self, text: str | None) -> set[str]:
+        if plain.isalpha():
+            odd = _TRIPLE.search(plain) or (word[0] in LOOKS)
+        else:
+            odd = _SIGN.search(word) and _LETTER.search(word)
+        if not odd:
+            return (plain,) if plain else ()
+        found = restore(word.strip(_OUTSIDE) if not plain.isalpha() else word.strip(_OUTSIDE).rstrip(_EDGE), self.costs)
+        return tuple(dict.fromkeys([*found, plain] if plain.isalpha() else found))
+
+    def of(self, text: str | None) -> tuple[list, int]:
+        """What ``value`` keeps of each distinct written word (spelled-out runs
+        count as words), and the number of distinct written words."""
         if not text:
-            return set()
+            return [], 0
         low = text.lower()
-        out: set[str] = set()
-        for run in _SPELLED.findall(low):
-            out.update(restore(run, self.costs))
+        words = set(low.split())
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
-        cache = self.cache
-        for word in set(low.split()):
-            got = cache.get(word)
-            if got is None:
-                got = self._word(word)
+        got = list(map(self.cache.get, words))
+        if None in got:
+            for word in [w for w, g in zip(words, got) if g is None]:
+                v = self.value(self.restored(word))
                 if len(word) <= 64:
-                    cache[word] = got
-            out.update(got)
-        return out
+                    self.cache[word] = v
+                got.append(v)
+            got = [g for g in got if g is not None]
+        got += [self.value(tuple(restore(run, self.costs))) for run in set(_SPELLED.findall(low))]
+        return got, len(words)
+
+    def words(self, text: str | None) -> set[str]:
+        return set().union(*self.of(text)[0])
+
 
+_TAGS = [(k, f"{k}:") for k in STARTS]
 
-def features_of(word: str) -> list[str]:
-    return ["=" + word] + [f"{k}:{word[:k]}" for k in STARTS if len(word) > k]
+
+def word_features(word: str) -> list[str]:
+    """The word itself and its starts of ``STARTS`` letters."""
+    out = ["=" + word]
+    for k, tag in _TAGS:
+        if len(word) > k:
+            out.append(tag + word[:k])
+    return out
+
+
+def features_of(words: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(word_features(words[0])) if len(words) == 1 else tuple({f for w in words for f in word_features(w)})
 
 
 def _strength(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
@@ -214,12 +237,23 @@ class ToxicityModel:
 
 
 _INPUTS = [f"x{i}" for i in range(TOP + 2)]
+SHORT, LONG = 20, 2000  # words between which a text's length counts
 
 
 def _inputs(values: np.ndarray, n_words: int) -> list[float]:
+    """The strongest words, how many come near the strongest (as a root), and the
+    length, since a long text holds weak words by chance. A text without any
+    lexicon word is all zeros, however long it is."""
+    if not len(values) or values.max() <= 0:
+        return [0.0] * (TOP + 2)
     top = np.sort(values)[::-1][:TOP]
-    top = np.concatenate([top, np.zeros(TOP - len(top))])
-    return [*top.tolist(), float(np.sqrt((values > 0.7 * max(float(top[0]), 1e-9)).sum())), math.log1p(n_words)]
+    near = float(np.sqrt((values > 0.7 * top[0]).sum()))
+    return [*top.tolist(), *[0.0] * (TOP - len(top)), near, math.log1p(min(max(n_words, SHORT), LONG)) - math.log1p(SHORT)]
+
+
+def _regression(rows: DataFrame, inputs: list[str]):
+    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
+    return LogisticRegression(regParam=0.002, maxIter=50, featuresCol="features", labelCol="label").fit(vectors)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text",
@@ -235,11 +269,11 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id",
     costs = character_model(docs, text_col)
     shared = spark.sparkContext.broadcast(costs)
     known = (labels.where(train).where(F.col(label_col).isNotNull())
-             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic")))
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
+             .orderBy(F.xxhash64("id"), "id").limit(max_training_rows))
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-                  .join(known, "id").groupBy(F.xxhash64("text").alias("t"), "toxic")
-                  .agg(F.min("id").alias("id"), F.first("text").alias("text"))
-                  .orderBy(F.xxhash64("id"), "id").limit(max_training_rows), "toxicity-train")
+                  .join(F.broadcast(known), "id")  # at most max_training_rows ids
+                  .groupBy(F.xxhash64("text").alias("t"), "toxic").agg(F.first("text").alias("text")), "toxicity-train")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
@@ -248,21 +282,20 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id",
         return ToxicityModel(costs, {}, n_toxic, n_clean, np.zeros(TOP + 2), math.log(odds / (1 - odds)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, held = Restorer(shared.value), Counter()
+        restorer, held = Restorer(shared.value, features_of), (Counter(), Counter())
 
-        def out() -> pa.RecordBatch:
+        def out(y: int) -> pa.RecordBatch:
             b = pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in held], pa.string()), pa.array([t for _, t in held], pa.int32()),
-                 pa.array(list(held.values()), pa.int64())], names=["feature", "toxic", "n"])
-            held.clear()
+                [pa.array(list(held[y]), pa.string()), pa.array([y] * len(held[y]), pa.int32()),
+                 pa.array(list(held[y].values()), pa.int64())], names=["feature", "toxic", "n"])
+            held[y].clear()
             return b
         for (toxic,), texts in text_batches(batches, ["toxic"], "text"):
             for y, t in zip(toxic, texts):
-                held.update({(f, y) for w in restorer.words(t) for f in features_of(w)})
-                if len(held) > 500_000:
-                    yield out()
-        if held:
-            yield out()
+                held[int(y > 0)].update(set().union(*restorer.of(t)[0]))
+                if len(held[int(y > 0)]) > 500_000:
+                    yield out(int(y > 0))
+        yield from map(out, (0, 1))
 
     counted = (rows.repartition(spark.sparkContext.defaultParallelism).mapInArrow(count, "feature string, toxic int, n long")
                .groupBy("feature").agg(F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"),
@@ -274,28 +307,33 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, id_col: str = "doc_id",
     words = spark.sparkContext.broadcast(lexicon)
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared.value)
+        lexicon = words.value
+        restorer = Restorer(shared.value, lambda found: tuple(
+            (w, tuple(lexicon[f] for f in word_features(w) if f in lexicon)) for w in found
+            if any(f in lexicon for f in word_features(w))))
         for (toxic,), texts in text_batches(batches, ["toxic"], "text"):
             xs = []
             for y, t in zip(toxic, texts):
-                found = restorer.words(t)
+                got, n = restorer.of(t)
+                hits = list(dict(h for g in got for h in g).values())
                 values = np.zeros(0)
-                hits = [[words.value[f] for f in features_of(w) if f in words.value] for w in found]
-                hits = [h for h in hits if h]
                 if hits:
                     flat = np.array([h for hs in hits for h in hs], dtype=np.float64)
                     own = _strength(flat[:, 0] - y, flat[:, 1] - (1 - y), n_toxic - y, n_clean - (1 - y))
                     values = np.maximum.reduceat(own, np.cumsum([0] + [len(h) for h in hits[:-1]]))
-                xs.append(_inputs(values, len(found)))
+                xs.append(_inputs(values, n))
             cols = np.array(xs, dtype=np.float64).reshape(-1, TOP + 2)
             yield pa.RecordBatch.from_arrays([pa.array(cols[:, i]) for i in range(TOP + 2)]
                                              + [pa.array([float(y) for y in toxic])], names=_INPUTS + ["label"])
 
     train_set = stored(rows.repartition(spark.sparkContext.defaultParallelism)
                        .mapInArrow(inputs, ", ".join(f"{x} double" for x in _INPUTS) + ", label double"), "toxicity-inputs")
-    lr = LogisticRegression(regParam=0.001, maxIter=50, featuresCol="features", labelCol="label").fit(
-        VectorAssembler(inputCols=_INPUTS, outputCol="features").transform(train_set))
-    return ToxicityModel(costs, lexicon, n_toxic, n_clean, np.array(lr.coefficients.toArray()), float(lr.intercept))
+    lr = _regression(train_set, _INPUTS)
+    if lr.coefficients[-1] > 0:  # length must not raise a score: it only tells how much chance there was
+        lr = _regression(train_set, _INPUTS[:-1])
+    weights = np.zeros(TOP + 2)
+    weights[:len(lr.coefficients)] = lr.coefficients.toArray()
+    return ToxicityModel(costs, lexicon, n_toxic, n_clean, weights, float(lr.intercept))
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -316,22 +354,15 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", thresho
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs, lexicon, weights, intercept = shared.value
-        restorer = Restorer(costs)
-        value: dict[str, float] = {}
-
-        def strength(word: str) -> float:
-            v = max(lexicon.get(f, 0.0) for f in features_of(word))
-            if len(value) > CACHE_ENTRIES:
-                value.clear()
-            value[word] = v
-            return v
+        # of most words nothing is kept: they are not in the lexicon
+        restorer = Restorer(costs, lambda found: tuple(
+            (w, v) for w in found if (v := max(lexicon.get(f, 0.0) for f in word_features(w))) > 0.0))
         for b in batches:
             got = []
             for t in b.column(at).to_pylist():
-                words = restorer.words(t)
-                v = [value[w] if w in value else strength(w) for w in words]
-                x = _inputs(np.array([a for a in v if a > 0.0]), len(words))
-                z = intercept + float(np.dot(weights, x))
+                found, n = restorer.of(t)
+                strong = dict(h for g in found for h in g)
+                z = intercept + float(np.dot(weights, _inputs(np.array(list(strong.values())), n)))
                 got.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(got, pa.float64()), pa.array([int(s >= threshold) for s in got], pa.int32())],
