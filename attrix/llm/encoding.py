@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 800_000
 LONG_PIECE = 64
 SEGMENT_CHARS = 1 << 20
 
@@ -92,14 +92,12 @@ class PieceEncoder:
     def _segment(self, text: str) -> bytes:
         if any(map(text.__contains__, _ODD)) or any(map(text.__contains__, self.special)):
             return self.whole([text])[0]
-        if not self.byte_level:
-            words, lead = text.split(), b""
-        elif _SPACE_RUN.search(text):
-            words, lead = _SPACED.findall(text), b""
-        else:
-            first, *words = text.split(" ")
-            words = [" " + w for w in words]
-            lead = self._word(first) if first else b""
+        lead, words = b"", text.split() if not self.byte_level else text.split(" ")
+        if self.byte_level:
+            if _SPACE_RUN.search(text):
+                return b"".join(map(self._word, _SPACED.findall(text)))
+            lead = self._word(words[0]) if words[0] else b""
+            del words[0]  # every other word has a space before it
         cache = self.words
         try:
             return lead + b"".join(map(cache.__getitem__, words))
@@ -107,11 +105,12 @@ class PieceEncoder:
             pass
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
+        space = " " if self.byte_level else ""
         out = []
         for word in words:
             ids = cache.get(word)
             if ids is None:
-                ids = self._word(word)
+                ids = self._word(space + word)
                 if len(word) <= LONG_PIECE:
                     cache[word] = ids
             out.append(ids)
