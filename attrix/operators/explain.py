@@ -20,10 +20,14 @@ budget per row (the reference's ``nsamples``), not a cap on data.
 
 Choosing background partners without a cross join: background rows are
 hashed into buckets and numbered inside each bucket (a window per bucket);
-a table of the non-empty buckets with their sizes has at most ``buckets``
-rows, so it is broadcast. Each (row, sample) hashes to a bucket and to an
-index inside it, and an equi-join on (bucket, index) fetches exactly one
-background row. Every row gets S partners, never all pairs.
+running counts over the at most ``buckets`` buckets turn that into numbers
+0..N-1 over the whole background. Each (row, sample) hashes to one number, so
+every background row is drawn with the same chance, and an equi-join on it
+fetches exactly one row. Every row gets S partners, never all pairs.
+
+``base_value`` is the mean over a row's own partners (the attributions add up
+to the prediction minus it); ``expected_value`` is the model's mean over the
+whole background.
 """
 
 from __future__ import annotations
@@ -33,14 +37,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.functions.metrics import positive_probability
 
 BACKGROUND_BUCKETS = 1024
-EVALUATIONS_PER_ROW = 100
+# Five times the reference's budget: a permutation sample spends p + 1 of them.
+EVALUATIONS_PER_ROW = 500
 
 
 def samples_for_budget(n_features: int, evaluations: int = EVALUATIONS_PER_ROW) -> int:
@@ -57,6 +62,8 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
                    buckets: int = BACKGROUND_BUCKETS, with_scores: bool = False) -> DataFrame:
     """Long table (key, feature, phi) of sampled Shapley values of the
     model's positive-class probability."""
+    if background.isEmpty():
+        raise ValueError("the background has no rows: use more data or a larger sample fraction")
     feats = list(features)
     p = len(feats)
     S = samples or samples_for_budget(p)
@@ -68,21 +75,18 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     bg = bg.withColumn("__bb", F.pmod(_h(seed_c, F.lit("bucket"), F.col("__bkey")), F.lit(buckets)))
     bg = bg.withColumn("__bi", F.row_number().over(
         Window.partitionBy("__bb").orderBy("__bkey")) - 1)
-    # Non-empty buckets, numbered 0..m-1 (at most `buckets` rows).
     sizes = bg.groupBy("__bb").agg(F.count(F.lit(1)).alias("__bn"))
-    sizes = sizes.withColumn("__slot", F.row_number().over(Window.orderBy("__bb")) - 1)
-    sizes = sizes.withColumn("__m", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
-    sizes = F.broadcast(sizes)
+    before = Window.orderBy("__bb").rowsBetween(Window.unboundedPreceding, -1)  # at most `buckets` rows
+    starts = sizes.select("__bb", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__start"))
+    bg = (bg.join(F.broadcast(starts), "__bb").withColumn("__number", (F.col("__start") + F.col("__bi")).cast("bigint"))
+            .drop("__bb", "__bi", "__start"))
+    total = sizes.select(F.sum("__bn")).scalar()
 
-    # Explained rows x samples, each with a slot and a permutation.
+    # Explained rows x samples, each with a partner's number and a permutation.
     ex = explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)])
     ex = ex.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(S - 1))))
-    m = sizes.select(F.max("__m")).scalar()
-    ex = ex.withColumn("__slot", F.pmod(_h(seed_c, F.lit("slot"), F.col(key), F.col("__s")), m))
-    ex = ex.join(sizes.select("__slot", "__bb", "__bn"), "__slot")
-    ex = ex.withColumn("__bi", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")),
-                                      F.col("__bn")))
-    ex = ex.join(bg, ["__bb", "__bi"])
+    ex = ex.withColumn("__number", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")), total))
+    ex = ex.join(bg, "__number")
     order = F.array_sort(F.array(*[
         F.struct(_h(seed_c, F.lit("perm"), F.col(key), F.col("__s"), F.lit(j)).alias("h"),
                  F.lit(j).alias("j")) for j in range(p)]))
@@ -121,7 +125,10 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     # Base value and prediction ride along via a window over the (small)
     # aggregated sums, so the scoring is not run a second time for a join.
     per_row = Window.partitionBy(key)
+    expected = (model.transform(background.select(*feats))
+                .agg(F.avg(positive_probability("probability")).alias("expected")).first()["expected"])
     return (sums.withColumns({
+                "expected_value": F.lit(expected),
                 "base_value": F.max(F.when(F.col("feature") == "__base", F.col("phi"))).over(per_row),
                 "prediction": F.max(F.when(F.col("feature") == "__pred", F.col("phi"))).over(per_row)})
                 .filter(~F.col("feature").isin("__base", "__pred")))
@@ -135,26 +142,19 @@ def global_importance(phi: DataFrame) -> DataFrame:
 
 
 def group_difference(long: DataFrame, key: str, groups: DataFrame, group_col: str,
-                     value_col: str = "phi", feature_col: str = "feature",
-                     exact_digits: int | None = None) -> DataFrame:
+                     value_col: str = "phi", feature_col: str = "feature") -> DataFrame:
     """Per feature: mean value in the group minus mean outside it.
 
     ``long`` is (key, feature, value); ``groups`` is (key, boolean group).
     Rows whose group flag is null count in neither mean.
     """
-    from attrix.functions.fixedpoint import exact_mean
-
     j = long.join(groups.select(key, group_col), key)
     g = F.col(group_col)
     v = F.col(value_col)
-
-    def mean(x):
-        return exact_mean(x, exact_digits) if exact_digits else F.avg(x)
-
     return j.groupBy(feature_col).agg(
         F.count(F.when(g, F.lit(1))).alias("n_in_group"),
         F.count(F.when(~g, F.lit(1))).alias("n_out_group"),
-        (mean(F.when(g, v)) - mean(F.when(~g, v))).alias("difference"))
+        (F.avg(F.when(g, v)) - F.avg(F.when(~g, v))).alias("difference"))
 
 
 def wide_attributions(phi: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
@@ -165,8 +165,13 @@ def wide_attributions(phi: DataFrame, key: str, features: Sequence[str]) -> Data
 
 def explanation_clusters(phi: DataFrame, key: str, features: Sequence[str], profile: DataFrame,
                          k: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Customers grouped by their explanations: attributions -> PCA(2) ->
-    k-means. Returns (assignments, per-cluster profile means)."""
+    """Customers grouped by their explanations: standardised attributions ->
+    PCA(2) -> standardised components -> k-means. Returns (assignments,
+    per-cluster profile means). Raises if fewer than ``k`` groups come out.
+
+    Both steps are standardised, so neither one strong feature nor a few rows
+    with large attributions set the groups' scale.
+    """
     # The pivoted attributions feed PCA, k-means and the profile join; they
     # are written once to the checkpoint folder instead of re-running the
     # Shapley job for each pass.
@@ -174,9 +179,13 @@ def explanation_clusters(phi: DataFrame, key: str, features: Sequence[str], prof
 
     wide = cut_lineage(wide_attributions(phi, key, features).na.fill(0.0))
     vec = VectorAssembler(inputCols=list(features), outputCol="__v").transform(wide)
-    pca = PCA(k=2, inputCol="__v", outputCol="__pc").fit(vec)
-    emb = pca.transform(vec)
-    km = KMeans(k=k, seed=seed, featuresCol="__pc", predictionCol="cluster").fit(emb)
+    vec = StandardScaler(inputCol="__v", outputCol="__sv", withMean=True, withStd=True).fit(vec).transform(vec)
+    emb = PCA(k=2, inputCol="__sv", outputCol="__raw_pc").fit(vec).transform(vec)
+    emb = StandardScaler(inputCol="__raw_pc", outputCol="__pc", withMean=True, withStd=True).fit(emb).transform(emb)
+    km = KMeans(k=k, seed=seed, featuresCol="__pc", predictionCol="cluster", initSteps=5).fit(emb)
+    sizes = km.summary.clusterSizes
+    if len(sizes) < k or min(sizes) == 0:
+        raise ValueError(f"{len(wide.columns) - 1} attributions give {len([n for n in sizes if n])} groups, {k} were asked for")
     assigned = km.transform(emb).select(
         key, "cluster",
         F.element_at(_arr("__pc"), 1).alias("pc1"), F.element_at(_arr("__pc"), 2).alias("pc2"))

@@ -117,40 +117,37 @@ def lookup_features(base: DataFrame, features: DataFrame, key: str | Sequence[st
     return base.join(features, on=keys, how="left")
 
 
-def lookup_many(base: DataFrame, tables: Iterable[tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
-    return functools.reduce(lambda acc, t: lookup_features(acc, t[0], t[1]), tables, base)
-
-
 HOT_KEY_SHARE = 0.01
 SALTS = 32
 
 
 def lookup_features_salted(base: DataFrame, features: DataFrame, key: str | Sequence[str],
                            hot_share: float = HOT_KEY_SHARE, salts: int = SALTS,
-                           seed: int = 17) -> DataFrame:
+                           hot_keys: DataFrame | None = None) -> DataFrame:
     """Left lookup that splits hot keys instead of sending each to one task.
 
-    1. Count base rows per key (map-side combined) and keep keys holding
-       more than ``hot_share`` of all rows; there are fewer than
-       ``1 / hot_share`` of them, so that key list is broadcast.
-    2. Base rows of hot keys get a salt in 0..salts-1; other rows salt 0.
+    1. Keys holding more than ``hot_share`` of the base rows: given as
+       ``hot_keys``, or found by one map-side combined count. There are fewer
+       than ``1 / hot_share`` of them, so the list is broadcast.
+    2. Base rows of hot keys get a salt in 0..salts-1, a hash of the whole row,
+       so a recomputed task gives a row the same salt again. Rows with a null
+       key, which meet no feature row, are spread in the same way.
     3. Feature rows of hot keys are repeated once per salt (only those few
        keys grow); other feature rows keep salt 0.
     4. Equi-join on (key, salt).
     Every base row still meets exactly the feature row of its key, so the
-    result equals the plain left join; the rows of a hot key are spread over
-    ``salts`` tasks. The salt only spreads work, so a recomputed partition
-    may draw different salts without changing the result.
+    result equals the plain left join.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.select(F.sum("__n")).scalar()
-    hot = (counts.filter(F.col("__n") > total * F.lit(float(hot_share)))
-                 .select(*keys).withColumn("__hot", F.lit(True)))
-    hot = F.broadcast(hot)
+    if hot_keys is None:
+        counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        total = counts.select(F.sum("__n")).scalar()
+        hot_keys = counts.filter(F.col("__n") > total * F.lit(float(hot_share)))
+    hot = F.broadcast(hot_keys.select(*keys).withColumn("__hot", F.lit(True)))
+    no_key = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(F.xxhash64(*base.columns), F.lit(salts)).cast("int")
     b = (base.join(hot, keys, "left")
-             .withColumn("__salt", F.when(F.col("__hot"), F.floor(F.rand(seed) * salts).cast("int"))
-                         .otherwise(F.lit(0)))
+             .withColumn("__salt", F.when(F.col("__hot") | no_key, spread).otherwise(F.lit(0)))
              .drop("__hot"))
     f = (features.join(hot, keys, "left")
                  .withColumn("__salt", F.explode(F.when(

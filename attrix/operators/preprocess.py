@@ -8,7 +8,9 @@ The model pipeline mirrors the reference's column transformer:
   categorical  constant imputation -> alphabetical index (unseen -> extra
                index) -> one-hot dropping that extra slot, so an unseen
                category encodes as all zeros
-  then         assemble -> standardise (mean 0, unit variance)
+  then         assemble -> standardise (mean 0, unit population variance)
+
+A null or empty category is the missing category.
 
 Fitting it runs a handful of aggregation jobs (means, modes, vocabularies,
 moments); transforming is a per-row projection. Nothing is collected except
@@ -26,6 +28,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
+    StandardScalerModel,
     StringIndexer,
     VectorAssembler,
 )
@@ -33,7 +36,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.functions.columns import MISSING_CATEGORY
-from attrix.functions.fixedpoint import exact_mean, exact_variance
 
 # ---------------------------------------------------------------------------
 # The reference's model input groups.
@@ -46,63 +48,40 @@ CATEGORICAL_FEATURES = ["DeviceProtection", "InternetService", "MultipleLines",
 # ---------------------------------------------------------------------------
 
 
-def impute(df: DataFrame, columns: Sequence[str], strategy: str = "mean") -> DataFrame:
-    """Fill nulls with the column mean / median / mode (MLlib ``Imputer``).
-
-    ``mode`` picks the smallest value among ties. Input columns must be
-    numeric; booleans are cast to double first.
-    """
-    cols = list(columns)
-    tmp = [f"__imp_{c}" for c in cols]
-    cast = df.withColumns({t: F.col(c).cast("double") for t, c in zip(tmp, cols)})
-    model = Imputer(strategy=strategy, inputCols=tmp, outputCols=[f"{t}_out" for t in tmp]).fit(cast)
-    out = model.transform(cast)
-    return out.withColumns({c: F.col(f"{t}_out") for t, c in zip(tmp, cols)}).drop(
-        *tmp, *[f"{t}_out" for t in tmp])
-
-
-def standardise_columns(df: DataFrame, columns: Sequence[str], population: bool = True,
-                        digits: int = 9) -> DataFrame:
+def standardise_columns(df: DataFrame, columns: Sequence[str], population: bool = True) -> DataFrame:
     """(x - mean) / stddev per column; a constant column becomes 0.0.
 
     ``population=True`` divides by the population deviation (as scikit-learn
-    does); MLlib's ``StandardScaler`` uses the sample deviation. Fitting is
-    two aggregation jobs, each returning one row of per-column moments
-    (fixed-point, so partition-independent): the means, then the centred
-    variances. The moments are then inlined as literals into one projection.
+    does), else by the sample deviation. Fitting is one aggregation job that
+    returns one row of per-column moments, inlined as literals.
     """
     cols = list(columns)
     xs = [F.col(c).cast("double") for c in cols]
-    means = df.agg(*[exact_mean(x, digits).alias(f"m{i}") for i, x in enumerate(xs)]).first()
-    ms = [F.lit(means[f"m{i}"]).cast("double") for i in range(len(cols))]
-    var = df.agg(*[exact_variance(x, ms[i], 6, population).alias(f"v{i}")
-                   for i, x in enumerate(xs)]).first()
+    spread = F.stddev_pop if population else F.stddev_samp
+    one = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
+                 *[spread(x).alias(f"s{i}") for i, x in enumerate(xs)]).first()
     changes = {}
     for i, c in enumerate(cols):
-        v = var[f"v{i}"]
-        s = None if v is None else float(v) ** 0.5
+        m, s = one[f"m{i}"], one[f"s{i}"]
         if s is None:
             changes[c] = F.lit(None).cast("double")
         elif s == 0:
-            changes[c] = F.when(xs[i].isNull(), F.lit(None).cast("double")).otherwise(F.lit(0.0))
+            changes[c] = F.when(xs[i].isNotNull(), F.lit(0.0))
         else:
-            changes[c] = (xs[i] - ms[i]) / F.lit(s)
+            changes[c] = (xs[i] - F.lit(m)) / F.lit(s)
     return df.withColumns(changes)
 
 
-def impute_columns(df: DataFrame, columns: Sequence[str], strategy: str = "mean",
-                   digits: int = 9) -> DataFrame:
+def impute_columns(df: DataFrame, columns: Sequence[str], strategy: str = "mean") -> DataFrame:
     """Fill nulls per column with its mean or most frequent value, as plain
     DataFrame expressions (cast to double, like MLlib's ``Imputer``).
 
-    Fitting is one job returning one value per column: fixed-point means, or
-    for ``mode`` a grouped count of (column, value) pairs (map-side combined)
+    Fitting is one job returning one value per column: means, or for ``mode`` a grouped count of (column, value) pairs (map-side combined)
     and the top value per column (ties: the smaller value).
     """
     cols = list(columns)
     if strategy == "mean":
-        row = df.agg(*[exact_mean(F.col(c).cast("double"), digits).alias(f"f{i}")
-                       for i, c in enumerate(cols)]).first()
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(cols)]).first()
         fills = {c: row[f"f{i}"] for i, c in enumerate(cols)}
     elif strategy == "mode":
         long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
@@ -117,6 +96,35 @@ def impute_columns(df: DataFrame, columns: Sequence[str], strategy: str = "mean"
                                          F.lit(fills.get(c)).cast("double")) for c in cols})
 
 
+class PopulationScaler(StandardScaler):
+    """``StandardScaler`` with the population deviation.
+
+    The fitted model is MLlib's own, rebuilt with its deviations times
+    sqrt((n - 1) / n), so it is saved and loaded like any other.
+    """
+
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__(inputCol=inputCol, outputCol=outputCol, withMean=True, withStd=True)
+
+    def _fit(self, dataset: DataFrame) -> StandardScalerModel:
+        n = dataset.count()
+        model = super()._fit(dataset)
+        if n < 2:
+            return model
+        shrink = ((n - 1) / n) ** 0.5
+        jvm = dataset.sparkSession.sparkContext._jvm
+        vectors = jvm.org.apache.spark.ml.linalg.Vectors
+        gateway = dataset.sparkSession.sparkContext._gateway
+        values = gateway.new_array(jvm.double, len(model.std))
+        for i, v in enumerate(model.std.toArray()):
+            values[i] = float(v) * shrink
+        j = jvm.org.apache.spark.ml.feature.StandardScalerModel(model.uid, vectors.dense(values), model._java_obj.mean())
+        j.setInputCol(self.getInputCol()).setOutputCol(self.getOutputCol())
+        j.set(j.withMean(), True)
+        j.set(j.withStd(), True)
+        return self._copyValues(StandardScalerModel(j))
+
+
 def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,
                            numeric: Sequence[str] = NUMERIC_FEATURES,
                            categorical: Sequence[str] = CATEGORICAL_FEATURES,
@@ -125,7 +133,7 @@ def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,
     b, n, c = list(boolean), list(numeric), list(categorical)
     casts = ([f"CAST(`{x}` AS DOUBLE) AS `__b_{x}`" for x in b]
              + [f"TRY_CAST(`{x}` AS DOUBLE) AS `__n_{x}`" for x in n]
-             + [f"COALESCE(CAST(`{x}` AS STRING), '{MISSING_CATEGORY}') AS `__c_{x}`" for x in c])
+             + [f"COALESCE(NULLIF(CAST(`{x}` AS STRING), ''), '{MISSING_CATEGORY}') AS `__c_{x}`" for x in c])
     stages: list[Estimator | Transformer] = [
         SQLTransformer(statement=f"SELECT *, {', '.join(casts)} FROM __THIS__")]
     assembled = []
@@ -133,7 +141,7 @@ def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,
         stages.append(Imputer(strategy="mode", inputCols=[f"__b_{x}" for x in b],
                               outputCols=[f"__bi_{x}" for x in b]))
         stages.append(OneHotEncoder(inputCols=[f"__bi_{x}" for x in b],
-                                    outputCols=[f"__bo_{x}" for x in b], dropLast=False,
+                                    outputCols=[f"__bo_{x}" for x in b], dropLast=True,
                                     handleInvalid="keep"))
         assembled += [f"__bo_{x}" for x in b]
     if n:
@@ -149,14 +157,9 @@ def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,
         assembled += [f"__co_{x}" for x in c]
     stages.append(VectorAssembler(inputCols=assembled, outputCol="__assembled",
                                   handleInvalid="keep"))
-    stages.append(StandardScaler(inputCol="__assembled", outputCol=output_col,
-                                 withMean=True, withStd=True))
+    stages.append(PopulationScaler(inputCol="__assembled", outputCol=output_col))
     return stages
 
 
 def feature_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=build_feature_pipeline(**kw))
-
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("__")])

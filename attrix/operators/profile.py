@@ -2,10 +2,10 @@
 category vocabularies.
 
 Each operator is one or two aggregation passes with map-side partial
-aggregation; per-column results are produced in long form, so the output has
-one row per (column, statistic) or (column, bin/value) and no pivoting on the
-driver. Means go through fixed-point sums (``attrix.functions.fixedpoint``)
-so they do not change with partitioning.
+aggregation; per-column results come in long form, one row per
+(column, statistic) or (column, bin/value). Means and deviations are Spark's
+own aggregates over doubles, so ids of 64 bits, very large and very small
+values and NaN give what ``avg`` and ``stddev`` give.
 """
 
 from __future__ import annotations
@@ -14,172 +14,144 @@ import math
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrix.functions.fixedpoint import exact_integer_sum, exact_mean, exact_variance
-
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
 SUMMARY_STATISTICS = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
 QUARTILES = [0.25, 0.5, 0.75]
-# Sketch accuracy for locating quantiles: rank error n/accuracy, sketch
-# memory ~accuracy entries per column per task. The exact answer is then
-# found among the rows of a band of about 4n/accuracy rows.
-PERCENTILE_ACCURACY = 100_000
+# Sketch accuracy for locating quantiles: rank error n/accuracy, sketch memory
+# ~accuracy entries per column per task.
+PERCENTILE_ACCURACY = 10_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
 
 
-def _long(rows: list[Column], agg_row: DataFrame) -> DataFrame:
-    return agg_row.select(F.inline(F.array(*rows)))
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES,
                     accuracy: int = PERCENTILE_ACCURACY) -> dict[tuple[str, float], float | None]:
     """Exact discrete quantiles: the value of rank ceil(p * n) among the
-    column's non-null values, for every (column, p).
-
-    1. one aggregate: n and sketch quantiles at p -/+ 2/accuracy per column
-       (a ``percentile_approx`` sketch of bounded size); the true value lies
-       between them;
-    2. one job: the rows inside a band (about 4n/accuracy of them) are
-       ranked in a window per (column, p), and joined with the count of
-       values below the band (an aggregate of the same pass) to take the
-       row of rank ceil(p * n).
-    Every collected result has one row per (column, p). The band of one
-    (column, p) is ranked in one task: about 4n/accuracy rows (4e5 rows for
-    n = 1e10 at the default accuracy); raise ``accuracy`` for larger n.
+    column's non-null values, for every (column, p); null for a column
+    without values. NaN sorts above every number.
+
+    1. One aggregate gives n and, from a ``percentile_approx`` sketch of
+       bounded size, two values between which each quantile lies. Where they
+       are equal the answer is known.
+    2. One aggregate counts the values below each remaining band.
+    3. The values inside the bands are counted per distinct value (map-side
+       combined), and running counts over the distinct values of a band find
+       the wanted rank. A value that fills the band is one row, however many
+       rows of the table have it; a band has at most about 4n/accuracy
+       distinct values.
+    A rank that is not found raises an error. What is collected has one row
+    per (column, p).
     """
     cols, ps = list(columns), list(probs)
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in ps}
+    if not cols:
+        return out
     eps = 2.0 / accuracy
     edges = sorted({max(0.0, p - eps) for p in ps} | {min(1.0, p + eps) for p in ps})
-    long = _melt(df, cols, "double").filter(F.col("value").isNotNull())
-    first = {r["column_name"]: r for r in long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", edges, accuracy).alias("q")).collect()}
-    bands = []
-    for c in cols:
-        r = first.get(c)
-        if r is None or r["n"] == 0:
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    first = data.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
+                     *[F.percentile_approx(f"c{i}", edges, accuracy).alias(f"q{i}") for i in range(len(cols))]).first()
+    bands = []  # (column index, prob index, lo, hi, rank)
+    for i, c in enumerate(cols):
+        if not first[f"n{i}"]:
             continue
-        q = dict(zip(edges, r["q"]))
-        for i, p in enumerate(ps):
-            rank = max(1, math.ceil(p * r["n"]))
-            bands.append((c, i, float(q[max(0.0, p - eps)]), float(q[min(1.0, p + eps)]), rank))
-    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in ps}
+        q = dict(zip(edges, first[f"q{i}"]))
+        for k, p in enumerate(ps):
+            lo, hi = q[max(0.0, p - eps)], q[min(1.0, p + eps)]
+            if lo == hi or lo != lo:
+                out[c, p] = lo
+            else:
+                bands.append((i, k, lo, hi, max(1, math.ceil(p * first[f"n{i}"]))))
     if not bands:
         return out
-    spark = df.sparkSession
-    band_df = F.broadcast(spark.createDataFrame(
-        bands, "column_name string, qi int, lo double, hi double, rank bigint"))
-    j = long.join(band_df, "column_name")
-    below = j.groupBy("column_name", "qi").agg(
-        F.count(F.when(F.col("value") < F.col("lo"), F.lit(1))).alias("below"),
-        F.first("rank").alias("rank"))
-    w = Window.partitionBy("column_name", "qi").orderBy("value")
-    inside = j.filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-    picked = (inside.withColumn("rn", F.row_number().over(w)).select("column_name", "qi", "value", "rn")
-                    .join(below, ["column_name", "qi"])
-                    .filter(F.col("rn") == F.col("rank") - F.col("below"))
-                    .select("column_name", "qi", "value"))
-    for r in picked.collect():
-        out[(r["column_name"], ps[r["qi"]])] = r["value"]
+    below = data.agg(*[F.count(F.when(F.col(f"c{i}") < F.lit(lo), F.lit(1))).alias(f"b{j}")
+                       for j, (i, _, lo, _, _) in enumerate(bands)]).first()
+    cells = F.array(*[F.when((F.col(f"c{i}") >= F.lit(lo)) & (F.col(f"c{i}") <= F.lit(hi)),
+                             F.struct(F.lit(j).alias("band"), F.col(f"c{i}").alias("value"),
+                                      F.lit(rank - below[f"b{j}"]).cast("bigint").alias("rank")))
+                      for j, (i, _, lo, hi, rank) in enumerate(bands)])
+    counted = (data.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("x")).select("x.*")
+               .groupBy("band", "rank", "value").agg(F.count(F.lit(1)).alias("n")))
+    run = Window.partitionBy("band").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("upto", F.sum("n").over(run))
+    hits = ranked.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+    found = {r["band"]: r["value"] for r in hits.select("band", "value").collect()}
+    for j, (i, k, lo, hi, rank) in enumerate(bands):
+        if j not in found:
+            raise ValueError(f"no row of rank {rank} of {cols[i]} in [{lo}, {hi}]")
+        out[cols[i], ps[k]] = found[j]
     return out
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str] | None = None,
                   accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    """Long form of ``DataFrame.summary()``: (column_name, statistic, value).
-
-    Booleans and strings are left out, as ``summary()`` leaves them out of
-    the numeric statistics; values are doubles instead of strings. The
-    numeric projection is persisted while the statistics are fitted: one
-    job for the means, the exact quartiles (``exact_quantiles``), and one
-    aggregate for counts, centred variances and extremes. Each job returns
-    one row per column at most; the result (columns x 8 rows) is built from
-    them, and the cache is released.
+    """Long form of ``DataFrame.summary()``: (column_name, statistic, value, text).
+
+    Numeric columns have all statistics as ``value``; string columns have the
+    count as ``value`` and min and max as ``text``, and null for the rest.
+    Booleans and other types are left out, as in ``summary()``. The chosen
+    columns are persisted while the statistics are fitted and released after:
+    one aggregate for all but the quartiles, then ``exact_quantiles``.
     """
-    cols = list(columns) if columns is not None else numeric_columns(df)
-    spark = df.sparkSession
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = list(columns) if columns is not None else df.columns
+    numeric = [c for c in cols if isinstance(types[c], NUMERIC_TYPES)]
+    strings = [c for c in cols if isinstance(types[c], T.StringType)]
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in numeric], *strings).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        means = data.agg(*[exact_mean(F.col(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-        aggs = []
-        for i, c in enumerate(cols):
-            x = F.col(c)
-            m = F.lit(means[f"m{i}"]).cast("double")
-            aggs += [F.count(x).cast("double").alias(f"s{i}_count"),
-                     F.sqrt(exact_variance(x, m, population=False)).alias(f"s{i}_stddev"),
-                     F.min(x).alias(f"s{i}_min"), F.max(x).alias(f"s{i}_max")]
-        one = data.agg(*aggs).first()
-        quart = exact_quantiles(data, cols, QUARTILES, accuracy)
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        for c in numeric + strings:
+            aggs += [F.count(c).cast("double").alias(f"{c} count"), F.min(c).alias(f"{c} min"), F.max(c).alias(f"{c} max")]
+        for c in numeric:
+            aggs += [F.avg(c).alias(f"{c} mean"), F.stddev_samp(c).alias(f"{c} stddev")]
+        one = data.agg(*aggs).first().asDict()
+        quartiles = exact_quantiles(data, numeric, QUARTILES, accuracy)
     finally:
         data.unpersist()
+    one |= {f"{c} {round(100 * p)}%": q for (c, p), q in quartiles.items()}
     rows = []
-    for i, c in enumerate(cols):
-        vals = {"count": one[f"s{i}_count"], "mean": means[f"m{i}"],
-                "stddev": one[f"s{i}_stddev"], "min": one[f"s{i}_min"],
-                "25%": quart[(c, 0.25)], "50%": quart[(c, 0.5)], "75%": quart[(c, 0.75)],
-                "max": one[f"s{i}_max"]}
-        rows += [(c, st, None if vals[st] is None else float(vals[st])) for st in SUMMARY_STATISTICS]
-    return spark.createDataFrame(rows, "column_name string, statistic string, value double")
+    for c in cols:
+        if c in numeric or c in strings:
+            for st in SUMMARY_STATISTICS:
+                v = one.get(f"{c} {st}")
+                rows.append((c, st, None if isinstance(v, str) or v is None else float(v), v if isinstance(v, str) else None))
+    return df.sparkSession.createDataFrame(rows, "column_name string, statistic string, value double, text string")
 
 
 def data_profile(df: DataFrame, columns: Sequence[str] | None = None,
                  exact_distinct: bool = False, rsd: float = 0.05) -> DataFrame:
     """Per column: type, rows, nulls, distinct values, min, max, mean.
 
-    Numeric and boolean columns (booleans as 0/1) get min/max/mean; strings
-    get null there. The table is first turned into long form
-    (column_name, text, number) and grouped by column, so the aggregate stays
-    small however many columns there are.
-
-    Distinct counts: HyperLogLog++ estimates by default (fixed memory per
-    column, one shuffle of per-partition sketches); ``exact_distinct`` groups
-    by (column, value) first, with map-side combining, and counts the groups.
+    Numeric and boolean columns (booleans as 0/1) get min/max/mean; other types
+    get null there. One aggregate over the columns as they are, turned into one
+    row per column at the end. Distinct counts are HyperLogLog++ estimates
+    (fixed memory per column); ``exact_distinct`` asks Spark for exact ones,
+    which shuffles the distinct values.
     """
     cols = list(columns) if columns is not None else df.columns
     types = dict(df.dtypes)
-
-    def number(c):
+    plain = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
         t = types[c]
-        if t == "boolean":
-            return F.col(c).cast("int").cast("double")
-        if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
-            return F.col(c).cast("double")
-        return F.lit(None).cast("double")
-
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-                               F.col(c).cast("string").alias("text"), number(c).alias("num"))
-                      for c in cols])
-    long = df.select(F.explode(cells).alias("cell")).select("cell.*")
-    if exact_distinct:
-        per_value = long.groupBy("column_name", "data_type", "text").agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("num").alias("num"),
-            exact_integer_sum(F.round(F.col("num") * F.lit(1e6)).cast("bigint")).alias("fp"))
-        out = per_value.groupBy("column_name", "data_type").agg(
-            F.sum("cnt").alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("text").isNull(), F.col("cnt"))), F.lit(0)).alias("n_nulls"),
-            F.count("text").alias("n_distinct"),
-            F.min("num").alias("min_value"), F.max("num").alias("max_value"),
-            (F.sum("fp").cast("double") / F.sum(F.when(F.col("num").isNotNull(), F.col("cnt")))
-             / F.lit(1e6)).alias("mean_value"))
-    else:
-        out = long.groupBy("column_name", "data_type").agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count(F.when(F.col("text").isNull(), F.lit(1))).alias("n_nulls"),
-            F.approx_count_distinct("text", rsd).alias("n_distinct"),
-            F.min("num").alias("min_value"), F.max("num").alias("max_value"),
-            exact_mean("num").alias("mean_value"))
-    return out.select("column_name", "data_type", F.col("n_rows").cast("bigint").alias("n_rows"),
-                      F.col("n_nulls").cast("bigint").alias("n_nulls"),
-                      F.col("n_distinct").cast("bigint").alias("n_distinct"),
-                      "min_value", "max_value", "mean_value")
+        x = (F.col(c).cast("int").cast("double") if t == "boolean" else F.col(c).cast("double")
+             if t in plain or t.startswith("decimal") else F.lit(None).cast("double"))
+        aggs += [F.count(c).alias(f"n{i}"),
+                 (F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c, rsd)).alias(f"d{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"m{i}")]
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), F.col("rows").alias("n_rows"),
+        (F.col("rows") - F.col(f"n{i}")).alias("n_nulls"), F.col(f"d{i}").alias("n_distinct"),
+        F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"), F.col(f"m{i}").alias("mean_value"))
+        for i, c in enumerate(cols)])
+    return df.agg(*aggs).select(F.inline(rows))
 
 
 def _melt(df: DataFrame, columns: Iterable[str], value_type: str = "string") -> DataFrame:

@@ -14,54 +14,48 @@ Stratified split without a per-label window over all rows: a window
 3. running counts over that small table give, per bucket, how many rows of
    the class sort before it, and the per-class target ``floor(n * fraction)``;
 4. rows in buckets wholly below the target go to train, wholly above to
-   validation, with no shuffle (map side, after a broadcast join to the small
-   table, whose size is checked first);
+   validation, by a null-safe join with the small table, whose strategy AQE
+   picks from its measured size;
 5. only rows of the one boundary bucket per class are ranked, by
    ``(hash, key)``, in a window partitioned by (label, bucket).
 
 The result equals ``row_number() OVER (PARTITION BY label ORDER BY hash, key)
-<= floor(n * fraction)``.
+<= floor(n * fraction)``. Rows whose label is null are a class of their own; a
+null key is hashed like an empty one and ranked before it. No row is dropped.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrix.functions.hashing import seeded_hash32
+from attrix.functions.hashing import seeded_hash32, seeded_hash60
 
 BUCKET_BITS = 16
-# Largest per-(label, bucket) count table we broadcast: rows, ~40 bytes each.
-MAX_BROADCAST_ROWS = 1 << 20
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """Rows whose seeded key hash falls in the first ``fraction`` of 10,000 slots."""
-    slots = int(round(fraction * 10000))
-    return df.filter(seeded_hash32(key, seed) % 10000 < slots)
+    """Rows whose seeded 60-bit key hash lies below ``fraction`` of its range."""
+    return df.filter(seeded_hash60(key, seed) < F.lit(sample_limit(fraction)))
+
+
+def sample_limit(fraction: float) -> int:
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction must lie in 0..1, not {fraction}")
+    return round(fraction * (1 << 60))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train_fraction: float, seed: int,
-                     split_col: str = "split",
-                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                     split_col: str = "split") -> DataFrame:
     """Add ``split`` = 'train' / 'validation', stratified by ``label``."""
-    shift = 32 - BUCKET_BITS
     tagged = (df.withColumn("__h", seeded_hash32(key, seed))
-                .withColumn("__b", F.shiftright(F.col("__h"), shift)))
-    counts = tagged.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    by_bucket = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_label = Window.partitionBy(label)
-    cum = (counts
-           .withColumn("__before", F.coalesce(F.sum("__n").over(by_bucket), F.lit(0)))
-           .withColumn("__k", F.floor(F.sum("__n").over(per_label) * F.lit(float(train_fraction))))
-           .select(label, "__b", "__before", "__n", "__k"))
-    cum = cum.persist(StorageLevel.MEMORY_AND_DISK)
-    # Size check before broadcasting: the table is bounded by
-    # n_labels * 2**BUCKET_BITS rows; refuse to broadcast beyond the cap.
-    small = cum.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    side = F.broadcast(cum) if small else cum
-    j = tagged.join(side, on=[label, "__b"], how="inner")
+                .withColumn("__b", F.shiftright(F.col("__h"), 32 - BUCKET_BITS)))
+    counts = tagged.groupBy(F.col(label).alias("__label"), F.col("__b").alias("__bucket")).agg(F.count(F.lit(1)).alias("__n"))
+    by_bucket = Window.partitionBy("__label").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per_label = Window.partitionBy("__label")
+    cum = counts.select("__label", "__bucket", "__n", F.coalesce(F.sum("__n").over(by_bucket), F.lit(0)).alias("__before"),
+                        F.floor(F.sum("__n").over(per_label) * F.lit(float(train_fraction))).alias("__k"))
+    j = tagged.join(cum, F.col(label).eqNullSafe(F.col("__label")) & (F.col("__b") == F.col("__bucket")), "inner")
     lo = F.col("__before")
     hi = F.col("__before") + F.col("__n")
     k = F.col("__k")
@@ -74,7 +68,7 @@ def stratified_split(df: DataFrame, key: str, label: str, train_fraction: float,
                          .otherwise(F.lit("validation")))
              .drop("__rn"))
     out = clear.unionByName(edge)
-    return out.drop("__h", "__b", "__before", "__n", "__k")
+    return out.drop("__h", "__b", "__label", "__bucket", "__before", "__n", "__k")
 
 
 def split_frames(df: DataFrame, key: str, label: str, train_fraction: float, seed: int

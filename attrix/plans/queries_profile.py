@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrix.functions.fixedpoint import exact_mean_sql, exact_variance_sql
 from attrix.functions.metrics import accuracy, log_loss
+from attrix.functions.rounding import decimals, decimals_sql, significant, significant_sql
 from attrix.operators import explain as X
 from attrix.operators import profile as P
 from attrix.operators.preprocess import (
@@ -46,37 +46,49 @@ def _union(parts: list[str]) -> str:
 # --------------------------------------------------------------------------
 # Summary statistics (long form)
 
-def _summary_sql(table: str, cols: list[str]) -> str:
+def _summary_sql(table: str, numeric: list[str], strings: list[str] = ()) -> str:
     aggs, parts = [], []
-    for i, c in enumerate(cols):
-        x = f"CAST({c} AS DOUBLE)"
-        m = exact_mean_sql(x)
-        aggs += [f"CAST(count({x}) AS DOUBLE) AS a{i}_count", f"{m} AS a{i}_mean",
-                 f"sqrt({exact_variance_sql(x, f'(SELECT {m} FROM {table})', population=False)}) "
-                 f"AS a{i}_stddev",
-                 f"min({x}) AS a{i}_min", f"quantile_disc({x}, 0.25) AS a{i}_q1",
-                 f"quantile_disc({x}, 0.5) AS a{i}_q2", f"quantile_disc({x}, 0.75) AS a{i}_q3",
-                 f"max({x}) AS a{i}_max"]
-        for stat, col in [("count", "count"), ("mean", "mean"), ("stddev", "stddev"),
-                          ("min", "min"), ("25%", "q1"), ("50%", "q2"), ("75%", "q3"),
-                          ("max", "max")]:
-            parts.append(f"SELECT '{c}' AS column_name, '{stat}' AS statistic, "
-                         f"CAST(a{i}_{col} AS DOUBLE) AS value FROM agg")
+    for i, c in enumerate([*numeric, *strings]):
+        if c in strings:
+            aggs += [f"CAST(count({c}) AS DOUBLE) AS a{i}_count", f"min({c}) AS a{i}_min", f"max({c}) AS a{i}_max"]
+            values, texts = {"count": "count"}, {"min": "min", "max": "max"}
+        else:
+            x = f"CAST({c} AS DOUBLE)"
+            aggs += [f"CAST(count({x}) AS DOUBLE) AS a{i}_count", f"{significant_sql(f'avg({x})')} AS a{i}_mean",
+                     f"{significant_sql(f'stddev_samp({x})')} AS a{i}_stddev",
+                     f"min({x}) AS a{i}_min", f"quantile_disc({x}, 0.25) AS a{i}_q1",
+                     f"quantile_disc({x}, 0.5) AS a{i}_q2", f"quantile_disc({x}, 0.75) AS a{i}_q3",
+                     f"max({x}) AS a{i}_max"]
+            values, texts = {"count": "count", "mean": "mean", "stddev": "stddev", "min": "min", "25%": "q1",
+                             "50%": "q2", "75%": "q3", "max": "max"}, {}
+        for stat in P.SUMMARY_STATISTICS:
+            value = f"a{i}_{values[stat]}" if stat in values else "NULL"
+            text = f"a{i}_{texts[stat]}" if stat in texts else "NULL"
+            parts.append(f"SELECT '{c}' AS column_name, '{stat}' AS statistic, CAST({value} AS DOUBLE) AS value, "
+                         f"CAST({text} AS VARCHAR) AS text FROM agg")
     return (f",\nagg AS (SELECT {', '.join(aggs)} FROM {table})\n" + _union(parts))
 
 
+def _summary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The summary with its computed figures rounded for comparison."""
+    computed = F.col("statistic").isin("mean", "stddev")
+    return P.summary_stats(df, columns).withColumn(
+        "value", F.when(computed, significant("value")).otherwise(F.col("value")))
+
+
 @register("summary_stats", with_features("").rstrip() + _summary_sql("demographic_service",
-                                                                      SUMMARY_COLUMNS))
+                                                                      SUMMARY_COLUMNS, CATEGORICAL_FEATURES))
 def q_summary_stats(spark, sf_dir):
-    return P.summary_stats(_ts(spark, sf_dir), SUMMARY_COLUMNS)
+    return _summary(_ts(spark, sf_dir), SUMMARY_COLUMNS + CATEGORICAL_FEATURES)
 
 
-_ORDER_SUMMARY = ["o_totalprice", "o_orderkey"]
+_ORDER_NUMERIC = ["o_orderkey", "o_custkey", "o_totalprice"]
+_ORDER_STRINGS = ["o_orderstatus", "o_orderpriority"]
 
 
-@register("summary_orders", "WITH o AS (SELECT * FROM orders)" + _summary_sql("o", _ORDER_SUMMARY))
+@register("summary_orders", "WITH o AS (SELECT * FROM orders)" + _summary_sql("o", _ORDER_NUMERIC, _ORDER_STRINGS))
 def q_summary_orders(spark, sf_dir):
-    return P.summary_stats(tbl(spark, sf_dir, "orders"), _ORDER_SUMMARY)
+    return _summary(tbl(spark, sf_dir, "orders"), _ORDER_NUMERIC + _ORDER_STRINGS)
 
 
 # --------------------------------------------------------------------------
@@ -90,7 +102,7 @@ def _profile_sql(types: dict[str, str] = TRAINING_TYPES, table: str = "demograph
             mn = mx = mean = "CAST(NULL AS DOUBLE)"
         else:
             x = f"CAST(CAST({c} AS INTEGER) AS DOUBLE)" if t == "boolean" else f"CAST({c} AS DOUBLE)"
-            mn, mx, mean = f"min({x})", f"max({x})", exact_mean_sql(x)
+            mn, mx, mean = f"min({x})", f"max({x})", significant_sql(f"avg({x})")
         parts.append(
             f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
             f"count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct, "
@@ -98,9 +110,13 @@ def _profile_sql(types: dict[str, str] = TRAINING_TYPES, table: str = "demograph
     return wrap(_union(parts))
 
 
+def _profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    return P.data_profile(df, columns, exact_distinct=True).withColumn("mean_value", significant("mean_value"))
+
+
 @register("data_profile", _profile_sql())
 def q_data_profile(spark, sf_dir):
-    return P.data_profile(_ts(spark, sf_dir), list(TRAINING_TYPES), exact_distinct=True)
+    return _profile(_ts(spark, sf_dir), list(TRAINING_TYPES))
 
 
 @register("data_profile_approx")
@@ -109,6 +125,19 @@ def q_data_profile_approx(spark, sf_dir):
     return P.data_profile(_ts(spark, sf_dir), list(TRAINING_TYPES))
 
 
+@register("data_profile_approx_check", with_features(_union(
+    [f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS within_bound "
+     f"FROM demographic_service" for c in TRAINING_TYPES])))
+def q_data_profile_approx_check(spark, sf_dir):
+    """The estimates against the exact counts: within four standard errors (rsd 0.05)."""
+    ts = _ts(spark, sf_dir)
+    exact = P.data_profile(ts, list(TRAINING_TYPES), exact_distinct=True).select(
+        "column_name", F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return P.data_profile(ts, list(TRAINING_TYPES)).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", (off <= F.greatest(F.lit(1.0), F.col("exact") * 0.2)).alias("within_bound"))
+
+
 HIST_COLUMNS = NUMERIC_FEATURES
 
 
@@ -165,12 +194,12 @@ def q_category_vocabulary(spark, sf_dir):
 
 @register("impute_mean", with_features(
     "SELECT customerID, " + ", ".join(
-        f"COALESCE(CAST({c} AS DOUBLE), (SELECT {exact_mean_sql(f'CAST({c} AS DOUBLE)', 9)} "
-        f"FROM demographic_service)) AS {c}" for c in NUMERIC_FEATURES)
+        significant_sql(f"COALESCE(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM demographic_service))")
+        + f" AS {c}" for c in NUMERIC_FEATURES)
     + " FROM demographic_service"))
 def q_impute_mean(spark, sf_dir):
     ts = _ts(spark, sf_dir).select(KEY, *NUMERIC_FEATURES)
-    return impute_columns(ts, NUMERIC_FEATURES, "mean")
+    return impute_columns(ts, NUMERIC_FEATURES, "mean").select(KEY, *[significant(c).alias(c) for c in NUMERIC_FEATURES])
 
 
 def _mode_sql(c: str) -> str:
@@ -190,9 +219,9 @@ def q_impute_mode(spark, sf_dir):
 
 def _std_sql(c: str) -> str:
     x = f"CAST({c} AS DOUBLE)"
-    m = f"(SELECT {exact_mean_sql(x, 9)} FROM demographic_service)"
-    s = f"(SELECT sqrt({exact_variance_sql(x, m)}) FROM demographic_service)"
-    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {s} = 0 THEN 0e0 ELSE ({x} - {m}) / {s} END AS {c}"
+    m = f"(SELECT avg({x}) FROM demographic_service)"
+    s = f"(SELECT stddev_pop({x}) FROM demographic_service)"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {s} = 0 THEN 0e0 ELSE {decimals_sql(f'({x} - {m}) / {s}')} END AS {c}"
 
 
 @register("standardise", with_features(
@@ -200,7 +229,8 @@ def _std_sql(c: str) -> str:
     + " FROM demographic_service"))
 def q_standardise(spark, sf_dir):
     ts = _ts(spark, sf_dir).select(KEY, *NUMERIC_FEATURES)
-    return standardise_columns(ts, NUMERIC_FEATURES, population=True)
+    return standardise_columns(ts, NUMERIC_FEATURES, population=True).select(
+        KEY, *[decimals(c).alias(c) for c in NUMERIC_FEATURES])
 
 
 # --------------------------------------------------------------------------
@@ -221,11 +251,11 @@ def _p_sql(w: float) -> str:
 
 def _logloss_sql(p: str) -> str:
     pc = f"least(greatest({p}, 1e-15), 1e0 - 1e-15)"
-    return exact_mean_sql(f"-ln(CASE WHEN Churn = 1 THEN {pc} ELSE 1e0 - {pc} END)", 12)
+    return significant_sql(f"avg(-ln(CASE WHEN Churn = 1 THEN {pc} ELSE 1e0 - {pc} END))")
 
 
 def _acc_sql(p: str) -> str:
-    return (f"avg(CASE WHEN CAST(CASE WHEN {p} > 0.5 THEN 1 ELSE 0 END AS DOUBLE) = "
+    return significant_sql(f"avg(CASE WHEN CAST(CASE WHEN {p} > 0.5 THEN 1 ELSE 0 END AS DOUBLE) = "
             f"CAST(Churn AS DOUBLE) THEN 1e0 ELSE 0e0 END)")
 
 
@@ -235,7 +265,7 @@ def _acc_sql(p: str) -> str:
 def q_metric_accuracy(spark, sf_dir):
     s = scorecard(_ts(spark, sf_dir), 1.0)
     return s.rollup(F.col("PaymentMethod").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n_rows"), accuracy(LABEL, "prediction").alias("accuracy"))
+        F.count(F.lit(1)).alias("n_rows"), significant(accuracy(LABEL, "prediction")).alias("accuracy"))
 
 
 @register("metric_log_loss", with_features(
@@ -244,7 +274,7 @@ def q_metric_accuracy(spark, sf_dir):
 def q_metric_log_loss(spark, sf_dir):
     s = scorecard(_ts(spark, sf_dir), 1.0)
     return s.rollup(F.col("PaymentMethod").alias("segment")).agg(
-        F.count(F.lit(1)).alias("n_rows"), log_loss(LABEL, "p_churn").alias("log_loss"))
+        F.count(F.lit(1)).alias("n_rows"), significant(log_loss(LABEL, "p_churn")).alias("log_loss"))
 
 
 # Fixed trials: the seeded draws of the search space; trial t scores with the
@@ -262,7 +292,7 @@ def fixed_trials(spark, sf_dir) -> DataFrame:
     p = (F.col("NumOptionalServices") + F.col("w")) / (F.lit(6.0) + F.lit(2.0) * F.col("w"))
     x = x.withColumns({"p_churn": p, "prediction": F.when(p > 0.5, F.lit(1)).otherwise(F.lit(0))})
     return x.groupBy("trial_id", F.col("w").alias("min_child_weight")).agg(
-        log_loss(LABEL, "p_churn").alias("log_loss"), accuracy(LABEL, "prediction").alias("accuracy"))
+        significant(log_loss(LABEL, "p_churn")).alias("log_loss"), significant(accuracy(LABEL, "prediction")).alias("accuracy"))
 
 
 def _fixed_trials_sql() -> str:
@@ -292,9 +322,7 @@ def q_promotion_gate(spark, sf_dir):
 
 @register("group_difference", with_features(
     "SELECT feature, count(CASE WHEN g THEN 1 END) AS n_in_group, "
-    "count(CASE WHEN NOT g THEN 1 END) AS n_out_group, "
-    f"{exact_mean_sql('CASE WHEN g THEN v END', 9)} - {exact_mean_sql('CASE WHEN NOT g THEN v END', 9)}"
-    " AS difference FROM ("
+    "count(CASE WHEN NOT g THEN 1 END) AS n_out_group, " + decimals_sql("avg(CASE WHEN g THEN v END) - avg(CASE WHEN NOT g THEN v END)", 6) + " AS difference FROM ("
     + _union([f"SELECT customerID, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, gender = 'Male' AS g "
               f"FROM demographic_service WHERE Churn = 1" for c in NUMERIC_FEATURES])
     + ") l GROUP BY feature"))
@@ -303,7 +331,7 @@ def q_group_difference(spark, sf_dir):
     long = churners.select(KEY, *[F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES]) \
         .unpivot([KEY], NUMERIC_FEATURES, "feature", "phi")
     groups = churners.select(KEY, (F.col("gender") == "Male").alias("is_male"))
-    return X.group_difference(long, KEY, groups, "is_male", exact_digits=9)
+    return X.group_difference(long, KEY, groups, "is_male").withColumn("difference", decimals("difference", 6))
 
 
 __all__ = ["scorecard", "fixed_trials"]
@@ -316,7 +344,9 @@ LINEITEM_TYPES = {
     "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
-LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_tax"]
+LINEITEM_STRINGS = ["l_returnflag", "l_linestatus"]
 
 
 def _plain(sql: str) -> str:
@@ -325,7 +355,7 @@ def _plain(sql: str) -> str:
 
 @register("lineitem_profile", _profile_sql(LINEITEM_TYPES, "lineitem", _plain))
 def q_lineitem_profile(spark, sf_dir):
-    return P.data_profile(tbl(spark, sf_dir, "lineitem"), list(LINEITEM_TYPES), exact_distinct=True)
+    return _profile(tbl(spark, sf_dir, "lineitem"), list(LINEITEM_TYPES))
 
 
 @register("lineitem_histogram", _hist_sql(10, LINEITEM_NUMERIC, "lineitem", _plain))
@@ -333,6 +363,6 @@ def q_lineitem_histogram(spark, sf_dir):
     return P.histogram(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC, bins=10)
 
 
-@register("lineitem_summary", "WITH li AS (SELECT * FROM lineitem)" + _summary_sql("li", LINEITEM_NUMERIC))
+@register("lineitem_summary", "WITH li AS (SELECT * FROM lineitem)" + _summary_sql("li", LINEITEM_NUMERIC, LINEITEM_STRINGS))
 def q_lineitem_summary(spark, sf_dir):
-    return P.summary_stats(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC)
+    return _summary(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC + LINEITEM_STRINGS)

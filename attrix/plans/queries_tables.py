@@ -31,9 +31,7 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows -> CSV (blanks kept) -> read with the explicit schema -> standardise."""
     path = scratch_path(spark, "csv_telco")
     raw = frames(spark, sf_dir).raw.withColumn("customerID", F.col("customerID").cast("string"))
-    (raw.write.mode("errorifexists").option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+    CSV.write_csv(raw, path)
     back = CSV.read_csv(spark, path, schema=CSV.RAW_CUSTOMER_SCHEMA)
     back = back.withColumn("customerID", F.col("customerID").cast("bigint"))
     return standardise_customers(back)

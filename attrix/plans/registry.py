@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrix.functions import columns as C
-from attrix.functions.fixedpoint import exact_mean, exact_mean_sql
-from attrix.functions.hashing import seeded_hash32_sql
+from attrix.functions.hashing import seeded_hash32_sql, seeded_hash60_sql
+from attrix.functions.rounding import significant, significant_sql
 from attrix.operators import sampling
 from attrix.operators.lookup import FeatureLookup, create_training_set
+from attrix.operators.preprocess import CATEGORICAL_FEATURES
 from attrix.operators.service import compute_service_features, select_except
 from attrix.plans.frames import KEY, LABEL, frames, tbl
 from attrix.plans.oracle import with_features
@@ -40,18 +41,18 @@ def churn_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_customers"),
         F.sum("Churn").cast("bigint").alias("n_churned"),
         (F.sum("Churn") / F.count(F.lit(1))).alias("churn_rate"),
-        exact_mean("tenure").alias("avg_tenure"),
-        exact_mean("AvgPriceIncrease").alias("avg_price_increase"),
-        exact_mean("NumOptionalServices").alias("avg_optional_services"),
+        significant(F.avg("tenure")).alias("avg_tenure"),
+        significant(F.avg("AvgPriceIncrease")).alias("avg_price_increase"),
+        significant(F.avg("NumOptionalServices")).alias("avg_optional_services"),
     )
 
 
 register("churn_by_segment", with_features(f"""
 SELECT PaymentMethod AS segment, count(*) AS n_customers,
   CAST(sum(Churn) AS BIGINT) AS n_churned, sum(Churn) / count(*) AS churn_rate,
-  {exact_mean_sql('tenure')} AS avg_tenure,
-  {exact_mean_sql('AvgPriceIncrease')} AS avg_price_increase,
-  {exact_mean_sql('NumOptionalServices')} AS avg_optional_services
+  {significant_sql('avg(CAST(tenure AS DOUBLE))')} AS avg_tenure,
+  {significant_sql('avg(CAST(AvgPriceIncrease AS DOUBLE))')} AS avg_price_increase,
+  {significant_sql('avg(CAST(NumOptionalServices AS DOUBLE))')} AS avg_optional_services
 FROM demographic_service GROUP BY PaymentMethod"""))(churn_by_segment)
 
 
@@ -156,16 +157,12 @@ def q_avg_price_increase(spark, sf_dir):
     return telco.select(KEY, C.avg_price_increase().alias("AvgPriceIncrease"))
 
 
-_CATS = ["DeviceProtection", "InternetService", "MultipleLines", "OnlineBackup", "OnlineSecurity",
-         "PaymentMethod", "StreamingMovies", "StreamingTV", "TechSupport", "gender"]
-
-
 @register("impute_constant", with_features(
-    "SELECT customerID, " + ", ".join(f"COALESCE({c}, '{C.MISSING_CATEGORY}') AS {c}" for c in _CATS)
+    "SELECT customerID, " + ", ".join(f"COALESCE({c}, '{C.MISSING_CATEGORY}') AS {c}" for c in CATEGORICAL_FEATURES)
     + " FROM demographic_service"))
 def q_impute_constant(spark, sf_dir):
     ts = frames(spark, sf_dir).training_set()
-    return ts.select(KEY, *[C.impute_constant(c).alias(c) for c in _CATS])
+    return ts.select(KEY, *[C.impute_constant(c).alias(c) for c in CATEGORICAL_FEATURES])
 
 
 @register("service_features", with_features("SELECT * FROM service_features"))
@@ -290,13 +287,12 @@ def q_input_example(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Sampling and splitting
 
-_H_SAMPLE = seeded_hash32_sql("customerID", SAMPLE_SEED)
+_H_SAMPLE = seeded_hash60_sql("customerID", SAMPLE_SEED)
 _H_SPLIT = seeded_hash32_sql("customerID", SPLIT_SEED)
 
 
 @register("hash_sample", with_features(
-    f"SELECT * FROM demographic_service WHERE {_H_SAMPLE} % 10000 < "
-    f"{int(round(EXPLAIN_SAMPLE_FRACTION * 10000))}"))
+    f"SELECT * FROM demographic_service WHERE {_H_SAMPLE} < {sampling.sample_limit(EXPLAIN_SAMPLE_FRACTION)}"))
 def q_hash_sample(spark, sf_dir):
     ts = frames(spark, sf_dir).training_set()
     return sampling.hash_sample(ts, KEY, EXPLAIN_SAMPLE_FRACTION, SAMPLE_SEED)
@@ -327,6 +323,25 @@ def q_stratified_split_sizes(spark, sf_dir):
     return out.groupBy(LABEL, "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_H_ORDERS = seeded_hash32_sql("k", SPLIT_SEED)
+
+
+@register("stratified_split_nulls", f"""
+WITH o AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS k,
+                  CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS label FROM orders)
+SELECT label, split, k IS NULL AS null_key, count(*) AS n_rows FROM (
+  SELECT k, label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {_H_ORDERS}, k NULLS FIRST)
+    <= floor(count(*) OVER (PARTITION BY label) * {TRAIN_FRACTION}e0) THEN 'train' ELSE 'validation' END AS split
+  FROM o) GROUP BY ALL""")
+def q_stratified_split_nulls(spark, sf_dir):
+    """Null labels are a class, null keys stay: no row is lost."""
+    o = tbl(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("k"),
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderstatus")).alias("label"))
+    out = sampling.stratified_split(o, "k", "label", TRAIN_FRACTION, SPLIT_SEED)
+    return out.groupBy("label", "split", F.col("k").isNull().alias("null_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # The other query groups register themselves on import.
 from attrix.plans import queries_model, queries_profile, queries_tables  # noqa: E402,F401
 

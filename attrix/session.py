@@ -9,6 +9,7 @@ unset (local tests) do we pick a folder ourselves and register it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,6 +50,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="attrix-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     jsc = spark.sparkContext

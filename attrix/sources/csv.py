@@ -42,6 +42,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              infer: bool = False, header: bool = True, **options: str) -> DataFrame:
     r = spark.read.format("csv").option("header", header)
     r = r.option("timestampNTZFormat", _TS_NTZ)
+    r = r.option("enforceSchema", False)  # a header that does not match the schema is an error
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -52,7 +53,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
-    """Write CSV; microsecond timestamps are kept (default cuts to millis)."""
+    """Write CSV; microsecond timestamps (default cuts to millis) and blanks around values are kept."""
     (df.write.mode(mode).option("header", header)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .option("timestampNTZFormat", _TS_NTZ)
        .csv(path))

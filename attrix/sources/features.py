@@ -2,7 +2,7 @@
 
 A feature table is an external Parquet table with a declared primary key
 (kept in table properties). Every write checks the key (no nulls, no
-duplicates) and lands in a fresh version folder; the catalog entry is then
+duplicates) and lands in a fresh folder of its own attempt; the catalog entry is then
 pointed at it (``ALTER TABLE ... SET LOCATION``). A merge therefore never
 overwrites the files it is reading, and readers of the old version are not
 disturbed mid-write. Old versions are left in place.
@@ -16,6 +16,8 @@ Write modes:
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrix.session import scratch_path
-from attrix.sources.tables import bucket_spec, table_exists
+from attrix.sources.tables import bucket_spec, table_exists, table_location
 
 PROP_KEYS = "attrix.primary_keys"
 PROP_ROOT = "attrix.root"
-PROP_VERSION = "attrix.version"
 
 
 class FeatureTableError(ValueError):
@@ -97,14 +98,15 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Ite
     if buckets:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         key_list = ", ".join(f"`{k}`" for k in keys)
-        comment = f" COMMENT '{description}'" if description else ""
+        quoted = description.replace("\\", "\\\\").replace("'", "\\'")
+        comment = f" COMMENT '{quoted}'" if description else ""
         spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key_list}) "
                   f"SORTED BY ({key_list}) INTO {int(buckets)} BUCKETS LOCATION '{first}'{comment}")
     else:
         spark.catalog.createTable(name, path=first, source="parquet", schema=schema,
                                   description=description or None)
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ("
-              f"'{PROP_KEYS}'='{','.join(keys)}', '{PROP_ROOT}'='{root}', '{PROP_VERSION}'='0')")
+              f"'{PROP_KEYS}'='{','.join(keys)}', '{PROP_ROOT}'='{root}')")
     if df is not None:
         write_features(spark, name, df, mode="merge")
     return root
@@ -136,42 +138,59 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def write_features(spark: SparkSession, name: str, df: DataFrame, mode: str = "merge") -> str:
-    """Validate keys, write the new version to a fresh folder, swap."""
+    """Write the new version to a folder of this attempt, check its keys, swap.
+
+    The folder name is unique to the attempt, so what a failed write left
+    behind is never in the way. The rows are derived once: keys are checked on
+    the written files (the new rows' own keys too, since a merge would hide a
+    repeated key). The swap is one statement, the table's location; the version
+    number is read from it.
+    """
     if mode not in ("merge", "overwrite"):
         raise FeatureTableError(f"unsupported mode {mode!r}")
     props = _props(spark, name)
     keys = props[PROP_KEYS].split(",")
     root = props[PROP_ROOT]
-    version = int(props.get(PROP_VERSION, "0")) + 1
+    version = _version(spark, name) + 1
     current = spark.read.table(name)
     table_types = dict(current.dtypes)
     for c, t in df.dtypes:
         if c in table_types and table_types[c] != t:
             raise FeatureTableError(f"column {c} is {t}, table has {table_types[c]}")
-    check_keys(df, keys)
     if mode == "overwrite":
         missing = [c for c in current.columns if c not in df.columns]
         if missing:
             raise FeatureTableError(f"overwrite is missing columns {missing}")
         rows = df.select(*current.columns)
     else:
+        fresh = f"{root}/new-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(fresh)
+        df = spark.read.schema(df.schema).parquet(fresh)
+        check_keys(df, keys)
         rows = merge_rows(current, df, keys)
-    target = f"{root}/v{version:05d}"
+    target = f"{root}/v{version:05d}-{uuid.uuid4().hex[:12]}"
     spec = bucket_spec(spark, name)
     if spec:
         # Bucketed files are written through a temporary external table
         # (its entry is dropped; the files stay and become the new version).
-        tmp = f"{name}__v{version:05d}"
+        tmp = f"{name}__v{version:05d}_{uuid.uuid4().hex[:12]}"
         (rows.write.format("parquet").mode("errorifexists").bucketBy(spec[0], *spec[1])
              .sortBy(*spec[1]).option("path", target).saveAsTable(tmp))
         spark.sql(f"DROP TABLE {tmp}")
     else:
         rows.write.mode("errorifexists").parquet(target)
+    if mode == "overwrite":
+        check_keys(spark.read.schema(rows.schema).parquet(target), keys)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PROP_VERSION}'='{version}')")
     spark.catalog.refreshTable(name)
     return target
 
 
+def _version(spark: SparkSession, name: str) -> int:
+    """The number in the folder name of the table's current version."""
+    m = re.search(r"/v(\d+)(-[0-9a-f]+)?/?$", table_location(spark, name) or "")
+    return int(m[1]) if m else 0
+
+
 def read_features(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)

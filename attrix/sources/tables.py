@@ -54,12 +54,26 @@ def _guard_self_overwrite(df: DataFrame, spark: SparkSession, name: str) -> None
     if not loc:
         return
     loc = _norm(loc)
-    for f in df.inputFiles():
-        f = _norm(f)
-        if f.startswith(loc + "/") or f == loc:
+    for root in _plan_roots(df):
+        if root == loc or root.startswith(loc + "/") or loc.startswith(root + "/"):
             raise ValueError(f"refusing to overwrite {name}: the written plan reads it")
 
 
+def _plan_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file relations in the plan (a few strings, not the list of files)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if "LogicalRelation" not in leaf.getClass().getSimpleName():
+            continue
+        relation = leaf.relation()
+        if hasattr(relation, "location") and "HadoopFsRelation" in relation.getClass().getSimpleName():
+            paths = relation.location().rootPaths()
+            roots += [_norm(paths.apply(k).toString()) for k in range(paths.size())]
+    return roots
+
+
 def write_table(df: DataFrame, name: str, mode: str = "errorifexists",
                 path: str | None = None, partition_by: list[str] | None = None,
                 bucket_by: tuple[int, list[str]] | None = None) -> None:
