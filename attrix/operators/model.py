@@ -35,18 +35,21 @@ from attrix.operators.preprocess import (
 MODEL_SEED = 810302555
 
 
-def _int(x) -> int:
-    return int(round(float(x)))
+def _int(name: str, x, least: int, most: int | None = None) -> int:
+    n = int(round(float(x)))
+    if n < least or (most is not None and n > most):
+        raise ValueError(f"{name}={x} is out of range")
+    return n
 
 
 def gbt_from_params(params: Mapping[str, float], label: str = "Churn",
                     seed: int = MODEL_SEED) -> GBTClassifier:
     return GBTClassifier(
         featuresCol="features", labelCol=label,
-        maxIter=max(1, _int(params["n_estimators"])),
+        maxIter=_int("n_estimators", params["n_estimators"], 1),
         stepSize=float(params["learning_rate"]),
-        maxDepth=min(30, max(1, _int(params["max_depth"]))),
-        minInstancesPerNode=max(1, _int(params["min_child_weight"])),
+        maxDepth=_int("max_depth", params["max_depth"], 1, 30),
+        minInstancesPerNode=_int("min_child_weight", params["min_child_weight"], 1),
         seed=seed)
 
 

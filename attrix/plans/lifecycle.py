@@ -106,12 +106,9 @@ def search_and_fit(df: DataFrame, space=SEARCH_SPACE, max_evals: int = MAX_EVALS
     """Split, search, refit on all rows, evaluate in-sample, save."""
     train, val = sampling.split_frames(df, KEY, LABEL, TRAIN_FRACTION, SPLIT_SEED)
     trials = random_search(train, val, LABEL, space, max_evals, parallelism, seed)
-    trials = trials.cache()
     params = best_params(trials)
     model = fit(build_model(params, label=LABEL), df, LABEL)
-    m = evaluate(score(model, df, keep=[LABEL]), LABEL).first()
-    metrics = {"training_log_loss": float(m["log_loss"]),
-               "training_accuracy_score": float(m["accuracy"])}
+    metrics = training_metrics(model, df)
     if artifact_path and training_set_spec is not None:
         artifacts.log_model(model, artifact_path, training_set_spec, df, KEY, metrics)
     return FitResult(model, trials, params, metrics, artifact_path)
@@ -125,14 +122,20 @@ def gate(spark: SparkSession, artifact_path: str, threshold: float = ACCURACY_GA
     return promotion_gate(metrics, "accuracy", threshold)
 
 
-def explanation_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def training_metrics(model: PipelineModel, df: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """In-sample log loss and accuracy, under the names the gate reads."""
+    m = evaluate(score(model, df, keep=[label]), label).first()
+    return {"training_log_loss": float(m["log_loss"]), "training_accuracy_score": float(m["accuracy"])}
+
+
+def explanation_split(df: DataFrame, fraction: float = EXPLAIN_SAMPLE_FRACTION) -> tuple[DataFrame, DataFrame]:
     """5 % hashed sample, then 25 % of it (stratified) as background.
 
     The split sample is checkpointed (shared checkpoint folder): it is read
     by several joins of the Shapley job, and a short lineage keeps both
     planning and recovery cheap.
     """
-    sample = sampling.hash_sample(df, KEY, EXPLAIN_SAMPLE_FRACTION, SAMPLE_SEED)
+    sample = sampling.hash_sample(df, KEY, fraction, SAMPLE_SEED)
     split = cut_lineage(
         sampling.stratified_split(sample, KEY, LABEL, BACKGROUND_FRACTION, SAMPLE_SEED))
     background = split.filter(F.col("split") == "train").drop("split")

@@ -5,19 +5,36 @@ no oracle (rows-only check); their properties are unit-tested instead
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attrix.functions.columns import MISSING_CATEGORY
+from attrix.functions.hashing import seeded_hash32_sql, seeded_hash60_sql
+from attrix.functions.rounding import decimals, decimals_sql
 from attrix.operators import explain as X
 from attrix.operators import sampling
 from attrix.operators.lookup import FeatureLookup, create_training_set
 from attrix.operators.model import build_model, evaluate, fit, score
-from attrix.operators.preprocess import feature_pipeline
-from attrix.operators.tuning import LogUniform, QUniform, compare_baselines, promotion_gate, random_search
+from attrix.operators.preprocess import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, feature_pipeline
+from attrix.operators.tuning import LogUniform, QUniform, compare_baselines, draw_params, random_search
 from attrix.plans.catalog import register
 from attrix.plans.frames import KEY, LABEL, frames
-from attrix.plans.lifecycle import FEATURES, explanation_split, search_and_fit
+from attrix.plans.lifecycle import (
+    BACKGROUND_FRACTION,
+    EXPLAIN_SAMPLE_FRACTION,
+    FEATURES,
+    SAMPLE_SEED,
+    explanation_split,
+    gate,
+    search_and_fit,
+    setup_tables,
+    training_metrics,
+    training_set,
+)
+from attrix.plans.oracle import with_features
 from attrix.session import cut_lineage, scratch_path
 from attrix.sources import artifacts
 
@@ -31,6 +48,22 @@ QUICK_SPACE = {
 }
 QUICK_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "min_child_weight": 1.0, "n_estimators": 10}
 SPLIT_SEED = 810302555
+CHECK_FRACTION = 0.2
+_H_SPLIT = seeded_hash32_sql("customerID", SPLIT_SEED)
+_H_EXPLAIN = seeded_hash32_sql("customerID", SAMPLE_SEED)
+_SHAPLEY_SQL = f"""
+SELECT customerID, CAST({len(FEATURES)} AS BIGINT) AS n_features, true AS additive, true AS valid FROM (
+  SELECT customerID, row_number() OVER (PARTITION BY Churn ORDER BY {_H_EXPLAIN}, customerID)
+    > floor(count(*) OVER (PARTITION BY Churn) * {BACKGROUND_FRACTION}e0) AS explained
+  FROM demographic_service
+  WHERE {seeded_hash60_sql("customerID", SAMPLE_SEED)} < {sampling.sample_limit(CHECK_FRACTION)}) WHERE explained"""
+
+
+def _union_draws() -> str:
+    rows = [f"SELECT {i} AS trial_id, " + ", ".join(f"{float(v)!r}e0 AS {k}" if "e" not in repr(float(v)) else
+            f"{float(v)!r} AS {k}" for k, v in d.items()) + ", true AS valid"
+            for i, d in enumerate(draw_params(QUICK_SPACE, 8, 42))]
+    return " UNION ALL ".join(rows)
 
 
 def _ts(spark, sf_dir) -> DataFrame:
@@ -93,7 +126,7 @@ def q_score_batch(spark, sf_dir):
     rows = ts_spec.load_df(keep_keys=True)
     model = fit(build_model(QUICK_PARAMS), rows)
     path = scratch_path(spark, "artifact")
-    artifacts.log_model(model, path, ts_spec, rows, KEY, {"training_accuracy_score": 0.0})
+    artifacts.log_model(model, path, ts_spec, rows, KEY, training_metrics(model, rows, LABEL))
     base = f.demographic.drop(LABEL)
     return artifacts.score_batch(spark, path, base,
                                  feature_tables={"service_features": f.service_features}
@@ -109,10 +142,106 @@ def q_hyperparameter_trials(spark, sf_dir):
 @register("refit_and_gate")
 def q_refit_and_gate(spark, sf_dir):
     """Search -> refit on all rows -> in-sample accuracy -> gate at 0.8."""
-    res = search_and_fit(_ts(spark, sf_dir), QUICK_SPACE, max_evals=4, parallelism=4)
-    m = spark.createDataFrame([("churn", res.train_metrics["training_accuracy_score"])],
-                              "model string, accuracy double")
-    return promotion_gate(m, "accuracy")
+    f = frames(spark, sf_dir)
+    spec = create_training_set(f.demographic, [FeatureLookup(table="service_features", lookup_key=KEY,
+                                                             df=f.service_features)], label=LABEL, exclude_columns=KEY)
+    path = scratch_path(spark, "gated")
+    search_and_fit(_ts(spark, sf_dir), QUICK_SPACE, max_evals=8, parallelism=8, artifact_path=path, training_set_spec=spec)
+    return gate(spark, path).withColumn("model", F.lit("churn"))
+
+
+@register("score_batch_catalog")
+def q_score_batch_catalog(spark, sf_dir):
+    """Scored by key from real catalog tables: the saved lookup is resolved by name."""
+    names = setup_tables(spark, sf_dir, f"scoring_{uuid.uuid4().hex[:10]}")
+    spec = training_set(spark, names)
+    rows = cut_lineage(spec.load_df(keep_keys=True))
+    model = fit(build_model(QUICK_PARAMS), rows)
+    path = scratch_path(spark, "catalog-artifact")
+    artifacts.log_model(model, path, spec, rows, KEY, training_metrics(model, rows, LABEL))
+    return artifacts.score_batch(spark, path, spark.read.table(names.demographic).drop(LABEL)).drop("model_path")
+
+
+@register("score_batch_check", with_features(
+    "SELECT customerID, gender, SeniorCitizen, Partner, Dependents, true AS valid FROM demographic"))
+def q_score_batch_check(spark, sf_dir):
+    """Every key is scored once, with a probability and the prediction it implies."""
+    p = F.col("p_churn")
+    valid = p.between(0.0, 1.0) & (F.col("prediction") == F.when(p > 0.5, F.lit(1)).otherwise(F.lit(0)))
+    return q_score_batch_catalog(spark, sf_dir).select(KEY, "gender", "SeniorCitizen", "Partner", "Dependents", valid.alias("valid"))
+
+
+@register("model_save_load_check", with_features("SELECT customerID, true AS same FROM demographic_service"))
+def q_model_save_load_check(spark, sf_dir):
+    return q_model_save_load(spark, sf_dir).select(KEY, "same")
+
+
+@register("hyperparameter_draws_check", _union_draws())
+def q_hyperparameter_draws_check(spark, sf_dir):
+    """The trials carry the seeded draws; metrics lie in their ranges."""
+    t = q_hyperparameter_trials(spark, sf_dir)
+    valid = (F.col("log_loss") > 0) & F.col("accuracy").between(0.0, 1.0)
+    return t.select("trial_id", *[F.col(c).cast("double").alias(c) for c in QUICK_SPACE], valid.alias("valid"))
+
+
+@register("baseline_models_check", with_features(
+    "SELECT m.model, v.n_validation, true AS valid FROM (VALUES ('logistic_regression'), ('random_forest'), "
+    "('gradient_boosted_trees')) m(model), (SELECT CAST(sum(n) AS BIGINT) AS n_validation FROM (SELECT count(*) - "
+    "floor(count(*) * 0.9e0) AS n FROM demographic_service GROUP BY Churn)) v"))
+def q_baseline_models_check(spark, sf_dir):
+    b = q_baseline_models(spark, sf_dir)
+    return b.select("model", "n_validation", ((F.col("log_loss") > 0) & F.col("accuracy").between(0.0, 1.0)).alias("valid"))
+
+
+@register("positive_probability_check", with_features(f"""
+SELECT customerID, Churn, true AS valid FROM (
+  SELECT customerID, Churn, row_number() OVER (PARTITION BY Churn ORDER BY {_H_SPLIT}, customerID)
+    > floor(count(*) OVER (PARTITION BY Churn) * 0.9e0) AS held FROM demographic_service) WHERE held"""))
+def q_positive_probability_check(spark, sf_dir):
+    return q_positive_probability(spark, sf_dir).select(KEY, LABEL, F.col("p_churn").between(0.0, 1.0).alias("valid"))
+
+
+def _vectors_sql() -> str:
+    """The pipeline's vectors in SQL: one row per (customerID, slot)."""
+    cells = []
+    at = 0
+    for c in BOOLEAN_FEATURES:
+        mode = (f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM demographic_service WHERE {c} IS NOT NULL GROUP BY {c}) "
+                "ORDER BY n DESC, v LIMIT 1)")
+        for level in ("false", "true"):
+            cells.append(f"SELECT customerID, {at} AS pos, '' AS name, CASE WHEN coalesce({c}, {mode}) = {level} THEN 1e0 ELSE 0e0 "
+                         "END AS x FROM demographic_service")
+            at += 1
+    for c in NUMERIC_FEATURES:
+        cells.append(f"SELECT customerID, {at} AS pos, '' AS name, coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) "
+                     "FROM demographic_service)) AS x FROM demographic_service")
+        at += 1
+    for c in CATEGORICAL_FEATURES:
+        v = f"coalesce(nullif({c}, ''), '{MISSING_CATEGORY}')"
+        cells.append(f"SELECT d.customerID, {at} AS pos, w.v AS name, CASE WHEN {v.replace(c, 'd.' + c)} = w.v THEN 1e0 ELSE 0e0 END AS x "
+                     f"FROM demographic_service d CROSS JOIN (SELECT DISTINCT {v} AS v FROM demographic_service) w")
+        at += 1
+    return ("SELECT customerID, slot, " + decimals_sql("CASE WHEN s = 0 THEN 0e0 ELSE (x - m) / s END", 6) + " AS value FROM (SELECT customerID, "
+            "CAST(dense_rank() OVER (ORDER BY pos, name) - 1 AS INTEGER) AS slot, x, avg(x) OVER (PARTITION BY pos, name) AS m, "
+            "stddev_pop(x) OVER (PARTITION BY pos, name) AS s FROM (" + "\nUNION ALL\n".join(cells) + ") c) z")
+
+
+@register("preprocess_vectors_check", with_features(_vectors_sql()))
+def q_preprocess_vectors_check(spark, sf_dir):
+    v = q_preprocess_vectors(spark, sf_dir)
+    return v.select(KEY, F.posexplode("features").alias("slot", "x")).select(KEY, "slot", decimals("x", 6).alias("value"))
+
+
+@register("shapley_check", with_features(_SHAPLEY_SQL))
+def q_shapley_check(spark, sf_dir):
+    """Explained keys with their number of features and whether the attributions
+    add up to the prediction minus the base value. The sample is a fifth of the
+    rows here, so that the smallest table has a background."""
+    phi = _explained(spark, sf_dir, fraction=CHECK_FRACTION)[0]
+    return phi.groupBy(KEY).agg(
+        F.count("feature").alias("n_features"),
+        (F.abs(F.sum("phi") - (F.first("prediction") - F.first("base_value"))) < 1e-9).alias("additive"),
+        F.first("expected_value").between(0.0, 1.0).alias("valid"))
 
 
 @register("baseline_models")
@@ -121,10 +250,10 @@ def q_baseline_models(spark, sf_dir):
     return compare_baselines(train, val)
 
 
-def _explained(spark, sf_dir, samples=None):
+def _explained(spark, sf_dir, samples=None, fraction=EXPLAIN_SAMPLE_FRACTION):
     ts = _ts(spark, sf_dir)
     model = fit(build_model(QUICK_PARAMS), ts)
-    background, example = explanation_split(ts)
+    background, example = explanation_split(ts, fraction)
     phi = X.shapley_values(model, example, background, KEY, FEATURES, samples=samples, seed=42,
                            with_scores=True)
     return phi, example
