@@ -7,6 +7,8 @@ API independently, so the comparison checks two separate derivations.
 
 from __future__ import annotations
 
+from attrix.functions.columns import NON_SERVICE_COLUMNS, OPTIONAL_SERVICE_COLUMNS
+from attrix.sources.csv import RAW_CUSTOMER_SCHEMA
 from attrix.sources.synthetic import (
     CHURN_DAYS,
     FIBER_MIN_EVENTS,
@@ -79,14 +81,11 @@ telco AS (
 
 NUM_OPTS_SQL = " + ".join(
     f"CASE WHEN {c} = 'Yes' THEN 1 ELSE 0 END"
-    for c in ["OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
-              "StreamingMovies"])
+    for c in OPTIONAL_SERVICE_COLUMNS)
 
-SERVICE_COLUMNS = ["customerID", "tenure", "PhoneService", "MultipleLines", "InternetService",
-                   "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
-                   "StreamingTV", "StreamingMovies", "Contract", "PaperlessBilling",
-                   "PaymentMethod", "MonthlyCharges", "TotalCharges", "NumOptionalServices",
-                   "AvgPriceIncrease"]
+# the raw columns without the demographic ones, then the two derived features
+SERVICE_COLUMNS = [c for c in RAW_CUSTOMER_SCHEMA.fieldNames() if c not in NON_SERVICE_COLUMNS] + [
+    "NumOptionalServices", "AvgPriceIncrease"]
 
 FEATURES_CTE = TELCO_CTE + f""",
 demographic AS (

@@ -20,6 +20,7 @@ from attrix.session import scratch_path
 from attrix.sources import csv as CSV
 from attrix.sources import features as FT
 from attrix.sources import tables as TB
+from attrix.streaming.feature_stream import EVENTS_SCHEMA
 
 
 def _name(prefix: str) -> str:
@@ -37,16 +38,12 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardise_customers(back)
 
 
-_EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, " \
-                 "value double, props string"
-
-
 @register("csv_roundtrip_events", "SELECT * FROM events")
 def q_csv_roundtrip_events(spark, sf_dir):
     """Microsecond timestamps survive the round trip."""
     path = scratch_path(spark, "csv_events")
     CSV.write_csv(tbl(spark, sf_dir, "events"), path)
-    return CSV.read_csv(spark, path, schema=_EVENTS_SCHEMA)
+    return CSV.read_csv(spark, path, schema=EVENTS_SCHEMA)
 
 
 @register("table_scan", with_features(

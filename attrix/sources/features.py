@@ -186,6 +186,26 @@ def write_features(spark: SparkSession, name: str, df: DataFrame, mode: str = "m
     return target
 
 
+def expire_versions(spark: SparkSession, name: str, keep: int = 1) -> int:
+    """Delete all but the current folder and the ``keep`` newest older ones; returns how many went.
+
+    Merged-in rows (``new-*``) and folders of failed writes go too. Call it when
+    no reader is on an old version any more.
+    """
+    root = _props(spark, name)[PROP_ROOT]
+    current = (table_location(spark, name) or "").rstrip("/").rpartition("/")[2]
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(path)]
+    old = [p for p in found if p.getName() != current]
+    versions = sorted((p for p in old if p.getName().startswith("v")), key=lambda p: p.getName(), reverse=True)
+    gone = [p for p in old if p not in versions[:keep]]
+    for p in gone:
+        fs.delete(p, True)
+    return len(gone)
+
+
 def _version(spark: SparkSession, name: str) -> int:
     """The number in the folder name of the table's current version."""
     m = re.search(r"/v(\d+)(-[0-9a-f]+)?/?$", table_location(spark, name) or "")

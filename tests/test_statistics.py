@@ -165,3 +165,14 @@ def test_pipeline_takes_empty_category_and_scales_by_population(spark):
     from pyspark.ml import PipelineModel
     again = [r["features"].toArray().tolist() for r in PipelineModel.load(path).transform(df).select("features").collect()]
     assert again == [r.tolist() for r in rows]
+
+
+def test_old_versions_expire(spark):
+    name = "expire_" + scratch_path(spark, "x").rsplit("-", 1)[1]
+    FT.create_feature_table(spark, name, "k", df=spark.createDataFrame([(1, "a")], "k long, v string"))
+    for v in "bcd":
+        FT.write_features(spark, name, spark.createDataFrame([(1, v)], "k long, v string"))
+    assert FT.expire_versions(spark, name) > 0
+    spark.catalog.refreshTable(name)
+    assert [tuple(r) for r in FT.read_features(spark, name).collect()] == [(1, "d")]
+    assert FT.expire_versions(spark, name) == 0
