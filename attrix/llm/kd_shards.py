@@ -87,9 +87,10 @@ def build_tree(rows: DataFrame, dims: list[str], shards: int, bins: int = BINS,
                 live[node.first] = [r[f"lo_{node.dim}"], r[f"hi_{node.dim}"] + 1, 0, want, r["bytes"] / node.leaves, node]
         while live:
             width = {k: max(1, -(-(v[1] - v[0]) // bins)) for k, v in live.items()}
-            asked = rows.sparkSession.createDataFrame(
-                [(k, v[5].dim, v[0], v[1], width[k]) for k, v in live.items()],
-                "node int, dim string, low long, high long, step long")  # one row per open node
+            asked = rows.sparkSession.range(1).select(F.inline(F.array(*(
+                F.struct(F.lit(k).alias("node"), F.lit(v[5].dim).alias("dim"), F.lit(v[0]).cast("long").alias("low"),
+                         F.lit(v[1]).cast("long").alias("high"), F.lit(width[k]).cast("long").alias("step"))
+                for k, v in live.items()))))  # one row per open node
             value = F.coalesce(*(F.when(F.col("dim") == d, k) for d, k in keys.items()))
             found = (rows.withColumn("node", top.expr(keys)).join(F.broadcast(asked), "node").withColumn("at", value)
                      .where("at >= low AND at < high").groupBy("node", F.expr("(at - low) div step").alias("bin"))
