@@ -47,7 +47,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     the rows: later readers see one and the same result of the plan above.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
