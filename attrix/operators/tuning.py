@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 
 from attrix.operators.model import (
     baseline_classifiers,
-    build_model,
     evaluate,
     fit,
     gbt_from_params,
