@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrix.llm.common import text_batches
+from attrix.llm.encoding import release
 from attrix.llm.shingles import distinct
 
 K1, B = 1.2, 0.75
@@ -220,6 +221,7 @@ def _scored(index: Index, terms: np.ndarray, limit: float) -> Iterator[tuple[int
 
 def _search(shared, threshold: float, question_share: float, answer_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         index = shared.value
         get = index.terms.get
         for (ids,), texts in text_batches(batches, ["id"], "text"):

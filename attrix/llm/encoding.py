@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 LONG_PIECE = 64
 SEGMENT_CHARS = 1 << 20
 
@@ -140,6 +140,11 @@ def _segments(text: str) -> Iterator[str]:
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
+def release() -> None:
+    """Drop the worker's encoders; tasks that keep other things in memory call it first."""
+    _ENCODERS.clear()
+
+
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a file; kept between tasks."""
     if path not in _ENCODERS:

@@ -3,32 +3,33 @@
 Documents are sets of word shingles (``shingles.py``). Two link when
 ``100 * |A & B| >= 80 * |A | B|``. The join is exact:
 
-1. *Sets.* One pass turns each text into its size, a 64-bit set signature,
-   ``LEADS`` min-hash tokens and a count sketch (tokens per hash range, one
-   byte each). Equal sets fall together under one signature: copies are one entry.
+1. *Sets.* One pass turns each text into its size and a 64-bit set signature.
+   Equal sets fall together under one signature: copies are one entry.
 2. *Order.* The same pass counts tokens that occur more than once within a
    slice of documents. The most frequent ones (a list of bounded length) come
    last in the global token order, all others go by hash. Any order gives the
    same links; this one keeps common passages out of the prefixes.
 3. *Prefixes.* A partner must share a token of the first
    ``n - ceil(0.8 n) + 1``. Tokens that only one set has there are dropped by
-   one sorted pass; sets without any other token have no partner.
+   one sorted pass; sets without any other token have no partner. For the sets
+   that are left, texts, ``LEADS`` min-hash tokens and a count sketch (tokens per
+   hash range, one byte each) are kept.
 4. *Groups.* Sets with an equal min-hash token are compared with one leader
-   each (never with one another); verified links make components, and a
-   component, cut by salt into parts of about ``GROUP`` sets, is a group. A
-   large family of near copies is a handful of groups.
+   each (never with one another); verified links make components. A component,
+   cut by salt into parts of about ``GROUP`` sets, is a group; sets without a
+   link so far form groups by min-hash token and size. So a large family of near
+   copies, linked or not, is a handful of groups.
 5. *Matrix.* A group's row of the matrix is the union of its members' prefix
    tokens, each with the members' sizes and the most tokens that any member has
    from there on. Joining sets with the matrix on the token gives the (set,
    group) pairs whose sizes fit and whose overlap, if this is the first shared
-   token, can still reach the threshold; pairs within one component are settled
-   already, and of two components only the larger id is queried.
+   token, can still reach the threshold. Members of the set's own component are
+   settled already, and of two groups only the larger id is asked.
 6. *Bound.* For each pair the count sketches bound the overlap from above
    (``2 |A & B| <= |A| + |B| - sum |a_i - b_i|``); only groups with a member
    that can reach the threshold are opened.
 7. *Open.* The texts of qualifying sets go to the group and are compared
-   exactly; a set stops at its first link into a group, which is all that
-   components need.
+   exactly; a set needs one link into each other component that a group holds.
 
 Steps 5 to 7 run twice: first each set asks the few groups it shares most
 tokens with, which joins most of a family; then, with the components found so
@@ -49,6 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.llm.common import connected_components, stored, text_batches
+from attrix.llm.encoding import release
 from attrix.llm.shingles import WIDTH, mix, text_shingles_batch
 
 FREQUENT = 200_000
@@ -113,6 +115,7 @@ def _signature(tokens: np.ndarray) -> int:
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("id", "n", "sig", "token", "cnt")])
+        release()
         held: list[np.ndarray] = []
         seen: set[int] = set()
 
@@ -165,6 +168,7 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray, percen
 
 def _prefixes(width: int, percent: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         frequent, rank = order.value
         seen: set[int] = set()
         for _, texts in text_batches(batches, [], "text"):

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from attrix.llm.common import stored, text_batches
+from attrix.llm.encoding import release
 
 MAX_TRAINING_ROWS = 40_000
 LEXICON = 100_000
@@ -78,6 +79,7 @@ def char_codes(text: str) -> np.ndarray:
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     counts = np.zeros(ALPHABET ** 3, dtype=np.int64)
     for _, texts in text_batches(batches, [], "text", 1 << 20):
         c = char_codes("\n" + "\n".join(t or "" for t in texts) + "\n").astype(np.int32)
@@ -353,6 +355,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", thresho
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         costs, lexicon, weights, intercept = shared.value
         # of most words nothing is kept: they are not in the lexicon
         restorer = Restorer(costs, lambda found: tuple(
