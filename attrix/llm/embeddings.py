@@ -1,20 +1,26 @@
-"""Operator 4: embedding near-duplicates by sorted projection passes.
+"""Operator 4: embedding near-duplicates by random projection passes.
 
 Vectors are compared within a label (and dimension) only; two link when their
 cosine, in double precision, is at least the threshold.
 
 1. *Classes.* Equal vectors of a label are one class with a count, by a
    map-side combined grouping; nothing below sees a copy twice.
-2. *Passes.* Each pass gives a class a code of ``BITS`` sign bits of random
-   projections (fixed seed per pass) and sorts all classes by label and code
-   with a range exchange. Every class is compared with the ``WINDOW`` before it
-   in that order. The number of passes follows from the largest label's size, so
-   that a pair at the threshold meets in some pass with probability 1 - ``MISS``.
+2. *Passes.* Each pass gives a class a code of sign bits of random projections
+   (fixed seed per pass); all classes of a label with the same leading bits are
+   a bucket, and every pair of a bucket is compared, in cells of ``CELL``
+   classes. A pair at the threshold agrees in a bit with a probability that
+   depends on nothing but its angle, so for any number of bits the number of
+   passes at which it is missed with probability ``MISS`` at most is known,
+   however the label's vectors lie. What depends on them is the cost: the bits
+   are chosen per label from the bucket sizes measured in the first pass. No
+   bits (every pair of the label in one pass) is one of the choices, so a
+   concentrated label costs what comparing all its pairs costs, not more.
 3. *Components.* Verified pairs of all passes, made distinct, become components.
 4. *Completion.* Within a component of two classes or more every pair is
    compared, in blocks of ``CELL`` classes, and only counts per class come out;
-   so bounded windows do not bound the links of a class. The work of this step
-   grows with the square of a component, which the number of links does as well.
+   so a missed pair costs no links unless nothing else holds its component
+   together. The work of this step grows with the square of a component, which
+   the number of links does as well.
 """
 
 from __future__ import annotations
@@ -30,22 +36,22 @@ from pyspark.sql import functions as F
 from attrix.llm.common import connected_components, stored
 
 THRESHOLD = 0.98
-WINDOW = 32
-BITS = 64
 MISS = 1e-4
 CELL = 512
+#: numbers of leading bits that a label can take
+LEVELS = tuple(range(0, 25, 2))
+#: cost of carrying a class into a cell, in comparisons
+CARRY = 512
 
 
-def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes needed for ``rows`` vectors of a label.
+def passes_for(bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """Passes needed for buckets of ``bits`` leading bits.
 
     Two vectors at angle ``a`` agree in one sign bit with probability
-    ``1 - a / pi`` and stay within the window if they agree in the leading
-    ``log2(rows / window)`` bits.
+    ``1 - a / pi``, so they share a bucket with at least its power ``bits``.
     """
-    bits = max(1.0, math.log2(max(1, rows) / window)) if rows > window else 1.0
-    meet = (1 - math.acos(threshold) / math.pi) ** bits
-    return max(1, math.ceil(math.log(miss) / math.log(1 - meet)))
+    meet = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
+    return 1 if meet == 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
 
 
 #: rows that can be compared at all
@@ -61,23 +67,26 @@ def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["id", "label", "raw"])
 
 
-def _codes(passes: int, seed: int):
+def _codes(seed: int, with_raw: bool):
+    """Of (label, raw, cls, bits, passes): one row per class and pass with the leading bits of its code."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            raws, cls, label = (b.column(c).to_pylist() for c in ("raw", "cls", "label"))
-            for dim in {len(r) for r in raws}:
-                at = [i for i, r in enumerate(raws) if len(r) == dim]
+            raws, cls, label, bits, passes = (b.column(c).to_pylist() for c in ("raw", "cls", "label", "bits", "passes"))
+            for dim, k, n in sorted({(len(r), x, y) for r, x, y in zip(raws, bits, passes)}):
+                at = [i for i, r in enumerate(raws) if (len(r), bits[i], passes[i]) == (dim, k, n)]
                 x = np.frombuffer(b"".join(raws[i] for i in at), dtype="<f8").reshape(len(at), -1)
                 x = x / np.abs(x).max(1, keepdims=True)
-                for p in range(passes):
+                for p in range(n):
                     if (dim, p) not in planes:
-                        planes[dim, p] = np.random.default_rng((seed, dim, p)).standard_normal((x.shape[1], BITS))
-                    bits = np.packbits(x @ planes[dim, p] > 0, axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p] * len(at), pa.int32()), pa.array([label[i] for i in at], pa.string()),
-                         pa.array([c.tobytes() for c in bits], pa.binary()), pa.array([cls[i] for i in at], pa.int64()),
-                         pa.array([raws[i] for i in at], pa.binary())], names=["pass", "label", "code", "cls", "raw"])
+                        planes[dim, p] = np.random.default_rng((seed, dim, p)).standard_normal((x.shape[1], LEVELS[-1]))
+                    code = (x @ planes[dim, p][:, :k] > 0) @ (1 << np.arange(k, dtype=np.int64))
+                    cols = {"label": pa.array([label[i] for i in at], pa.string()), "dim": pa.array([dim] * len(at), pa.int32()),
+                            "pass": pa.array([p] * len(at), pa.int32()), "code": pa.array(code, pa.int64())}
+                    if with_raw:
+                        cols |= {"cls": pa.array([cls[i] for i in at], pa.int64()),
+                                 "raw": pa.array([raws[i] for i in at], pa.binary())}
+                    yield pa.RecordBatch.from_pydict(cols)
     return run
 
 
@@ -87,32 +96,101 @@ def _unit(raws: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _neighbours(window: int, threshold: float):
-    """Of rows sorted by (pass, label, code): linked pairs at most ``window`` places apart."""
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of the symmetric matrix ``near`` that connect what all its edges connect."""
+    seen, edges = np.zeros(len(near), dtype=bool), []
+    for start in np.flatnonzero(near.any(1)).tolist():
+        if seen[start]:
+            continue
+        seen[start], open_ = True, [start]
+        while open_:
+            k = open_.pop()
+            new = np.flatnonzero(near[k] & ~seen).tolist()
+            seen[new] = True
+            edges += [(k, x) for x in new]
+            open_ += new
+    return edges
+
+
+_CELL_KEY = ["label", "dim", "pass", "code", "i", "j"]
+
+
+def _cells(threshold: float):
+    """Of rows sorted by cell, no cell in two partitions: links that connect what the links of the cell connect."""
+    def links(i: int, j: int, rows: list[tuple]) -> list[tuple[int, int]]:
+        x, block = _unit([r[2] for r in rows]), np.array([r[0] for r in rows])
+        if i == j:
+            near = x @ x.T >= threshold
+            np.fill_diagonal(near, False)
+        else:
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            near = np.zeros((len(rows), len(rows)), dtype=bool)
+            near[np.ix_(left, right)] = x[left] @ x[right].T >= threshold
+            near |= near.T
+        return [(rows[a][1], rows[z][1]) for a, z in _forest(near)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                               pa.array([z for _, z in found], pa.int64())], names=["a", "b"])
+
+        key, held = None, []
         for b in batches:
-            rows = list(zip(b.column("pass").to_pylist(), b.column("label").to_pylist(),
-                            b.column("cls").to_pylist(), b.column("raw").to_pylist()))
-            for at in range(0, len(rows), 256):
-                block = rows[at:at + 256]
-                a, z = [], []
-                both = held + block
-                run_of = np.cumsum([0] + [x[:2] != y[:2] or len(x[3]) != len(y[3]) for x, y in zip(both, both[1:])])
-                for r in np.unique(run_of[len(held):]).tolist():
-                    idx = np.flatnonzero(run_of == r)
-                    x = _unit([both[i][3] for i in idx])
-                    new = int((idx < len(held)).sum())
-                    near = x[new:] @ x.T >= threshold
-                    far = np.arange(len(idx))[new:, None] - np.arange(len(idx))[None, :]
-                    i, j = np.nonzero(near & (far > 0) & (far <= window))
-                    a += [both[k][2] for k in idx[i + new]]
-                    z += [both[k][2] for k in idx[j]]
-                held = both[-window:]
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+            found = []
+            keys = zip(*(b.column(c).to_pylist() for c in _CELL_KEY))
+            for now, row in zip(keys, zip(*(b.column(c).to_pylist() for c in ("block", "cls", "raw")))):
+                if now != key:
+                    if len(held) > 1:
+                        found += links(*key[4:], held)
+                    key, held = now, []
+                held.append(row)
+            yield out(found)
+        if len(held) > 1:
+            yield out(links(*key[4:], held))
     return run
 
 
+def _bits(classes: DataFrame, threshold: float, miss: float, seed: int) -> DataFrame:
+    """(label, dim, bits, passes) of the labels with more than ``CELL`` classes: the cheapest level."""
+    dim = F.length("raw").alias("dim")
+    large = stored(classes.groupBy("label", dim).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > CELL)
+                   .select("label", "dim"), "embedding-large")
+    one = (classes.select("label", "raw", "cls", dim).join(large, ["label", "dim"])
+           .select("label", "raw", "cls", F.lit(LEVELS[-1]).alias("bits"), F.lit(1).alias("passes"))
+           .mapInArrow(_codes(seed, False), "label string, dim int, pass int, code long"))
+    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("bits"), F.lit(passes_for(k, threshold, miss)).alias("passes"),
+                                          F.lit((1 << k) - 1).cast("long").alias("mask")) for k in LEVELS]))
+    m = F.col("m").cast("double")
+    return stored(one.withColumn("level", levels)
+                  .groupBy("label", "dim", "level.bits", "level.passes", F.col("code").bitwiseAND(F.col("level.mask")).alias("code"))
+                  .agg(F.count(F.lit(1)).alias("m"))
+                  .groupBy("label", "dim", "bits", "passes")
+                  .agg((F.col("passes") * F.sum(F.lit(CARRY) * m * F.ceil(m / CELL) + m * (m - 1) / 2)).alias("cost"))
+                  .groupBy("label", "dim").agg(F.min(F.struct("cost", "bits", "passes")).alias("best"))
+                  .select("label", "dim", "best.bits", "best.passes"), "embedding-bits")
+
+
+def _links(classes: DataFrame, threshold: float, miss: float, seed: int) -> DataFrame:
+    """(a, b): links between classes, enough of them to connect every component."""
+    chosen = (classes.select("label", "raw", "cls", F.length("raw").alias("dim"))
+              .join(_bits(classes, threshold, miss, seed), ["label", "dim"], "left")
+              .select("label", "raw", "cls", F.coalesce("bits", F.lit(0)).alias("bits"),
+                      F.coalesce("passes", F.lit(1)).alias("passes")))
+    bucket = ["label", "dim", "pass", "code"]
+    crowd = stored(chosen.mapInArrow(_codes(seed, False), "label string, dim int, pass int, code long")
+                   .groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
+                   .where("blocks > 1"), "embedding-crowds")
+    placed = (chosen.mapInArrow(_codes(seed, True), "label string, dim int, pass int, code long, cls long, raw binary")
+              .join(crowd, bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+              .withColumn("block", F.pmod(F.xxhash64("raw"), F.col("blocks")).cast("int")))
+    cells = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+             .select(*_CELL_KEY, "block", "cls", "raw"))
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = cells.repartition(tasks, *_CELL_KEY).sortWithinPartitions(*_CELL_KEY)
+    return ordered.mapInArrow(_cells(threshold), "a long, b long").distinct()
+
+
 def _complete(threshold: float):
     def run(key, table):
         node, n, block = (table.column(c).to_pylist() for c in ("node", "n", "block"))
@@ -133,8 +211,8 @@ def _complete(threshold: float):
 
 
 def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                         label_col: str = "label", threshold: float = THRESHOLD, window: int = WINDOW,
-                         passes: int | None = None, seed: int = 20240607) -> DataFrame:
+                         label_col: str = "label", threshold: float = THRESHOLD, miss: float = MISS,
+                         seed: int = 20240607) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``vectors``.
 
     * null id, null label, null or empty vector, zero vector, null or non-finite component:
@@ -151,15 +229,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     good = stored(src.where(_COMPARABLE).mapInArrow(_raw, "id long, label string, raw binary"), "embedding-valid")
     classes = stored(good.groupBy("label", "raw").agg(F.min("id").alias("cls"), F.count(F.lit(1)).alias("n"))
                      .withColumn("node", F.xxhash64("label", "raw")), "embedding-classes")
-    if passes is None:
-        most = classes.groupBy("label").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
-        passes = passes_for(most, threshold, window)
-    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (classes.select("label", "cls", "raw")
-               .mapInArrow(_codes(passes, seed), "pass int, label string, code binary, cls long, raw binary")
-               .repartitionByRange(tasks, "pass", "label", F.length("raw"), "code", "cls")
-               .sortWithinPartitions("pass", "label", F.length("raw"), "code", "cls"))
-    pairs = stored(ordered.mapInArrow(_neighbours(window, threshold), "a long, b long").distinct(), "embedding-pairs")
+    pairs = stored(_links(classes, threshold, miss, seed), "embedding-pairs")
     comps = connected_components(pairs, "a", "b").withColumnsRenamed({"node": "cls"})
 
     inside = classes.select("cls", "node", "n", "raw").join(comps, "cls")

@@ -163,6 +163,38 @@ def test_embeddings_against_brute_force(spark, monkeypatch):
     assert got == {i: (int(near[i].sum()), comp[i]) for i in range(len(x))}
 
 
+@pytest.mark.parametrize("carry", [512, 2])
+def test_embeddings_concentrated_label(spark, monkeypatch, carry):
+    monkeypatch.setattr(embeddings, "CARRY", carry)  # little cost of a pass: more bits and passes
+    rng = np.random.default_rng(5)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    n, planted, dim = 3000, 300, 64
+    x, label = [], []
+    for lab, background in enumerate((0.9, 0.95, 0.0)):
+        topic = unit(rng.standard_normal((1, dim)))
+        y = unit(np.sqrt(background) * topic + np.sqrt(1 - background) * unit(rng.standard_normal((n, dim))))
+        side = rng.standard_normal((planted, dim))
+        side = unit(side - (side * y[:planted]).sum(1, keepdims=True) * y[:planted])
+        y[n - planted:] = 0.981 * y[:planted] + np.sqrt(1 - 0.981 ** 2) * side
+        x.append(y.astype(np.float32))
+        label += [lab] * n
+    df = spark.createDataFrame([(i, v.tolist(), lab) for i, (v, lab) in enumerate(zip(np.concatenate(x), label))],
+                               "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.embedding_components(df).collect()}
+    missed = links = 0
+    for lab, y in enumerate(x):
+        y = unit(y.astype(np.float64))
+        near = y @ y.T >= 0.98
+        np.fill_diagonal(near, False)
+        want = near.sum(1)
+        missed += int((want - np.array([got[lab * n + i] for i in range(n)])).sum())
+        links += int(want.sum())
+    assert links >= 6 * planted and 0 <= missed <= 1e-3 * links
+
+
 def test_kd_edges(docs, empty):
     got = kd_shards.kd_shards(docs, shards=5).collect()
     assert len(got) == docs.count() and {r["law"] for r in got} == {"bytes"}
