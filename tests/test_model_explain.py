@@ -137,6 +137,25 @@ def test_search_space_and_gate(spark):
     assert g == {"0": True, "1": False, "2": True}
 
 
+def test_registered_queries_use_the_full_ranges(spark, monkeypatch):
+    from attrix.plans import queries_model as Q
+
+    fits, searches = [], []
+    rows = spark.range(4).selectExpr("id AS customerID", "CAST(id % 2 AS INT) AS Churn")
+    monkeypatch.setattr(Q, "_ts", lambda *_: rows)
+    monkeypatch.setattr(Q, "build_model", lambda params: fits.append(dict(params)))
+    monkeypatch.setattr(Q, "fit", lambda *_: object())
+    monkeypatch.setattr(Q, "score", lambda *_, **__: rows)
+    monkeypatch.setattr(Q, "random_search", lambda train, val, label, space, n, *_: searches.append((space, n)))
+    Q.q_positive_probability(spark, "")
+    Q.q_positive_probability(spark, "")
+    assert len(fits) == 1  # the second query takes the fitted model
+    assert 3 <= fits[0]["max_depth"] <= 10 and 50 <= fits[0]["n_estimators"] <= 500
+    assert np.exp(-5) <= fits[0]["learning_rate"] <= np.exp(-1)
+    Q.q_hyperparameter_trials(spark, "")
+    assert searches == [(SEARCH_SPACE, 8)]
+
+
 def test_lifecycle_search_refit_save_gate(spark, planted):
     from attrix.operators.lookup import FeatureLookup, create_training_set
     from attrix.operators.tuning import LogUniform, QUniform
