@@ -404,7 +404,7 @@ def _search(sets: DataFrame, shared: DataFrame, homes: DataFrame, width: int, pe
     pairs = (marked.select("token", "sig", "n", "left", "home", "grp").join(matrix, "token")
              .where(f"grp <= other AND (low <> home OR high <> home) "
                     f"AND {percent} * n <= 100 * most AND {percent} * least <= 100 * n "
-                    f"AND (100 + {percent}) * least(left, far) >= {percent} * (n + greatest(least, {percent} * n / 100))")
+                    f"AND (100 + {percent}) * CAST(least(left, far) AS BIGINT) >= {percent} * (n + greatest(least, {percent} * n / 100))")
              .groupBy("sig", F.col("other").alias("grp")).agg(F.count(F.lit(1)).alias("tokens")))
     if best is not None:
         order = Window.partitionBy("sig").orderBy(F.desc("tokens"), "grp")

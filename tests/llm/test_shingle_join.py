@@ -64,3 +64,12 @@ def test_table_against_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     got = sorted(tuple(r) for r in J.shingle_components(df).collect())
     assert got == brute.shingle_components(rows)
+
+
+def test_position_bound_of_very_large_sets(spark):
+    n = 12_000_000  # 180 times this is no 32-bit integer
+    sets = spark.createDataFrame([(k, k, n, [1], bytearray(b"\xff" * 8), "a b") for k in (1, 2)],
+                                 "sig long, rep long, n long, leads array<long>, sketch binary, text string")
+    shared = spark.createDataFrame([(7, 1, n), (7, 2, n)], "token long, sig long, left int")
+    homes = spark.createDataFrame([], "rep long, home long")
+    assert {tuple(sorted(r)) for r in J._search(sets, shared, homes, 5, 80, None).collect()} == {(1, 2)}
