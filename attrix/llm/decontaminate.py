@@ -219,20 +219,27 @@ def _scored(index: Index, terms: np.ndarray, limit: float) -> Iterator[tuple[int
         yield i, float(scores[i])
 
 
+def _verified(index: Index, texts: list[str | None], threshold: float, question_share: float,
+              answer_share: float) -> dict[tuple[int, int], tuple[float, float, float]]:
+    """(text, item position) -> (score, question overlap, answer overlap) of the best window of all verified pairs."""
+    get = index.terms.get
+    found = [words_of(t) for t in texts]
+    codes = [np.array([get(w, -1) for w in ws], dtype=np.int64) for ws in found]
+    best: dict[tuple[int, int], tuple[float, float, float]] = {}
+    for k, a, i, score in candidates(index, codes, threshold):
+        window = found[k][a:a + 2 * index.step]
+        q, z = (share_found(p, window) for p in index.parts[i])
+        if q >= question_share and z >= answer_share:
+            best[k, i] = max(best.get((k, i), (0.0, 0.0, 0.0)), (score, q, z))
+    return best
+
+
 def _search(shared, threshold: float, question_share: float, answer_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         index = shared.value
-        get = index.terms.get
         for (ids,), texts in text_batches(batches, ["id"], "text"):
-            found = [words_of(t) for t in texts]
-            codes = [np.array([get(w, -1) for w in ws], dtype=np.int64) for ws in found]
-            best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            for k, a, i, score in candidates(index, codes, threshold):
-                window = found[k][a:a + 2 * index.step]
-                q, z = (share_found(p, window) for p in index.parts[i])
-                if q >= question_share and z >= answer_share:
-                    best[k, i] = max(best.get((k, i), (0.0, 0.0, 0.0)), (score, q, z))
+            best = _verified(index, texts, threshold, question_share, answer_share)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[k] for k, _ in best], pa.int64()),
                  pa.array([index.items[i] if index.items[i] >= 0 else None for _, i in best], pa.int64()),
@@ -241,6 +248,19 @@ def _search(shared, threshold: float, question_share: float, answer_share: float
     return run
 
 
+def _clean(shared, text_col: str, threshold: float, question_share: float, answer_share: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        index = shared.value
+        for b in batches:
+            keep, at = np.ones(b.num_rows, dtype=bool), 0
+            for _, texts in text_batches(iter([b]), [], text_col):
+                keep[[at + k for k, _ in _verified(index, texts, threshold, question_share, answer_share)]] = False
+                at += len(texts)
+            yield b.filter(pa.array(keep))
+    return run
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, question_share: float = QUESTION_SHARE,
                  answer_share: float = ANSWER_SHARE, max_index_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
@@ -262,7 +282,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .withColumnRenamed("id", id_col))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. Rows with a null id stay."""
-    bad = contaminated(docs, benchmark, id_col, **params).select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(*docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
+                  question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE,
+                  max_index_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item. Each row is decided by
+    its own text, whatever its id or those of others."""
+    index = build_index(benchmark, max_index_bytes=max_index_bytes)
+    if index is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most max_index_bytes
+    return docs.mapInArrow(_clean(shared, text_col, threshold, question_share, answer_share), docs.schema)

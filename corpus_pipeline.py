@@ -12,7 +12,9 @@ columns of ``documents``:
 
 Documents without text are no one's duplicate, hold no benchmark item, and are
 packed as their end id. Rows with a null ``doc_id`` pass the first and third
-stage like others; in the second they stay as they are.
+stage like others; in the second they stay as they are. The third decides each
+row by its own text; the second decides by ``doc_id``, so of rows that share one
+all go if one is a duplicate.
 """
 
 from __future__ import annotations

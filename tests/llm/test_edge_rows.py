@@ -92,6 +92,15 @@ def test_decontamination_edges(spark, docs, empty):
         decontaminate.build_index(bench, max_index_bytes=10)
 
 
+def test_decontamination_by_row(spark):
+    item = "What are alpha beta gamma delta epsilon zeta? They are eta theta iota kappa lambda mu."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (None, "clean"), (1, item), (1, "other text"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((tuple(r) for r in decontaminate.decontaminate(df, bench).collect()), key=str)
+    assert left == [(1, "other text"), (2, None), (None, "clean")]
+
+
 def test_bm25_equals_exhaustive_scores(spark):
     rng = np.random.default_rng(3)
     vocab = [f"w{i}" for i in range(50)]
