@@ -69,3 +69,25 @@ links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.node = w.doc_id
 """
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+s AS (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM s),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000e0 * ln((2e0 * docs + 2e0) / (2e0 * count(*) + 1e0))) AS BIGINT) AS w
+      FROM tf, g GROUP BY term, docs),
+q AS (SELECT item_id, term, count(*) AS k
+      FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+m AS (SELECT r, doc_id, 75 + (25 * n * docs) // l AS m FROM s, g),
+v AS (SELECT tf.r, doc_id, term, w.w * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS v
+      FROM tf JOIN w USING (term) JOIN m ON m.r = tf.r),
+sc AS (SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(k * v) AS BIGINT) AS score
+       FROM q JOIN v USING (term) GROUP BY item_id, r),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""

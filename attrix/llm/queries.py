@@ -20,6 +20,7 @@ from attrix.llm.decontaminate import contaminated
 from attrix.llm.embeddings import embedding_components
 from attrix.llm.encoding import vocabulary_path
 from attrix.llm.kd_shards import kd_shards
+from attrix.llm.lexical import search
 from attrix.llm.mixing import mix
 from attrix.llm.packing import pack
 from attrix.llm.shingle_join import shingle_components
@@ -101,6 +102,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+@query("op12_lexical_search", oracles.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_source_mixing")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
