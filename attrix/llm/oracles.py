@@ -91,3 +91,69 @@ k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
       FROM sc WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
 """
+
+# one cell of the state vector: cost and edits so far
+def _least(*ways: str) -> str:
+    return "list_min([" + ", ".join(ways) + "])"
+
+
+def _way(state: str, cost: str, edits: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || {edits}}}"
+
+
+_CRC = """(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(k, ''),
+          lambda ch: [CAST(unicode(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+          lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END))"""
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP11 = f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+coded AS (SELECT *, xor({_CRC}, 4294967295) % 20 AS code FROM src),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy FROM coded WHERE code <> 0)),
+named AS (SELECT coalesce('1' || CAST(conv_id AS VARCHAR), '0') AS id, *, substr(role, 1, 1) AS ini,
+                 rtrim(text, {_BLANKS}) AS bare,
+                 sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) AS rk FROM rows_),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn NULLS FIRST, rk) AS i FROM named),
+placed AS (SELECT *, row_number() OVER (PARTITION BY id, role, text ORDER BY i) AS seen FROM ordered),
+marked AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                          WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  lag(CASE WHEN ini IN ('s', 'u', 'a') THEN ini ELSE 'o' END) OVER (PARTITION BY id ORDER BY i) AS prev FROM placed),
+step(id, i, s0, s1, s2, s3) AS (
+  SELECT DISTINCT id, CAST(0 AS BIGINT), {{'c': CAST(0 AS BIGINT), 'a': ''}}, {{'c': CAST(1000000000 AS BIGINT), 'a': ''}},
+         {{'c': CAST(1000000000 AS BIGINT), 'a': ''}}, {{'c': CAST(1000000000 AS BIGINT), 'a': ''}} FROM marked
+  UNION ALL
+  SELECT id, i,
+         {_way('s0', '4', "'D'")},
+         {_least(_way('s1', '4', "'D'"), _way('s0', "(CASE WHEN live AND ini = 's' THEN more ELSE 1000000000 END)", "'K'"))},
+         {_least(_way('j2', '4', "'D'"), *[_way(q, "(CASE WHEN NOT live THEN 1000000000 WHEN ini = 'u' THEN more ELSE 3 + more END)",
+                                             "(CASE WHEN ini = 'u' THEN 'K' ELSE 'R' END)") for q in ('s0', 's1', 'j3')])},
+         {_least(_way('j3', '4', "'D'"), _way('j2', "(CASE WHEN NOT live THEN 1000000000 WHEN ini = 'a' THEN more ELSE 3 + more END)",
+                                            "(CASE WHEN ini = 'a' THEN 'K' ELSE 'R' END)"))}
+  FROM (SELECT m.id, m.i, m.ini, m.fault NOT IN ('blank', 'duplicate') AS live, CASE WHEN m.fault = 'truncated' THEN 3 ELSE 0 END AS more,
+               s0, s1,
+               {_least('s2', *[_way(q, '3', "'I'") for q in ('s0', 's1', 's3')])} AS j2,
+               {_least('s3', _way('s0', '6', "'II'"), _way('s1', '6', "'II'"), _way('s2', '3', "'I'"))} AS j3
+        FROM step JOIN marked m ON m.id = step.id AND m.i = step.i + 1)),
+best AS (SELECT id, {_least('s0', _way('s1', '6', "'II'"), _way('s2', '3', "'I'"), 's3')} AS b
+         FROM step WHERE (id, i) IN (SELECT id, max(i) FROM marked GROUP BY id)),
+edits AS (SELECT id, p, substr(a, CAST(p AS BIGINT), 1) AS e FROM (SELECT id, b.a AS a, unnest(range(1, length(b.a) + 1)) AS p FROM best)),
+lined AS (SELECT *, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY p) AS i,
+                 sum(CASE WHEN e <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY p) AS o FROM edits),
+shown AS (SELECT l.*, m.role, m.text, m.ini FROM lined l LEFT JOIN marked m ON m.id = l.id AND m.i = l.i AND l.e <> 'I' WHERE e <> 'D'),
+headed AS (SELECT *, max(CASE WHEN o = 1 AND e = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY id) AS h FROM shown),
+final AS (SELECT id, string_agg(CASE WHEN e = 'K' THEN role WHEN (o - h) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY o) AS t FROM headed GROUP BY id),
+facts AS (SELECT id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                 count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY id)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+       sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('1' || CAST(conv_id AS VARCHAR), '0') AS id FROM conversations)
+LEFT JOIN facts USING (id) LEFT JOIN best USING (id) LEFT JOIN final USING (id)
+"""

@@ -24,6 +24,7 @@ from attrix.llm.lexical import search
 from attrix.llm.mixing import mix
 from attrix.llm.packing import pack
 from attrix.llm.shingle_join import shingle_components
+from attrix.llm.structure import conversation_repairs
 from attrix.llm.token_counts import token_counts
 from attrix.llm.token_output import read_back, write_tokens
 from attrix.llm.toxicity import toxicity_scores
@@ -102,6 +103,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+@query("op11_structure_repair", oracles.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repairs(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_lexical_search", oracles.OP12)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
