@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attrix.session import scratch_path
@@ -51,6 +51,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positions(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``pos``, its rows' places from 0 in the global order of ``order``.
+
+    A range sort numbers the rows of each partition; what comes before a partition
+    is a running sum over one row per partition. The rows are written, so they
+    keep their places.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = stored(sorted_.select("*", F.monotonically_increasing_id().alias("__at")), name)
+    part = F.shiftright("__at", 33).alias("__part")
+    counts = at.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    starts = counts.select("__part", (before - F.shiftleft("__part", 33)).alias("__start"))
+    return (at.withColumn("__part", part).join(F.broadcast(starts), "__part")
+            .withColumn("pos", F.col("__at") + F.col("__start")).drop("__at", "__part", "__start"))
+
+
 def chunks(rows: list, size_of: Callable[[object], int], limit: int) -> Iterator[list]:
     """Consecutive slices of ``rows`` whose sizes sum to about ``limit``."""
     held, size = [], 0

@@ -6,17 +6,19 @@ cosine, in double precision, is at least the threshold.
 1. *Classes.* Equal vectors of a label are one class with a count, by a
    map-side combined grouping; nothing below sees a copy twice.
 2. *Passes.* Each pass gives a class a code of sign bits of random projections
-   (fixed seed per pass); all classes of a label with the same leading bits are
-   a bucket, and every pair of a bucket is compared, in cells of ``CELL``
-   classes. A pair at the threshold agrees in a bit with a probability that
-   depends on nothing but its angle, so for any number of bits the number of
-   passes at which it is missed with probability ``MISS`` at most is known,
-   however the label's vectors lie. What depends on them is the cost: the bits
-   are chosen per label from the bucket sizes measured in the first pass. No
-   bits (every pair of the label in one pass) is one of the choices, so a
-   concentrated label costs what comparing all its pairs costs, not more.
-3. *Components.* Verified pairs of all passes, made distinct, become components.
-4. *Completion.* Within a component of two classes or more every pair is
+   (fixed seed per pass) and orders a label's classes by it, bit by bit. Every
+   class is compared with its ``WINDOW`` neighbours in that order; the order is
+   global, and blocks of it take the last ``WINDOW`` places before them along.
+3. *Long runs.* Classes with the same leading bits lie together. Runs of more than
+   a window are compared whole, in cells of ``CELL`` classes, so a pair that
+   agrees in the leading bits of a pass is always found. It does so with a
+   probability that depends on nothing but its angle; for any number of bits the
+   number of passes at which a pair at the threshold is missed with probability
+   ``MISS`` at most is known, however the label's vectors lie. What depends on
+   them is the cost: the bits, and with them the passes, are chosen per label from the
+   agreement of its codes in the first pass. Labels of all sizes go this way.
+4. *Components.* Verified pairs of all passes, made distinct, become components.
+5. *Completion.* Within a component of two classes or more every pair is
    compared, in blocks of ``CELL`` classes, and only counts per class come out;
    so a missed pair costs no links unless nothing else holds its component
    together. The work of this step grows with the square of a component, which
@@ -30,25 +32,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrix.llm.common import connected_components, stored
+from attrix.llm.common import connected_components, positions, stored
 
 THRESHOLD = 0.98
 MISS = 1e-4
 CELL = 512
-#: numbers of leading bits that a label can take
-LEVELS = tuple(range(0, 25, 2))
+#: neighbours that a class is compared with in each pass, and classes of a block of the order
+WINDOW, BLOCK = 32, 512
+#: numbers of leading bits that a label can take; all bits are sorted by
+LEVELS = tuple(range(8, 33, 2))
 #: cost of carrying a class into a cell, in comparisons
 CARRY = 512
 
 
 def passes_for(bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
-    """Passes needed for buckets of ``bits`` leading bits.
+    """Passes needed for runs of ``bits`` equal leading bits.
 
     Two vectors at angle ``a`` agree in one sign bit with probability
-    ``1 - a / pi``, so they share a bucket with at least its power ``bits``.
+    ``1 - a / pi``, so they share a run with at least its power ``bits``.
     """
     meet = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
     return 1 if meet == 1 else max(1, math.ceil(math.log(miss) / math.log1p(-meet)))
@@ -67,26 +71,28 @@ def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["id", "label", "raw"])
 
 
-def _codes(seed: int, with_raw: bool):
-    """Of (label, raw, cls, bits, passes): one row per class and pass with the leading bits of its code."""
+_CODED = "label string, dim int, pass int, code long, node long"
+
+
+def _codes(seed: int):
+    """Of (label, raw, node, passes): one row per class and pass with its code, first bit highest."""
+    weight = 1 << np.arange(LEVELS[-1], dtype=np.int64)[::-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            raws, cls, label, bits, passes = (b.column(c).to_pylist() for c in ("raw", "cls", "label", "bits", "passes"))
-            for dim, k, n in sorted({(len(r), x, y) for r, x, y in zip(raws, bits, passes)}):
-                at = [i for i, r in enumerate(raws) if (len(r), bits[i], passes[i]) == (dim, k, n)]
+            raws, node, label, passes = (b.column(c).to_pylist() for c in ("raw", "node", "label", "passes"))
+            for dim, n in sorted({(len(r), y) for r, y in zip(raws, passes)}):
+                at = [i for i, r in enumerate(raws) if (len(r), passes[i]) == (dim, n)]
                 x = np.frombuffer(b"".join(raws[i] for i in at), dtype="<f8").reshape(len(at), -1)
                 x = x / np.abs(x).max(1, keepdims=True)
                 for p in range(n):
                     if (dim, p) not in planes:
                         planes[dim, p] = np.random.default_rng((seed, dim, p)).standard_normal((x.shape[1], LEVELS[-1]))
-                    code = (x @ planes[dim, p][:, :k] > 0) @ (1 << np.arange(k, dtype=np.int64))
-                    cols = {"label": pa.array([label[i] for i in at], pa.string()), "dim": pa.array([dim] * len(at), pa.int32()),
-                            "pass": pa.array([p] * len(at), pa.int32()), "code": pa.array(code, pa.int64())}
-                    if with_raw:
-                        cols |= {"cls": pa.array([cls[i] for i in at], pa.int64()),
-                                 "raw": pa.array([raws[i] for i in at], pa.binary())}
-                    yield pa.RecordBatch.from_pydict(cols)
+                    yield pa.RecordBatch.from_pydict({
+                        "label": pa.array([label[i] for i in at], pa.string()), "dim": pa.array([dim] * len(at), pa.int32()),
+                        "pass": pa.array([p] * len(at), pa.int32()), "code": pa.array((x @ planes[dim, p] > 0) @ weight),
+                        "node": pa.array([node[i] for i in at], pa.int64())})
     return run
 
 
@@ -150,51 +156,93 @@ def _cells(threshold: float):
     return run
 
 
-def _bits(classes: DataFrame, threshold: float, miss: float, seed: int) -> DataFrame:
-    """(label, dim, bits, passes) of the labels with more than ``CELL`` classes: the cheapest level."""
-    dim = F.length("raw").alias("dim")
-    large = stored(classes.groupBy("label", dim).agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > CELL)
-                   .select("label", "dim"), "embedding-large")
-    one = (classes.select("label", "raw", "cls", dim).join(large, ["label", "dim"])
-           .select("label", "raw", "cls", F.lit(LEVELS[-1]).alias("bits"), F.lit(1).alias("passes"))
-           .mapInArrow(_codes(seed, False), "label string, dim int, pass int, code long"))
-    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("bits"), F.lit(passes_for(k, threshold, miss)).alias("passes"),
-                                          F.lit((1 << k) - 1).cast("long").alias("mask")) for k in LEVELS]))
+def _windows(threshold: float):
+    """Of rows sorted by (block, pos), no block in two partitions: links between neighbours of one pass,
+    enough of them to connect what all these links connect."""
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        x = _unit([r[1] for r in rows])
+        near = x @ x.T >= threshold
+        at = np.arange(len(rows))
+        near &= np.abs(at[:, None] - at) <= WINDOW
+        np.fill_diagonal(near, False)
+        return [(rows[a][0], rows[z][0]) for a, z in _forest(near)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                               pa.array([z for _, z in found], pa.int64())], names=["a", "b"])
+
+        key, held = None, []
+        for b in batches:
+            found = []
+            keys = zip(*(b.column(c).to_pylist() for c in ("block", "label", "dim", "pass")))
+            for now, row in zip(keys, zip(*(b.column(c).to_pylist() for c in ("cls", "raw")))):
+                if now != key:
+                    if len(held) > 1:
+                        found += links(held)
+                    key, held = now, []
+                held.append(row)
+            yield out(found)
+        if len(held) > 1:
+            yield out(links(held))
+    return run
+
+
+def _shift(bits) -> Column:
+    """The code without all but its ``bits`` leading bits."""
+    return F.expr(f"shiftright(code, {LEVELS[-1]} - {bits})")
+
+
+def _levels(classes: DataFrame, threshold: float, miss: float, seed: int) -> DataFrame:
+    """(label, dim, bits, passes) of every label: the cheapest level by the runs of its first pass."""
+    one = classes.select("label", "raw", "node", F.lit(1).alias("passes")).mapInArrow(_codes(seed), _CODED)
+    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("bits"), F.lit(passes_for(k, threshold, miss)).alias("passes"))
+                                 for k in LEVELS]))
     m = F.col("m").cast("double")
-    return stored(one.withColumn("level", levels)
-                  .groupBy("label", "dim", "level.bits", "level.passes", F.col("code").bitwiseAND(F.col("level.mask")).alias("code"))
+    whole = F.when(m > WINDOW, F.lit(CARRY) * m * F.ceil(m / CELL) + m * (m - 1) / 2).otherwise(0.0)
+    return stored(one.withColumn("level", levels).select("label", "dim", "level.bits", "level.passes", "code")
+                  .groupBy("label", "dim", "bits", "passes", _shift("bits").alias("run"))
                   .agg(F.count(F.lit(1)).alias("m"))
                   .groupBy("label", "dim", "bits", "passes")
-                  .agg((F.col("passes") * F.sum(F.lit(CARRY) * m * F.ceil(m / CELL) + m * (m - 1) / 2)).alias("cost"))
+                  .agg((F.col("passes") * F.sum(m * (CARRY + WINDOW) + whole)).alias("cost"))
                   .groupBy("label", "dim").agg(F.min(F.struct("cost", "bits", "passes")).alias("best"))
-                  .select("label", "dim", "best.bits", "best.passes"), "embedding-bits")
+                  .select("label", "dim", "best.bits", "best.passes"), "embedding-levels")
 
 
 def _links(classes: DataFrame, threshold: float, miss: float, seed: int) -> DataFrame:
     """(a, b): links between classes, enough of them to connect every component."""
-    chosen = (classes.select("label", "raw", "cls", F.length("raw").alias("dim"))
-              .join(_bits(classes, threshold, miss, seed), ["label", "dim"], "left")
-              .select("label", "raw", "cls", F.coalesce("bits", F.lit(0)).alias("bits"),
-                      F.coalesce("passes", F.lit(1)).alias("passes")))
-    bucket = ["label", "dim", "pass", "code"]
-    crowd = stored(chosen.mapInArrow(_codes(seed, False), "label string, dim int, pass int, code long")
-                   .groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
-                   .where("blocks > 1"), "embedding-crowds")
-    placed = (chosen.mapInArrow(_codes(seed, True), "label string, dim int, pass int, code long, cls long, raw binary")
-              .join(crowd, bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-              .withColumn("block", F.pmod(F.xxhash64("raw"), F.col("blocks")).cast("int")))
-    cells = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    levels = _levels(classes, threshold, miss, seed)
+    chosen = (classes.select("label", "raw", "node", F.length("raw").alias("dim")).join(levels, ["label", "dim"])
+              .select("label", "raw", "node", "passes"))
+    order = ["label", "dim", "pass", "code", "node"]
+    placed = positions(chosen.mapInArrow(_codes(seed), _CODED), order, "embedding-order")
+    raws = classes.select("label", "node", "cls", "raw")
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    block = F.expr(f"pos div {BLOCK}")
+    along = F.expr(f"pos % {BLOCK} >= {BLOCK - WINDOW}").cast("int")
+    near = (placed.select("label", "dim", "pass", "node", "pos", F.explode(F.sequence(block, block + along)).alias("block"))
+            .join(raws, ["label", "node"]).repartition(tasks, "block").sortWithinPartitions("block", "pos")
+            .mapInArrow(_windows(threshold), "a long, b long"))
+
+    run = ["label", "dim", "pass", "run"]
+    leading = placed.join(levels, ["label", "dim"]).select("label", "dim", "pass", "node", _shift("bits").alias("run"))
+    long = stored(leading.groupBy(*run).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > WINDOW)
+                  .select(*run, F.ceil(F.col("m") / CELL).cast("int").alias("blocks")), "embedding-runs")
+    members = (leading.join(long, run).join(raws, ["label", "node"]).withColumnRenamed("run", "code")
+               .withColumn("block", F.pmod(F.xxhash64("raw"), F.col("blocks")).cast("int")))
+    cells = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
              .select(*_CELL_KEY, "block", "cls", "raw"))
-    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cells.repartition(tasks, *_CELL_KEY).sortWithinPartitions(*_CELL_KEY)
-    return ordered.mapInArrow(_cells(threshold), "a long, b long").distinct()
+    whole = (cells.repartition(tasks, *_CELL_KEY).sortWithinPartitions(*_CELL_KEY)
+             .mapInArrow(_cells(threshold), "a long, b long"))
+    return near.unionByName(whole).distinct()
 
 
 def _complete(threshold: float):
     def run(key, table):
         node, n, block = (table.column(c).to_pylist() for c in ("node", "n", "block"))
-        _, i, j = (k.as_py() for k in key)
+        i, j = (k.as_py() for k in key[-2:])
         raws = table.column("raw").to_pylist()
         left = [k for k, x in enumerate(block) if x == i]
         right = [k for k, x in enumerate(block) if x == j]
@@ -232,12 +280,14 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     pairs = stored(_links(classes, threshold, miss, seed), "embedding-pairs")
     comps = connected_components(pairs, "a", "b").withColumnsRenamed({"node": "cls"})
 
-    inside = classes.select("cls", "node", "n", "raw").join(comps, "cls")
-    sizes = comps.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
-    placed = inside.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # ids may repeat, so a component can hold several labels and lengths
+    part = ["component", "label", "dim"]
+    inside = classes.select("cls", "node", "n", "raw", "label", F.length("raw").alias("dim")).join(comps, "cls")
+    sizes = inside.groupBy(*part).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
+    placed = inside.join(sizes, part).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     cells = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
-    links = (cells.groupBy("component", "i", "j").applyInArrow(_complete(threshold), "node long, links long")
+    links = (cells.groupBy(*part, "i", "j").applyInArrow(_complete(threshold), "node long, links long")
              .groupBy("node").agg(F.sum("links").alias("links")))
     known = (classes.join(comps, "cls", "left").join(links, "node", "left")
              .select("label", "raw", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

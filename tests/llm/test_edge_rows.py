@@ -204,6 +204,25 @@ def test_embeddings_concentrated_label(spark, monkeypatch, carry):
     assert links >= 6 * planted and 0 <= missed <= 1e-3 * links
 
 
+def test_embeddings_of_one_id(spark):
+    """Different vectors of one id are one node, each with its own label's links."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 0), (3, [1.0, 0.0], 1), (4, [0.01, 1.0], 1), (4, [0.01, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(r) for r in embeddings.embedding_components(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 1, False), (4, 1, 1, False)]
+
+
+def test_windows_reach_over_blocks_and_partitions(spark, monkeypatch):
+    """Links found by neighbour windows alone: no run is long, and every block and partition end is crossed."""
+    monkeypatch.setattr(embeddings, "BLOCK", 40)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1500, 32)).astype(np.float32)
+    x[750:] = x[:750] * 2 + 0.02 * rng.standard_normal((750, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.embedding_components(df.repartition(3)).collect()}
+    assert sum(got[i] == (1, i % 750) for i in range(1500)) >= 1498
+
+
 def test_kd_edges(docs, empty):
     got = kd_shards.kd_shards(docs, shards=5).collect()
     assert len(got) == docs.count() and {r["law"] for r in got} == {"bytes"}
