@@ -259,7 +259,7 @@ def _bound(percent: int):
         keep = [i for i, m in enumerate(member)
                 if not m and any(home[inside[j]] != home[i] for j in members.near(n[i], sketch[i]))]
         return pa.table({"sig": pa.array([sig[i] for i in keep], pa.int64()),
-                         "grp": pa.array([key[0].as_py()] * len(keep), pa.string())})
+                         "grp": pa.array([key[0].as_py()] * len(keep), pa.int64())})
     return run
 
 
@@ -373,9 +373,10 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comps = comps.withColumnsRenamed({"node": "rep"})
     least = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
     full = least.join(comps, "rep", "left").select("sig", F.coalesce("component", "rep").alias("component"))
-    return (rows.join(full, "sig", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
+    # rows without shingles, however many, need no join
+    told = (rows.where("n > 0").join(full, "sig", "left").select("id", "n", "component")
+            .unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component"))))
+    return told.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def _search(sets: DataFrame, shared: DataFrame, homes: DataFrame, width: int, percent: int,
@@ -395,7 +396,8 @@ def _search(sets: DataFrame, shared: DataFrame, homes: DataFrame, width: int, pe
     crowd = keyed.groupBy("bunch").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("parts"))
     grouped = stored(
         keyed.join(crowd, "bunch")
-        .withColumn("grp", F.concat_ws(":", "bunch", F.pmod(F.xxhash64("sig"), F.col("parts"))))
+        # 64 bits name a group; two that share a name are one group with the members of both
+        .withColumn("grp", F.xxhash64("bunch", F.pmod(F.xxhash64("sig"), F.col("parts"))))
         .select("sig", "rep", "n", "sketch", "home", "grp"), "shingle-groups")
     marked = shared.join(grouped.select("sig", "n", "home", "grp"), "sig")
     matrix = (marked.groupBy("token", F.col("grp").alias("other"))
@@ -410,7 +412,7 @@ def _search(sets: DataFrame, shared: DataFrame, homes: DataFrame, width: int, pe
         order = Window.partitionBy("sig").orderBy(F.desc("tokens"), "grp")
         pairs = pairs.withColumn("k", F.row_number().over(order)).where(F.col("k") <= best)
     asking = pairs.select("sig", "grp").join(grouped.drop("grp"), "sig")
-    hits = stored(_meet(grouped, asking).groupBy("grp", "copy").applyInArrow(_bound(percent), "sig long, grp string"),
+    hits = stored(_meet(grouped, asking).groupBy("grp", "copy").applyInArrow(_bound(percent), "sig long, grp long"),
                   "shingle-bound")
     opened = _meet(grouped.select("sig", "rep", "home", "grp"), hits.join(grouped.select("sig", "rep", "home"), "sig"))
     return stored(opened.join(sets.select("sig", "text"), "sig").groupBy("grp", "copy")
