@@ -5,16 +5,15 @@ columns of ``documents``:
 
 1. *toxicity*: drops the documents predicted toxic (score >= 0.7), fitted on
    those labels of the training fold whose documents are in the input;
-2. *near_duplicates*: of the documents that the n-gram Jaccard join links, the
-   one with the smallest ``doc_id`` stays (of repeated rows of it, one);
+2. *near_duplicates*: of the rows that the n-gram Jaccard join links, the first in
+   the order of the stage's input files stays;
 3. *decontamination*: drops documents that hold a benchmark item;
 4. *packing*: packs what is left into sequences of 1,024 tokens.
 
-Documents without text are no one's duplicate, hold no benchmark item, and are
-packed as their end id. Rows with a null ``doc_id`` pass the first and third
-stage like others; in the second they stay as they are. The third decides each
-row by its own text; the second decides by ``doc_id``, so of rows that share one
-all go if one is a duplicate.
+Documents without words are no one's duplicate (of wholly equal rows one stays),
+hold no benchmark item, and are packed with their end id. The second and third stage decide each row by its own
+text, so rows with a null ``doc_id``, or with one that others have too, are rows
+like others.
 """
 
 from __future__ import annotations
@@ -36,16 +35,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score(docs, model).where("predicted = 0").select(*docs.columns)
 
 
+#: names a row of the stage's input: partition and place in it, the same at every read of the same files
+ROW = "__pipeline_row"
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = shingle_components(docs)
-    drop = found.where("component_id <> doc_id").select("doc_id").distinct()
-    again = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-             .select("doc_id"))
-    # ids that occur once need no look at their rows; the rows of the others are compared whole
-    single = docs.join(drop.union(again), "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.join(again.join(drop, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns).distinct()
-    return single.unionByName(repeated)
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    found = shingle_components(rows, id_col=ROW)
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = rows.where(words).join(found.where(f"component_id <> {ROW}").select(ROW), ROW, "left_anti")
+    # no words, no group: of wholly equal rows one stays
+    return first.select(*docs.columns).unionByName(docs.where(~words).distinct())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
