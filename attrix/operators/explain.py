@@ -57,6 +57,27 @@ def _h(*cols) -> "F.Column":
     return F.xxhash64(*cols)
 
 
+def number_background(background: DataFrame, key: str, features: Sequence[str], seed: int,
+                      buckets: int = BACKGROUND_BUCKETS) -> tuple[DataFrame, int]:
+    """Background rows with ``__number`` 0..N-1 in a hashed order, features as ``__bg<j>``; and N.
+
+    Rows are numbered inside hash buckets; running counts over the at most
+    ``buckets`` buckets turn that into numbers over the whole background.
+    """
+    seed_c = F.lit(int(seed))
+    bg = background.select(F.col(key).alias("__bkey"), *[F.col(f).alias(f"__bg{j}") for j, f in
+                                                         enumerate(features)])
+    bg = bg.withColumn("__bb", F.pmod(_h(seed_c, F.lit("bucket"), F.col("__bkey")), F.lit(buckets)))
+    bg = bg.withColumn("__bi", F.row_number().over(
+        Window.partitionBy("__bb").orderBy("__bkey")) - 1)
+    sizes = bg.groupBy("__bb").agg(F.count(F.lit(1)).alias("__bn"))
+    before = Window.orderBy("__bb").rowsBetween(Window.unboundedPreceding, -1)  # at most `buckets` rows
+    starts = sizes.select("__bb", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__start"))
+    bg = (bg.join(F.broadcast(starts), "__bb").withColumn("__number", (F.col("__start") + F.col("__bi")).cast("bigint"))
+            .drop("__bb", "__bi", "__start"))
+    return bg, sizes.agg(F.sum("__bn")).first()[0]
+
+
 def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFrame, key: str,
                    features: Sequence[str], samples: int | None = None, seed: int = 42,
                    buckets: int = BACKGROUND_BUCKETS, with_scores: bool = False) -> DataFrame:
@@ -69,18 +90,7 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     S = samples or samples_for_budget(p)
     seed_c = F.lit(int(seed))
 
-    # Background: bucket + index inside the bucket.
-    bg = background.select(F.col(key).alias("__bkey"), *[F.col(f).alias(f"__bg{j}") for j, f in
-                                                         enumerate(feats)])
-    bg = bg.withColumn("__bb", F.pmod(_h(seed_c, F.lit("bucket"), F.col("__bkey")), F.lit(buckets)))
-    bg = bg.withColumn("__bi", F.row_number().over(
-        Window.partitionBy("__bb").orderBy("__bkey")) - 1)
-    sizes = bg.groupBy("__bb").agg(F.count(F.lit(1)).alias("__bn"))
-    before = Window.orderBy("__bb").rowsBetween(Window.unboundedPreceding, -1)  # at most `buckets` rows
-    starts = sizes.select("__bb", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__start"))
-    bg = (bg.join(F.broadcast(starts), "__bb").withColumn("__number", (F.col("__start") + F.col("__bi")).cast("bigint"))
-            .drop("__bb", "__bi", "__start"))
-    total = sizes.select(F.sum("__bn")).scalar()
+    bg, total = number_background(background, key, feats, seed, buckets)
 
     # Explained rows x samples, each with a partner's number and a permutation.
     ex = explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)])

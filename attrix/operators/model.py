@@ -19,7 +19,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import Classifier, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from attrix.operators.preprocess import (
     NUMERIC_FEATURES,
     build_feature_pipeline,
 )
+from attrix.session import scratch_path
 
 # Fixed value: the reference's model seed.
 MODEL_SEED = 810302555
@@ -75,16 +77,48 @@ def baseline_classifiers(label: str = "Churn", seed: int = MODEL_SEED) -> dict:
     }
 
 
+#: bytes of assembled vectors that one task of a tree level reads
+TASK_BYTES = 16 << 20
+
+
+def prepared(prep: PipelineModel, rows: DataFrame, label: str = "Churn") -> DataFrame:
+    """(features, label) of ``rows``, written once and read in as many partitions as their bytes need.
+
+    Every level of every tree is a job over these rows: a short lineage keeps its
+    tasks small, and partitions by size keep it from being all scheduling. The
+    vectors stay in memory (spilling to disk) until ``unpersist``.
+    """
+    spark = rows.sparkSession
+    vectors = prep.transform(rows.withColumn(label, F.col(label).cast("double"))).select("features", label)
+    path = scratch_path(spark, "vectors")
+    vectors.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    back = spark.read.schema(vectors.schema).parquet(path)
+    n, size = back.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
+    parts = max(1, -(-n * (size or 1) * 8 // TASK_BYTES))
+    return back.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit(pipeline: Pipeline, train: DataFrame, label: str = "Churn") -> PipelineModel:
-    """Fit with the input persisted: the feature stages each take a pass
-    over it (modes, means, vocabularies, moments) before the trees start, so
-    without this a lazily derived input is recomputed once per stage."""
-    data = train.withColumn(label, F.col(label).cast("double")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    """Fit the feature stages, then the classifier on ``prepared`` vectors.
+
+    The feature stages each take a pass over the rows (modes, means,
+    vocabularies, moments), so these are persisted; the classifier's many
+    passes read the assembled vectors only. Without a classifier as last stage
+    only the feature stages are fitted.
+    """
+    stages = pipeline.getStages()
+    data = train.withColumn(label, F.col(label).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline.fit(data)
+        if not isinstance(stages[-1], Classifier):
+            return pipeline.fit(data)
+        prep = Pipeline(stages=stages[:-1]).fit(data)
+        vectors = prepared(prep, data, label)
     finally:
         data.unpersist()
+    try:
+        return PipelineModel(stages=[*prep.stages, stages[-1].fit(vectors)])
+    finally:
+        vectors.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:

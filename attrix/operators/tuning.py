@@ -4,8 +4,9 @@ Search: seeded random draws from the reference's four distributions, one
 pipeline fit per draw on the training split, evaluated on the validation
 split. Each fit is itself a distributed MLlib job; up to ``parallelism``
 fits run at once as concurrent Spark jobs submitted from driver threads.
-(The reference's tree-structured Parzen estimator draws at random for its
-first 20 trials, so with 8 trials it is this same method.)
+A tree-structured Parzen estimator draws at random for its first 20 trials, so
+with 8 trials it is this same method; ``adaptive_search`` goes on with proposals
+from ``attrix.operators.tpe``.
 
 Results form a ``trials`` DataFrame: trial_id, the four parameters,
 log_loss, accuracy. Best trial = lowest log loss, ties by trial id.
@@ -19,7 +20,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +29,7 @@ from attrix.operators.model import (
     evaluate,
     fit,
     gbt_from_params,
+    prepared,
     score,
 )
 from attrix.operators.preprocess import feature_pipeline
@@ -86,6 +87,40 @@ def draw_params(space: Mapping[str, object] = SEARCH_SPACE, n: int = MAX_EVALS,
     return [{k: space[k].draw(rng) for k in PARAM_NAMES} for _ in range(n)]
 
 
+def adaptive_search(train: DataFrame, validation: DataFrame, label: str = "Churn",
+                    space: Mapping[str, object] = SEARCH_SPACE, max_evals: int = MAX_EVALS,
+                    parallelism: int = PARALLELISM, seed: int = SEARCH_SEED) -> DataFrame:
+    """``random_search`` whose trials after the first ``tpe.STARTUP`` are proposed from the finished ones.
+
+    Batches of ``parallelism`` models are fitted at a time; up to ``tpe.STARTUP``
+    evaluations the trials are those of ``random_search``.
+    """
+    from attrix.operators import tpe
+
+    spark = train.sparkSession
+    prep = fit(feature_pipeline(), train, label)
+    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
+    metrics: list[tuple[float, float]] = []
+
+    def one(params):
+        m = evaluate(score(gbt_from_params(params, label).fit(tr), va, keep=[label]), label).first()
+        return float(m["log_loss"]), float(m["accuracy"])
+
+    def batch(params):
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            found = list(pool.map(one, params))
+        metrics.extend(found)
+        return [m[0] for m in found]
+
+    try:
+        done = tpe.search(batch, {k: space[k] for k in PARAM_NAMES}, max_evals, max(1, parallelism), seed)
+    finally:
+        tr.unpersist()
+        va.unpersist()
+    return spark.createDataFrame([(i, *[float(p[k]) for k in PARAM_NAMES], *m)
+                                  for i, ((p, _), m) in enumerate(zip(done, metrics))], TRIALS_SCHEMA)
+
+
 def random_search(train: DataFrame, validation: DataFrame, label: str = "Churn",
                   space: Mapping[str, object] = SEARCH_SPACE, max_evals: int = MAX_EVALS,
                   parallelism: int = PARALLELISM, seed: int = SEARCH_SEED) -> DataFrame:
@@ -93,18 +128,15 @@ def random_search(train: DataFrame, validation: DataFrame, label: str = "Churn",
 
     The preprocessing stages do not depend on the searched parameters, so
     they are fitted once on the training split and both splits are turned
-    into (features, label) vectors once, persisted (memory, spilling to
-    disk). Each trial then fits only the trees on those vectors: the same
-    models as refitting the whole pipeline per trial, with one set of
-    preprocessing passes instead of one per trial.
+    into (features, label) vectors once (``prepared``). Each trial then fits
+    only the trees on those vectors: the same models as refitting the whole
+    pipeline per trial, with one set of preprocessing passes instead of one
+    per trial.
     """
     spark = train.sparkSession
     draws = draw_params(space, max_evals, seed)
     prep = fit(feature_pipeline(), train, label)
-    tr = (prep.transform(train.withColumn(label, F.col(label).cast("double")))
-              .select("features", label).persist(StorageLevel.MEMORY_AND_DISK))
-    va = (prep.transform(validation.withColumn(label, F.col(label).cast("double")))
-              .select("features", label).persist(StorageLevel.MEMORY_AND_DISK))
+    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
 
     def one(i_params):
         i, params = i_params
@@ -140,10 +172,7 @@ def compare_baselines(train: DataFrame, validation: DataFrame, label: str = "Chu
     spark = train.sparkSession
     models = baseline_classifiers(label)
     prep = fit(feature_pipeline(), train, label)
-    tr = (prep.transform(train.withColumn(label, F.col(label).cast("double")))
-              .select("features", label).persist(StorageLevel.MEMORY_AND_DISK))
-    va = (prep.transform(validation.withColumn(label, F.col(label).cast("double")))
-              .select("features", label).persist(StorageLevel.MEMORY_AND_DISK))
+    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
 
     def one(item):
         name, clf = item
