@@ -40,9 +40,9 @@ class FeatureLookup:
     def load(self, spark: SparkSession) -> DataFrame:
         if self.df is not None:
             return self.df
-        from attrix.sources.tables import read_table
+        from attrix.sources.features import read_features
 
-        return read_table(spark, self.table)
+        return read_features(spark, self.table)
 
     def features(self, spark: SparkSession) -> DataFrame:
         df = self.load(spark)

@@ -8,6 +8,7 @@ table, so the check covers the write path too.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,57 @@ def q_features_merge_partial(spark, sf_dir):
     return FT.read_features(spark, name)
 
 
+_MERGED = with_features(
+    f"SELECT * FROM service_features WHERE {_OLD} AND NOT ({_NEW}) UNION ALL "
+    f"SELECT * REPLACE (MonthlyCharges * {_RAISE}e0 AS MonthlyCharges) FROM service_features "
+    f"WHERE {_NEW}")
+MERGE_BUCKETS = 16
+
+
+def _bucketed(spark, sf: DataFrame) -> str:
+    name = _name("service_features")
+    FT.create_feature_table(spark, name, KEY, schema=sf.schema, merge_buckets=MERGE_BUCKETS)
+    FT.write_features(spark, name, sf.filter(F.col("PaymentMethod") != "AUTOMOBILE"), "merge")
+    return name
+
+
+@register("features_merge_buckets", _MERGED)
+def q_features_merge_buckets(spark, sf_dir):
+    """The merge into a table under a manifest: only the buckets of the update's keys are rewritten."""
+    sf = frames(spark, sf_dir).service_features
+    name = _bucketed(spark, sf)
+    FT.write_features(spark, name, _updates(sf), "merge")
+    return FT.read_features(spark, name)
+
+
+@register("features_merge_concurrent", _MERGED)
+def q_features_merge_concurrent(spark, sf_dir):
+    """Two writers merge their halves of the update at the same time; both are kept."""
+    sf = frames(spark, sf_dir).service_features
+    name = _bucketed(spark, sf)
+    halves = [_updates(sf).filter(F.col("PaymentMethod") == p) for p in ("AUTOMOBILE", "BUILDING")]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(lambda half: FT.write_features(spark, name, half, "merge"), halves))
+    return FT.read_features(spark, name)
+
+
+_RICHEST = 100
+
+
+@register("feature_lookup_few_keys", with_features(
+    f"SELECT s.* FROM service_features s JOIN (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT {_RICHEST}) k "
+    "ON s.customerID = k.c_custkey"))
+def q_feature_lookup_few_keys(spark, sf_dir):
+    """A lookup of a few keys (the customers with the highest balance) opens only their buckets."""
+    sf = frames(spark, sf_dir).service_features
+    name = _name("service_features")
+    FT.create_feature_table(spark, name, KEY, schema=sf.schema, merge_buckets=MERGE_BUCKETS)
+    FT.write_features(spark, name, sf, "merge")
+    keys = (tbl(spark, sf_dir, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(_RICHEST)
+            .select(F.col("c_custkey").alias(KEY)))
+    return keys.join(FT.read_features(spark, name, for_keys=keys), KEY).select(*sf.columns)
+
+
 @register("stream_usage_features",
           "SELECT user_id AS customerID, count(*) AS n_events, "
           "CAST(sum(CAST(round(value * 100e0) AS BIGINT)) AS BIGINT) AS cents, "

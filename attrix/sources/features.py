@@ -12,6 +12,12 @@ Write modes:
   merge      upsert by key: new rows replace old rows with the same key, old
              rows without a new row stay. When the new rows carry only some
              of the feature columns, the other columns keep their old values.
+
+A table created with ``merge_buckets`` keeps its rows by key bucket under a manifest
+(``attrix.sources.manifest``): a merge rewrites only the buckets that it touches, and
+concurrent merges are all kept. Its catalog entry holds the key and the folder; the
+rows are read with ``read_features`` (lookups by name do so), and a plain read of
+the entry is an error.
 """
 
 from __future__ import annotations
@@ -25,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrix.session import scratch_path
-from attrix.sources.tables import bucket_spec, table_exists, table_location
+from attrix.sources.tables import bucket_spec, is_path, read_table, table_exists, table_location
 
 PROP_KEYS = "attrix.primary_keys"
 PROP_ROOT = "attrix.root"
+PROP_MANIFEST = "attrix.manifest"
 
 
 class FeatureTableError(ValueError):
@@ -70,13 +77,14 @@ def primary_keys(spark: SparkSession, name: str) -> list[str]:
 def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Iterable[str],
                          schema: T.StructType | None = None, df: DataFrame | None = None,
                          description: str = "", path: str | None = None,
-                         buckets: int | None = None) -> str:
+                         buckets: int | None = None, merge_buckets: int | None = None) -> str:
     """Register an empty feature table with a key and a schema.
 
     Refuses when the table exists: a feature table is not silently
     re-created. With ``df`` the rows are merged in right away. ``buckets``
     hash-buckets every version by the key, so lookups against a base table
-    bucketed the same way need no shuffle.
+    bucketed the same way need no shuffle. ``merge_buckets`` keeps the rows
+    under a manifest of so many key buckets instead.
     """
     keys = [primary_keys] if isinstance(primary_keys, str) else list(primary_keys)
     if table_exists(spark, name):
@@ -86,6 +94,13 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Ite
     if missing:
         raise FeatureTableError(f"key columns {missing} not in schema")
     root = path or scratch_path(spark, f"features/{name.replace('.', '_')}")
+    if merge_buckets:
+        if buckets:
+            raise FeatureTableError("a table is bucketed for joins or for merges, not both")
+        _create_under_manifest(spark, name, root, keys, schema, merge_buckets)
+        if df is not None:
+            write_features(spark, name, df, mode="merge")
+        return root
     first = f"{root}/v00000"
     # The first version is an empty folder: the schema lives in the catalog,
     # and no file means no file without a bucket id in a bucketed table.
@@ -112,6 +127,28 @@ def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Ite
     return root
 
 
+def _create_under_manifest(spark: SparkSession, name: str, root: str, keys: Sequence[str],
+                           schema: T.StructType, buckets: int) -> None:
+    """The table's folder, and a catalog entry that says where it is and refuses to be read itself."""
+    from attrix.sources.manifest import ManifestTable
+
+    ManifestTable.create(spark, root, keys, schema, buckets)
+    refuse = f"raise_error('read {name} with read_features')"
+    cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    spark.sql(f"CREATE VIEW {name} TBLPROPERTIES ('{PROP_KEYS}'='{','.join(keys)}', '{PROP_ROOT}'='{root}', "
+              f"'{PROP_MANIFEST}'='true') AS SELECT {cols} WHERE {refuse} IS NULL")
+
+
+def _manifest(spark: SparkSession, name: str):
+    """The table of ``name`` if it lies under a manifest, else None."""
+    from attrix.sources.manifest import ManifestTable
+
+    if is_path(name) or not spark.catalog.tableExists(name) or spark.catalog.getTable(name).isTemporary:
+        return None
+    props = _props(spark, name)
+    return ManifestTable(spark, props[PROP_ROOT]) if PROP_MANIFEST in props else None
+
+
 def merge_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert ``new`` into ``old`` by key, as a join plan (no driver work)."""
     keys = list(keys)
@@ -148,6 +185,10 @@ def write_features(spark: SparkSession, name: str, df: DataFrame, mode: str = "m
     """
     if mode not in ("merge", "overwrite"):
         raise FeatureTableError(f"unsupported mode {mode!r}")
+    under = _manifest(spark, name)
+    if under is not None:
+        under.merge(df) if mode == "merge" else under.overwrite(df)
+        return under.root
     props = _props(spark, name)
     keys = props[PROP_KEYS].split(",")
     root = props[PROP_ROOT]
@@ -192,6 +233,9 @@ def expire_versions(spark: SparkSession, name: str, keep: int = 1) -> int:
     Merged-in rows (``new-*``) and folders of failed writes go too. Call it when
     no reader is on an old version any more.
     """
+    under = _manifest(spark, name)
+    if under is not None:
+        return under.expire(keep + 1)
     root = _props(spark, name)[PROP_ROOT]
     current = (table_location(spark, name) or "").rstrip("/").rpartition("/")[2]
     jvm = spark.sparkContext._jvm
@@ -212,5 +256,13 @@ def _version(spark: SparkSession, name: str) -> int:
     return int(m[1]) if m else 0
 
 
-def read_features(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)
+def read_features(spark: SparkSession, name: str, for_keys: DataFrame | None = None) -> DataFrame:
+    """The current rows of a feature table (or any table or path).
+
+    With ``for_keys`` (rows that hold the key columns) a table under a manifest opens
+    only what a lookup of these keys can meet.
+    """
+    under = _manifest(spark, name)
+    if under is None:
+        return read_table(spark, name)
+    return under.read() if for_keys is None else under.read_for(for_keys)

@@ -9,6 +9,9 @@ values. ``foreachBatch`` merges those rows into the feature table by key
 Replaying a micro-batch after a failure writes the same full values again,
 and a merge by key is idempotent, so recovery from the checkpoint gives the
 same table. The checkpoint lives under the shared scratch folder.
+
+The table is created under a manifest: a micro-batch rewrites the key buckets
+of its keys only, and old versions go every ``EXPIRE_EVERY`` batches.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 from attrix.session import scratch_path
 from attrix.sources import features as FT
 
+#: key buckets of a table that a stream keeps
+MERGE_BUCKETS = 16
+EXPIRE_EVERY = 10
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
 
@@ -52,10 +58,12 @@ def upsert_stream(aggregates: DataFrame, table: str, keys: Sequence[str] | str,
     keys = [keys] if isinstance(keys, str) else list(keys)
     if create and not spark.catalog.tableExists(table):
         FT.create_feature_table(spark, table, keys, schema=aggregates.schema,
-                                description="maintained by a streaming upsert")
+                                description="maintained by a streaming upsert", merge_buckets=MERGE_BUCKETS)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         FT.write_features(batch.sparkSession, table, batch, mode="merge")
+        if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
+            FT.expire_versions(batch.sparkSession, table)
 
     w = (aggregates.writeStream.outputMode("update").foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream_ckpt")))
