@@ -11,6 +11,9 @@ bit-equal to it):
   learning_rate    -> stepSize
   max_depth        -> maxDepth (MLlib allows at most 30)
   min_child_weight -> minInstancesPerNode (rounded; XGBoost's is a hessian sum)
+
+The search and its refit use ``attrix.operators.boosting`` instead, which has
+the second-order gain and takes ``min_child_weight`` as a hessian sum.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrix.functions.metrics import accuracy, log_loss, positive_probability
+from attrix.operators.boosting import HistogramTrees
 from attrix.operators.preprocess import (
     BOOLEAN_FEATURES,
     CATEGORICAL_FEATURES,
@@ -109,7 +113,7 @@ def fit(pipeline: Pipeline, train: DataFrame, label: str = "Churn") -> PipelineM
     stages = pipeline.getStages()
     data = train.withColumn(label, F.col(label).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if not isinstance(stages[-1], Classifier):
+        if not isinstance(stages[-1], (Classifier, HistogramTrees)):
             return pipeline.fit(data)
         prep = Pipeline(stages=stages[:-1]).fit(data)
         vectors = prepared(prep, data, label)

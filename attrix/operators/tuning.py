@@ -1,10 +1,9 @@
 """Hyperparameter search, best trial, baseline comparison, promotion gate.
 
-Search: seeded random draws from the reference's four distributions, one
-pipeline fit per draw on the training split, evaluated on the validation
-split. Each fit is itself a distributed MLlib job; up to ``parallelism``
-fits run at once as concurrent Spark jobs submitted from driver threads.
-A tree-structured Parzen estimator draws at random for its first 20 trials, so
+Search: seeded random draws from the reference's four distributions, fitted on
+the training split and evaluated on the validation split. The models of
+``parallelism`` draws are grown together, one pass over the rows per level of
+all their trees (``attrix.operators.boosting``). A tree-structured Parzen estimator draws at random for its first 20 trials, so
 with 8 trials it is this same method; ``adaptive_search`` goes on with proposals
 from ``attrix.operators.tpe``.
 
@@ -24,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attrix.functions.metrics import accuracy, log_loss
+from attrix.operators import boosting
 from attrix.operators.model import (
     baseline_classifiers,
     evaluate,
     fit,
-    gbt_from_params,
     prepared,
     score,
 )
@@ -87,72 +87,68 @@ def draw_params(space: Mapping[str, object] = SEARCH_SPACE, n: int = MAX_EVALS,
     return [{k: space[k].draw(rng) for k in PARAM_NAMES} for _ in range(n)]
 
 
+def _fit_batch(train: DataFrame, validation: DataFrame, label: str):
+    """A function from parameter sets to (log loss, accuracy) on the validation rows, and what frees its rows.
+
+    The preprocessing stages do not depend on the searched parameters, so they are fitted
+    once and both splits are turned into vectors once (``prepared``); a batch's trees
+    are grown together (``boosting.grow``) and all its models score in one pass.
+    """
+    prep = fit(feature_pipeline(), train, label)
+    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
+
+    def batch(params: Sequence[Mapping[str, float]]) -> list[tuple[float, float]]:
+        grown = boosting.grow(tr, params, label)
+        scored = va.select(label, boosting.chances(grown, "features").alias("p"))
+        row = scored.agg(*[m for i in range(len(grown)) for m in (
+            log_loss(F.col(label), F.col("p")[i]), accuracy(F.col(label), (F.col("p")[i] > 0.5).cast("int")))]).first()
+        return [(float(row[2 * i]), float(row[2 * i + 1])) for i in range(len(grown))]
+
+    def free() -> None:
+        tr.unpersist()
+        va.unpersist()
+    return batch, free
+
+
 def adaptive_search(train: DataFrame, validation: DataFrame, label: str = "Churn",
                     space: Mapping[str, object] = SEARCH_SPACE, max_evals: int = MAX_EVALS,
                     parallelism: int = PARALLELISM, seed: int = SEARCH_SEED) -> DataFrame:
-    """``random_search`` whose trials after the first ``tpe.STARTUP`` are proposed from the finished ones.
+    """The trials table: ``parallelism`` models at a time, all grown together.
 
-    Batches of ``parallelism`` models are fitted at a time; up to ``tpe.STARTUP``
-    evaluations the trials are those of ``random_search``.
+    The first ``tpe.STARTUP`` trials are the seeded draws, later ones are
+    proposed from the finished ones; so the reference's eight are draws.
     """
     from attrix.operators import tpe
 
-    spark = train.sparkSession
-    prep = fit(feature_pipeline(), train, label)
-    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
+    batch, free = _fit_batch(train, validation, label)
     metrics: list[tuple[float, float]] = []
 
-    def one(params):
-        m = evaluate(score(gbt_from_params(params, label).fit(tr), va, keep=[label]), label).first()
-        return float(m["log_loss"]), float(m["accuracy"])
-
-    def batch(params):
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            found = list(pool.map(one, params))
-        metrics.extend(found)
+    def losses(params):
+        metrics.extend(found := batch(params))
         return [m[0] for m in found]
 
     try:
-        done = tpe.search(batch, {k: space[k] for k in PARAM_NAMES}, max_evals, max(1, parallelism), seed)
+        done = tpe.search(losses, {k: space[k] for k in PARAM_NAMES}, max_evals, max(1, parallelism), seed)
     finally:
-        tr.unpersist()
-        va.unpersist()
-    return spark.createDataFrame([(i, *[float(p[k]) for k in PARAM_NAMES], *m)
-                                  for i, ((p, _), m) in enumerate(zip(done, metrics))], TRIALS_SCHEMA)
+        free()
+    # One small row per trial: the trial count is the search budget.
+    return train.sparkSession.createDataFrame([(i, *[float(p[k]) for k in PARAM_NAMES], *m)
+                                               for i, ((p, _), m) in enumerate(zip(done, metrics))], TRIALS_SCHEMA)
 
 
 def random_search(train: DataFrame, validation: DataFrame, label: str = "Churn",
                   space: Mapping[str, object] = SEARCH_SPACE, max_evals: int = MAX_EVALS,
                   parallelism: int = PARALLELISM, seed: int = SEARCH_SEED) -> DataFrame:
-    """Fit one model per parameter draw; return the trials table.
-
-    The preprocessing stages do not depend on the searched parameters, so
-    they are fitted once on the training split and both splits are turned
-    into (features, label) vectors once (``prepared``). Each trial then fits
-    only the trees on those vectors: the same models as refitting the whole
-    pipeline per trial, with one set of preprocessing passes instead of one
-    per trial.
-    """
-    spark = train.sparkSession
+    """The same with seeded draws throughout."""
     draws = draw_params(space, max_evals, seed)
-    prep = fit(feature_pipeline(), train, label)
-    tr, va = prepared(prep, train, label), prepared(prep, validation, label)
-
-    def one(i_params):
-        i, params = i_params
-        trees = gbt_from_params(params, label).fit(tr)
-        m = evaluate(score(trees, va, keep=[label]), label).first()
-        return (i, *[float(params[k]) for k in PARAM_NAMES], float(m["log_loss"]),
-                float(m["accuracy"]))
-
+    batch, free = _fit_batch(train, validation, label)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(one, enumerate(draws)))
+        step = max(1, parallelism)
+        metrics = [m for i in range(0, len(draws), step) for m in batch(draws[i:i + step])]
     finally:
-        tr.unpersist()
-        va.unpersist()
-    # One small row per trial: the trial count is the search budget.
-    return spark.createDataFrame(rows, TRIALS_SCHEMA)
+        free()
+    return train.sparkSession.createDataFrame([(i, *[float(p[k]) for k in PARAM_NAMES], *m)
+                                               for i, (p, m) in enumerate(zip(draws, metrics))], TRIALS_SCHEMA)
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from attrix.operators import explain as X
 from attrix.operators import sampling
+from attrix.operators.boosting import HistogramTrees
 from attrix.operators.lookup import FeatureLookup, create_training_set
 from attrix.operators.model import build_model, evaluate, fit, score
 from attrix.operators.preprocess import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -32,9 +33,9 @@ from attrix.operators.tuning import (
     PARALLELISM,
     SEARCH_SEED,
     SEARCH_SPACE,
+    adaptive_search,
     best_params,
     promotion_gate,
-    random_search,
 )
 from attrix.plans.frames import KEY, LABEL, frames
 from attrix.session import cut_lineage, scratch_path
@@ -102,12 +103,13 @@ class FitResult:
 
 def search_and_fit(df: DataFrame, space=SEARCH_SPACE, max_evals: int = MAX_EVALS,
                    parallelism: int = PARALLELISM, seed: int = SEARCH_SEED,
-                   artifact_path: str | None = None, training_set_spec=None) -> FitResult:
-    """Split, search, refit on all rows, evaluate in-sample, save."""
-    train, val = sampling.split_frames(df, KEY, LABEL, TRAIN_FRACTION, SPLIT_SEED)
-    trials = random_search(train, val, LABEL, space, max_evals, parallelism, seed)
+                   artifact_path: str | None = None, training_set_spec=None, trials: DataFrame | None = None) -> FitResult:
+    """Split, search, refit on all rows, evaluate in-sample, save. ``trials`` of a finished search are taken as they are."""
+    if trials is None:
+        train, val = sampling.split_frames(df, KEY, LABEL, TRAIN_FRACTION, SPLIT_SEED)
+        trials = adaptive_search(train, val, LABEL, space, max_evals, parallelism, seed)
     params = best_params(trials)
-    model = fit(build_model(params, label=LABEL), df, LABEL)
+    model = fit(build_model(params, label=LABEL, classifier=HistogramTrees(params, LABEL)), df, LABEL)
     metrics = training_metrics(model, df)
     if artifact_path and training_set_spec is not None:
         artifacts.log_model(model, artifact_path, training_set_spec, df, KEY, metrics)
