@@ -265,7 +265,11 @@ class HistogramTrees(Estimator, HasFeaturesCol):
 
 
 def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str = "Churn", bins: int = BINS) -> list[Grown]:
-    """One model per parameter set, all grown together on (features, label)."""
+    """One model per parameter set, all grown together on (features, label).
+
+    Rows that make a single block are dealt out by trial: each task grows one trial on
+    the block, with the same arithmetic as the passes over many blocks.
+    """
     spark = vectors.sparkSession
     scratch_root(spark)
     trials = [Params.of(p) for p in params]
@@ -273,52 +277,85 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     counts = np.array([len(c) + 1 for c in cuts])
     starts, width = np.append(0, counts.cumsum()[:-1]), int(counts.sum())
     state = blocks_of(vectors, cuts, label, len(trials)).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = state.getNumPartitions()
-    done: list[list[Tree]] = [[] for _ in trials]
-    since: list[list[Tree]] = [[] for _ in trials]
-    renewed = 0
     try:
-        for round_ in range(max(p.n_estimators for p in trials)):
-            trees = {t: Tree() for t, p in enumerate(trials) if p.n_estimators > round_}
-            open_ = {t: [0] for t in trees}
-            level = 0
-            while open_:
-                growing = {t: trees[t] for t in open_}
-                sums = _level(state, parts, since, growing, open_, starts, width)
-                following: dict[int, list[int]] = {}
-                for t, nodes in open_.items():
-                    p, tree = trials[t], trees[t]
-                    gain, slot, cut, whole, left = best_splits(sums[t], starts, p.min_child_weight)
-                    for k, node in enumerate(nodes):
-                        if not gain[k] > LEAST_GAIN:
-                            tree.value[node] = p.leaf(whole[k])
-                            continue
-                        # the children's sums are known here: only those that may split are looked at again
-                        for child, part in zip(tree.split(node, int(slot[k]), int(cut[k])), (left[k], whole[k] - left[k])):
-                            tree.value[child] = p.leaf(part)
-                            if level + 1 < p.max_depth and part[1] >= 2 * p.min_child_weight:
-                                following.setdefault(t, []).append(child)
-                open_, level = following, level + 1
-            for t, tree in trees.items():
-                done[t].append(tree)
-                since[t].append(tree)
-            if (round_ + 1) % RENEW == 0:
-                state, renewed = _renew(state, since, renewed), renewed + 1
-                since = [[] for _ in trials]
+        if state.count() == 1:
+            alone = (state.flatMap(lambda b: [(t, Block(b.bins, b.label, b.margin[:1])) for t in range(len(trials))])
+                     .partitionBy(len(trials), lambda t: t)
+                     .map(lambda x: (x[0], _rounds([trials[x[0]]], starts, _OneBlock(x[1], starts, width))[0])))
+            trees = [found for _, found in sorted(alone.collect(), key=lambda x: x[0])]
+        else:
+            passes = _Blocks(state, starts, width)
+            try:
+                trees = _rounds(trials, starts, passes)
+            finally:
+                passes.state.unpersist()
     finally:
         state.unpersist()
-    return [Grown(cuts, trees) for trees in done]
-
+    return [Grown(cuts, found) for found in trees]
 
-def _level(state: RDD, parts: int, since, growing, open_, starts, width) -> dict[int, np.ndarray]:
-    found = state.map(lambda b: histograms(b, since, growing, open_, starts, width))
-    return found.treeReduce(_add) if parts > TREE_FROM else found.reduce(_add)
 
-
-def _renew(state: RDD, since: list[list[Tree]], renewed: int) -> RDD:
-    new = state.map(lambda b: Block(b.bins, b.label, _margins(b, since))).persist(StorageLevel.MEMORY_AND_DISK)
-    if renewed % CHECKPOINT == CHECKPOINT - 1:
-        new.checkpoint()
-    new.count()
-    state.unpersist()
-    return new
+def _rounds(trials: Sequence[Params], starts: np.ndarray, passes) -> list[list[Tree]]:
+    """The trees of every trial; ``passes`` gives the sums of a level and takes the trees of past rounds."""
+    done: list[list[Tree]] = [[] for _ in trials]
+    since: list[list[Tree]] = [[] for _ in trials]
+    for round_ in range(max(p.n_estimators for p in trials)):
+        trees = {t: Tree() for t, p in enumerate(trials) if p.n_estimators > round_}
+        open_ = {t: [0] for t in trees}
+        level = 0
+        while open_:
+            sums = passes.level(since, {t: trees[t] for t in open_}, open_)
+            following: dict[int, list[int]] = {}
+            for t, nodes in open_.items():
+                p, tree = trials[t], trees[t]
+                gain, slot, cut, whole, left = best_splits(sums[t], starts, p.min_child_weight)
+                for k, node in enumerate(nodes):
+                    if not gain[k] > LEAST_GAIN:
+                        tree.value[node] = p.leaf(whole[k])
+                        continue
+                    # the children's sums are known here: only those that may split are looked at again
+                    for child, part in zip(tree.split(node, int(slot[k]), int(cut[k])), (left[k], whole[k] - left[k])):
+                        tree.value[child] = p.leaf(part)
+                        if level + 1 < p.max_depth and part[1] >= 2 * p.min_child_weight:
+                            following.setdefault(t, []).append(child)
+            open_, level = following, level + 1
+        for t, tree in trees.items():
+            done[t].append(tree)
+            since[t].append(tree)
+        if (round_ + 1) % RENEW == 0:
+            passes.renew(since)
+            since = [[] for _ in trials]
+    return done
+
+
+class _OneBlock:
+    """Passes over a block in the task that holds it."""
+
+    def __init__(self, block: Block, starts: np.ndarray, width: int):
+        self.block, self.starts, self.width = block, starts, width
+
+    def level(self, since, growing, open_):
+        return histograms(self.block, since, growing, open_, self.starts, self.width)
+
+    def renew(self, since) -> None:
+        self.block = Block(self.block.bins, self.block.label, _margins(self.block, since))
+
+
+class _Blocks:
+    """Passes over blocks in many tasks: one job per level."""
+
+    def __init__(self, state: RDD, starts: np.ndarray, width: int):
+        self.state, self.starts, self.width, self.renewed = state, starts, width, 0
+        self.parts = state.getNumPartitions()
+
+    def level(self, since, growing, open_):
+        starts, width = self.starts, self.width
+        found = self.state.map(lambda b: histograms(b, since, growing, open_, starts, width))
+        return found.treeReduce(_add) if self.parts > TREE_FROM else found.reduce(_add)
+
+    def renew(self, since) -> None:
+        new = self.state.map(lambda b: Block(b.bins, b.label, _margins(b, since))).persist(StorageLevel.MEMORY_AND_DISK)
+        if self.renewed % CHECKPOINT == CHECKPOINT - 1:
+            new.checkpoint()
+        new.count()
+        self.state.unpersist()
+        self.state, self.renewed = new, self.renewed + 1

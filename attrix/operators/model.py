@@ -5,15 +5,10 @@ preprocessing of ``attrix.operators.preprocess`` followed by a boosted-tree
 classifier. Training and scoring are distributed MLlib jobs; evaluation is a
 pair of aggregates over the scored rows.
 
-Parameter mapping (boosted trees in MLlib are not XGBoost, so results are not
-bit-equal to it):
-  n_estimators     -> maxIter
-  learning_rate    -> stepSize
-  max_depth        -> maxDepth (MLlib allows at most 30)
-  min_child_weight -> minInstancesPerNode (rounded; XGBoost's is a hessian sum)
-
-The search and its refit use ``attrix.operators.boosting`` instead, which has
-the second-order gain and takes ``min_child_weight`` as a hessian sum.
+The trees are those of ``attrix.operators.boosting``: second-order gain, histograms,
+``min_child_weight`` as a hessian sum, ``learning_rate``, ``max_depth`` and
+``n_estimators`` as they are. ``gbt_from_params`` gives MLlib's trees instead
+(first-order, ``min_child_weight`` rounded to ``minInstancesPerNode``).
 """
 
 from __future__ import annotations
@@ -65,7 +60,7 @@ def build_model(params: Mapping[str, float], label: str = "Churn",
                 categorical: Sequence[str] = CATEGORICAL_FEATURES,
                 classifier=None) -> Pipeline:
     stages = build_feature_pipeline(boolean, numeric, categorical)
-    clf = classifier if classifier is not None else gbt_from_params(params, label)
+    clf = classifier if classifier is not None else HistogramTrees(params, label)
     return Pipeline(stages=[*stages, clf])
 
 

@@ -81,6 +81,15 @@ def test_trees_equal_an_exact_binned_tree(vectors, table):
     assert all(len(t.feature) == 1 for t in grown[3].trees)  # no child can hold that much
 
 
+def test_one_block_gives_the_trees_of_many(vectors, table):
+    """Rows in one block are grown by trial, each in its task; the trees are the same."""
+    x, _ = table
+    one, many = B.grow(vectors.coalesce(1), PARAMS, bins=16), B.grow(vectors, PARAMS, bins=16)
+    for a, b in zip(one, many):
+        assert [nested(t) for t in a.trees] == [nested(t) for t in b.trees]
+        assert a.margin(x) == pytest.approx(b.margin(x), abs=1e-9)
+
+
 def test_child_weight_is_a_hessian_sum(vectors, table):
     x, y = table
     m = B.grow(vectors, [{"max_depth": 6, "learning_rate": 0.3, "min_child_weight": 5.0, "n_estimators": 1}], bins=16)[0]
