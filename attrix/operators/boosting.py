@@ -34,7 +34,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrix.session import scratch_root
+from attrix.session import scratch_root, ship
 
 BINS = 64
 RENEW = 5
@@ -244,6 +244,7 @@ class HistogramTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultP
             self._set(trees=grown.to_json())
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship(dataset.sparkSession)
         grown = Grown.from_json(self.getOrDefault(self.trees))
         out = dataset.withColumn("__p", chances([grown], self.getFeaturesCol())[0])
         return (out.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - F.col("__p"), F.col("__p"))))
@@ -272,6 +273,7 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     """
     spark = vectors.sparkSession
     scratch_root(spark)
+    ship(spark)
     trials = [Params.of(p) for p in params]
     cuts = cut_points(vectors, bins=bins)
     counts = np.array([len(c) + 1 for c in cuts])

@@ -12,10 +12,33 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for the Python workers of the application.
+
+    The sources go out once per application by Spark's own file server, as
+    ``--py-files`` would send them; the driver keeps a zip of a few KB.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="attrix-py-")) / "attrix.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_session(cpus: int | str = "*", app: str = "attrix", shuffle_partitions: int = 8,
                   **extra: str) -> SparkSession:
     """A local-mode session configured the way the tests and bench expect."""
