@@ -2,38 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attrix.session import scratch_path
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Make this package importable for the Python workers of the application.
-
-    The sources go out once per application by Spark's own file server, as
-    ``--py-files`` would send them; the driver keeps a zip of a few KB.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="attrix-py-")) / "attrix.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, Path(root.name) / f.relative_to(root))
-    sc.addPyFile(str(target))
-    _SHIPPED.add(sc.applicationId)
+from attrix.session import scratch_path, ship  # noqa: F401  (the operators take ship from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
