@@ -230,3 +230,31 @@ def q_score_batch_lookup(spark, sf_dir):
     meta = model_meta(ts, ts.load_df(keep_keys=True), KEY)
     return lookup_for_scoring(meta, f.demographic.drop("Churn"),
                               {"service_features": f.service_features})
+
+
+_SHARES = """
+SELECT PaymentMethod AS model, greatest(avg(CAST(Churn AS DOUBLE)), 1e0 - avg(CAST(Churn AS DOUBLE))) AS accuracy
+FROM demographic_service GROUP BY PaymentMethod"""
+
+
+@register("model_stages", with_features(f"""SELECT * FROM (
+WITH a AS ({_SHARES}), m AS (SELECT avg(accuracy) AS least FROM a)
+SELECT model, version, CASE WHEN version = 1 AND accuracy >= least THEN 'Archived' WHEN version = 1 THEN 'Production'
+                            WHEN accuracy >= least THEN 'Production' ELSE 'Staging' END AS stage, model || '/' || version AS artifact
+FROM a, m, (VALUES (CAST(1 AS INTEGER)), (CAST(2 AS INTEGER))) v(version)) q"""))
+def q_model_stages(spark, sf_dir):
+    """One model per segment (its majority class): the first version is in production, the second staged, and
+    promoted where its accuracy is at least the mean of all, which archives the first."""
+    from attrix.sources import stages as ST
+
+    share = F.avg(F.col("Churn").cast("double"))
+    models = (frames(spark, sf_dir).training_set().groupBy(F.col("PaymentMethod").alias("model"))
+              .agg(F.greatest(share, F.lit(1.0) - share).alias("accuracy")))
+    path = scratch_path(spark, "model_stages")
+    for version, stage in ((1, ST.PRODUCTION), (2, ST.STAGING)):
+        ST.register_versions(spark, path, models.select("model", F.concat("model", F.lit(f"/{version}")).alias("artifact")))
+        ST.transition(spark, path, ST.latest_versions(spark, path, [ST.NONE]).select("model", "version"), stage)
+    least = models.agg(F.avg("accuracy")).first()[0]
+    passed = models.where(F.col("accuracy") >= F.lit(least)).select("model")
+    ST.transition(spark, path, ST.latest_versions(spark, path, [ST.STAGING]).join(passed, "model").select("model", "version"), ST.PRODUCTION)
+    return ST.current(spark, path)
