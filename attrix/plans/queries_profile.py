@@ -69,10 +69,10 @@ def _summary_sql(table: str, numeric: list[str], strings: list[str] = ()) -> str
     return (f",\nagg AS (SELECT {', '.join(aggs)} FROM {table})\n" + _union(parts))
 
 
-def _summary(df: DataFrame, columns: list[str]) -> DataFrame:
+def _summary(df: DataFrame, columns: list[str], **options) -> DataFrame:
     """The summary with its computed figures rounded for comparison."""
     computed = F.col("statistic").isin("mean", "stddev")
-    return P.summary_stats(df, columns).withColumn(
+    return P.summary_stats(df, columns, **options).withColumn(
         "value", F.when(computed, significant("value")).otherwise(F.col("value")))
 
 
@@ -88,7 +88,26 @@ _ORDER_STRINGS = ["o_orderstatus", "o_orderpriority"]
 
 @register("summary_orders", "WITH o AS (SELECT * FROM orders)" + _summary_sql("o", _ORDER_NUMERIC, _ORDER_STRINGS))
 def q_summary_orders(spark, sf_dir):
-    return _summary(tbl(spark, sf_dir, "orders"), _ORDER_NUMERIC + _ORDER_STRINGS)
+    return _summary(tbl(spark, sf_dir, "orders"), _ORDER_NUMERIC + _ORDER_STRINGS, reread=True)
+
+
+# ids above 2^53, where neighbours share a double, and exact decimals: the digits as text
+_WIDE = {"order_id": "o_orderkey + 9007199254740993", "price": "CAST(o_totalprice AS DECIMAL(18,2))"}
+
+
+def _wide_sql() -> str:
+    stats = {"count": "count({c})", "min": "min({c})", "25%": "quantile_disc({c}, 0.25)", "50%": "quantile_disc({c}, 0.5)",
+             "75%": "quantile_disc({c}, 0.75)", "max": "max({c})"}
+    return (f"WITH w AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _WIDE.items())} FROM orders)\n"
+            + _union([f"SELECT '{c}' AS column_name, '{st}' AS statistic, CAST({f.format(c=c)} AS VARCHAR) AS text FROM w"
+                      for c in _WIDE for st, f in stats.items()]))
+
+
+@register("summary_wide_values", _wide_sql())
+def q_summary_wide_values(spark, sf_dir):
+    wide = tbl(spark, sf_dir, "orders").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
+    return (P.summary_stats(wide, texts=True, reread=True).where(~F.col("statistic").isin("mean", "stddev"))
+            .select("column_name", "statistic", "text"))
 
 
 # --------------------------------------------------------------------------
@@ -110,8 +129,8 @@ def _profile_sql(types: dict[str, str] = TRAINING_TYPES, table: str = "demograph
     return wrap(_union(parts))
 
 
-def _profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    return P.data_profile(df, columns, exact_distinct=True).withColumn("mean_value", significant("mean_value"))
+def _profile(df: DataFrame, columns: list[str], reread: bool = False) -> DataFrame:
+    return P.data_profile(df, columns, exact_distinct=True, reread=reread).withColumn("mean_value", significant("mean_value"))
 
 
 @register("data_profile", _profile_sql())
@@ -355,7 +374,7 @@ def _plain(sql: str) -> str:
 
 @register("lineitem_profile", _profile_sql(LINEITEM_TYPES, "lineitem", _plain))
 def q_lineitem_profile(spark, sf_dir):
-    return _profile(tbl(spark, sf_dir, "lineitem"), list(LINEITEM_TYPES))
+    return _profile(tbl(spark, sf_dir, "lineitem"), list(LINEITEM_TYPES), reread=True)
 
 
 @register("lineitem_histogram", _hist_sql(10, LINEITEM_NUMERIC, "lineitem", _plain))
@@ -365,4 +384,29 @@ def q_lineitem_histogram(spark, sf_dir):
 
 @register("lineitem_summary", "WITH li AS (SELECT * FROM lineitem)" + _summary_sql("li", LINEITEM_NUMERIC, LINEITEM_STRINGS))
 def q_lineitem_summary(spark, sf_dir):
-    return _summary(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC + LINEITEM_STRINGS)
+    return _summary(tbl(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC + LINEITEM_STRINGS, reread=True)
+
+
+# Favourites of columns with few and with many values; ranks of a column of all keys.
+HEAVY_COLUMNS = ["l_returnflag", "l_linenumber", "l_suppkey", "l_partkey", "l_orderkey"]
+
+
+@register("heavy_values", f"""SELECT column_name, value, n, rank FROM (
+  SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS INTEGER) AS rank
+  FROM (SELECT column_name, value, count(*) AS n FROM ({_union([
+      f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM lineitem" for c in HEAVY_COLUMNS])}) l
+    WHERE value IS NOT NULL GROUP BY column_name, value) c) r WHERE rank <= 10""")
+def q_heavy_values(spark, sf_dir):
+    return P.heavy_values(tbl(spark, sf_dir, "lineitem"), HEAVY_COLUMNS, k=10)
+
+
+KEY_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority"]
+
+
+@register("key_vocabulary", f"""SELECT column_name, value,
+  CAST(row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS index
+FROM (SELECT DISTINCT column_name, value FROM ({_union([
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM orders" for c in KEY_COLUMNS])}) l
+  WHERE value IS NOT NULL) d""")
+def q_key_vocabulary(spark, sf_dir):
+    return P.category_vocabulary(tbl(spark, sf_dir, "orders"), KEY_COLUMNS)
