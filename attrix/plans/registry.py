@@ -343,6 +343,13 @@ def q_stratified_split_nulls(spark, sf_dir):
 
 
 # The other query groups register themselves on import.
-from attrix.plans import queries_attribution, queries_model, queries_profile, queries_search, queries_tables  # noqa: E402,F401
+from attrix.plans import (  # noqa: E402,F401
+    queries_attribution,
+    queries_model,
+    queries_profile,
+    queries_search,
+    queries_states,
+    queries_tables,
+)
 
 __all__ = ["QUERIES", "SQL", "churn_by_segment"]
