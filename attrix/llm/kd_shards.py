@@ -6,8 +6,11 @@ whole table's) so that ``floor(k / 2) / k`` of its bytes lie on the left, until
 every leaf is one shard, i.e. holds about the target bytes.
 
 The cut is a distributed weighted median: a position is the dimension's value,
-scaled to 32 bits, followed by 30 bits of a row hash that spreads equal values;
-all nodes of a level are searched together by summing bytes per (node, bin) of
+scaled to 28 bits, followed by 20 bits of a hash of the row's id, size, text and
+metadata, which spreads equal values, and 14 bits of a hash of the row's number, which
+spreads wholly equal rows. Bins end where content ends as long as more than one
+content is in question, so shards do not depend on the layout of the files; only
+which of wholly equal rows go where does. All nodes of a level are searched together by summing bytes per (node, bin) of
 ``BINS`` equal bins and descending into the bin that holds the cut, until that
 bin weighs less than the tolerance. What reaches the driver is one row per node
 and bin; what the rows get is a nested CASE over their own columns.
@@ -29,7 +32,8 @@ BINS = 1024
 TOLERANCE = 0.002  # of a shard's bytes
 OVERHEAD = 16
 DIMENSIONS = ("doc_id", "size", "lang", "source")
-_TIE_BITS = 30
+_VALUE_BITS, _CONTENT_BITS, _ROW_BITS = 28, 20, 14
+_TIE_BITS = _CONTENT_BITS + _ROW_BITS
 
 
 @dataclass
@@ -54,20 +58,27 @@ class Node:
 
 
 def _positions(rows: DataFrame, dims: list[str]) -> dict[str, Column]:
-    """Per dimension a 62-bit position: scaled value, then a hash of the row."""
+    """Per dimension a 62-bit position: scaled value, hash of the row's content, hash of its number."""
     ends = rows.agg(*(F.min(d).alias(f"lo_{d}") for d in dims), *(F.max(d).alias(f"hi_{d}") for d in dims)).first()
-    tie = F.shiftright(F.xxhash64("row"), 64 - _TIE_BITS).bitwiseAND(F.lit((1 << _TIE_BITS) - 1))
+    content = F.xxhash64(*sorted({"size", "text_crc32", *dims})).bitwiseAND(F.lit((1 << _CONTENT_BITS) - 1))
+    tie = F.shiftleft(content, _ROW_BITS) + F.xxhash64("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     out = {}
     for d in dims:
         lo, hi = float(ends[f"lo_{d}"] or 0), float(ends[f"hi_{d}"] or 0)
         share = (F.coalesce(F.col(d).cast("double"), F.lit(lo)) - lo) / (hi - lo) if hi > lo else F.lit(0.0)
-        scaled = F.least(F.floor(share * float(1 << 32)), F.lit((1 << 32) - 1)).cast("long")
+        scaled = F.least(F.floor(share * float(1 << _VALUE_BITS)), F.lit((1 << _VALUE_BITS) - 1)).cast("long")
         out[d] = F.shiftleft(scaled, _TIE_BITS) + tie
     return out
 
 
+def _width(span: int, bins: int) -> int:
+    """Bins of whole contents while the span has more than one, then of positions."""
+    unit = 1 << _ROW_BITS if span > 1 << _ROW_BITS else 1
+    return -(-span // (bins * unit)) * unit
+
+
 def build_tree(rows: DataFrame, dims: list[str], shards: int, bins: int = BINS, tolerance: float = TOLERANCE) -> tuple[Node, dict[str, Column]]:
-    """The tree over ``rows`` (row, size and the dimensions) and the rows' positions."""
+    """The tree over ``rows`` (row, size, text_crc32 and the dimensions) and the rows' positions."""
     keys = _positions(rows, dims)
     top = Node(0, shards)
     while level := top.open_nodes():
@@ -84,9 +95,10 @@ def build_tree(rows: DataFrame, dims: list[str], shards: int, bins: int = BINS,
             else:
                 node.dim = max(dims, key=lambda d: (r[f"hi_{d}"] >> _TIE_BITS) - (r[f"lo_{d}"] >> _TIE_BITS))
                 want = r["bytes"] * half / node.leaves
-                live[node.first] = [r[f"lo_{node.dim}"], r[f"hi_{node.dim}"] + 1, 0, want, r["bytes"] / node.leaves, node]
+                same = (1 << _ROW_BITS) - 1  # from the start of the first content to the end of the last
+                live[node.first] = [r[f"lo_{node.dim}"] & ~same, (r[f"hi_{node.dim}"] | same) + 1, 0, want, r["bytes"] / node.leaves, node]
         while live:
-            width = {k: max(1, -(-(v[1] - v[0]) // bins)) for k, v in live.items()}
+            width = {k: _width(v[1] - v[0], bins) for k, v in live.items()}
             asked = rows.sparkSession.range(1).select(F.inline(F.array(*(
                 F.struct(F.lit(k).alias("node"), F.lit(v[5].dim).alias("dim"), F.lit(v[0]).cast("long").alias("low"),
                          F.lit(v[1]).cast("long").alias("high"), F.lit(width[k]).cast("long").alias("step"))

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from attrix.llm import chat, decontaminate, embeddings, kd_shards, packing, token_counts, token_output, toxicity, warc
@@ -247,6 +248,37 @@ def test_kd_balances_bytes_with_ties(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 5 * 21
 
 
+def test_kd_shards_do_not_depend_on_the_layout(spark):
+    df = spark.range(3000).selectExpr("id % 2900 AS doc_id", "repeat('x', CAST(id % 53 AS int)) AS text",
+                                      "IF(id % 4 = 0, null, 'en') AS lang", "IF(id % 3 = 0, 'hot', CAST(id % 7 AS string)) AS source")
+    one, many = ({(r["doc_id"], r["text_crc32"]): r["shard"] for r in kd_shards.kd_shards(d, shards=13).collect()}
+                 for d in (df.coalesce(1), df.orderBy(F.xxhash64("doc_id")).repartition(7)))
+    assert one == many and len(set(one.values())) == 13
+
+
+def _kd_by_hand(points, first, leaves, span):
+    """Shards by exact weighted medians, for values that all differ."""
+    if leaves == 1:
+        return {p: first for p in points}
+    dim = max((0, 1), key=lambda d: max(span(p, d) for p in points) - min(span(p, d) for p in points))
+    half, total, at = leaves // 2, 0, 0
+    points = sorted(points, key=lambda p: p[dim])
+    want = sum(p[1] for p in points) * half / leaves
+    while total + points[at][1] <= want:
+        total, at = total + points[at][1], at + 1
+    at += want - total > total + points[at][1] - want
+    return _kd_by_hand(points[:at], first, half, span) | _kd_by_hand(points[at:], first + half, leaves - half, span)
+
+
+def test_kd_tree_equals_exact_medians(spark):
+    points = [(i * 7 + i * i % 5, 20 + 3 * ((i * 37) % 701)) for i in range(701)]
+    rows = spark.createDataFrame(points, "doc_id long, size long").selectExpr("*", "doc_id AS row", "size AS text_crc32")
+    tree, keys = kd_shards.build_tree(rows, ["doc_id", "size"], 11, tolerance=0.0)
+    got = {(r["doc_id"], r["size"]): r["shard"] for r in rows.select("doc_id", "size", tree.expr(keys).alias("shard")).collect()}
+    ends = [(min(p[d] for p in points), max(p[d] for p in points)) for d in (0, 1)]
+    assert got == _kd_by_hand(points, 0, 11, lambda p, d: min(int((p[d] - ends[d][0]) / (ends[d][1] - ends[d][0]) * 2.0 ** 28), 2 ** 28 - 1))
+
+
 def test_token_count_edges(docs, empty):
     lengths = sorted(len(direct(BYTE, r["text"])) for r in docs.select("text").collect())
     sums = token_counts.token_counts(docs)
