@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -265,9 +265,14 @@ class HistogramTrees(Estimator, HasFeaturesCol):
         return HistogramTreesModel(grow(vectors, [self.parameters], self.label)[0], self.getFeaturesCol())
 
 
-def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str = "Churn", bins: int = BINS) -> list[Grown]:
+def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str = "Churn", bins: int = BINS,
+         begun: Sequence[Grown] | None = None) -> list[Grown]:
     """One model per parameter set, all grown together on (features, label).
 
+    With ``begun`` (a model per set, from an earlier call on the same rows) each model
+    keeps its trees and goes on up to its ``n_estimators``; the margins of the trees it
+    has are added up once. The result equals growing all trees in one call.
+
     Rows that make a single block are dealt out by trial: each task grows one trial on
     the block, with the same arithmetic as the passes over many blocks.
     """
@@ -275,7 +280,11 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     scratch_root(spark)
     ship(spark)
     trials = [Params.of(p) for p in params]
-    cuts = cut_points(vectors, bins=bins)
+    had: list[list[Tree]] = [list(m.trees) for m in begun] if begun else [[] for _ in trials]
+    if len(had) != len(trials):
+        raise ValueError(f"{len(had)} begun models for {len(trials)} parameter sets")
+    trials = [replace(p, n_estimators=max(0, p.n_estimators - len(h))) for p, h in zip(trials, had)]
+    cuts = begun[0].cuts if begun else cut_points(vectors, bins=bins)
     counts = np.array([len(c) + 1 for c in cuts])
     starts, width = np.append(0, counts.cumsum()[:-1]), int(counts.sum())
     state = blocks_of(vectors, cuts, label, len(trials)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -283,21 +292,23 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
         if state.count() == 1:
             alone = (state.flatMap(lambda b: [(t, Block(b.bins, b.label, b.margin[:1])) for t in range(len(trials))])
                      .partitionBy(len(trials), lambda t: t)
-                     .map(lambda x: (x[0], _rounds([trials[x[0]]], starts, _OneBlock(x[1], starts, width))[0])))
+                     .map(lambda x: (x[0], _rounds([trials[x[0]]], starts, _OneBlock(x[1], starts, width), [had[x[0]]])[0])))
             trees = [found for _, found in sorted(alone.collect(), key=lambda x: x[0])]
         else:
             passes = _Blocks(state, starts, width)
             try:
-                trees = _rounds(trials, starts, passes)
+                trees = _rounds(trials, starts, passes, had)
             finally:
                 passes.state.unpersist()
     finally:
         state.unpersist()
-    return [Grown(cuts, found) for found in trees]
+    return [Grown(cuts, [*old, *found]) for old, found in zip(had, trees)]
 
 
-def _rounds(trials: Sequence[Params], starts: np.ndarray, passes) -> list[list[Tree]]:
-    """The trees of every trial; ``passes`` gives the sums of a level and takes the trees of past rounds."""
+def _rounds(trials: Sequence[Params], starts: np.ndarray, passes, had: list[list[Tree]]) -> list[list[Tree]]:
+    """The new trees of every trial; ``passes`` gives the sums of a level and takes the trees of past rounds."""
+    if any(had):
+        passes.renew(had)
     done: list[list[Tree]] = [[] for _ in trials]
     since: list[list[Tree]] = [[] for _ in trials]
     for round_ in range(max(p.n_estimators for p in trials)):

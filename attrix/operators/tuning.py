@@ -87,6 +87,14 @@ def draw_params(space: Mapping[str, object] = SEARCH_SPACE, n: int = MAX_EVALS,
     return [{k: space[k].draw(rng) for k in PARAM_NAMES} for _ in range(n)]
 
 
+def validation_metrics(rows: DataFrame, grown: Sequence[boosting.Grown], label: str) -> list[tuple[float, float]]:
+    """(log loss, accuracy) of every model on (features, label), in one pass."""
+    scored = rows.select(label, boosting.chances(grown, "features").alias("p"))
+    row = scored.agg(*[m for i in range(len(grown)) for m in (
+        log_loss(F.col(label), F.col("p")[i]), accuracy(F.col(label), (F.col("p")[i] > 0.5).cast("int")))]).first()
+    return [(float(row[2 * i]), float(row[2 * i + 1])) for i in range(len(grown))]
+
+
 def _fit_batch(train: DataFrame, validation: DataFrame, label: str):
     """A function from parameter sets to (log loss, accuracy) on the validation rows, and what frees its rows.
 
@@ -98,11 +106,7 @@ def _fit_batch(train: DataFrame, validation: DataFrame, label: str):
     tr, va = prepared(prep, train, label), prepared(prep, validation, label)
 
     def batch(params: Sequence[Mapping[str, float]]) -> list[tuple[float, float]]:
-        grown = boosting.grow(tr, params, label)
-        scored = va.select(label, boosting.chances(grown, "features").alias("p"))
-        row = scored.agg(*[m for i in range(len(grown)) for m in (
-            log_loss(F.col(label), F.col("p")[i]), accuracy(F.col(label), (F.col("p")[i] > 0.5).cast("int")))]).first()
-        return [(float(row[2 * i]), float(row[2 * i + 1])) for i in range(len(grown))]
+        return validation_metrics(va, boosting.grow(tr, params, label), label)
 
     def free() -> None:
         tr.unpersist()

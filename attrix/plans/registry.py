@@ -345,6 +345,7 @@ def q_stratified_split_nulls(spark, sf_dir):
 # The other query groups register themselves on import.
 from attrix.plans import (  # noqa: E402,F401
     queries_attribution,
+    queries_halving,
     queries_model,
     queries_profile,
     queries_search,
