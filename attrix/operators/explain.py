@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.functions.metrics import positive_probability
+from attrix.operators.tsne import tsne
 
 BACKGROUND_BUCKETS = 1024
 # Five times the reference's budget: a permutation sample spends p + 1 of them.
@@ -174,10 +175,11 @@ def wide_attributions(phi: DataFrame, key: str, features: Sequence[str]) -> Data
 
 
 def explanation_clusters(phi: DataFrame, key: str, features: Sequence[str], profile: DataFrame,
-                         k: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                         k: int = 4, seed: int = 42, projection: str = "pca") -> tuple[DataFrame, DataFrame]:
     """Customers grouped by their explanations: standardised attributions ->
-    PCA(2) -> standardised components -> k-means. Returns (assignments,
-    per-cluster profile means). Raises if fewer than ``k`` groups come out.
+    two dimensions -> standardised -> k-means. ``projection`` is ``pca`` or ``tsne``
+    (``attrix.operators.tsne``). Returns (assignments, per-cluster profile
+    means). Raises if fewer than ``k`` groups come out.
 
     Both steps are standardised, so neither one strong feature nor a few rows
     with large attributions set the groups' scale.
@@ -190,7 +192,14 @@ def explanation_clusters(phi: DataFrame, key: str, features: Sequence[str], prof
     wide = cut_lineage(wide_attributions(phi, key, features).na.fill(0.0))
     vec = VectorAssembler(inputCols=list(features), outputCol="__v").transform(wide)
     vec = StandardScaler(inputCol="__v", outputCol="__sv", withMean=True, withStd=True).fit(vec).transform(vec)
-    emb = PCA(k=2, inputCol="__sv", outputCol="__raw_pc").fit(vec).transform(vec)
+    if projection == "tsne":
+        scaled = vec.select(key, *[_arr("__sv")[j].alias(f"__s{j}") for j in range(len(features))])
+        places = cut_lineage(tsne(scaled, key, [f"__s{j}" for j in range(len(features))], seed=seed))
+        emb = VectorAssembler(inputCols=["x", "y"], outputCol="__raw_pc").transform(places)
+    elif projection == "pca":
+        emb = PCA(k=2, inputCol="__sv", outputCol="__raw_pc").fit(vec).transform(vec)
+    else:
+        raise ValueError(f"projection {projection!r} is neither pca nor tsne")
     emb = StandardScaler(inputCol="__raw_pc", outputCol="__pc", withMean=True, withStd=True).fit(emb).transform(emb)
     km = KMeans(k=k, seed=seed, featuresCol="__pc", predictionCol="cluster", initSteps=5).fit(emb)
     sizes = km.summary.clusterSizes

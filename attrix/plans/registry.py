@@ -346,6 +346,7 @@ def q_stratified_split_nulls(spark, sf_dir):
 from attrix.plans import (  # noqa: E402,F401
     queries_attribution,
     queries_halving,
+    queries_map,
     queries_model,
     queries_profile,
     queries_search,
