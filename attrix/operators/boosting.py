@@ -1,25 +1,25 @@
 """Boosted trees by second-order histograms, for several parameter sets at once.
 
 All trees of one round and one level are grown in one pass over the data: each
-task sums gradient and hessian per (trial, node, feature, bin) over its rows,
-the sums meet in a tree of tasks, and the driver picks the splits. What reaches the
-driver is bounded by trials x open nodes x bins, whatever the number of rows. Trials
+task sums gradient and hessian per (trial, node, feature, bin) over its rows, the
+sums of a few nodes meet in a task, and that task finds their splits. What reaches the
+driver is a handful of numbers per open node, whatever the number of rows and tasks. Trials
 that have all their trees, and nodes that cannot be split, drop out of the pass.
 
 Splits have the gain of the regularised second-order objective; a child must
 hold a hessian sum of at least ``min_child_weight``. Log loss, start margin zero.
 
-Rows are kept as blocks (bins of one byte per feature, label, and a margin per
-trial), cached on memory and disk. Margins are renewed every ``RENEW`` rounds and
-checkpointed to the shared folder every ``CHECKPOINT`` renewals; between them tasks apply the
-trees since then. Blocks are RDD rows, as each pass is array arithmetic on a block with
-state, not a relational step.
+Rows are kept as blocks (codes of one byte, label, and a margin per trial), cached on
+memory and disk. Slots of few bins share a byte, so that a pass adds up bytes and not slots
+(``Packing``). Each round's trees are applied to the margins by the pass that opens the next
+round; every ``CHECKPOINT`` rounds the blocks are checkpointed to the shared folder. Blocks are
+RDD rows, as each pass is array arithmetic on a block with state, not a relational step.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -37,11 +37,17 @@ from pyspark.sql import functions as F
 from attrix.session import scratch_root, ship
 
 BINS = 64
-RENEW = 5
 CHECKPOINT = 20
 BLOCK_ROWS = 1 << 16
-#: partial sums met in tasks before the driver, beyond so many blocks
-TREE_FROM = 64
+CODES = 256
+#: slots of up to so many bins share a byte
+SHARED = 16
+#: nodes whose sums meet in one task
+NODES = 16
+#: partitions of vectors that make one of blocks at most
+MERGED = 8
+#: rows that are scored at a time
+SCORED = 1 << 12
 
 # The published defaults of the objective.
 LAMBDA = 1.0      # weight of the squared leaf values
@@ -88,22 +94,106 @@ class Tree:
 
     def leaves(self, bins: np.ndarray) -> np.ndarray:
         """The leaf that each row of ``bins`` comes to."""
-        feature, cut, left = np.array(self.feature), np.array(self.cut), np.array(self.left)
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        inner = feature[node] >= 0
-        while inner.any():
-            at, r = node[inner], rows[inner]
-            node[inner] = left[at] + (bins[r, feature[at]] > cut[at])
-            inner = feature[node] >= 0
+        return Walk.of(self).leaves(bins)
+
+
+@dataclass(frozen=True)
+class Walk:
+    """A tree as arrays; a leaf leads to itself, so that all rows take ``depth`` steps."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    value: np.ndarray
+    depth: int
+
+    @classmethod
+    def of(cls, tree: Tree) -> Walk:
+        feature, cut, left = np.array(tree.feature), np.array(tree.cut), np.array(tree.left)
+        inner = feature >= 0
+        depth, level = 0, [0]
+        while level := [c for n in level if inner[n] for c in (tree.left[n], tree.left[n] + 1)]:
+            depth += 1
+        return cls(np.where(inner, feature, 0), np.where(inner, cut, CODES), np.where(inner, left, np.arange(len(left))),
+                   np.array(tree.value, float), depth)
+
+    def leaves(self, bins: np.ndarray) -> np.ndarray:
+        flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        node = np.zeros(len(bins), np.int64)
+        for _ in range(self.depth):
+            node = self.left.take(node) + (flat.take(first + self.feature.take(node)) > self.cut.take(node))
+        return node
+
+
+@dataclass(frozen=True)
+class Packing:
+    """Slots in columns of one byte: a code stands for the bins of all slots of its column."""
+
+    counts: np.ndarray    # slot -> bins
+    column: np.ndarray    # slot -> column
+    stride: np.ndarray    # slot -> what one bin more adds to the code
+    spans: np.ndarray     # column -> codes
+
+    @classmethod
+    def of(cls, counts: Sequence[int]) -> Packing:
+        column, stride, spans = [], [], []
+        for n in counts:
+            at = next((c for c, span in enumerate(spans) if n <= SHARED and span * n <= CODES), len(spans))
+            if at == len(spans):
+                spans.append(1)
+            column.append(at)
+            stride.append(spans[at])
+            spans[at] *= n
+        return cls(np.array(counts), np.array(column), np.array(stride), np.array(spans))
+
+    @property
+    def starts(self) -> np.ndarray:
+        """The place of each slot's first bin among the bins of all slots."""
+        return np.append(0, self.counts.cumsum()[:-1])
+
+    def codes(self, bins: np.ndarray) -> np.ndarray:
+        """columns x rows"""
+        return np.stack([(bins[:, self.column == c] * self.stride[self.column == c]).sum(1) for c in range(len(self.spans))]).astype(np.uint8)
+
+    def bin_of(self) -> np.ndarray:
+        """slots x codes: the bin of the slot at a code of its column."""
+        return np.arange(CODES)[None, :] // self.stride[:, None] % self.counts[:, None]
+
+    def spread(self) -> list[tuple[np.ndarray, np.ndarray | None]]:
+        """Per column the places of its slots' bins, and codes x bins as 0 and 1 (None: the codes are the bins)."""
+        out, bin_of = [], self.bin_of()
+        for c, span in enumerate(self.spans):
+            slots = np.flatnonzero(self.column == c)
+            places = np.concatenate([self.starts[s] + np.arange(self.counts[s]) for s in slots])
+            bins = np.concatenate([np.arange(self.counts[s])[None, :] == bin_of[s, :span, None] for s in slots], axis=1)
+            out.append((places, None if len(slots) == 1 else bins.astype(float)))
+        return out
+
+    def leaves(self, walk: Walk, codes: np.ndarray) -> np.ndarray:
+        """The leaf that each column of ``codes`` comes to."""
+        column, rows = self.column[walk.feature] * codes.shape[1], np.arange(codes.shape[1])
+        right = (self.bin_of()[walk.feature] > walk.cut[:, None]).ravel().view(np.uint8)
+        flat, node = codes.ravel(), np.zeros(codes.shape[1], np.int64)
+        for _ in range(walk.depth):
+            code = flat.take(column.take(node) + rows)
+            node = walk.left.take(node) + right.take(node * CODES + code)
         return node
 
 
 @dataclass
 class Block:
-    bins: np.ndarray
+    codes: np.ndarray   # columns x rows
     label: np.ndarray
     margin: np.ndarray  # trials x rows
 
+    def moved(self, packing: Packing, trees: Mapping[int, Sequence[Walk]]) -> Block:
+        """The block after more trees of each trial."""
+        margin = self.margin.copy()
+        for t, walks in trees.items():
+            for walk in walks:
+                margin[t] += walk.value[packing.leaves(walk, self.codes)]
+        return Block(self.codes, self.label, margin)
+
 
 def cut_points(vectors: DataFrame, features: str = "features", bins: int = BINS) -> list[np.ndarray]:
     """Per slot the upper ends of all bins but the last: distinct quantiles of the slot, one aggregation."""
@@ -126,7 +216,8 @@ def bin_rows(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
     return np.column_stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)]).astype(np.uint8)
 
 
-def blocks_of(vectors: DataFrame, cuts: Sequence[np.ndarray], label: str, trials: int, features: str = "features") -> RDD:
+def blocks_of(vectors: DataFrame, cuts: Sequence[np.ndarray], packing: Packing, label: str, trials: int,
+              features: str = "features") -> RDD:
     def run(rows: Iterator) -> Iterator[Block]:
         held: list = []
         for r in rows:
@@ -140,41 +231,32 @@ def blocks_of(vectors: DataFrame, cuts: Sequence[np.ndarray], label: str, trials
     def block(held: list) -> Block:
         x = np.array([r[0] for r in held], float)
         y = np.array([r[1] for r in held], float)
-        return Block(bin_rows(x, cuts), y, np.zeros((trials, len(held))))
+        return Block(packing.codes(bin_rows(x, cuts)), y, np.zeros((trials, len(held))))
     return vectors.select(vector_to_array(features), F.col(label).cast("double")).rdd.mapPartitions(run)
 
 
-def _margins(block: Block, since: list[list[Tree]]) -> np.ndarray:
-    margin = block.margin.copy()
-    for t, trees in enumerate(since):
-        for tree in trees:
-            margin[t] += np.array(tree.value)[tree.leaves(block.bins)]
-    return margin
-
-
-def histograms(block: Block, since: list[list[Tree]], growing: dict[int, Tree], open_: dict[int, list[int]],
-               starts: np.ndarray, width: int) -> dict[int, np.ndarray]:
+def histograms(block: Block, growing: Mapping[int, Walk], open_: Mapping[int, Sequence[int]], packing: Packing) -> dict[int, np.ndarray]:
     """trial -> (open nodes, bins of all slots, 2) sums of gradient and hessian over the block."""
-    margin = _margins(block, [trees if t in growing else [] for t, trees in enumerate(since)])
-    out = {}
-    for t, tree in growing.items():
-        chance = 1.0 / (1.0 + np.exp(-margin[t]))
-        node = tree.leaves(block.bins)
-        place = np.full(len(tree.feature), -1)
-        place[open_[t]] = np.arange(len(open_[t]))
-        rows = np.flatnonzero(place[node] >= 0)
-        cell = (place[node[rows]] * width)[:, None] + starts + block.bins[rows]
+    width, spread, out = int(packing.counts.sum()), packing.spread(), {}
+    for t, walk in growing.items():
+        chance = 1.0 / (1.0 + np.exp(-block.margin[t]))
         gradient, hessian = chance - block.label, chance * (1 - chance)
-        size, slots = len(open_[t]) * width, len(starts)
-        out[t] = np.stack([np.bincount(cell.ravel(), np.repeat(v[rows], slots), size) for v in (gradient, hessian)],
-                          axis=1).reshape(len(open_[t]), width, 2)
+        nodes, codes = len(open_[t]), block.codes
+        place = np.full(len(walk.left), -1)
+        place[open_[t]] = np.arange(nodes)
+        place = place[packing.leaves(walk, codes)]
+        if (rows := np.flatnonzero(place >= 0)).size < len(place):
+            place, codes, gradient, hessian = place[rows], codes[:, rows], gradient[rows], hessian[rows]
+        sums = np.zeros((nodes, width, 2))
+        for code, span, (places, bins) in zip(codes, packing.spans, spread):
+            cell = place * span + code
+            for i, v in enumerate((gradient, hessian)):
+                of_codes = np.bincount(cell, v, nodes * span).reshape(nodes, span)
+                sums[:, places, i] = of_codes if bins is None else of_codes @ bins
+        out[t] = sums
     return out
 
 
-def _add(a: dict[int, np.ndarray], b: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    return {t: a[t] + b[t] for t in a}
-
-
 def best_splits(sums: np.ndarray, starts: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
     """Per node: gain, slot and last bin on the left (first of equal gains), and the (gradient, hessian) of node and left child."""
     nodes, width, _ = sums.shape
@@ -204,9 +286,11 @@ class Grown:
     trees: list[Tree]
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        bins, out = bin_rows(x, self.cuts), np.zeros(len(x))
-        for tree in self.trees:
-            out += np.array(tree.value)[tree.leaves(bins)]
+        walks, out = [Walk.of(t) for t in self.trees], np.zeros(len(x))
+        for lo in range(0, len(x), SCORED):
+            bins = bin_rows(x[lo:lo + SCORED], self.cuts)
+            for walk in walks:
+                out[lo:lo + SCORED] += walk.value.take(walk.leaves(bins))
         return out
 
     def to_json(self) -> str:
@@ -285,42 +369,45 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
         raise ValueError(f"{len(had)} begun models for {len(trials)} parameter sets")
     trials = [replace(p, n_estimators=max(0, p.n_estimators - len(h))) for p, h in zip(trials, had)]
     cuts = begun[0].cuts if begun else cut_points(vectors, bins=bins)
-    counts = np.array([len(c) + 1 for c in cuts])
-    starts, width = np.append(0, counts.cumsum()[:-1]), int(counts.sum())
-    state = blocks_of(vectors, cuts, label, len(trials)).persist(StorageLevel.MEMORY_AND_DISK)
+    packing = Packing.of([len(c) + 1 for c in cuts])
+    # a pass holds some bytes a row: fewer, larger partitions than the vectors need
+    cores, parts = spark.sparkContext.defaultParallelism, vectors.rdd.getNumPartitions()
+    wanted = cores * -(-parts // (MERGED * cores))
+    state = blocks_of(vectors.coalesce(wanted) if wanted < parts else vectors, cuts, packing, label, len(trials))
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if state.count() == 1:
-            alone = (state.flatMap(lambda b: [(t, Block(b.bins, b.label, b.margin[:1])) for t in range(len(trials))])
+            alone = (state.flatMap(lambda b: [(t, Block(b.codes, b.label, b.margin[:1])) for t in range(len(trials))])
                      .partitionBy(len(trials), lambda t: t)
-                     .map(lambda x: (x[0], _rounds([trials[x[0]]], starts, _OneBlock(x[1], starts, width), [had[x[0]]])[0])))
+                     .map(lambda x: (x[0], _rounds([trials[x[0]]], _OneBlock(x[1], packing), [had[x[0]]])[0])))
             trees = [found for _, found in sorted(alone.collect(), key=lambda x: x[0])]
         else:
-            passes = _Blocks(state, starts, width)
+            passes = _Blocks(state, packing)
             try:
-                trees = _rounds(trials, starts, passes, had)
+                trees = _rounds(trials, passes, had)
             finally:
-                passes.state.unpersist()
+                passes.free()
     finally:
         state.unpersist()
     return [Grown(cuts, [*old, *found]) for old, found in zip(had, trees)]
 
 
-def _rounds(trials: Sequence[Params], starts: np.ndarray, passes, had: list[list[Tree]]) -> list[list[Tree]]:
-    """The new trees of every trial; ``passes`` gives the sums of a level and takes the trees of past rounds."""
+def _rounds(trials: Sequence[Params], passes, had: list[list[Tree]]) -> list[list[Tree]]:
+    """The new trees of every trial; ``passes`` gives the splits of a level and takes the trees of past rounds."""
     if any(had):
-        passes.renew(had)
+        passes.renew({t: [Walk.of(tree) for tree in trees] for t, trees in enumerate(had)}, True)
     done: list[list[Tree]] = [[] for _ in trials]
-    since: list[list[Tree]] = [[] for _ in trials]
-    for round_ in range(max(p.n_estimators for p in trials)):
+    rounds = max(p.n_estimators for p in trials)
+    for round_ in range(rounds):
         trees = {t: Tree() for t, p in enumerate(trials) if p.n_estimators > round_}
         open_ = {t: [0] for t in trees}
         level = 0
         while open_:
-            sums = passes.level(since, {t: trees[t] for t in open_}, open_)
+            found = passes.level({t: Walk.of(trees[t]) for t in open_}, open_, {t: trials[t].min_child_weight for t in open_})
             following: dict[int, list[int]] = {}
             for t, nodes in open_.items():
                 p, tree = trials[t], trees[t]
-                gain, slot, cut, whole, left = best_splits(sums[t], starts, p.min_child_weight)
+                gain, slot, cut, whole, left = found[t]
                 for k, node in enumerate(nodes):
                     if not gain[k] > LEAST_GAIN:
                         tree.value[node] = p.leaf(whole[k])
@@ -333,42 +420,71 @@ def _rounds(trials: Sequence[Params], starts: np.ndarray, passes, had: list[list
             open_, level = following, level + 1
         for t, tree in trees.items():
             done[t].append(tree)
-            since[t].append(tree)
-        if (round_ + 1) % RENEW == 0:
-            passes.renew(since)
-            since = [[] for _ in trials]
+        if round_ + 1 < rounds:
+            passes.renew({t: [Walk.of(tree)] for t, tree in trees.items() if trials[t].n_estimators > round_ + 1})
     return done
 
 
 class _OneBlock:
     """Passes over a block in the task that holds it."""
 
-    def __init__(self, block: Block, starts: np.ndarray, width: int):
-        self.block, self.starts, self.width = block, starts, width
+    def __init__(self, block: Block, packing: Packing):
+        self.block, self.packing = block, packing
 
-    def level(self, since, growing, open_):
-        return histograms(self.block, since, growing, open_, self.starts, self.width)
+    def level(self, growing, open_, least):
+        sums = histograms(self.block, growing, open_, self.packing)
+        return {t: best_splits(s, self.packing.starts, least[t]) for t, s in sums.items()}
 
-    def renew(self, since) -> None:
-        self.block = Block(self.block.bins, self.block.label, _margins(self.block, since))
+    def renew(self, trees, _cut: bool = False) -> None:
+        self.block = self.block.moved(self.packing, trees)
 
 
 class _Blocks:
-    """Passes over blocks in many tasks: one job per level."""
+    """Passes over blocks in many tasks: one job per level, whose second stage finds the splits."""
 
-    def __init__(self, state: RDD, starts: np.ndarray, width: int):
-        self.state, self.starts, self.width, self.renewed = state, starts, width, 0
+    def __init__(self, state: RDD, packing: Packing):
+        self.state, self.packing, self.renewed, self.past = state, packing, 0, []
         self.parts = state.getNumPartitions()
 
-    def level(self, since, growing, open_):
-        starts, width = self.starts, self.width
-        found = self.state.map(lambda b: histograms(b, since, growing, open_, starts, width))
-        return found.treeReduce(_add) if self.parts > TREE_FROM else found.reduce(_add)
-
-    def renew(self, since) -> None:
-        new = self.state.map(lambda b: Block(b.bins, b.label, _margins(b, since))).persist(StorageLevel.MEMORY_AND_DISK)
-        if self.renewed % CHECKPOINT == CHECKPOINT - 1:
+    def level(self, growing, open_, least):
+        packing = self.packing
+        chunks = [(t, i) for t, nodes in open_.items() for i in range(0, len(nodes), NODES)]
+
+        def sums(part: int, blocks: Iterable[Block]) -> Iterator[tuple]:
+            total: dict[int, np.ndarray] = {}
+            for block in blocks:
+                for t, s in histograms(block, growing, open_, packing).items():
+                    total[t] = total[t] + s if t in total else s
+            if total:
+                yield from ((k, (part, total[t][i:i + NODES])) for k, (t, i) in enumerate(chunks))
+
+        def splits(found: Iterable[tuple]) -> Iterator[tuple]:
+            held: dict[int, list] = {}
+            for k, s in found:
+                held.setdefault(k, []).append(s)
+            # in the order of the partitions, whichever came first: reruns agree
+            for k, parts in held.items():
+                whole = sum(s for _, s in sorted(parts, key=lambda x: x[0]))
+                yield k, best_splits(whole, packing.starts, least[chunks[k][0]])
+
+        met = self.state.mapPartitionsWithIndex(sums).partitionBy(min(self.parts, len(chunks)), lambda k: k)
+        found: dict[int, list] = {}
+        for k, s in sorted(met.mapPartitions(splits).collect(), key=lambda x: x[0]):
+            found.setdefault(chunks[k][0], []).append(s)
+        while self.past:
+            self.past.pop().unpersist()
+        return {t: [np.concatenate(column) for column in zip(*s)] for t, s in found.items()}
+
+    def renew(self, trees, cut: bool = False) -> None:
+        """Margins after ``trees``; the next level's pass computes them."""
+        packing = self.packing
+        new = self.state.map(lambda b: b.moved(packing, trees)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.renewed += 1
+        if cut or self.renewed % CHECKPOINT == 0:
             new.checkpoint()
-        new.count()
-        self.state.unpersist()
-        self.state, self.renewed = new, self.renewed + 1
+        self.past.append(self.state)
+        self.state = new
+
+    def free(self) -> None:
+        for state in (*self.past, self.state):
+            state.unpersist()

@@ -81,7 +81,8 @@ TASK_BYTES = 16 << 20
 
 
 def prepared(prep: PipelineModel, rows: DataFrame, label: str = "Churn") -> DataFrame:
-    """(features, label) of ``rows``, written once and read in as many partitions as their bytes need.
+    """(features, label) of ``rows``, written once and read in as many partitions as their bytes need
+    (one, or at least one for every core).
 
     Every level of every tree is a job over these rows: a short lineage keeps its
     tasks small, and partitions by size keep it from being all scheduling. The
@@ -94,6 +95,8 @@ def prepared(prep: PipelineModel, rows: DataFrame, label: str = "Churn") -> Data
     back = spark.read.schema(vectors.schema).parquet(path)
     n, size = back.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
     parts = max(1, -(-n * (size or 1) * 8 // TASK_BYTES))
+    if parts > 1:
+        parts = max(parts, spark.sparkContext.defaultParallelism)
     return back.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
