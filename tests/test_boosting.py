@@ -90,6 +90,43 @@ def test_one_block_gives_the_trees_of_many(vectors, table):
         assert a.margin(x) == pytest.approx(b.margin(x), abs=1e-9)
 
 
+def test_shared_bytes_have_the_sums_of_the_slots(table):
+    """Slots of few bins share a column; the sums per slot and bin are those of the rows, whichever nodes are open."""
+    x, y = table
+    cuts = [np.unique(c)[:-1] for c in x.T]
+    bins, packing = B.bin_rows(x, cuts), B.Packing.of([len(np.unique(c)) for c in x.T])
+    assert len(packing.spans) < len(cuts) and packing.spans.max() <= B.CODES
+    tree = B.Tree()
+    a, b = tree.split(0, 4, 20)
+    c, _ = tree.split(a, 0, 2)
+    codes, walk = packing.codes(bins), B.Walk.of(tree)
+    assert (packing.leaves(walk, codes) == tree.leaves(bins)).all()
+    margin = x[None, :, 1]
+    sums = B.histograms(B.Block(codes, y, margin), {0: walk}, {0: [c, b]}, packing)[0]
+    chance = 1 / (1 + np.exp(-margin[0]))
+    for k, node in enumerate((c, b)):
+        here = tree.leaves(bins) == node
+        for s, start in enumerate(packing.starts):
+            for v, i in ((chance - y, 0), (chance * (1 - chance), 1)):
+                wanted = np.bincount(bins[here, s], v[here], packing.counts[s])
+                assert sums[k, start:start + packing.counts[s], i] == pytest.approx(wanted, abs=1e-9)
+
+
+def test_a_level_sends_the_driver_splits_and_no_sums(vectors, table):
+    """Found in the tasks, from all partitions: some numbers per open node, however many bins and tasks there are."""
+    x, y = table
+    cuts = B.cut_points(vectors, bins=64)
+    packing = B.Packing.of([len(c) + 1 for c in cuts])
+    passes = B._Blocks(B.blocks_of(vectors, cuts, packing, "Churn", 1).persist(), packing)
+    found = passes.level({0: B.Walk.of(B.Tree())}, {0: [0]}, {0: 2.0})[0]
+    passes.free()
+    whole = B.Block(packing.codes(B.bin_rows(x, cuts)), y, np.zeros((1, len(x))))
+    wanted = B.best_splits(B.histograms(whole, {0: B.Walk.of(B.Tree())}, {0: [0]}, packing)[0], packing.starts, 2.0)
+    for a, b in zip(found, wanted):
+        assert np.asarray(a) == pytest.approx(np.asarray(b), abs=1e-9)
+    assert sum(np.asarray(a).nbytes for a in found) <= 64
+
+
 def test_child_weight_is_a_hessian_sum(vectors, table):
     x, y = table
     m = B.grow(vectors, [{"max_depth": 6, "learning_rate": 0.3, "min_child_weight": 5.0, "n_estimators": 1}], bins=16)[0]
