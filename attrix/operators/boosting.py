@@ -135,10 +135,10 @@ class Packing:
     spans: np.ndarray     # column -> codes
 
     @classmethod
-    def of(cls, counts: Sequence[int]) -> Packing:
+    def of(cls, counts: Sequence[int], shared: int = SHARED) -> Packing:
         column, stride, spans = [], [], []
         for n in counts:
-            at = next((c for c, span in enumerate(spans) if n <= SHARED and span * n <= CODES), len(spans))
+            at = next((c for c, span in enumerate(spans) if n <= shared and span * n <= CODES), len(spans))
             if at == len(spans):
                 spans.append(1)
             column.append(at)
@@ -159,6 +159,10 @@ class Packing:
         """slots x codes: the bin of the slot at a code of its column."""
         return np.arange(CODES)[None, :] // self.stride[:, None] % self.counts[:, None]
 
+    def bins(self, codes: np.ndarray) -> np.ndarray:
+        """slots x rows"""
+        return np.stack([b.take(codes[c]) for b, c in zip(self.bin_of(), self.column)]).astype(np.uint8)
+
     def spread(self) -> list[tuple[np.ndarray, np.ndarray | None]]:
         """Per column the places of its slots' bins, and codes x bins as 0 and 1 (None: the codes are the bins)."""
         out, bin_of = [], self.bin_of()
@@ -377,9 +381,11 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if state.count() == 1:
-            alone = (state.flatMap(lambda b: [(t, Block(b.codes, b.label, b.margin[:1])) for t in range(len(trials))])
+            # few rows: a byte per slot, so that the sums of a bin are added up row by row
+            apart = Packing.of(packing.counts, shared=0)
+            alone = (state.flatMap(lambda b: [(t, Block(packing.bins(b.codes), b.label, b.margin[:1])) for t in range(len(trials))])
                      .partitionBy(len(trials), lambda t: t)
-                     .map(lambda x: (x[0], _rounds([trials[x[0]]], _OneBlock(x[1], packing), [had[x[0]]])[0])))
+                     .map(lambda x: (x[0], _rounds([trials[x[0]]], _OneBlock(x[1], apart), [had[x[0]]])[0])))
             trees = [found for _, found in sorted(alone.collect(), key=lambda x: x[0])]
         else:
             passes = _Blocks(state, packing)

@@ -96,6 +96,7 @@ def test_shared_bytes_have_the_sums_of_the_slots(table):
     cuts = [np.unique(c)[:-1] for c in x.T]
     bins, packing = B.bin_rows(x, cuts), B.Packing.of([len(np.unique(c)) for c in x.T])
     assert len(packing.spans) < len(cuts) and packing.spans.max() <= B.CODES
+    assert (packing.bins(packing.codes(bins)) == bins.T).all()
     tree = B.Tree()
     a, b = tree.split(0, 4, 20)
     c, _ = tree.split(a, 0, 2)
