@@ -2,29 +2,36 @@
 
 All trees of one round and one level are grown in one pass over the data: each
 task sums gradient and hessian per (trial, node, feature, bin) over its rows, the
-sums of a few nodes meet in a task, and that task finds their splits. What reaches the
-driver is a handful of numbers per open node, whatever the number of rows and tasks. Trials
+sums of a few nodes meet in a task, and that task finds their splits. Trials
 that have all their trees, and nodes that cannot be split, drop out of the pass.
 
+A barrier stage grows ``ROUNDS`` rounds in one job. Its tasks run side by side, keep their rows, and
+meet level by level over the shared folder (``Meeting``); the driver gets the trees. Where
+tasks cannot stay side by side (dynamic allocation) or cannot hold their rows (``RESIDENT``), each
+level is a job of its own; the driver then gets a handful of numbers per open node.
+
 Splits have the gain of the regularised second-order objective; a child must
 hold a hessian sum of at least ``min_child_weight``. Log loss, start margin zero.
 
 Rows are kept as blocks (codes of one byte, label, and a margin per trial), cached on
 memory and disk. Slots of few bins share a byte, so that a pass adds up bytes and not slots
-(``Packing``). Each round's trees are applied to the margins by the pass that opens the next
-round; every ``CHECKPOINT`` rounds the blocks are checkpointed to the shared folder. Blocks are
+(``Packing``). With a job per level each round's trees are applied to the margins by the pass that
+opens the next round; every ``CHECKPOINT`` rounds the blocks are checkpointed to the shared folder. Blocks are
 RDD rows, as each pass is array arithmetic on a block with state, not a relational step.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark import RDD, StorageLevel
+import pyarrow.fs
+from pyspark import RDD, BarrierTaskContext, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, TypeConverters
@@ -34,7 +41,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrix.session import scratch_root, ship
+from attrix.session import scratch_path, scratch_root, ship, slots
 
 BINS = 64
 CHECKPOINT = 20
@@ -46,6 +53,16 @@ SHARED = 16
 NODES = 16
 #: partitions of vectors that make one of blocks at most
 MERGED = 8
+#: rounds that one barrier stage grows; a lost task repeats them
+ROUNDS = 200
+#: rows that make up for a task of their own in a barrier stage
+TASK_ROWS = 1 << 12
+#: rows of a task that are added up at a time
+SUMMED = 1 << 14
+#: bytes of rows and their state that a task of a barrier stage holds at most
+RESIDENT = 1 << 29
+#: seconds that a task waits for another one's part
+PATIENCE = 3_600.0
 #: rows that are scored at a time
 SCORED = 1 << 12
 
@@ -251,16 +268,22 @@ def histograms(block: Block, growing: Mapping[int, Walk], open_: Mapping[int, Se
         place = place[packing.leaves(walk, codes)]
         if (rows := np.flatnonzero(place >= 0)).size < len(place):
             place, codes, gradient, hessian = place[rows], codes[:, rows], gradient[rows], hessian[rows]
-        sums = np.zeros((nodes, width, 2))
-        for code, span, (places, bins) in zip(codes, packing.spans, spread):
-            cell = place * span + code
-            for i, v in enumerate((gradient, hessian)):
-                of_codes = np.bincount(cell, v, nodes * span).reshape(nodes, span)
-                sums[:, places, i] = of_codes if bins is None else of_codes @ bins
-        out[t] = sums
+        out[t] = _sums(codes, place, nodes, gradient, hessian, packing.spans, width, spread)
     return out
 
 
+def _sums(codes: np.ndarray, place: np.ndarray, nodes: int, gradient: np.ndarray, hessian: np.ndarray, spans: np.ndarray,
+          width: int, spread: Sequence[tuple]) -> np.ndarray:
+    """(nodes, bins of all slots, 2) of the rows, which lie at ``place`` among the nodes."""
+    sums = np.zeros((nodes, width, 2))
+    for code, span, (places, bins) in zip(codes, spans, spread):
+        cell = place * span + code
+        for i, v in enumerate((gradient, hessian)):
+            of_codes = np.bincount(cell, v, nodes * span).reshape(nodes, span)
+            sums[:, places, i] = of_codes if bins is None else of_codes @ bins
+    return sums
+
+
 def best_splits(sums: np.ndarray, starts: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
     """Per node: gain, slot and last bin on the left (first of equal gains), and the (gradient, hessian) of node and left child."""
     nodes, width, _ = sums.shape
@@ -362,7 +385,8 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     has are added up once. The result equals growing all trees in one call.
 
     Rows that make a single block are dealt out by trial: each task grows one trial on
-    the block, with the same arithmetic as the passes over many blocks.
+    the block, with the same arithmetic as the passes over many blocks. More blocks are dealt
+    out in pieces to the tasks of a barrier stage.
     """
     spark = vectors.sparkSession
     scratch_root(spark)
@@ -380,13 +404,16 @@ def grow(vectors: DataFrame, params: Sequence[Mapping[str, float]], label: str =
     state = blocks_of(vectors.coalesce(wanted) if wanted < parts else vectors, cuts, packing, label, len(trials))
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if state.count() == 1:
+        sizes = state.map(lambda b: len(b.label)).collect()  # one number per block
+        if len(sizes) == 1:
             # few rows: a byte per slot, so that the sums of a bin are added up row by row
             apart = Packing.of(packing.counts, shared=0)
             alone = (state.flatMap(lambda b: [(t, Block(packing.bins(b.codes), b.label, b.margin[:1])) for t in range(len(trials))])
                      .partitionBy(len(trials), lambda t: t)
                      .map(lambda x: (x[0], _rounds([trials[x[0]]], _OneBlock(x[1], apart), [had[x[0]]])[0])))
             trees = [found for _, found in sorted(alone.collect(), key=lambda x: x[0])]
+        elif tasks := _side_by_side(spark, sum(sizes), len(packing.spans), len(trials)):
+            trees = _together(state, packing, trials, had, tasks, scratch_path(spark, "sums"))
         else:
             passes = _Blocks(state, packing)
             try:
@@ -445,6 +472,189 @@ class _OneBlock:
         self.block = self.block.moved(self.packing, trees)
 
 
+def _side_by_side(spark, rows: int, columns: int, trials: int) -> int:
+    """How many tasks of a barrier stage hold the rows; 0 where there can be no such stage."""
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    tasks = min(slots(spark), -(-rows // TASK_ROWS))
+    # codes twice (those of open rows apart), label, and per trial margin, gradient, hessian, nodes and open rows
+    return tasks if rows // max(1, tasks) * (2 * columns + 8 + 56 * trials) <= RESIDENT else 0
+
+
+def _together(state: RDD, packing: Packing, trials: list[Params], had: list[list[Tree]], tasks: int, folder: str) -> list[list[Tree]]:
+    """The new trees of every trial, ``ROUNDS`` of them a job, by ``tasks`` tasks side by side."""
+    def dealt(part: int, blocks: Iterable[Block]) -> Iterator[tuple]:
+        for i, b in enumerate(blocks):
+            ends = len(b.label) * np.arange(tasks + 1) // tasks
+            for j, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+                yield (part + i + j) % tasks, (part, i, b.codes[:, lo:hi], b.label[lo:hi])
+
+    pieces = state.mapPartitionsWithIndex(dealt).partitionBy(tasks, lambda k: k)
+    new: list[list[Tree]] = [[] for _ in trials]
+    while any(len(n) < p.n_estimators for n, p in zip(new, trials)):
+        now = [replace(p, n_estimators=min(ROUNDS, p.n_estimators - len(n))) for n, p in zip(new, trials)]
+        begun = [h + n for h, n in zip(had, new)]
+
+        def run(found: Iterator[tuple], now=now, begun=begun) -> Iterator[list]:
+            context = BarrierTaskContext.get()
+            me = context.partitionId()
+            # a stage that is run again meets elsewhere
+            place = context.allGather(uuid.uuid4().hex)[0]
+            held = sorted((piece for _, piece in found), key=lambda x: x[:2])
+            passes = _Resident(held, packing, len(now), Meeting(f"{folder}/{place}", me, tasks))
+            trees = _rounds(now, passes, begun)
+            if me == 0:
+                yield trees
+        for n, more in zip(new, pieces.barrier().mapPartitions(run).collect()[0]):
+            n.extend(more)
+    return new
+
+
+class Meeting:
+    """Tasks of a barrier stage exchange arrays over the shared folder.
+
+    A part becomes visible whole, by rename; who needs it looks until it is there. Parts are
+    deleted as soon as all have read them. (Spark's own barrier answers once a second.)
+    """
+
+    def __init__(self, folder: str, me: int, tasks: int):
+        self.fs, self.folder = pyarrow.fs.FileSystem.from_uri(folder)
+        self.me, self.tasks = me, tasks
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def _path(self, name: str, task: int) -> str:
+        return f"{self.folder}/{name}-{task}"
+
+    def put(self, name: str, values: np.ndarray) -> None:
+        path = self._path(name, self.me)
+        with self.fs.open_output_stream(path + ".part") as out:
+            out.write(np.ascontiguousarray(values, float).data.cast("B"))
+        self.fs.move(path + ".part", path)
+
+    def get(self, name: str, task: int, spans: Sequence[tuple[int, int]]) -> list[np.ndarray]:
+        """Numbers (from, to) of the array that ``task`` put under ``name``."""
+        path, until, pause = self._path(name, task), time.monotonic() + PATIENCE, 0.0005
+        while self.fs.get_file_info(path).type != pyarrow.fs.FileType.File:
+            if time.monotonic() > until:
+                raise TimeoutError(f"task {task} did not put {name}")
+            time.sleep(pause)
+            pause = min(pause * 1.3, 0.02)
+        with self.fs.open_input_file(path) as f:
+            return [np.frombuffer(f.read_at(8 * (b - a), 8 * a)) for a, b in spans]
+
+    def drop(self, name: str) -> None:
+        self.fs.delete_file(self._path(name, self.me))
+
+
+class _Open:
+    """What a tree in growth knows of a block's rows: the node of each; gradient, hessian and codes of those in open nodes."""
+
+    def __init__(self, block: Block, margin: np.ndarray):
+        chance = 1.0 / (1.0 + np.exp(-margin))
+        self.gradient, self.hessian = chance - block.label, chance * (1 - chance)
+        self.codes, self.rows = block.codes, np.arange(len(margin))
+        self.node, self.place = np.zeros(len(margin), np.int64), np.zeros(len(margin), np.int64)
+
+    def step(self, column: np.ndarray, right: np.ndarray, left: np.ndarray) -> None:
+        """Rows of the open nodes go to their children."""
+        code = self.codes.ravel().take(column.take(self.place) * len(self.place) + np.arange(len(self.place)))
+        self.node[self.rows] = left.take(self.place) + right.take(self.place * CODES + code)
+
+    def keep(self, place_of: np.ndarray) -> None:
+        """Only rows of the nodes that are open now, and their places among these."""
+        place = place_of[self.node[self.rows]]
+        if (at := np.flatnonzero(place >= 0)).size < len(place):
+            self.rows, self.codes, self.gradient, self.hessian = self.rows[at], self.codes[:, at], self.gradient[at], self.hessian[at]
+            place = place[at]
+        self.place = place
+
+
+class _Resident:
+    """Passes over the rows that one of the tasks holds; all tasks find the same splits and grow the same trees."""
+
+    def __init__(self, pieces: Sequence[tuple], packing: Packing, trials: int, meeting: Meeting):
+        self.blocks: list[Block] = []
+        if pieces:
+            codes, label = np.concatenate([p[2] for p in pieces], axis=1), np.concatenate([p[3] for p in pieces])
+            self.blocks = [Block(codes[:, i:i + SUMMED].copy(), label[i:i + SUMMED], np.zeros((trials, len(label[i:i + SUMMED]))))
+                           for i in range(0, len(label), SUMMED)]
+        self.packing, self.meeting, self.levels, self.finders = packing, meeting, 0, 0
+        self.width, self.spread, self.bin_of = int(packing.counts.sum()), packing.spread(), packing.bin_of()
+        #: trial -> state of each block, and the nodes that were open at the last level
+        self.open: dict[int, list[_Open]] = {}
+        self.nodes: dict[int, Sequence[int]] = {}
+
+    def _step(self, t: int, walk: Walk) -> None:
+        nodes = self.nodes[t]
+        feature = walk.feature[nodes]
+        right = (self.bin_of[feature] > walk.cut[nodes][:, None]).ravel().view(np.uint8)
+        for part in self.open[t]:
+            part.step(self.packing.column[feature], right, walk.left[nodes])
+
+    def level(self, growing, open_, least):
+        whole = []
+        for t, walk in growing.items():
+            if open_[t] == [0]:
+                self.open[t] = [_Open(b, b.margin[t]) for b in self.blocks]
+            else:
+                self._step(t, walk)
+                place_of = np.full(len(walk.left), -1)
+                place_of[open_[t]] = np.arange(len(open_[t]))
+                for part in self.open[t]:
+                    part.keep(place_of)
+            self.nodes[t] = open_[t]
+            sums = np.zeros((len(open_[t]), self.width, 2))
+            for part in self.open[t]:
+                sums += _sums(part.codes, part.place, len(open_[t]), part.gradient, part.hessian, self.packing.spans, self.width, self.spread)
+            whole.append(sums)
+        return self._splits(np.concatenate(whole), open_, least)
+
+    def _splits(self, sums: np.ndarray, open_, least):
+        """Some nodes' sums meet in a task, which finds their splits; all tasks read these."""
+        meeting, n, each = self.meeting, self.levels, 2 * self.width
+        self.levels += 1
+        chunks, at = [], 0  # (trial, first node among all, one past the last)
+        for t, nodes in open_.items():
+            chunks += [(t, at + i, at + min(i + NODES, len(nodes))) for i in range(0, len(nodes), NODES)]
+            at += len(nodes)
+        of = lambda task: chunks[task::meeting.tasks]
+        meeting.put(f"sums{n}", sums)
+        if mine := of(meeting.me):
+            met: list[np.ndarray] = [np.zeros((b - a) * each) for _, a, b in mine]
+            # in the order of the tasks: reruns agree
+            for task in range(meeting.tasks):
+                for total, part in zip(met, meeting.get(f"sums{n}", task, [(a * each, b * each) for _, a, b in mine])):
+                    total += part
+            found = [best_splits(m.reshape(-1, self.width, 2), self.packing.starts, least[t]) for m, (t, _, _) in zip(met, mine)]
+            meeting.put(f"splits{n}", np.concatenate([np.column_stack(f) for f in found]))
+        rows = np.empty((at, 7))
+        for task in range(min(meeting.tasks, len(chunks))):
+            theirs = of(task)
+            values = meeting.get(f"splits{n}", task, [(0, 7 * sum(b - a for _, a, b in theirs))])[0].reshape(-1, 7)
+            for (_, a, b), lo in zip(theirs, np.cumsum([0] + [b - a for _, a, b in theirs])):
+                rows[a:b] = values[lo:lo + b - a]
+        # whoever found splits has read all sums, and every task the splits of the level before
+        meeting.drop(f"sums{n}")
+        if n and meeting.me < self.finders:
+            meeting.drop(f"splits{n - 1}")
+        self.finders = min(meeting.tasks, len(chunks))
+        out, at = {}, 0
+        for t, nodes in open_.items():
+            r = rows[at:at + len(nodes)]
+            out[t], at = (r[:, 0], r[:, 1].astype(int), r[:, 2].astype(int), r[:, 3:5], r[:, 5:7]), at + len(nodes)
+        return out
+
+    def renew(self, trees, begun: bool = False) -> None:
+        if begun:
+            self.blocks = [b.moved(self.packing, trees) for b in self.blocks]
+            return
+        for t, (walk,) in trees.items():
+            self._step(t, walk)
+            for block, part in zip(self.blocks, self.open.pop(t)):
+                block.margin[t] += walk.value[part.node]
+        self.open.clear()
+
+
 class _Blocks:
     """Passes over blocks in many tasks: one job per level, whose second stage finds the splits."""
 

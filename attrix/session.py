@@ -63,6 +63,12 @@ def local_session(cpus: int | str = "*", app: str = "attrix", shuffle_partitions
     return spark
 
 
+def slots(spark: SparkSession) -> int:
+    """Tasks that the application's executors can run at a time."""
+    sc = spark.sparkContext._jsc.sc()
+    return max(1, sc.maxNumConcurrentTasks(sc.resourceProfileManager().defaultResourceProfile()))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared scratch folder: ``spark.checkpoint.dir`` when set.
 

@@ -164,3 +164,35 @@ def test_refusals(spark, vectors):
         B.grow(vectors, [{**PARAMS[0], "max_depth": 0}])
     with pytest.raises(ValueError):
         B.grow(vectors.limit(0), PARAMS[:1])
+
+
+def test_tasks_side_by_side_grow_the_trees_of_a_job_per_level(vectors, table, monkeypatch):
+    """The rows are dealt to four tasks, which meet over the folder, in several jobs, with begun models; one job per level gives the same."""
+    x, _ = table
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    monkeypatch.setattr(B, "ROUNDS", 5)
+    monkeypatch.setattr(B, "SUMMED", 40)
+    deep = [*PARAMS, {"max_depth": 7, "learning_rate": 0.2, "min_child_weight": 0.0, "n_estimators": 11}]
+    tasks = []
+    monkeypatch.setattr(B, "_together", lambda *a, run=B._together: tasks.append(a[4]) or run(*a))
+    together = B.grow(vectors, deep, bins=16)
+    begun = B.grow(vectors, [{**p, "n_estimators": min(4, p["n_estimators"])} for p in deep], bins=16)
+    went_on = B.grow(vectors, deep, bins=16, begun=begun)
+    assert tasks == [4, 4, 4]
+    monkeypatch.setattr(B, "RESIDENT", 0)
+    apart = B.grow(vectors, deep, bins=16)
+    assert tasks == [4, 4, 4]
+    for a, b, c in zip(together, apart, went_on):
+        assert [nested(t) for t in a.trees] == [nested(t) for t in b.trees] == [nested(t) for t in c.trees]
+        assert a.margin(x) == pytest.approx(b.margin(x), abs=1e-9)
+
+
+def test_growing_takes_a_few_jobs_and_leaves_the_driver_little(spark, vectors, monkeypatch):
+    """Jobs do not grow with the levels and rounds: 20 trees of depth 5 took 100 jobs of two stages each."""
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    spark.sparkContext.setJobGroup("grow", "grow")
+    try:
+        B.grow(vectors, [{"max_depth": 5, "learning_rate": 0.1, "min_child_weight": 0.0, "n_estimators": 20}], bins=16)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grow")) <= 8
