@@ -316,8 +316,16 @@ class Grown:
         walks, out = [Walk.of(t) for t in self.trees], np.zeros(len(x))
         for lo in range(0, len(x), SCORED):
             bins = bin_rows(x[lo:lo + SCORED], self.cuts)
+            if bins.shape[1]:
+                # rows of the same bins get the same margin: mixed rows of an explanation often are
+                _, first, which = np.unique(np.ascontiguousarray(bins).view(f"V{bins.shape[1]}").ravel(), return_index=True, return_inverse=True)
+                bins = bins[first]
+            else:
+                which = np.arange(len(bins))
+            margin = np.zeros(len(bins))
             for walk in walks:
-                out[lo:lo + SCORED] += walk.value.take(walk.leaves(bins))
+                margin += walk.value.take(walk.leaves(bins))
+            out[lo:lo + SCORED] = margin[which]
         return out
 
     def to_json(self) -> str:

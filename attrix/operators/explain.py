@@ -49,6 +49,18 @@ BACKGROUND_BUCKETS = 1024
 EVALUATIONS_PER_ROW = 500
 
 
+#: model evaluations of one task
+TASK_EVALUATIONS = 1 << 17
+
+
+def spread(rows: DataFrame, evaluations: int, *by: str) -> DataFrame:
+    """``rows`` in as many tasks as the ``evaluations`` they lead to need.
+
+    A few bytes lead to many evaluations, so partitions by size would leave them to a task or two.
+    """
+    return rows.repartition(max(1, math.ceil(evaluations / TASK_EVALUATIONS)), *by)
+
+
 def samples_for_budget(n_features: int, evaluations: int = EVALUATIONS_PER_ROW) -> int:
     """Permutation samples so that samples * (p + 1) ~ the evaluation budget."""
     return max(1, math.ceil(evaluations / (n_features + 1)))
@@ -97,17 +109,18 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     ex = explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)])
     ex = ex.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(S - 1))))
     ex = ex.withColumn("__number", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")), total))
-    ex = ex.join(bg, "__number")
+    ex = spread(ex.join(bg, "__number"), explain.count() * S * (p + 1), key, "__s")
     order = F.array_sort(F.array(*[
         F.struct(_h(seed_c, F.lit("perm"), F.col(key), F.col("__s"), F.lit(j)).alias("h"),
                  F.lit(j).alias("j")) for j in range(p)]))
     ex = ex.withColumn("__perm", F.transform(order, lambda e: e["j"]))
+    # each feature's place in the permutation, once and not in all p + 1 mixed rows
+    ex = ex.withColumn("__pos", F.array(*[F.array_position(F.col("__perm"), F.lit(j)) - 1 for j in range(p)]))
     ex = ex.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(p))))
 
     hybrid = {}
     for j, f in enumerate(feats):
-        pos = F.array_position(F.col("__perm"), F.lit(j)) - 1
-        hybrid[f] = F.when(pos < F.col("__k"), F.col(f"__x{j}")).otherwise(F.col(f"__bg{j}"))
+        hybrid[f] = F.when(F.col("__pos")[j] < F.col("__k"), F.col(f"__x{j}")).otherwise(F.col(f"__bg{j}"))
     rows = ex.select(F.col(key), "__k", "__perm", *[v.alias(f) for f, v in hybrid.items()])
     scored = model.transform(rows).select(
         key, "__k", "__perm", positive_probability("probability").alias("__f"))

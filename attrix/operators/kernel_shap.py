@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrix.operators.explain import number_background
+from attrix.operators.explain import number_background, spread
 
 #: the reference's budget of evaluations per row: one per set
 SETS = 100
@@ -111,7 +111,7 @@ def kernel_values(predict: Predict, explain: DataFrame, background: DataFrame, k
     # consecutive numbers from a hashed start: k different background rows
     rows = rows.withColumn("__number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint"))))
     rows = rows.withColumn("__number", F.pmod(F.xxhash64(F.lit(seed), F.lit("row"), F.col(key)) + F.col("__number"), F.lit(total)))
-    rows = (rows.join(numbered, "__number")
+    rows = (spread(rows.join(numbered, "__number"), explain.count() * k * n_sets, key, "__number")
             .withColumn("__set", F.explode(F.sequence(F.lit(1), F.lit(n_sets)))))
 
     def mixed(j: int) -> Column:

@@ -196,3 +196,14 @@ def test_growing_takes_a_few_jobs_and_leaves_the_driver_little(spark, vectors, m
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grow")) <= 8
+
+
+def test_rows_of_the_same_bins_are_scored_once(vectors, table, monkeypatch):
+    """Each row gets the margin of its own bins, equal rows by one walk."""
+    x, _ = table
+    grown = B.grow(vectors, PARAMS[:1], bins=16)[0]
+    walked = []
+    monkeypatch.setattr(B.Walk, "leaves", lambda self, bins, run=B.Walk.leaves: walked.append(len(bins)) or run(self, bins))
+    twice = grown.margin(np.concatenate([x[:7]] * 50))
+    assert walked and max(walked) <= 7
+    assert twice.tolist() == grown.margin(x[:7]).tolist() * 50

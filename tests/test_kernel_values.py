@@ -98,3 +98,21 @@ def test_one_feature_and_no_background(spark):
     assert [plain[i]["a"]["phi"] for i in (1, 2)] == pytest.approx([-2.0, 2.0])
     with pytest.raises(ValueError):
         K.kernel_values(lambda r: r, df, df.limit(0), "id", ["a"])
+
+
+def test_evaluations_are_spread_over_tasks(data, monkeypatch):
+    """A few KB of rows lead to thousands of evaluations: tasks go by these, whatever the bytes say; the values stay."""
+    from attrix.operators import explain as X
+
+    _, _, explained, background = data
+    seen = []
+
+    def counted(rows):
+        seen.append(rows.rdd.getNumPartitions())
+        return predict(rows)
+
+    one = values(K.kernel_values(counted, explained, background, "id", FEATURES, budget=40, partners=20))
+    monkeypatch.setattr(X, "TASK_EVALUATIONS", 200)
+    many = values(K.kernel_values(counted, explained, background, "id", FEATURES, budget=40, partners=20))
+    assert seen[0] == 1 and seen[1] >= 15  # 5 rows, 20 partners, about 40 sets
+    assert all(many[i][f]["phi"] == pytest.approx(one[i][f]["phi"], abs=1e-9) for i in one for f in FEATURES)
