@@ -27,6 +27,7 @@ import time
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,8 @@ RESIDENT = 1 << 29
 PATIENCE = 3_600.0
 #: rows that are scored at a time
 SCORED = 1 << 12
+#: chains of mixed rows that are scored at a time
+CHAINS = 1 << 12
 
 # The published defaults of the objective.
 LAMBDA = 1.0      # weight of the squared leaf values
@@ -312,8 +315,12 @@ class Grown:
     cuts: list[np.ndarray]
     trees: list[Tree]
 
+    @cached_property
+    def walks(self) -> list[Walk]:
+        return [Walk.of(t) for t in self.trees]
+
     def margin(self, x: np.ndarray) -> np.ndarray:
-        walks, out = [Walk.of(t) for t in self.trees], np.zeros(len(x))
+        out = np.zeros(len(x))
         for lo in range(0, len(x), SCORED):
             bins = bin_rows(x[lo:lo + SCORED], self.cuts)
             if bins.shape[1]:
@@ -323,11 +330,45 @@ class Grown:
             else:
                 which = np.arange(len(bins))
             margin = np.zeros(len(bins))
-            for walk in walks:
+            for walk in self.walks:
                 margin += walk.value.take(walk.leaves(bins))
             out[lo:lo + SCORED] = margin[which]
         return out
 
+    def chain_margins(self, x: np.ndarray, other: np.ndarray, place: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """rows x (features + 1): the margins while a row's features replace those of its partner one by one.
+
+        ``x`` and ``other`` are the bins of the rows and of their partners, ``owner`` the feature of each slot,
+        ``place`` (rows x features) when a feature comes: at step k those of places below k are the row's.
+        Steps that take the same way through a tree go together as a run, which parts only at a node where row and
+        partner go apart and whose feature comes within the run. Margins are those of ``margin``, bit by bit.
+        """
+        n, slots = x.shape
+        steps = place.shape[1] + 1
+        out, each = np.zeros(n * steps), np.arange(n * steps)
+        cells = ((place[:, owner].astype(np.int64) << 16) | (x.astype(np.int64) << 8) | other).ravel()
+        value, begins = np.zeros(n * steps), np.zeros(n * steps, bool)
+        for walk in self.walks:
+            chain, node = np.arange(n), np.zeros(n, np.int64)
+            first, last = np.zeros(n, np.int64), np.full(n, steps - 1)
+            for _ in range(walk.depth):
+                cell, cut, child = cells.take(chain * slots + walk.feature.take(node)), walk.cut.take(node), walk.left.take(node)
+                mine, theirs, at = (cell >> 8 & 255) > cut, (cell & 255) > cut, cell >> 16
+                before = at >= first    # the run begins with the partner's value
+                parts = np.flatnonzero((mine != theirs) & before & (at < last))
+                node = child + np.where(before, theirs, mine)
+                if parts.size:
+                    turn = at[parts]
+                    chain, node = np.append(chain, chain[parts]), np.append(node, child[parts] + mine[parts])
+                    first, rest = np.append(first, turn + 1), last[parts]
+                    last[parts] = turn
+                    last = np.append(last, rest)
+            begin = chain * steps + first
+            value[begin], begins[begin] = walk.value.take(node), True
+            out += value.take(np.maximum.accumulate(np.where(begins, each, 0)))
+            begins[begin] = False
+        return out.reshape(n, steps)
+
     def to_json(self) -> str:
         return json.dumps({"cuts": [c.tolist() for c in self.cuts],
                            "trees": [[t.feature, t.cut, t.left, t.value] for t in self.trees]})
@@ -351,6 +392,38 @@ def chances(grown: Sequence[Grown], features: str = "features") -> Column:
     return run(vector_to_array(F.col(features)))
 
 
+def bins_of(grown: Grown, features: str = "features") -> Column:
+    """The bins of a vector column, a byte per slot."""
+    @F.pandas_udf("binary")
+    def run(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        return pd.Series([r.tobytes() for r in bin_rows(np.stack(x.to_list()), grown.cuts)])
+    return run(vector_to_array(F.col(features)))
+
+
+def chain_credits(grown: Grown, owner: Sequence[int], p: int, x: str, other: str, order: str) -> Column:
+    """What each of ``p`` features adds to the positive probability, then the probabilities without and with all of them.
+
+    Features replace those of the partner ``other`` in the given ``order``; both are ``bins_of`` columns.
+    """
+    slots, of = len(grown.cuts), np.array(owner, int)
+
+    @F.pandas_udf("array<double>")
+    def run(x: pd.Series, other: pd.Series, order: pd.Series) -> pd.Series:
+        out: list[np.ndarray] = []
+        for lo in range(0, len(x), CHAINS):
+            mine, theirs = (np.frombuffer(b"".join(s.iloc[lo:lo + CHAINS]), np.uint8).reshape(-1, slots) for s in (x, other))
+            turns = np.stack(order.iloc[lo:lo + CHAINS].to_list())
+            chance = 1.0 / (1.0 + np.exp(-grown.chain_margins(mine, theirs, turns.argsort(1), of)))
+            found = np.empty((len(turns), p + 2))
+            np.put_along_axis(found, turns.astype(np.int64), np.diff(chance, axis=1), 1)
+            found[:, p], found[:, p + 1] = chance[:, 0], chance[:, p]
+            out.extend(found)
+        return pd.Series(out, dtype=object)
+    return run(F.col(x), F.col(other), F.col(order))
+
+
 class HistogramTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):
     """Adds ``probability`` and ``prediction``; saved and loaded like any pipeline stage."""
 
@@ -362,10 +435,12 @@ class HistogramTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultP
         if grown is not None:
             self._set(trees=grown.to_json())
 
+    def grown(self) -> Grown:
+        return Grown.from_json(self.getOrDefault(self.trees))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         ship(dataset.sparkSession)
-        grown = Grown.from_json(self.getOrDefault(self.trees))
-        out = dataset.withColumn("__p", chances([grown], self.getFeaturesCol())[0])
+        out = dataset.withColumn("__p", chances([self.grown()], self.getFeaturesCol())[0])
         return (out.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - F.col("__p"), F.col("__p"))))
                 .withColumn("prediction", (F.col("__p") > 0.5).cast("double")).drop("__p"))
 

@@ -18,6 +18,12 @@ credits add up to f(x) - f(b_s), so sum_j phi_j = f(x) - mean_s f(b_s)
 exactly. Cost is rows x S x (p+1) model evaluations: S is the evaluation
 budget per row (the reference's ``nsamples``), not a cap on data.
 
+Where the model is our trees on the column-wise feature pipeline, a slot of a
+hybrid row's vector is that of x or of b_s. Then both are turned into vectors
+and bins once, and a task walks the p + 1 steps of a sample through each tree
+together (``boosting.Grown.chain_margins``): the same f at every step, without
+a row, a vector and a full walk for each.
+
 Choosing background partners without a cross join: background rows are
 hashed into buckets and numbered inside each bucket (a window per bucket);
 running counts over the at most ``buckets`` buckets turn that into numbers
@@ -42,7 +48,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrix.functions.metrics import positive_probability
+from attrix.operators.boosting import HistogramTreesModel, bins_of, chain_credits
+from attrix.operators.preprocess import slot_features
 from attrix.operators.tsne import tsne
+from attrix.session import ship
 
 BACKGROUND_BUCKETS = 1024
 # Five times the reference's budget: a permutation sample spends p + 1 of them.
@@ -91,6 +100,18 @@ def number_background(background: DataFrame, key: str, features: Sequence[str],
     return bg, sizes.agg(F.sum("__bn")).first()[0]
 
 
+def _slot_owners(model: PipelineModel, explain: DataFrame, background: DataFrame, features: Sequence[str]) -> list[int] | None:
+    """The place among ``features`` of each slot's feature, if the model's trees read column-wise features of both tables alike."""
+    if not isinstance(model, PipelineModel) or not isinstance(model.stages[-1], HistogramTreesModel):
+        return None
+    slots, trees = slot_features(model.stages[:-1]), model.stages[-1]
+    if slots is None or not set(slots) <= set(features) or model.stages[-2].getOutputCol() != trees.getFeaturesCol():
+        return None
+    if any(explain.schema[f].dataType != background.schema[f].dataType for f in features):
+        return None
+    return [list(features).index(f) for f in slots]
+
+
 def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFrame, key: str,
                    features: Sequence[str], samples: int | None = None, seed: int = 42,
                    buckets: int = BACKGROUND_BUCKETS, with_scores: bool = False) -> DataFrame:
@@ -103,17 +124,42 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     S = samples or samples_for_budget(p)
     seed_c = F.lit(int(seed))
 
-    bg, total = number_background(background, key, feats, seed, buckets)
-
-    # Explained rows x samples, each with a partner's number and a permutation.
-    ex = explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)])
-    ex = ex.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(S - 1))))
-    ex = ex.withColumn("__number", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")), total))
-    ex = spread(ex.join(bg, "__number"), explain.count() * S * (p + 1), key, "__s")
     order = F.array_sort(F.array(*[
         F.struct(_h(seed_c, F.lit("perm"), F.col(key), F.col("__s"), F.lit(j)).alias("h"),
                  F.lit(j).alias("j")) for j in range(p)]))
-    ex = ex.withColumn("__perm", F.transform(order, lambda e: e["j"]))
+
+    def partnered(rows: DataFrame, bg: DataFrame, total: int) -> DataFrame:
+        """Explained rows x samples, each with a partner's number and a permutation."""
+        ex = rows.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(S - 1))))
+        ex = ex.withColumn("__number", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")), total))
+        ex = spread(ex.join(bg, "__number"), explain.count() * S * (p + 1), key, "__s")
+        return ex.withColumn("__perm", F.transform(order, lambda e: e["j"]))
+
+    def expected() -> "F.Column":
+        return F.lit(model.transform(background.select(*feats))
+                     .agg(F.avg(positive_probability("probability")).alias("expected")).first()["expected"])
+
+    if owner := _slot_owners(model, explain, background, feats):
+        ship(explain.sparkSession)
+        prep, trees = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+        grown = trees.grown()
+
+        def binned(rows: DataFrame, name: str) -> DataFrame:
+            return (prep.transform(rows.select(key, *[f for f in feats if f != key]))
+                    .select(key, bins_of(grown, trees.getFeaturesCol()).alias(name)))
+
+        bg, total = number_background(binned(background, "__bins"), key, ["__bins"], seed, buckets)
+        ex = partnered(binned(explain, "__x"), bg, total)
+        credits = ex.select(key, chain_credits(grown, owner, p, "__x", "__bg0", "__perm").alias("__c"))
+        sums = credits.groupBy(key).agg(*[(F.sum(F.col("__c")[j]) / F.lit(float(S))).alias(f"__p{j}") for j in range(p + 2)])
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"__p{j}").alias("phi")) for j, f in enumerate(feats)]))
+        long = sums.select(key, each.alias("__e"), F.col(f"__p{p}").alias("base_value"), F.col(f"__p{p + 1}").alias("prediction"))
+        if not with_scores:
+            return long.select(key, "__e.feature", "__e.phi")
+        return long.select(key, "__e.feature", "__e.phi", expected().alias("expected_value"), "base_value", "prediction")
+
+    bg, total = number_background(background, key, feats, seed, buckets)
+    ex = partnered(explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)]), bg, total)
     # each feature's place in the permutation, once and not in all p + 1 mixed rows
     ex = ex.withColumn("__pos", F.array(*[F.array_position(F.col("__perm"), F.lit(j)) - 1 for j in range(p)]))
     ex = ex.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(p))))
@@ -149,10 +195,8 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     # Base value and prediction ride along via a window over the (small)
     # aggregated sums, so the scoring is not run a second time for a join.
     per_row = Window.partitionBy(key)
-    expected = (model.transform(background.select(*feats))
-                .agg(F.avg(positive_probability("probability")).alias("expected")).first()["expected"])
     return (sums.withColumns({
-                "expected_value": F.lit(expected),
+                "expected_value": expected(),
                 "base_value": F.max(F.when(F.col("feature") == "__base", F.col("phi"))).over(per_row),
                 "prediction": F.max(F.when(F.col("feature") == "__pred", F.col("phi"))).over(per_row)})
                 .filter(~F.col("feature").isin("__base", "__pred")))

@@ -26,6 +26,7 @@ from pyspark.ml.base import Estimator, Transformer
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
+    OneHotEncoderModel,
     SQLTransformer,
     StandardScaler,
     StandardScalerModel,
@@ -163,3 +164,29 @@ def build_feature_pipeline(boolean: Sequence[str] = BOOLEAN_FEATURES,
 
 def feature_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=build_feature_pipeline(**kw))
+
+
+def _wiring(stage) -> tuple:
+    """What a stage reads and writes, and what it does with invalid rows."""
+    names = [stage.getOrDefault(p) if stage.hasParam(p) and stage.isSet(p) else None
+             for p in ("statement", "inputCol", "inputCols", "outputCol", "outputCols")]
+    return *names, stage.getOrDefault("handleInvalid") if stage.hasParam("handleInvalid") else None
+
+
+def slot_features(stages: Sequence[Transformer]) -> list[str] | None:
+    """The feature that each slot of the vector comes from; None unless these are the fitted stages of ``build_feature_pipeline``."""
+    assembler = next((s for s in stages if isinstance(s, VectorAssembler)), None)
+    if assembler is None or not stages[-1].hasParam("outputCol"):
+        return None
+    inputs = assembler.getInputCols()
+    groups = [[c[len(kind):] for c in inputs if c.startswith(kind)] for kind in ("__bo_", "__ni_", "__co_")]
+    wanted = build_feature_pipeline(*groups, stages[-1].getOutputCol())
+    kinds = [{"PopulationScaler": "StandardScalerModel"}.get(n := type(w).__name__, n if isinstance(w, Transformer) else f"{n}Model") for w in wanted]
+    if [type(s).__name__ for s in stages] != kinds or [_wiring(s) for s in stages] != [_wiring(w) for w in wanted]:
+        return None
+    sizes = {c: 1 for c in inputs}
+    for e in (s for s in stages if isinstance(s, OneHotEncoderModel)):
+        more = (e.getHandleInvalid() == "keep") - e.getDropLast()
+        sizes.update({c: int(n) + more for c, n in zip(e.getOutputCols(), e.categorySizes)})
+    owners = [c[len("__bo_"):] for c in inputs for _ in range(sizes[c])]
+    return owners if len(owners) == stages[-1].mean.size else None
