@@ -36,6 +36,8 @@ BLOCK_POINTS = 20_000
 LOCAL = 25
 CELLS = 512
 CELL_WIDTH = 0.25
+#: edges of a block that are added up at a time
+SLICE = 1 << 15
 PERPLEXITY = 30.0
 START_SPREAD = 0.1
 MAX_STEP = 5.0
@@ -195,15 +197,37 @@ def repulsion(at: np.ndarray, others: np.ndarray, mass: np.ndarray) -> tuple[np.
     return np.stack(force, 1), max(total - len(at) - float(mass.sum()), 1e-12)
 
 
+def _edge_slices(src: np.ndarray) -> list[tuple[int, int]]:
+    """Slices of about ``SLICE`` of the edges, which lie by ``src``; all edges of a point lie in one."""
+    ends = [0]
+    while ends[-1] < len(src):
+        at = min(ends[-1] + SLICE, len(src))
+        ends.append(int(np.searchsorted(src, src[at - 1], side="right")))
+    return list(zip(ends[:-1], ends[1:]))
+
+
+def pull_of(places: np.ndarray, n: int, src: np.ndarray, dst: np.ndarray, p: np.ndarray, scale: float,
+            slices: Sequence[tuple[int, int]]) -> np.ndarray:
+    """The attraction of the first ``n`` places; edges go through in slices that stay in the cache."""
+    x, y = np.ascontiguousarray(places[:, 0]), np.ascontiguousarray(places[:, 1])
+    out = np.zeros((n, 2))
+    for lo, hi in slices:
+        a, b = src[lo:hi], dst[lo:hi]
+        gap_x, gap_y = x.take(a) - x.take(b), y.take(a) - y.take(b)
+        weight = p[lo:hi] / (1.0 + (gap_x * gap_x + gap_y * gap_y))
+        low, high = int(a[0]), int(a[-1]) + 1
+        for j, gap in enumerate((gap_x, gap_y)):
+            out[low:high, j] = np.bincount(a - low, weight * gap * scale, high - low)
+    return out
+
+
 def move(own: np.ndarray, speed: np.ndarray, gain: np.ndarray, fixed: np.ndarray, others: np.ndarray, mass: np.ndarray,
          src: np.ndarray, dst: np.ndarray, p: np.ndarray, first: int, steps: int, rate: float,
          early: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``steps`` gradient steps of a block's points; ``src`` and ``dst`` are places in own + fixed."""
+    """``steps`` gradient steps of a block's points; ``src`` (ascending) and ``dst`` are places in own + fixed."""
+    cuts = _edge_slices(src)
     for step in range(first, first + steps):
-        everything = np.concatenate([own, fixed])
-        gap = own[src] - everything[dst]
-        pull = (p / (1.0 + (gap ** 2).sum(1)))[:, None] * gap * (EXAGGERATION if step < early else 1.0)
-        attract = np.stack([np.bincount(src, pull[:, j], len(own)) for j in (0, 1)], 1)
+        attract = pull_of(np.concatenate([own, fixed]), len(own), src, dst, p, EXAGGERATION if step < early else 1.0, cuts)
         push, z = repulsion(own, others, mass)
         slope = 4.0 * (attract - push / z)
         gain = np.maximum(np.where(np.sign(slope) != np.sign(speed), gain + 0.2, gain * 0.8), 0.01)
