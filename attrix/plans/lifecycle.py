@@ -144,6 +144,12 @@ def explanation_split(df: DataFrame, fraction: float = EXPLAIN_SAMPLE_FRACTION)
     return background, example
 
 
+def explanation_of_all(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stratified 25 % of all rows as background, and every row, those too, to be explained."""
+    split = cut_lineage(sampling.stratified_split(df, KEY, LABEL, BACKGROUND_FRACTION, SAMPLE_SEED))
+    return split.filter(F.col("split") == "train").drop("split"), split.drop("split")
+
+
 def explain(model: PipelineModel, df: DataFrame, samples: int | None = None):
     background, example = explanation_split(df)
     # The split sample is checkpointed, so these checks read a small file.
