@@ -68,6 +68,8 @@ PATIENCE = 3_600.0
 SCORED = 1 << 12
 #: chains of mixed rows that are scored at a time
 CHAINS = 1 << 12
+#: trees whose leaves meet in one product
+FOREST = 16
 
 # The published defaults of the objective.
 LAMBDA = 1.0      # weight of the squared leaf values
@@ -145,6 +147,51 @@ class Walk:
         return node
 
 
+@dataclass(frozen=True)
+class Forest:
+    """Several trees as arrays, with the inner nodes of each level and the leaves."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    value: np.ndarray
+    roots: np.ndarray
+    levels: list[np.ndarray]
+    leaves: np.ndarray
+
+    @classmethod
+    def of(cls, walks: Sequence[Walk]) -> Forest:
+        roots = np.append(0, np.cumsum([len(w.left) for w in walks])[:-1])
+        feature, cut, value = (np.concatenate([getattr(w, c) for w in walks]) for c in ("feature", "cut", "value"))
+        left = np.concatenate([w.left + r for w, r in zip(walks, roots)])
+        inner = left != np.arange(len(left))
+        levels, level = [], roots[inner[roots]]
+        while level.size:
+            levels.append(level)
+            level = np.concatenate([left[level], left[level] + 1])
+            level = level[inner[level]]
+        return cls(feature, cut, left, value, roots, levels, np.flatnonzero(~inner))
+
+    def crossed(self, x: np.ndarray, other: np.ndarray, mine: np.ndarray) -> np.ndarray:
+        """``Grown.crossed_margins`` of these trees; ``x`` and ``other`` are slots x rows.
+
+        A mixed row comes to a leaf if its row goes that way at all nodes of ``mine``, and its partner at
+        all others: the rows that may come to a leaf, times its value, times the partners that may.
+        """
+        may = [np.zeros((len(self.left), side.shape[1]), bool) for side in (x, other)]
+        for reach in may:
+            reach[self.roots] = True
+        for level in self.levels:
+            for side, reach, own in zip((x, other), may, (mine, ~mine)):
+                decides = own[self.feature[level]]
+                for nodes, decided in ((level[decides], True), (level[~decides], False)):
+                    left, here = self.left[nodes], reach[nodes]
+                    right = side[self.feature[nodes]] > self.cut[nodes, None] if decided else True
+                    reach[left], reach[left + 1] = here & ~right if decided else here, here & right
+        leaves = self.leaves[may[0][self.leaves].any(1) & may[1][self.leaves].any(1)]
+        return may[0][leaves].T.astype(float) @ (may[1][leaves] * self.value[leaves, None])
+
+
 @dataclass(frozen=True)
 class Packing:
     """Slots in columns of one byte: a code stands for the bins of all slots of its column."""
@@ -369,6 +416,17 @@ class Grown:
             begins[begin] = False
         return out.reshape(n, steps)
 
+    @cached_property
+    def forests(self) -> list[Forest]:
+        return [Forest.of(self.walks[lo:lo + FOREST]) for lo in range(0, len(self.walks), FOREST)]
+
+    def crossed_margins(self, x: np.ndarray, other: np.ndarray, mine: np.ndarray) -> np.ndarray:
+        """rows of ``x`` x rows of ``other``: the margins of rows that take the slots of ``mine`` (0 and 1) from one, the rest from the other."""
+        out = np.zeros((len(x), len(other)))
+        for forest in self.forests:
+            out += forest.crossed(x.T, other.T, mine)
+        return out
+
     def to_json(self) -> str:
         return json.dumps({"cuts": [c.tolist() for c in self.cuts],
                            "trees": [[t.feature, t.cut, t.left, t.value] for t in self.trees]})
@@ -424,6 +482,34 @@ def chain_credits(grown: Grown, owner: Sequence[int], p: int, x: str, other: str
     return run(F.col(x), F.col(other), F.col(order))
 
 
+def parts_of(bins: str, masks: np.ndarray) -> Column:
+    """Per mask (slots as 0 and 1) the bins of its slots, and zero in the others."""
+    keep = masks.astype(np.uint8)
+
+    @F.pandas_udf("array<binary>")
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series([[part.tobytes() for part in np.frombuffer(b, np.uint8) * keep] for b in x], dtype=object)
+    return run(F.col(bins))
+
+
+def crossed_sums(grown: Grown, masks: np.ndarray, which: str, x: str, other: Column, times: Column) -> Column:
+    """Per part of the array ``x`` the sum, over the parts of ``other`` with their ``times``, of the mixed rows' positive probability.
+
+    The column ``which`` is the number from 1 of the mask whose slots come from ``x``.
+    """
+    slots = len(grown.cuts)
+
+    @F.pandas_udf("array<double>")
+    def run(which: pd.Series, x: pd.Series, other: pd.Series, times: pd.Series) -> pd.Series:
+        out = []
+        for m, mine, theirs, n in zip(which, x, other, times):
+            mine, theirs = (np.frombuffer(b"".join(side), np.uint8).reshape(-1, slots) for side in (mine, theirs))
+            chance = 1.0 / (1.0 + np.exp(-grown.crossed_margins(mine, theirs, masks[m - 1] > 0)))
+            out.append(chance @ np.asarray(n, float))
+        return pd.Series(out, dtype=object)
+    return run(F.col(which), F.col(x), other, times)
+
+
 class HistogramTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):
     """Adds ``probability`` and ``prediction``; saved and loaded like any pipeline stage."""
 

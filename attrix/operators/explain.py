@@ -112,6 +112,13 @@ def _slot_owners(model: PipelineModel, explain: DataFrame, background: DataFrame
     return [list(features).index(f) for f in slots]
 
 
+def binned(model: PipelineModel, rows: DataFrame, key: str, features: Sequence[str], name: str) -> DataFrame:
+    """(key, bins of the row's vector as ``name``) for a model whose last stage is our trees."""
+    trees = model.stages[-1]
+    return (PipelineModel(stages=model.stages[:-1]).transform(rows.select(key, *[f for f in features if f != key]))
+            .select(key, bins_of(trees.grown(), trees.getFeaturesCol()).alias(name)))
+
+
 def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFrame, key: str,
                    features: Sequence[str], samples: int | None = None, seed: int = 42,
                    buckets: int = BACKGROUND_BUCKETS, with_scores: bool = False) -> DataFrame:
@@ -141,16 +148,9 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
 
     if owner := _slot_owners(model, explain, background, feats):
         ship(explain.sparkSession)
-        prep, trees = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
-        grown = trees.grown()
-
-        def binned(rows: DataFrame, name: str) -> DataFrame:
-            return (prep.transform(rows.select(key, *[f for f in feats if f != key]))
-                    .select(key, bins_of(grown, trees.getFeaturesCol()).alias(name)))
-
-        bg, total = number_background(binned(background, "__bins"), key, ["__bins"], seed, buckets)
-        ex = partnered(binned(explain, "__x"), bg, total)
-        credits = ex.select(key, chain_credits(grown, owner, p, "__x", "__bg0", "__perm").alias("__c"))
+        bg, total = number_background(binned(model, background, key, feats, "__bins"), key, ["__bins"], seed, buckets)
+        ex = partnered(binned(model, explain, key, feats, "__x"), bg, total)
+        credits = ex.select(key, chain_credits(model.stages[-1].grown(), owner, p, "__x", "__bg0", "__perm").alias("__c"))
         sums = credits.groupBy(key).agg(*[(F.sum(F.col("__c")[j]) / F.lit(float(S))).alias(f"__p{j}") for j in range(p + 2)])
         each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"__p{j}").alias("phi")) for j, f in enumerate(feats)]))
         long = sums.select(key, each.alias("__e"), F.col(f"__p{p}").alias("base_value"), F.col(f"__p{p + 1}").alias("prediction"))

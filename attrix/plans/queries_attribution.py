@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrix.functions.hashing import seeded_hash32_sql, seeded_hash60_sql
-from attrix.functions.metrics import positive_probability
 from attrix.functions.rounding import decimals, decimals_sql
 from attrix.operators import explain as X
 from attrix.operators import kernel_shap as K
@@ -98,9 +97,8 @@ def q_explanation_clusters_check(spark, sf_dir):
 
 @register("kernel_attributions")
 def q_kernel_attributions(spark, sf_dir):
-    """The fitted trees, every feature, the reference's budget of sets."""
+    """The fitted trees, every feature, the reference's budget of sets, all background rows."""
     ts = _ts(spark, sf_dir)
     model = _fitted(ts)
     background, example = explanation_split(ts)
-    return K.kernel_values(lambda rows: model.transform(rows).withColumn("__f", positive_probability("probability")),
-                           example, background, KEY, FEATURES, seed=SAMPLE_SEED)
+    return K.kernel_values(model, example, background, KEY, FEATURES, seed=SAMPLE_SEED)
