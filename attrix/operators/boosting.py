@@ -355,6 +355,16 @@ def best_splits(sums: np.ndarray, starts: np.ndarray, least: float) -> tuple[np.
     return gain[rows, at], slot[at], at - starts[slot[at]], whole[:, 0], left[rows, at]
 
 
+def _true(flags: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of few flags, eight at a time."""
+    flat = flags.ravel()
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    eights = np.flatnonzero(flat.view(np.uint64))
+    at = np.flatnonzero(flat.reshape(-1, 8)[eights])
+    return eights.take(at >> 3) * 8 + (at & 7)
+
+
 @dataclass
 class Grown:
     """Cut points and trees of one parameter set."""
@@ -387,34 +397,50 @@ class Grown:
 
         ``x`` and ``other`` are the bins of the rows and of their partners, ``owner`` the feature of each slot,
         ``place`` (rows x features) when a feature comes: at step k those of places below k are the row's.
-        Steps that take the same way through a tree go together as a run, which parts only at a node where row and
-        partner go apart and whose feature comes within the run. Margins are those of ``margin``, bit by bit.
+        Only the turns of features that change a bin count. Of each chain the steps that come to a node are a run, so a
+        node is the first and last step of all chains, in as few bytes as the steps need: one comparison with what the
+        node's cut allows leads to a child. Margins are those of ``margin``, bit by bit.
         """
-        n, slots = x.shape
-        steps = place.shape[1] + 1
-        out, each = np.zeros(n * steps), np.arange(n * steps)
-        cells = ((place[:, owner].astype(np.int64) << 16) | (x.astype(np.int64) << 8) | other).ravel()
-        value, begins = np.zeros(n * steps), np.zeros(n * steps, bool)
+        n, steps = len(x), place.shape[1] + 1
+        kind = np.min_scalar_type(steps)
+        top = kind.type(np.iinfo(kind).max)
+        moves = np.zeros(place.shape, bool)
+        rows, slots = np.nonzero(x != other)
+        moves[rows, owner[slots]] = True
+        turns = np.column_stack([np.zeros(n, np.int64), np.take_along_axis(moves, place.argsort(1), 1).cumsum(1)])
+        turn = np.take_along_axis(turns, place, 1)[:, owner].T.astype(kind)
+        begins = np.append(0, (turns[:, -1] + 1).cumsum())
+        size, begins = begins[-1], begins[:-1]
+        x, other, allowed = np.ascontiguousarray(x.T), np.ascontiguousarray(other.T), {}
+
+        def ways(slot: int, cut: int) -> tuple[np.ndarray, ...]:
+            """Per child the first step that may come there, and ``top`` less the last one."""
+            if (slot, cut) not in allowed:
+                mine, theirs, at = x[slot] > cut, other[slot] > cut, turn[slot]
+                allowed[slot, cut] = tuple(np.stack([np.where(b, 0, np.where(a, at + kind.type(1), top)), np.where(a | ~b, 0, top - at)]).astype(kind)
+                                           for a, b in ((~mine, ~theirs), (mine, theirs)))
+            return allowed[slot, cut]
+
+        out, value, runs = np.zeros(size), np.zeros(size), np.zeros(size, bool)
+        whole = np.stack([np.zeros(n, kind), (top - turns[:, -1]).astype(kind)])
         for walk in self.walks:
-            chain, node = np.arange(n), np.zeros(n, np.int64)
-            first, last = np.zeros(n, np.int64), np.full(n, steps - 1)
-            for _ in range(walk.depth):
-                cell, cut, child = cells.take(chain * slots + walk.feature.take(node)), walk.cut.take(node), walk.left.take(node)
-                mine, theirs, at = (cell >> 8 & 255) > cut, (cell & 255) > cut, cell >> 16
-                before = at >= first    # the run begins with the partner's value
-                parts = np.flatnonzero((mine != theirs) & before & (at < last))
-                node = child + np.where(before, theirs, mine)
-                if parts.size:
-                    turn = at[parts]
-                    chain, node = np.append(chain, chain[parts]), np.append(node, child[parts] + mine[parts])
-                    first, rest = np.append(first, turn + 1), last[parts]
-                    last[parts] = turn
-                    last = np.append(last, rest)
-            begin = chain * steps + first
-            value[begin], begins[begin] = walk.value.take(node), True
-            out += value.take(np.maximum.accumulate(np.where(begins, each, 0)))
-            begins[begin] = False
-        return out.reshape(n, steps)
+            inner = walk.left != np.arange(len(walk.left))
+            come = np.empty((len(walk.left), 2, n), kind)
+            come[0] = whole
+            for node, slot, cut, left in zip(*(v[inner].tolist() for v in (np.arange(len(inner)), walk.feature, walk.cut, walk.left))):
+                to_left, to_right = ways(slot, cut)
+                np.maximum(come[node], to_left, out=come[left])
+                np.maximum(come[node], to_right, out=come[left + 1])
+            leaves = np.flatnonzero(~inner)
+            first = come[leaves, 0]
+            some = _true(first <= top - come[leaves, 1])
+            leaf, chain = np.divmod(some, n)
+            at = begins.take(chain) + first.ravel().take(some)
+            value[at], runs[at] = walk.value[leaves].take(leaf), True
+            starts = np.flatnonzero(runs)
+            out += np.repeat(value.take(starts), np.diff(starts, append=size))
+            runs[at] = False
+        return out[begins[:, None] + turns]
 
     @cached_property
     def forests(self) -> list[Forest]:
@@ -460,26 +486,26 @@ def bins_of(grown: Grown, features: str = "features") -> Column:
     return run(vector_to_array(F.col(features)))
 
 
-def chain_credits(grown: Grown, owner: Sequence[int], p: int, x: str, other: str, order: str) -> Column:
+def chain_credits(grown: Grown, owner: Sequence[int], p: int, x: str, other: str, turn: str) -> Column:
     """What each of ``p`` features adds to the positive probability, then the probabilities without and with all of them.
 
-    Features replace those of the partner ``other`` in the given ``order``; both are ``bins_of`` columns.
+    Features replace those of the partner ``other`` in the order of the numbers ``turn``; both are ``bins_of`` columns.
     """
     slots, of = len(grown.cuts), np.array(owner, int)
 
     @F.pandas_udf("array<double>")
-    def run(x: pd.Series, other: pd.Series, order: pd.Series) -> pd.Series:
+    def run(x: pd.Series, other: pd.Series, turn: pd.Series) -> pd.Series:
         out: list[np.ndarray] = []
         for lo in range(0, len(x), CHAINS):
             mine, theirs = (np.frombuffer(b"".join(s.iloc[lo:lo + CHAINS]), np.uint8).reshape(-1, slots) for s in (x, other))
-            turns = np.stack(order.iloc[lo:lo + CHAINS].to_list())
+            turns = np.stack(turn.iloc[lo:lo + CHAINS].to_list()).argsort(1, kind="stable")
             chance = 1.0 / (1.0 + np.exp(-grown.chain_margins(mine, theirs, turns.argsort(1), of)))
             found = np.empty((len(turns), p + 2))
-            np.put_along_axis(found, turns.astype(np.int64), np.diff(chance, axis=1), 1)
+            np.put_along_axis(found, turns, np.diff(chance, axis=1), 1)
             found[:, p], found[:, p + 1] = chance[:, 0], chance[:, p]
             out.extend(found)
         return pd.Series(out, dtype=object)
-    return run(F.col(x), F.col(other), F.col(order))
+    return run(F.col(x), F.col(other), F.col(turn))
 
 
 def parts_of(bins: str, masks: np.ndarray) -> Column:

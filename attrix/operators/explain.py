@@ -131,16 +131,14 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     S = samples or samples_for_budget(p)
     seed_c = F.lit(int(seed))
 
-    order = F.array_sort(F.array(*[
-        F.struct(_h(seed_c, F.lit("perm"), F.col(key), F.col("__s"), F.lit(j)).alias("h"),
-                 F.lit(j).alias("j")) for j in range(p)]))
+    # features come in the order of these, equal ones as they stand
+    turn = [_h(seed_c, F.lit("perm"), F.col(key), F.col("__s"), F.lit(j)) for j in range(p)]
 
     def partnered(rows: DataFrame, bg: DataFrame, total: int) -> DataFrame:
-        """Explained rows x samples, each with a partner's number and a permutation."""
+        """Explained rows x samples, each with a partner's number."""
         ex = rows.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(S - 1))))
         ex = ex.withColumn("__number", F.pmod(_h(seed_c, F.lit("row"), F.col(key), F.col("__s")), total))
-        ex = spread(ex.join(bg, "__number"), explain.count() * S * (p + 1), key, "__s")
-        return ex.withColumn("__perm", F.transform(order, lambda e: e["j"]))
+        return spread(ex.join(bg, "__number"), explain.count() * S * (p + 1), key, "__s")
 
     def expected() -> "F.Column":
         return F.lit(model.transform(background.select(*feats))
@@ -149,8 +147,8 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
     if owner := _slot_owners(model, explain, background, feats):
         ship(explain.sparkSession)
         bg, total = number_background(binned(model, background, key, feats, "__bins"), key, ["__bins"], seed, buckets)
-        ex = partnered(binned(model, explain, key, feats, "__x"), bg, total)
-        credits = ex.select(key, chain_credits(model.stages[-1].grown(), owner, p, "__x", "__bg0", "__perm").alias("__c"))
+        ex = partnered(binned(model, explain, key, feats, "__x"), bg, total).withColumn("__turn", F.array(*turn))
+        credits = ex.select(key, chain_credits(model.stages[-1].grown(), owner, p, "__x", "__bg0", "__turn").alias("__c"))
         sums = credits.groupBy(key).agg(*[(F.sum(F.col("__c")[j]) / F.lit(float(S))).alias(f"__p{j}") for j in range(p + 2)])
         each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"__p{j}").alias("phi")) for j, f in enumerate(feats)]))
         long = sums.select(key, each.alias("__e"), F.col(f"__p{p}").alias("base_value"), F.col(f"__p{p + 1}").alias("prediction"))
@@ -160,6 +158,8 @@ def shapley_values(model: PipelineModel, explain: DataFrame, background: DataFra
 
     bg, total = number_background(background, key, feats, seed, buckets)
     ex = partnered(explain.select(F.col(key), *[F.col(f).alias(f"__x{j}") for j, f in enumerate(feats)]), bg, total)
+    order = F.array_sort(F.array(*[F.struct(h.alias("h"), F.lit(j).alias("j")) for j, h in enumerate(turn)]))
+    ex = ex.withColumn("__perm", F.transform(order, lambda e: e["j"]))
     # each feature's place in the permutation, once and not in all p + 1 mixed rows
     ex = ex.withColumn("__pos", F.array(*[F.array_position(F.col("__perm"), F.lit(j)) - 1 for j in range(p)]))
     ex = ex.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(p))))
